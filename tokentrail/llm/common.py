@@ -47,7 +47,14 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: Spark's 10,000 rows a batch would hold tens of MB in each Python worker."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1024:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

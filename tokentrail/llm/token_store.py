@@ -15,23 +15,26 @@ An empty table gives no files and no rows. Columns other than doc_id and text ar
 
 from __future__ import annotations
 
+import itertools
 import json
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, ranges, slices, utf8
+from .common import partitions, ranges, slices
 
 BLOCK = 512
 CHUNK = 8
-#: Words kept with their ids by each worker; beyond it the store starts anew.
-CACHE_WORDS = 500_000
-TOKENS_PER_FILE = 4_000_000
+#: Words kept with their ids by each worker, in each of two generations.
+CACHE_WORDS = 400_000
+TOKENS_PER_FILE = 1_000_000
+MARKS = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
 
 
 # ---- the codes ----
@@ -136,18 +139,65 @@ def _filesystem(path: str):
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
-class _WordIds(dict):
-    """Ids of a piece of text without white space, as bytes of unsigned 16- or 32-bit integers."""
+class _Recent(dict):
+    """Values by key, computed when missing; of two generations of CACHE_WORDS keys the older one goes."""
 
-    def __init__(self, tokenizer, kind: str) -> None:
-        self.tokenizer, self.kind = tokenizer, kind
+    def __init__(self, compute) -> None:
+        self.compute, self.older = compute, {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
-        self[word] = ids
-        return ids
+        self[key] = value
+        return value
+
+
+def _word_ids(tokenizer, kind: str):
+    """A function from a piece of text without white space to its ids, as bytes of integers.
+
+    The tokenizer cuts between a letter and a mark. So letters with ASCII marks behind them are looked up apart,
+    which lets a word's forms share an entry; it lowers letters, and ASCII ones alike at any place. Lower-case
+    ASCII letters pass its normalizer and its splits unchanged, so they go to its model at once.
+    """
+    tokenize, encode = tokenizer.model.tokenize, tokenizer.encode
+
+    def by_library(piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha() and piece.islower():
+            ids = [t.id for t in tokenize(piece)]
+        else:
+            ids = encode(piece, add_special_tokens=False).ids
+        return np.array(ids, kind).tobytes()
+
+    pieces = _Recent(by_library)
+
+    def ids_of(word: str) -> bytes:
+        letters = word.rstrip(MARKS)
+        if not letters.isalpha():
+            return pieces[word]
+        ids = pieces[letters.lower() if letters.isascii() else letters]
+        return ids + pieces[word[len(letters) :]] if len(letters) < len(word) else ids
+
+    return ids_of
+
+
+def _ids_of(texts: pa.Array, words, width: int) -> list[bytes]:
+    """The ids of each text. Words are told apart in Arrow, so that Python sees each word of the batch once."""
+    split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
+    flat = split.flatten().dictionary_encode()
+    unique = list(map(words, flat.dictionary.to_pylist()))
+    sizes = np.fromiter(map(len, unique), np.int64, len(unique)) // width
+    starts = np.cumsum(sizes) - sizes
+    index = flat.indices.to_numpy()
+    counts = sizes[index]
+    ends = np.cumsum(counts)
+    tokens = np.frombuffer(b"".join(unique), f"<u{width}")
+    raw = tokens[np.repeat(starts[index] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+    cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])] * width
+    return [raw[a:b] for a, b in itertools.pairwise(cuts.tolist())]
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, cuts: list | None = None) -> DataFrame:
@@ -163,11 +213,11 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, cuts
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         width = 2 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        words = _WordIds(tokenizer, f"<u{width}")
+        words = _word_ids(tokenizer, f"<u{width}")
         end = int(end_id).to_bytes(width, "little")
         edges = np.array(cuts, np.int64)
-        for b in slices(batches):
-            ids = [b"".join(map(words.__getitem__, (t or "").replace("\n", " ").split(" "))) + end for t in b.column(1).to_pylist()]
+        for b in slices(batches, 1024):
+            ids = [x + end for x in _ids_of(b.column(1), words, width)]
             shard = np.searchsorted(edges, np.array(b.column(0).fill_null(-(2**63)), np.int64), side="left").astype(np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shard), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], names=["doc_id", "shard", "width", "ids"])
 
