@@ -6,13 +6,15 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, gif, lang_id, mixing, quality, token_store
+from . import fingerprints, gif, jaccard_join, lang_id, line_dedup, mixing, pieces, quality, substring_dedup, token_store
 from .common import table, work_path
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,10 +31,23 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op5_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gif.stored_media(table(spark, sf_dir, "documents"))
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.report(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
@@ -41,9 +56,64 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_pieces(table(spark, sf_dir, "documents"), PIECES).drop("ids")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op2_quality, op3_fingerprints, op5_gif, op8_language, op9_mix)}
+    return {f.__name__: f for f in (op1_token_store, op2_quality, op3_fingerprints, op4_jaccard, op5_gif, op6_lines, op7_substrings, op8_language, op9_mix, op10_pieces, pipeline)}
+
+
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+OP4 = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS s FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT a, b FROM both_ JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""
+
+OP6 = r"""
+WITH lines AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents
+), kept AS (
+  SELECT doc_id, l, list_filter(range(1, len(l) + 1), lambda i: regexp_replace(l[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') <> '') AS at_ FROM lines
+), runs AS (
+  SELECT doc_id, k, at_[k] AS a, at_[k + 2] AS b, list_transform(at_[k:k+2], lambda i: regexp_replace(l[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) AS r
+  FROM (SELECT doc_id, l, at_, unnest(range(1, len(at_) - 1)) AS k FROM kept)
+), late AS (
+  SELECT doc_id, k, a, b FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY doc_id, k) AS nth FROM runs) WHERE nth > 1
+), gone AS (SELECT doc_id, list_distinct(flatten(list(range(a, b + 1)))) AS g,
+    (SELECT count(*) FROM late x WHERE x.doc_id = late.doc_id AND NOT EXISTS (SELECT 1 FROM late y WHERE y.doc_id = x.doc_id AND y.k < x.k AND y.k >= x.k - 3)) AS n_runs FROM late GROUP BY doc_id)
+SELECT k.doc_id, len(l)::BIGINT AS n_lines, coalesce(len(g), 0)::BIGINT AS n_removed, coalesce(n_runs, 0)::BIGINT AS n_runs,
+  sha256(array_to_string(list_transform(list_filter(range(1, len(l) + 1), lambda i: g IS NULL OR NOT list_contains(g, i)), lambda i: l[i]), chr(10))) AS kept_sha256
+FROM kept k LEFT JOIN gone USING (doc_id)
+"""
+
+OP7 = rf"""
+WITH words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+windows AS (SELECT doc_id, k, array_to_string(w[k:k+19], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS k FROM words)),
+late AS (SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY s ORDER BY doc_id, k) AS nth FROM windows) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 20)) AS i FROM late),
+each_ AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+left_ AS (SELECT e.doc_id, count(*) AS n, array_to_string(list(e.w[e.i] ORDER BY e.i), ' ') AS kept FROM each_ e ANTI JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i GROUP BY e.doc_id)
+SELECT words.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN left_ USING (doc_id)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_jaccard": OP4, "op6_lines": OP6, "op7_substrings": OP7}
