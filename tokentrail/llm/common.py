@@ -78,6 +78,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def unmix64(x: np.ndarray) -> np.ndarray:
+    """The inverse of mix64."""
+    inverse = [np.uint64(pow(int(m), -1, 1 << 64)) for m in (_M1, _M2)]
+    with np.errstate(over="ignore"):
+        x = x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+        x = x * inverse[1]
+        x = x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))
+        x = x * inverse[0]
+        return x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 

@@ -3,8 +3,8 @@
 A document's set holds the hashes of its distinct shingles. Two documents link when 100 * |A & B| >= percent * |A | B|.
 
 1. Equal sets are one class with its least doc_id as representative; copies take no further part.
-2. Shingles have one order: rare ones by hash, then frequent ones by how often they occur (a mergeable summary over
-   all documents finds them). Linked sets share an element of their first n - ceil(percent n / 100) + 1 elements.
+2. Shingles have one order: rare ones by hash, then frequent ones by how often they occur (those that stand in many
+   prefixes under the order of hashes alone). Linked sets share an element of their first n - ceil(percent n / 100) + 1 elements.
    Elements in one prefix only are left out by a filter of bounded size.
 3. The index list of an element holds its sets by size. A set's partners are read from there on: a whole block of the
    list is skipped once sizes are too far apart, and a pair is skipped when the places of the element leave too few
@@ -31,72 +31,58 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from . import filters
-from .common import mix64, partitions, shingle_set, slices, utf8, written
+from .common import mix64, partitions, shingle_set, slices, unmix64, utf8, written
 
 WORDS, PERCENT = 4, 85
-#: Frequent shingles counted by a task and kept in all; rows of a summary's batch; lists that are long;
-#: buckets of a set's element counts.
-COUNTERS, FREQUENT, SUMMARY_ROWS, LONG, BUCKETS = 1 << 18, 1 << 19, 2048, 48, 512
+#: Prefixes that a frequent shingle stands in; frequent shingles at most; lists that are long; buckets of a set's
+#: element counts.
+OFTEN, FREQUENT, LONG, BUCKETS = 5, 1 << 19, 48, 512
 
 
 def _set(text: bytes, words: int) -> np.ndarray:
     return shingle_set(text.lower(), words)
 
 
-class Summary:
-    """Misra-Gries counts: a value is missed, or counted too low, by at most (all values) / COUNTERS."""
+def signatures(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, n_shingles, signature): equal sets have equal signatures; an empty set has none."""
 
-    def __init__(self, most: int = COUNTERS) -> None:
-        self.most, self.values, self.counts = most, np.empty(0, np.uint64), np.empty(0, np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            sets = [_set(t, words) for t in utf8(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())], names=["doc_id", "n_shingles", "signature"])
 
-    def add(self, values: np.ndarray, counts: np.ndarray | None = None) -> None:
-        v = np.concatenate([self.values, values])
-        c = np.concatenate([self.counts, np.ones(len(values), np.int64) if counts is None else counts])
-        order = np.argsort(v, kind="stable")
-        v, c = v[order], c[order]
-        first = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.empty(0, np.int64)
-        v, c = v[first], np.add.reduceat(c, first) if len(first) else c
-        if len(v) > self.most:
-            less = np.partition(c, len(c) - self.most - 1)[len(c) - self.most - 1]
-            v, c = v[c > less], c[c > less] - less
-        self.values, self.counts = v, c
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, signature binary")
 
 
-_FIRST = "doc_id long, n_shingles long, signature binary, value long, n long"
+def _head(n: int, percent: int) -> int:
+    """Elements of which linked sets share one."""
+    return n - (percent * n + 99) // 100 + 1
 
 
-def first_pass(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of documents (doc_id, n_shingles, signature) and of frequent shingles (value, n)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("signature", pa.binary()), ("value", pa.int64()), ("n", pa.int64())])
+def frequent_shingles(docs: DataFrame, words: int, percent: int, least: int = OFTEN, most: int = FREQUENT) -> np.ndarray:
+    """Elements that stand in many prefixes under the order of hashes, the rarest first: `most` of them, those in most
+    prefixes. An element of d sets is in the prefixes of a fixed share of them, so all data are counted."""
+    n = partitions(docs.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        summary, held, rows = Summary(), [], 0
-        for b in slices(batches):
-            sets = [_set(t, words) for t in utf8(b.column(1))]
-            held += sets
-            rows += len(sets)
-            if rows >= SUMMARY_ROWS:
-                summary.add(np.concatenate(held))
-                held, rows = [], 0
-            n = len(sets)
-            nothing = pa.nulls(n, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), nothing, nothing], schema=schema)
-        if held:
-            summary.add(np.concatenate(held))
-        often = summary.counts > 1
-        v, c = summary.values[often].view(np.int64), summary.counts[often]
-        nothing = pa.nulls(len(v), pa.int64())
-        yield pa.RecordBatch.from_arrays([nothing, nothing, pa.nulls(len(v), pa.binary()), pa.array(v), pa.array(c)], schema=schema)
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _FIRST)
-
-
-def frequent_shingles(first: DataFrame, most: int = FREQUENT) -> np.ndarray:
-    """At most `most` frequent shingles, the least frequent first."""
-    counts = first.filter("value IS NOT NULL").groupBy("value").agg(F.sum("n").alias("n")).filter("n >= 8")
-    rows = counts.orderBy(F.col("n").desc(), "value").limit(most).toPandas()
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1024):
+            sets = (_set(t, words) for t in utf8(b.column(0)))
+            yield filters.blobs(mix64(np.concatenate([np.empty(0, np.uint64), *(s[: _head(len(s), percent)] for s in sets)])), n)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for b in batches:
+            for part, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                held.setdefault(part, []).append(np.frombuffer(raw, np.uint64))
+        for part in sorted(held):
+            v, c = np.unique(np.concatenate(held.pop(part)), return_counts=True)
+            v, c = v[c >= least], c[c >= least]
+            yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(c.astype(np.int64))], names=["value", "n"])
+
+    blobs = docs.select("text").mapInArrow(values, filters.BLOBS).repartitionById(n, "part")
+    rows = blobs.mapInArrow(count, "value long, n long").orderBy(F.col("n").desc(), "value").limit(most).toPandas()
     order = np.lexsort((rows["value"].to_numpy(), rows["n"].to_numpy()))
-    return rows["value"].to_numpy(np.int64)[order].view(np.uint64)
+    return unmix64(rows["value"].to_numpy(np.int64)[order].view(np.uint64))
 
 
 class Order:
@@ -122,7 +108,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) ->
         order = Order(sent.value)
         for b in slices(batches):
             sets = [_set(t, words) for t in utf8(b.column(1))]
-            cut = [order(s)[: len(s) - (percent * len(s) + 99) // 100 + 1].tobytes() for s in sets]
+            cut = [order(s)[: _head(len(s), percent)].tobytes() for s in sets]
             keep = pa.array([len(s) > 0 for s in sets], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(cut, pa.binary())], names=["doc_id", "n", "prefix"]).filter(keep)
 
@@ -313,10 +299,9 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
 
 def similarity_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, long: int = LONG) -> DataFrame:
     """(doc_id, n_shingles, component_id): the least doc_id that links reach."""
-    first = written(first_pass(docs, words), "shingles")
-    members = first.filter("value IS NULL").select("doc_id", "n_shingles", "signature")
+    members = written(signatures(docs, words), "signatures")
     classes = members.filter("n_shingles > 0").groupBy("signature", "n_shingles").agg(F.min("doc_id").alias("representative"))
-    heads = prefixes(docs, frequent_shingles(first), words, percent).join(classes.select(F.col("representative").alias("doc_id")), "doc_id", "left_semi")
+    heads = prefixes(docs, frequent_shingles(docs, words, percent), words, percent).join(classes.select(F.col("representative").alias("doc_id")), "doc_id", "left_semi")
     found = written(candidates(postings(written(heads, "prefixes")), percent, long), "candidates")
     pairs = found.filter("b IS NOT NULL").select("a", "b").distinct()
     links = written(verified(docs, pairs, words, percent), "links")
