@@ -16,7 +16,7 @@ def top_contributors(rows: DataFrame) -> DataFrame:
 
 def _shares(grouped: DataFrame, keys: list[str]) -> DataFrame:
     w = Window.partitionBy(*keys)
-    return grouped.withColumn("token_pct", F.round(100 * F.col("tokens") / F.sum("tokens").over(w), 2)).withColumn("commit_pct", F.round(100 * F.col("commits") / F.sum("commits").over(w), 2))
+    return grouped.withColumn("token_pct", F.round(F.try_divide(100 * F.col("tokens"), F.sum("tokens").over(w)), 2)).withColumn("commit_pct", F.round(F.try_divide(100 * F.col("commits"), F.sum("commits").over(w)), 2))
 
 
 def file_report(rows: DataFrame) -> DataFrame:
