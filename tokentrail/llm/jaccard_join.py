@@ -9,9 +9,9 @@ A document's set holds the hashes of its distinct shingles. Two documents link w
 3. The index list of an element holds its sets by size. A set's partners are read from there on: a whole block of the
    list is skipped once sizes are too far apart, and a pair is skipped when the places of the element leave too few
    further ones, or when both sets have the same element before it, for an earlier list then has the pair.
-4. Lists longer than LONG first give the pairs of neighbours only. Their links make groups of highly similar sets,
-   and the answers of one are derived from the group's: in the same lists, only pairs of different groups are left,
-   and of these only those that the counts of their elements in BUCKETS allow.
+4. Lists longer than LONG first give each set's EACH nearest only. Their links make groups of highly similar sets,
+   and the answers of one are derived from the group's: in the same lists, only pairs of different groups are left.
+   What is near, and what can link at all, is told by how many elements the sets have in each of BUCKETS.
 5. Pairs are held against each other in full, and components of the links are found by star contraction.
 
 The set element is a 64-bit hash. Nulls: a null text, or one without words, has an empty set that links with
@@ -34,9 +34,9 @@ from . import filters
 from .common import mix64, partitions, shingle_set, slices, unmix64, utf8, written
 
 WORDS, PERCENT = 4, 85
-#: Prefixes that a frequent shingle stands in; frequent shingles at most; lists that are long; buckets of a set's
-#: element counts.
-OFTEN, FREQUENT, LONG, BUCKETS = 5, 1 << 19, 48, 512
+#: Prefixes that a frequent shingle stands in; frequent shingles at most; lists that are long; nearest sets first
+#: tried there; buckets of a set's element counts.
+OFTEN, FREQUENT, LONG, EACH, BUCKETS = 5, 1 << 19, 48, 3, 512
 
 
 def _set(text: bytes, words: int) -> np.ndarray:
@@ -146,7 +146,7 @@ def postings(heads: DataFrame) -> DataFrame:
     return heads.select("doc_id", "n", "prefix").mapInArrow(run, _POSTING)
 
 
-def _pairs(element, size_at, doc, before, percent: int, reach: np.ndarray | int, group=None) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(element, size_at, before, percent: int, reach: np.ndarray | int, group=None) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i, j) of one list, j after i by at most reach[i], that can link. Rows are sorted by element and size.
 
     Sizes grow along a list, so a row whose partner is too large is done: the rest of its list is skipped.
@@ -191,7 +191,7 @@ _CANDIDATE = "a long, b long, element long, size_at long, before long"
 
 
 def candidates(rows: DataFrame, percent: int, long: int = LONG) -> DataFrame:
-    """Pairs (a, b) of short lists, and of neighbours in long ones; and the rows of long lists (a, null, element, ...)."""
+    """Pairs (a, b) of short lists, and the rows of long ones (a, null, element, ...)."""
     n = partitions(rows.sparkSession)
     schema = pa.schema([(c.split()[0], pa.int64()) for c in _CANDIDATE.split(", ")])
 
@@ -200,7 +200,7 @@ def candidates(rows: DataFrame, percent: int, long: int = LONG) -> DataFrame:
             starts = np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1]]))
             length = np.diff(np.append(starts, len(element)))
             many = np.repeat(length > long, length)
-            i, j = _pairs(element, size_at, doc, np.where(many, np.arange(len(before)), before), percent, np.where(many, 1, long))
+            i, j = _pairs(element, size_at, before, percent, np.where(many, 0, long))
             a, b = np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])
             if len(a):
                 a, b = np.unique(np.stack([a, b]), axis=1)
@@ -230,31 +230,46 @@ def bucket_counts(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return named(docs, ids).mapInArrow(run, "doc_id long, counts binary")
 
 
-def derived(rows: DataFrame, groups: DataFrame, counts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets in different groups of long lists, if the counts of their elements allow a link."""
+def _nearest(i: np.ndarray, j: np.ndarray, shared: np.ndarray, each: int) -> np.ndarray:
+    """Places of the pairs that are among the `each` best of either end."""
+    end, place = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
+    order = np.lexsort((place, -np.tile(shared, 2), end))
+    end = end[order]
+    first = np.searchsorted(end, end)
+    return np.unique(place[order][np.arange(len(end)) - first < each])
+
+
+def from_long_lists(rows: DataFrame, counts: DataFrame, percent: int, groups: DataFrame | None = None, each: int | None = None) -> DataFrame:
+    """Pairs of long lists whose element counts allow a link: of sets in different groups, if there are groups; and for
+    each set only its `each` best, if that is given."""
     n = partitions(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for element, size_at, doc, before, group, counts in _whole_lists(batches):
+        for element, size_at, doc, before, group, vectors in _whole_lists(batches):
             starts = np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1]]))
             same = np.minimum.reduceat(group, starts) == np.maximum.reduceat(group, starts)
             mixed = np.repeat(~same, np.diff(np.append(starts, len(element))))
-            i, j = _pairs(element[mixed], size_at[mixed], doc[mixed], before[mixed], percent, len(element), group[mixed])
+            i, j = _pairs(element[mixed], size_at[mixed], before[mixed], percent, len(element), group[mixed])
             d, size = doc[mixed], size_at[mixed] >> 32
-            table = np.frombuffer(b"".join(counts[mixed]), np.uint8).reshape(-1, BUCKETS)
-            ok = [np.empty(0, bool)]
-            for k in range(0, len(i), 4096):
-                x, y = i[k : k + 4096], j[k : k + 4096]
-                ok.append(np.minimum(table[x], table[y]).sum(axis=1, dtype=np.int64) * (100 + percent) >= percent * (size[x] + size[y]))
-            i, j = i[np.concatenate(ok)], j[np.concatenate(ok)]
+            table = np.frombuffer(b"".join(vectors[mixed]), np.uint8).reshape(-1, BUCKETS)
+            shared = np.concatenate([np.empty(0, np.int64), *(np.minimum(table[i[k : k + 4096]], table[j[k : k + 4096]]).sum(axis=1, dtype=np.int64) for k in range(0, len(i), 4096))])
+            ok = shared * (100 + percent) >= percent * (size[i] + size[j])
+            i, j, shared = i[ok], j[ok], shared[ok]
+            if each and len(i):
+                best = _nearest(i, j, shared * 1_000_000 // (size[i] + size[j]), each)
+                i, j = i[best], j[best]
             a, b = np.minimum(d[i], d[j]), np.maximum(d[i], d[j])
             if len(a):
                 a, b = np.unique(np.stack([a, b]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     rows = rows.join(counts, "doc_id")
-    labelled = rows.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("element", "size_at", "doc_id", "before", F.coalesce("component", "doc_id").alias("component"), "counts")
-    return labelled.repartition(n, "element").sortWithinPartitions("element", "size_at", "doc_id").mapInArrow(run, "a long, b long").distinct()
+    if groups is not None:
+        rows = rows.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    else:
+        rows = rows.withColumn("component", F.col("doc_id"))
+    dealt = rows.select("element", "size_at", "doc_id", "before", "component", "counts").repartition(n, "element")
+    return dealt.sortWithinPartitions("element", "size_at", "doc_id").mapInArrow(run, "a long, b long").distinct()
 
 
 def named(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -304,11 +319,15 @@ def similarity_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     heads = prefixes(docs, frequent_shingles(docs, words, percent), words, percent).join(classes.select(F.col("representative").alias("doc_id")), "doc_id", "left_semi")
     found = written(candidates(postings(written(heads, "prefixes")), percent, long), "candidates")
     pairs = found.filter("b IS NOT NULL").select("a", "b").distinct()
-    links = written(verified(docs, pairs, words, percent), "links")
     long_rows = found.filter("b IS NULL").select("element", "size_at", F.col("a").alias("doc_id"), "before")
-    if not long_rows.isEmpty():
-        counts = bucket_counts(docs, long_rows.select("doc_id"), words)
-        more = written(derived(long_rows, connected_components(links, "a", "b"), counts, percent).join(pairs, ["a", "b"], "left_anti"), "candidates")
+    if long_rows.isEmpty():
+        links = written(verified(docs, pairs, words, percent), "links")
+    else:
+        counts = written(bucket_counts(docs, long_rows.select("doc_id"), words), "counts")
+        pairs = written(pairs.union(from_long_lists(long_rows, counts, percent, each=EACH)).distinct(), "candidates")
+        links = written(verified(docs, pairs, words, percent), "links")
+        more = from_long_lists(long_rows, counts, percent, connected_components(links, "a", "b"))
+        more = written(more.join(pairs, ["a", "b"], "left_anti"), "candidates")
         links = written(links.union(verified(docs, more, words, percent)), "links")
     groups = connected_components(links, "a", "b")
     whole = classes.join(groups, classes.representative == groups.node, "left").select("signature", "n_shingles", F.coalesce("component", "representative").alias("component_id"))
