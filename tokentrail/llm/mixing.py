@@ -139,18 +139,20 @@ def mixed_documents(docs: DataFrame, spark: SparkSession, **options) -> DataFram
     """The mix itself, with the columns of documents: a row for each whole pass over a document, and one more with
     the text from the first to the last word of each run of chosen blocks, runs joined by one line end."""
     sizes = written(document_sizes(docs), "sizes")
-    plan = mixed(sizes, **options).filter("taken > 0").select(F.col("doc_id").alias("m_id"), "size", "passes", F.coalesce(chosen_spans(), F.array().cast("array<struct<a:bigint,b:bigint>>")).alias("spans"))
-    plan = plan.dropDuplicates(["m_id"])
-    both = docs.join(plan, docs.doc_id.eqNullSafe(plan.m_id))
-    parts = F.concat(F.transform(F.sequence(F.lit(1), F.greatest(F.col("passes"), F.lit(1))), lambda i: F.when(i <= F.col("passes"), F.col("text"))), F.array(F.when(F.size("spans") > 0, _cut())))
-    out = both.withColumn("part", F.explode(F.filter(parts, lambda x: x.isNotNull())))
-    return out.withColumn("text", F.col("part")).withColumn("n_chars", F.char_length("part").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
+    spans = F.coalesce(chosen_spans(), F.array().cast("array<struct<a:bigint,b:bigint>>"))
+    plan = mixed(sizes, **options).filter("taken > 0").select(F.col("doc_id").alias("_mix_id"), F.col("passes").alias("_mix_passes"), spans.alias("_mix_spans"))
+    both = docs.join(plan.dropDuplicates(["_mix_id"]), docs.doc_id.eqNullSafe(F.col("_mix_id")))
+    whole = F.transform(F.sequence(F.lit(1), F.greatest(F.col("_mix_passes"), F.lit(1))), lambda i: F.when(i <= F.col("_mix_passes"), F.col("text")))
+    parts = F.concat(whole, F.array(F.when(F.size("_mix_spans") > 0, _cut("_mix_spans"))))
+    out = both.withColumn("_mix_text", F.explode(F.filter(parts, lambda x: x.isNotNull())))
+    changed = {"text": F.col("_mix_text"), "n_chars": F.char_length("_mix_text").cast(dict(docs.dtypes).get("n_chars", "bigint"))}
+    return out.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
 
 
-def _cut():
+def _cut(spans: str):
     """The chosen words with the white space between them. Spans of neighbouring blocks run on as one."""
     merged = F.aggregate(
-        "spans",
+        spans,
         F.array().cast("array<struct<a:bigint,b:bigint>>"),
         lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(acc, -1)["b"] == x["a"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["a"].alias("a"), x["b"].alias("b"))))).otherwise(F.concat(acc, F.array(x))),
     )

@@ -18,6 +18,7 @@ from __future__ import annotations
 import itertools
 import json
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from .common import partitions, ranges, slices
 BLOCK = 512
 CHUNK = 8
 #: Words kept with their ids by each worker, in each of two generations.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 TOKENS_PER_FILE = 1_000_000
 MARKS = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
 
@@ -170,7 +171,7 @@ def _word_ids(tokenizer, kind: str):
             ids = [t.id for t in tokenize(piece)]
         else:
             ids = encode(piece, add_special_tokens=False).ids
-        return np.array(ids, kind).tobytes()
+        return array(kind, ids).tobytes()
 
     pieces = _Recent(by_library)
 
@@ -213,10 +214,10 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, cuts
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         width = 2 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        words = _word_ids(tokenizer, f"<u{width}")
+        words = _word_ids(tokenizer, "H" if width == 2 else "I")
         end = int(end_id).to_bytes(width, "little")
         edges = np.array(cuts, np.int64)
-        for b in slices(batches, 1024):
+        for b in slices(batches, 2048):
             ids = [x + end for x in _ids_of(b.column(1), words, width)]
             shard = np.searchsorted(edges, np.array(b.column(0).fill_null(-(2**63)), np.int64), side="left").astype(np.int32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shard), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], names=["doc_id", "shard", "width", "ids"])
