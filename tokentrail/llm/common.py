@@ -63,6 +63,7 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
 
 
 def utf8(column: pa.Array) -> list[bytes]:
