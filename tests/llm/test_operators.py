@@ -1,5 +1,6 @@
 """Each operator against a plain version, with nulls, empty and long texts, ties, repeated rows, empty tables and extra columns."""
 
+import itertools
 import hashlib
 import io
 import random
@@ -300,6 +301,12 @@ def test_pieces(docs, none):
         assert model.decode(ids) == text if text else ids == b""
         assert scores == sorted(found, reverse=True)[:3] and best == scores[0]
         assert [round(s * 1024) for s, _ in model.n_best_of(text)] == scores
+    rng = random.Random(5)
+    chunks = {" " + "".join(rng.choice("abeilnorst'.é日\t▁\0") for _ in range(rng.randint(1, 40))) for _ in range(600)} | {" ", "   ", "\n"}
+    model.solve_all(chunks)
+    for chunk in chunks:
+        gap = [a - b for a, b in itertools.pairwise([s for s, _ in model.search(chunk, 2)])]
+        assert model.solved[chunk] == model._solve(chunk) and gap in ([], [model.solved[chunk][2]])
     rows = pieces.encode_pieces(docs, queries.PIECES).collect()
     assert len(rows) == len(corpus()) and all(r.round_trip for r in rows)
     assert pieces.encode_pieces(none, queries.PIECES).count() == 0

@@ -31,6 +31,9 @@ from .common import slices
 
 MARK = "▁"
 CACHE_CHUNKS, N_BEST = 220_000, 3
+BLOCK, LONGEST_IN_BLOCK, TOGETHER = 2048, 32, 400_000  # chunks, characters of one, characters of texts split at once
+BUCKET_BITS, FAR, NONE = 18, 1 << 60, -(1 << 50)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _CHUNKS = re.compile(r"\n| *[^ \n]+| +")
 
 
@@ -60,10 +63,32 @@ class PieceModel:
         self.inside = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.longest = max(map(len, self.ids), default=1)
         self.apart = not any(MARK in p.lstrip(MARK) or "\n" in p for p in self.ids)
+        keys = np.array([self._hash(p) for p in self.ids], np.uint64)
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        if (self.keys[1:] == self.keys[:-1]).any():
+            raise ValueError("two pieces share a hash")
+        self.key_ids = np.array([i for i, _ in self.ids.values()], np.int32)[order]
+        self.key_scores = np.array([s for _, s in self.ids.values()], np.int64)[order]
+        # the first key of each bucket of leading bits; one last key lets a walk in a bucket end
+        bucket = (self.keys >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        self.first = np.full(1 << BUCKET_BITS, -1, np.int32)
+        self.first[bucket[::-1]] = np.arange(len(bucket), dtype=np.int32)[::-1]
+        self.fullest = int(np.bincount(bucket).max())
+        self.keys = np.append(self.keys, np.uint64((1 << 64) - 1))
+        self.single = np.zeros(0x110000, bool)
+        self.single[[ord(p) for p in self.ids if len(p) == 1]] = True
         self.solved: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
         self.lists: dict[str, list] = {}
 
+    @staticmethod
+    def _hash(piece: str) -> int:
+        h = 0
+        for c in piece:
+            h = (h + ord(c)) * int(_ODD) & (1 << 64) - 1
+        return h
+
     def chunks(self, text: str) -> list[str]:
         text = f" {text}"
         return _CHUNKS.findall(text) if self.apart else [text]
@@ -113,26 +138,92 @@ class PieceModel:
         return out
 
     def solve(self, chunk: str) -> tuple[bytes, int, int]:
-        """(ids, score, how far the second segmentation is behind, -1 without one) of a chunk.
-
-        One pass: a second path leaves the best one at some place by an edge that is the best there but for one.
-        """
+        """(ids, score, how far the second segmentation is behind, FAR without one) of a chunk."""
         got = self.solved.get(chunk)
-        if got is not None:
-            return got
-        got = self.older.get(chunk) or self._solve(chunk)
+        if got is None:
+            got = self.solved[chunk] = self.older.get(chunk) or self._solve(chunk)
+        return got
+
+    def solve_all(self, chunks: set[str]) -> None:
+        """Makes sure that all these chunks are in solved; those of usual lengths are solved in blocks."""
         if len(self.solved) >= CACHE_CHUNKS:
             self.older, self.solved = self.solved, {}
-        self.solved[chunk] = got
-        return got
+        new, older = [], self.older
+        for chunk in chunks - self.solved.keys():
+            got = older.get(chunk) if older else None
+            if got is None and len(chunk) <= LONGEST_IN_BLOCK:
+                new.append(chunk)
+            else:
+                self.solved[chunk] = got or self._solve(chunk)
+        new.sort(key=len, reverse=True)
+        for at in range(0, len(new), BLOCK):
+            self._solve_block(new[at : at + BLOCK])
+
+    def _lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, pieces) of the hashes in h that are pieces."""
+        at = self.first[h.ravel() >> np.uint64(64 - BUCKET_BITS)]
+        places = np.flatnonzero(at >= 0)
+        at, found = at[places], h.ravel()[places]
+        for _ in range(self.fullest - 1):
+            at += self.keys[at] < found
+        same = self.keys[at] == found
+        return places[same], at[same]
+
+    def _solve_block(self, chunks: list[str]) -> None:
+        """As _solve, for chunks in falling order of length, with a row for each place and a column for each chunk."""
+        n, width = len(chunks), len(chunks[0])
+        lengths = np.fromiter(map(len, chunks), np.int64, n)
+        marked = "".join([c.ljust(width, "\0") for c in chunks]).replace(MARK, "\0").replace(" ", MARK)
+        codes = np.ascontiguousarray(np.frombuffer(marked.encode("utf-32-le"), "<u4").reshape(n, width).T)
+        whole = (self.single[codes] | (np.arange(width)[:, None] >= lengths)).all(0)  # no character needs bytes
+        codes = codes.astype(np.uint64)
+        edges, h = [], np.zeros((width, n), np.uint64)
+        for k in range(1, min(self.longest, width) + 1):
+            h = (h[: width - k + 1] + codes[k - 1 :]) * _ODD
+            places, at = self._lookup(h)
+            score, piece = np.full(h.size, NONE), np.zeros(h.size, np.int32)
+            score[places], piece[places] = self.key_scores[at], self.key_ids[at]
+            edges.append((score.reshape(h.shape), piece.reshape(h.shape)))
+        best = np.full((width + 1, n), NONE)
+        best[0] = 0
+        second, back, taken = np.full((width + 1, n), NONE), np.zeros((width + 1, n), np.int64), np.zeros((width + 1, n), np.int32)
+        reach = np.searchsorted(-lengths, -np.arange(width + 1), "right")  # chunks at least as long as each place
+        for end in range(1, width + 1):
+            m = reach[end]
+            top, next_ = best[end, :m], second[end, :m]
+            for k in range(min(self.longest, end), 0, -1):
+                score, piece = edges[k - 1]
+                s = best[end - k, :m] + score[end - k, :m]
+                np.maximum(next_, np.minimum(top, s), out=next_)
+                better = s > top
+                np.maximum(top, s, out=top)
+                np.copyto(back[end, :m], k, where=better)
+                np.copyto(taken[end, :m], piece[end - k, :m], where=better)
+        gap = np.where(second > NONE // 2, best - second, FAR)
+        at, each, least = lengths.copy(), np.arange(n), np.full(n, FAR)
+        steps = []
+        while at.any():  # place 0 has piece 0 and no step, so paths that are done stay there
+            np.minimum(least, np.where(at > 0, gap[at, each], FAR), out=least)
+            steps.append(np.where(at > 0, taken[at, each], -1))
+            at = at - back[at, each]
+            at[~whole] = 0
+        ids = np.array(steps[::-1]).T
+        kept = ids >= 0
+        ends = np.cumsum(kept.sum(1)).tolist()
+        raw, totals, least, whole = ids[kept].astype("<u2").tobytes(), best[lengths, each].tolist(), least.tolist(), whole.tolist()
+        start = 0
+        for i, chunk in enumerate(chunks):
+            self.solved[chunk] = (raw[2 * start : 2 * ends[i]], totals[i], least[i]) if whole[i] else self._solve(chunk)
+            start = ends[i]
 
     def _solve(self, chunk: str) -> tuple[bytes, int, int]:
+        """One pass: a second path leaves the best one at some place by an edge that is the best there but for one."""
         marked = chunk.replace(MARK, "\0").replace(" ", MARK)
         # no piece holds both characters of such a pair, so every segmentation is cut there
         cuts = [i for i in range(1, len(marked)) if marked[i - 1 : i + 1] not in self.inside]
         if cuts:
             parts = [self.solve(chunk[x:y]) for x, y in itertools.pairwise([0, *cuts, len(chunk)])]
-            return b"".join(p[0] for p in parts), sum(p[1] for p in parts), min((p[2] for p in parts if p[2] >= 0), default=-1)
+            return b"".join(p[0] for p in parts), sum(p[1] for p in parts), min(p[2] for p in parts)
         get, n, no = self.prefixes.get, len(marked), ()
         best: list = [0] + [None] * n
         second: list = [None] * (n + 1)
@@ -158,10 +249,10 @@ class PieceModel:
                     second[end] = s
                 if found is no:
                     break
-        at, ids, least = n, [], -1
+        at, ids, least = n, [], FAR
         while at:
-            if second[at] is not None and not 0 <= least <= best[at] - second[at]:
-                least = best[at] - second[at]
+            if second[at] is not None:
+                least = min(least, best[at] - second[at])
             at, piece = back[at]
             if isinstance(piece, bytes):
                 ids.extend(self.bytes[x] for x in reversed(piece))
@@ -171,12 +262,21 @@ class PieceModel:
 
     def encode(self, text: str) -> tuple[bytes, int, list[int]]:
         """(ids of the best segmentation as 16-bit integers, its score, scores of the n best)."""
-        if not text:
-            return b"", 0, [0]
-        chunks = self.chunks(text)
-        solved = list(map(self.solve, chunks))
-        total = sum(s[1] for s in solved)
-        return b"".join(s[0] for s in solved), total, self._combine(chunks, solved, total)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[tuple[bytes, int, list[int]]]:
+        """encode of each text; chunks that are new are solved together."""
+        split = [self.chunks(text) if text else [] for text in texts]
+        self.solve_all(set(itertools.chain.from_iterable(split)))
+        out = []
+        for chunks in split:
+            if chunks:
+                ids, scores, gaps = zip(*map(self.solved.__getitem__, chunks), strict=True)
+                total = sum(scores)
+                out.append((b"".join(ids), total, self._combine(chunks, gaps, total)))
+            else:
+                out.append((b"", 0, [0]))
+        return out
 
     def n_best_of(self, text: str, n: int | None = None) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a text: (score, ids)."""
@@ -189,14 +289,17 @@ class PieceModel:
             found = heapq.nlargest(n, ((s + t, a + b) for s, a in found for t, b in options), key=lambda x: x[0])
         return [(s / 1024, list(ids)) for s, ids in found]
 
-    def _combine(self, chunks: list[str], solved: list[tuple], total: int) -> list[int]:
+    def _combine(self, chunks: list[str], gaps: tuple[int, ...], total: int) -> list[int]:
         """Scores of the n best: n - 1 chunks with the nearest second segmentations can take part, no others."""
         n = self.n_best
         if n < 2:
             return [total]
-        near = heapq.nsmallest(n - 1, ((s[2], i) for i, s in enumerate(solved) if s[2] >= 0))
+        far = np.array(gaps)
+        near = np.argpartition(far, n - 2)[: n - 1] if len(far) >= n else range(len(far))
         found = [0]
-        for _, i in near:
+        for i in near:
+            if gaps[i] == FAR:
+                continue
             options = self.lists.get(chunks[i])
             if options is None:
                 if len(self.lists) >= CACHE_CHUNKS // 4:
@@ -211,6 +314,18 @@ class PieceModel:
         return raw.decode()[1:]
 
 
+def _groups(texts: list[str | None]) -> Iterator[list[str]]:
+    """The texts in order, as many together as have TOGETHER characters; nulls are empty."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text or "")
+        size += len(group[-1])
+        if size >= TOGETHER:
+            yield group
+            group, size = [], 0
+    yield group
+
+
 @lru_cache(maxsize=2)
 def load(path: str, n_best: int = N_BEST) -> PieceModel:
     return PieceModel(path, n_best)
@@ -224,11 +339,10 @@ def encode_pieces(docs: DataFrame, model_path: str, n_best: int = N_BEST) -> Dat
         model = load(model_path, n_best)
         for b in slices(batches):
             out = []
-            for text in b.column(1).to_pylist():
-                text = text or ""
-                ids, score, scores = model.encode(text)
-                wide = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
-                out.append((len(ids) // 2, ids, zlib.crc32(wide), score / 1024, [s / 1024 for s in scores], model.decode(ids) == text))
+            for texts in _groups(b.column(1).to_pylist()):
+                for text, (ids, score, scores) in zip(texts, model.encode_all(texts), strict=True):
+                    wide = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
+                    out.append((len(ids) // 2, ids, zlib.crc32(wide), score / 1024, [s / 1024 for s in scores], model.decode(ids) == text))
             types = [pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.bool_()]
             names = ["n_pieces", "ids", "ids_crc32", "score", "n_best_scores", "round_trip"]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[i] for r in out], t) for i, t in enumerate(types))], names=["doc_id", *names])
