@@ -35,8 +35,8 @@ from .common import mix64, partitions, shingle_set, slices, unmix64, utf8, writt
 
 WORDS, PERCENT = 4, 85
 #: Prefixes that a frequent shingle stands in; frequent shingles at most; lists that are long; nearest sets first
-#: tried there; buckets of a set's element counts.
-OFTEN, FREQUENT, LONG, EACH, BUCKETS = 5, 1 << 19, 48, 3, 512
+#: tried there; buckets of a set's element counts; pairs of a long list that are held at once.
+OFTEN, FREQUENT, LONG, EACH, BUCKETS, TOGETHER = 5, 1 << 19, 48, 3, 512, 400_000
 
 
 def _set(text: bytes, words: int) -> np.ndarray:
@@ -146,15 +146,16 @@ def postings(heads: DataFrame) -> DataFrame:
     return heads.select("doc_id", "n", "prefix").mapInArrow(run, _POSTING)
 
 
-def _pairs(element, size_at, before, percent: int, reach: np.ndarray | int, group=None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of one list, j after i by at most reach[i], that can link. Rows are sorted by element and size.
+def _pairs(element, size_at, before, percent: int, reach: np.ndarray | int, group=None, some: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of one list, i in some, j after i by at most reach[i], that can link. Rows are sorted by element
+    and size.
 
     Sizes grow along a list, so a row whose partner is too large is done: the rest of its list is skipped.
     """
     n = len(element)
     size, at = size_at >> 32, size_at & 0xFFFFFFFF
     reach = np.broadcast_to(np.asarray(reach), n)
-    live, d, left, right = np.arange(n), 0, [], []
+    live, d, left, right = np.arange(n)[some], 0, [], []
     while len(live):
         d += 1
         live = live[(live + d < n) & (reach[live] >= d)]
@@ -239,6 +240,11 @@ def _nearest(i: np.ndarray, j: np.ndarray, shared: np.ndarray, each: int) -> np.
     return np.unique(place[order][np.arange(len(end)) - first < each])
 
 
+def _distinct(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
 def from_long_lists(rows: DataFrame, counts: DataFrame, percent: int, groups: DataFrame | None = None, each: int | None = None) -> DataFrame:
     """Pairs of long lists whose element counts allow a link: of sets in different groups, if there are groups; and for
     each set only its `each` best, if that is given."""
@@ -249,19 +255,24 @@ def from_long_lists(rows: DataFrame, counts: DataFrame, percent: int, groups: Da
             starts = np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1]]))
             same = np.minimum.reduceat(group, starts) == np.maximum.reduceat(group, starts)
             mixed = np.repeat(~same, np.diff(np.append(starts, len(element))))
-            i, j = _pairs(element[mixed], size_at[mixed], before[mixed], percent, len(element), group[mixed])
-            d, size = doc[mixed], size_at[mixed] >> 32
-            table = np.frombuffer(b"".join(vectors[mixed]), np.uint8).reshape(-1, BUCKETS)
-            shared = np.concatenate([np.empty(0, np.int64), *(np.minimum(table[i[k : k + 4096]], table[j[k : k + 4096]]).sum(axis=1, dtype=np.int64) for k in range(0, len(i), 4096))])
-            ok = shared * (100 + percent) >= percent * (size[i] + size[j])
-            i, j, shared = i[ok], j[ok], shared[ok]
-            if each and len(i):
-                best = _nearest(i, j, shared * 1_000_000 // (size[i] + size[j]), each)
-                i, j = i[best], j[best]
-            a, b = np.minimum(d[i], d[j]), np.maximum(d[i], d[j])
-            if len(a):
-                a, b = np.unique(np.stack([a, b]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            element, size_at, doc, before, group = (x[mixed] for x in (element, size_at, doc, before, group))
+            table, size = np.frombuffer(b"".join(vectors[mixed]), np.uint8).reshape(-1, BUCKETS), size_at >> 32
+            longest = int(np.diff(np.append(starts, len(mixed))).max())
+            i, j, shared = (np.empty(0, np.int64) for _ in range(3))
+            step = max(1, TOGETHER // longest)
+            for at in range(0, len(element), step):
+                x, y = _pairs(element, size_at, before, percent, len(element), group, slice(at, at + step))
+                common = np.concatenate([np.empty(0, np.int64), *(np.minimum(table[x[k : k + 4096]], table[y[k : k + 4096]]).sum(axis=1, dtype=np.int64) for k in range(0, len(x), 4096))])
+                ok = common * (100 + percent) >= percent * (size[x] + size[y])
+                i, j, shared = (np.concatenate(z) for z in ((i, x[ok]), (j, y[ok]), (shared, common[ok])))
+                if each and len(i):  # the best of all are among the best of any part
+                    best = _nearest(i, j, shared * 1_000_000 // (size[i] + size[j]), each)
+                    i, j, shared = i[best], j[best], shared[best]
+                elif not each and len(i) >= TOGETHER:
+                    yield _distinct(doc[i], doc[j])
+                    i, j, shared = i[:0], j[:0], shared[:0]
+            if len(i):
+                yield _distinct(doc[i], doc[j])
 
     rows = rows.join(counts, "doc_id")
     if groups is not None:
