@@ -48,9 +48,10 @@ def partitions(spark: SparkSession) -> int:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts are long: Spark's 10,000 rows a batch would hold tens of MB in each Python worker."""
+    """Texts are long: Spark's 10,000 rows a batch would hold tens of MB in each Python worker, or far more."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1024:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
