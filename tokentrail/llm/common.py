@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -60,11 +61,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches, so that Python holds few texts at a time."""
+    """The same rows in small batches, so that Python holds few texts at a time; unused memory goes back."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
         pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # workers wait for other tasks; only glibc has this
+    if trim:
+        trim(0)
 
 
 def utf8(column: pa.Array) -> list[bytes]:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 MARK = "▁"
-CACHE_CHUNKS, N_BEST = 220_000, 3
+CACHE_CHUNKS, N_BEST = 60_000, 3
 BLOCK, LONGEST_IN_BLOCK, TOGETHER = 2048, 32, 400_000  # chunks, characters of one, characters of texts split at once
 BUCKET_BITS, FAR, NONE = 18, 1 << 60, -(1 << 50)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
