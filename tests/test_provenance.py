@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 from tokentrail.functions import text as fn
 from tokentrail.operators import dataset, history, identity, lexers, mapping, render, walk
 from tokentrail.operators.components import connected_components
-from tokentrail.plans.adapter import BASE
+from tokentrail.plans.adapter import BASE, load
 from tokentrail.plans.queries import ORACLES, QUERIES
 from tokentrail.schema import DATASET, LOGS
 from tokentrail.sources import readers
@@ -131,6 +131,34 @@ def test_walk_gives_back_the_source(spark):
     assert out == dict(rows)
 
 
+def test_walk_of_whole_documents(spark):
+    """No document is left out, however long; and places are those of a plain walk."""
+    texts = {r.file_path: r.text for r in load(spark, SF, "files").collect()}
+    documents = spark.read.parquet(f"{SF}/documents.parquet").filter("text IS NOT NULL")
+    assert len(texts) == documents.count() and max(map(len, texts.values())) == documents.selectExpr("max(char_length(text))").first()[0] > 10_000
+    got: dict = {}
+    for r in QUERIES["source_walk"](spark, SF).orderBy("file_path", "token_index").collect():
+        assert r.source_line == got.get(r.file_path, "").count("\n") + 1
+        got[r.file_path] = got.get(r.file_path, "") + r.source_text
+    assert got == {f: t for f, t in texts.items() if t.strip()}
+
+
+def test_walk_places(spark):
+    rows = [("a", " \n\tab  cd\n\n é😀x\n", "ab cd é😀x"), ("b", "  ", "q r"), ("c", "one", "one two"), ("d", "", "z"), ("e", None, "y")]
+    files = spark.createDataFrame([r[:2] for r in rows], "file_path string, text string")
+    tokens = [(f, i, "name", v, int(v == "")) for f, _, t in rows for i, v in enumerate(["", *t.split(), ""])]
+    t = spark.createDataFrame(tokens, "file_path string, token_index int, token_type string, token_value string, is_structural int")
+    want = {}
+    for f, text, _ in rows:
+        solid, at, started = [i for i, c in enumerate(text or "") if c not in " \t\n\r"], 0, 0
+        for _, i, _, v, _ in (x for x in tokens if x[0] == f):
+            end = at if not v else solid[started + len(v)] if started + len(v) < len(solid) else len(text or "")
+            before = (text or "")[:at]
+            want[f, i] = (text[at:end], before.count("\n") + 1, at - before.rfind("\n")) if text is not None else (None, None, None)
+            at, started = end, started + len(v)
+    assert {(r.file_path, r.token_index): (r.source_text, r.source_line, r.source_col) for r in walk.aligned(t, files).collect()} == want
+
+
 def test_repair(spark):
     tokens = spark.createDataFrame([("a.c", 0, "name", "Ã¶x", 0), ("a.c", 1, "name", "Ã¶", 0)], "file_path string, token_index int, token_type string, token_value string, is_structural int")
     sources = spark.createDataFrame([("a.c", "öx Ã¶", True)], "file_path string, text string, repairable boolean")

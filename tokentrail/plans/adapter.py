@@ -50,7 +50,7 @@ TABLES = {
     "refs": """SELECT 'refs/heads/' || n_name AS ref_name, sha1('c' || n_nationkey) AS orig_commit FROM nation UNION ALL SELECT 'refs/notes/' || r_name AS ref_name, sha1('c' || r_regionkey) AS orig_commit FROM region""",
     "source_refs": """SELECT 'refs/heads/' || n_name AS ref_name FROM nation WHERE n_regionkey < 3""",
     "grafts": """SELECT CASE WHEN o_orderkey % 4 = 0 THEN sha1('c' || o_orderkey) WHEN o_orderkey % 4 = 1 THEN '  ' || sha1('c' || o_orderkey) || '  x' || o_orderkey || ' y ' ELSE sha1('c' || o_orderkey) || ' z' || o_orderkey END AS value FROM orders WHERE o_orderkey % 10 = 0""",
-    "files": """SELECT source || '/' || doc_id || '.txt' AS file_path, text FROM documents WHERE n_chars < 5000 AND text IS NOT NULL""",
+    "files": """SELECT source || '/' || doc_id || '.txt' AS file_path, text FROM documents WHERE text IS NOT NULL""",
 }
 
 

@@ -101,7 +101,8 @@ ends AS (SELECT file_path, i, text, CASE WHEN s = 0 THEN 0 ELSE coalesce(o[s + 1
 SELECT file_path, (i - 1)::BIGINT AS token_index, text[a + 1:e] AS source_text, (1 + len(string_split(text[1:a], chr(10))) - 1)::INT AS source_line FROM ends"""
 )
 def source_walk(spark, d):
-    files = load(spark, d, "files")
+    # texts move to where their tokens are put in order: they are far smaller than the tokens
+    files = load(spark, d, "files").repartition("file_path")
     t = files.select("file_path", F.posexplode(walk.text_tokens(F.col("text"))).alias("token_index", "token_value")).withColumns({"token_type": F.lit("name"), "is_structural": F.lit(0)})
     return walk.aligned(t, files).select("file_path", F.col("token_index").cast("long"), "source_text", "source_line")
 
