@@ -193,6 +193,35 @@ def test_lines(spark, none):
     assert line_dedup.report(none).count() == 0 and line_dedup.without_repeats(none).count() == 0
 
 
+def test_lines_with_many_words(spark):
+    """Every maximal matched run counts that has three lines, or fewer with enough words."""
+    rng = random.Random(8)
+    pool = [" ".join(f"{c}{k}" for k in range(n)) for c, n in zip("abcdefgh", (1, 2, 3, 5, 6, 7, 10, 12), strict=True)] + ["", " "]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randint(0, 4)))) for i in range(120)]
+    rows += [(300, "u v w\n" + pool[7]), (301, pool[7]), (302, None), (303, "")]
+    lines = {d: [(i, x.strip()) for i, x in enumerate((t or "").split("\n")) if x.strip()] for d, t in rows}
+    want = {}
+    for d, t in rows:
+        own, gone = lines[d], set()
+        for e in (e for e in lines if e <= d):
+            other = lines[e]
+            for i, j in itertools.product(range(len(own)), range(len(other))):
+                n = 0
+                while (e < d or j < i) and i + n < len(own) and j + n < len(other) and own[i + n][1] == other[j + n][1]:
+                    n += 1
+                if n >= 3 or n and sum(len(x.split()) for _, x in own[i : i + n]) >= 10:
+                    gone.update(k for k, _ in own[i : i + n])
+        for (i, _), (j, _) in itertools.pairwise(own):
+            if i in gone and j in gone:
+                gone.update(range(i, j))
+        want[d] = None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_dedup.report(df, words=10).collect()} == want
+    long = " ".join(f"w{i}" for i in range(50))
+    some = spark.createDataFrame([(1, f"x\n{long}"), (2, long), (3, f"y\n {long}"), (4, long[:-4]), (5, long[:-4])], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in line_dedup.without_repeats(some).collect()} == {1: f"x\n{long}", 3: "y", 4: long[:-4], 5: long[:-4]}
+
+
 def test_winnow_takes_one_of_each_window():
     g = mix64(np.arange(50, dtype=np.uint64) // np.uint64(2))
     at = line_dedup.winnow(g, 4)

@@ -6,10 +6,12 @@ GRAM lines; the least, the last of equals, is selected as fingerprint, so two eq
 of one fingerprint are joined on what stands around it; each match names the first place of its lines, matches
 that go on in both documents grow both ways into one, and the later one's lines go. So a line goes if and only if
 it is in RUN lines in a row that also start earlier: in a document with a smaller doc_id, or further up in its own.
-Runs are judged on the input. Lines are cut at \\n only.
+With words, a repeat of fewer lines counts as well if it has that many words: such runs are matched one by one, by all
+their lines. The report's rule is the plain one, which its SQL has; the pipeline takes WORDS. Runs are judged on the input. Lines are cut at \\n only.
 
 Nulls: a null text stays null and has no lines; a null doc_id sorts first. Rows with one doc_id and one text get
-the same result and are no repeats of each other. Texts of fewer than RUN lines stay. An empty table gives no rows.
+the same result and are no repeats of each other. Texts of fewer than RUN lines stay, unless words are given. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from pyspark.sql import functions as F
 from .common import gram_hashes, slices, utf8
 
 GRAM, WINDOW = 2, 2
+#: Words with which a run of fewer lines counts in the pipeline.
+WORDS = 50
 _NULL = -(2**63)
-_ROWS = "print long, run long, doc_id long, text_hash long, at int"
+_ROWS = "print long, run long, doc_id long, text_hash long, at int, lines int"
 
 
 def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -36,6 +40,12 @@ def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((xxhash.xxh64_intdigest(lines[i]) for i in at), np.uint64, len(at)), np.array(at, np.int64)
 
 
+def line_words(text: bytes) -> np.ndarray:
+    """The numbers of words of the lines that are not blank."""
+    counts = np.array([len(x.split()) for x in text.split(b"\n")], np.int64)
+    return counts[counts > 0]
+
+
 def winnow(grams: np.ndarray, window: int) -> np.ndarray:
     """For each run of window values, the place of its least one, the last of equals."""
     runs = np.lib.stride_tricks.sliding_window_view(grams, window)[:, ::-1]
@@ -46,47 +56,58 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def fingerprint_rows(docs: DataFrame, gram: int, window: int) -> DataFrame:
-    """(print, run, doc_id, text_hash, at): a selected fingerprint, the hash of a run that selected it, its place."""
+def fingerprint_rows(docs: DataFrame, gram: int, window: int, words: int | None = None) -> DataFrame:
+    """(print, run, doc_id, text_hash, at, lines): a selected fingerprint, the hash of a run that selected it, its
+    place and lines; and each run of fewer lines that has enough words, as its own fingerprint."""
     run_lines = gram + window - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1024):
-            parts: list[list] = [[], [], [], []]
+            parts: list[list] = [[], [], [], [], []]
             owners, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
+
+            def add(i: int, prints: np.ndarray, runs: np.ndarray, at: np.ndarray, lines: int, parts=parts) -> None:
+                for c, v in zip(parts, (_signed(prints), _signed(runs), np.full(len(runs), i), at, np.full(len(runs), lines)), strict=True):
+                    c.append(v)
+
             for i, text in enumerate(utf8(b.column(2))):
                 hashes, _ = line_hashes(text)
                 if len(hashes) >= run_lines:
                     grams = gram_hashes(hashes, gram)
-                    runs = gram_hashes(hashes, run_lines)
-                    for c, v in zip(parts, (_signed(grams[winnow(grams, window)]), _signed(runs), np.full(len(runs), i), np.arange(len(runs))), strict=True):
-                        c.append(v)
-            prints, runs, i, at = (np.concatenate([*c, np.empty(0, np.int64)]) for c in parts)
+                    add(i, grams[winnow(grams, window)], gram_hashes(hashes, run_lines), np.arange(len(hashes) - run_lines + 1), run_lines)
+                before = np.concatenate([[0], np.cumsum(line_words(text))]) if words else [0]
+                for lines in range(1, min(run_lines, len(before))):
+                    at = np.flatnonzero(before[lines:] - before[:-lines] >= words)
+                    if len(at):
+                        runs = gram_hashes(hashes, lines)[at]
+                        add(i, runs, runs, at, lines)
+            prints, runs, i, at, lines = (np.concatenate([*c, np.empty(0, np.int64)]) for c in parts)
             i = i.tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(prints), pa.array(runs), pa.array([owners[k] for k in i], pa.int64()), pa.array([keys[k] for k in i], pa.int64()), pa.array(at.astype(np.int32))], names=["print", "run", "doc_id", "text_hash", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(prints), pa.array(runs), pa.array([owners[k] for k in i], pa.int64()), pa.array([keys[k] for k in i], pa.int64()), pa.array(at.astype(np.int32)), pa.array(lines.astype(np.int32))], names=["print", "run", "doc_id", "text_hash", "at", "lines"])
 
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)), F.xxhash64("text"), "text").mapInArrow(run, _ROWS)
 
 
 def matches(rows: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, at, from_doc, from_at): runs that also start earlier, with the first place of all.
+    """(doc_id, text_hash, at, lines, from_doc, from_at): runs that also start earlier, with the first place of all.
 
     First places are found with partial sums in each task, so a very common line moves a few rows only; the join back
     has one row for each repeated run on its right, and Spark may split its left side.
     """
     here = F.struct("doc_id", "text_hash", "at")
-    first = rows.groupBy("print", "run").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return rows.join(first, ["print", "run"]).filter((F.col("first.doc_id") < F.col("doc_id")) | ((F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.text_hash") != F.col("text_hash"))) | ((F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.at") < F.col("at")))).select("doc_id", "text_hash", "at", F.col("first.doc_id").alias("from_doc"), F.col("first.at").alias("from_at"))
+    first = rows.groupBy("print", "run", "lines").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    return rows.join(first, ["print", "run", "lines"]).filter((F.col("first.doc_id") < F.col("doc_id")) | ((F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.text_hash") != F.col("text_hash"))) | ((F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.at") < F.col("at")))).select("doc_id", "text_hash", "at", "lines", F.col("first.doc_id").alias("from_doc"), F.col("first.at").alias("from_at"))
 
 
-def cut_lines(text: bytes, starts: list[int], run_lines: int) -> tuple[bytes, int, int, int]:
-    """(text without the runs, lines, lines removed, runs after growing both ways). A blank line between two lines
-    that go is removed with them."""
+def cut_lines(text: bytes, found: list[int]) -> tuple[bytes, int, int, int]:
+    """(text without the runs, lines, lines removed, runs after growing both ways), by runs as start << 32 | lines. A
+    blank line between two lines that go is removed with them."""
     lines = text.split(b"\n")
     _, at = line_hashes(text)
     edge = np.zeros(len(at) + 1, np.int64)
-    np.add.at(edge, np.array(starts, np.int64), 1)
-    np.add.at(edge, np.array(starts, np.int64) + run_lines, -1)
+    starts, run_lines = np.array(found, np.int64) >> 32, np.array(found, np.int64) & 0xFFFFFFFF
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + run_lines, -1)
     gone = np.cumsum(edge)[:-1] > 0
     drop = np.zeros(len(lines), bool)
     drop[at[gone]] = True
@@ -97,29 +118,30 @@ def cut_lines(text: bytes, starts: list[int], run_lines: int) -> tuple[bytes, in
     return b"\n".join(x for x, d in zip(lines, drop, strict=True) if not d), len(lines), int(drop.sum()), runs
 
 
-def _joined(docs: DataFrame, gram: int, window: int) -> DataFrame:
-    found = matches(fingerprint_rows(docs, gram, window)).groupBy("doc_id", "text_hash").agg(F.collect_list("at").alias("_starts")).withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
+def _joined(docs: DataFrame, gram: int, window: int, words: int | None) -> DataFrame:
+    stretch = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("lines").cast("long"))
+    found = matches(fingerprint_rows(docs, gram, window, words)).groupBy("doc_id", "text_hash").agg(F.collect_list(stretch).alias("_starts")).withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
     return docs.join(found, (F.coalesce(docs.doc_id.cast("long"), F.lit(_NULL)) == F.col("_d")) & (F.xxhash64(docs.text) == F.col("_h")), "left").drop("_d", "_h")
 
 
-def report(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+def report(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """(doc_id, n_lines, n_removed, n_runs, text): the text without later repeated runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             out = []
             for d, text, starts in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
-                kept, lines, removed, runs = cut_lines(text, starts, gram + window - 1) if starts else (text, 0 if text is None else text.count(b"\n") + 1, 0, 0)
+                kept, lines, removed, runs = cut_lines(text, starts) if starts else (text, 0 if text is None else text.count(b"\n") + 1, 0, 0)
                 out.append((d, lines, removed, runs, kept))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             arrays = [pa.array([r[i] for r in out], t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([*arrays[:4], arrays[4].cast(pa.string())], names=["doc_id", "n_lines", "n_removed", "n_runs", "text"])
 
-    joined = _joined(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), gram, window)
+    joined = _joined(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), gram, window, words)
     return joined.mapInArrow(run, "doc_id long, n_lines long, n_removed long, n_runs long, text string")
 
 
-def without_repeats(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+def without_repeats(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, words: int | None = WORDS) -> DataFrame:
     """docs with the columns it has; text without later repeated runs, n_chars brought up to date. A document of
     which nothing is left goes."""
     columns = docs.columns
@@ -129,10 +151,10 @@ def without_repeats(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             texts = b.column(text).cast(pa.binary()).to_pylist()
-            cut = [cut_lines(t, s, gram + window - 1)[0] if s else t for t, s in zip(texts, b.column(len(columns)).to_pylist(), strict=True)]
+            cut = [cut_lines(t, s)[0] if s else t for t, s in zip(texts, b.column(len(columns)).to_pylist(), strict=True)]
             keep = pa.array([c == t or bool(c.strip()) for c, t in zip(cut, texts, strict=True)])
             arrays = [pa.array(cut, pa.binary()).cast(pa.string()) if i == text else b.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(keep)
 
-    out = _joined(docs, gram, window).select(*columns, "_starts").mapInArrow(run, schema)
+    out = _joined(docs, gram, window, words).select(*columns, "_starts").mapInArrow(run, schema)
     return out.withColumn("n_chars", F.char_length("text").cast(schema["n_chars"].dataType)) if "n_chars" in columns else out
