@@ -146,6 +146,26 @@ def test_jaccard(spark, words, percent, long):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == classes(rows, words, percent)
 
 
+def test_bucket_counts_of_large_sets():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (3, 4000, 5000, 900_000)]
+    sets.append(np.concatenate([sets[2][:4500], sets[3][:200]]))
+    for most in (0, 5, 255):
+        table = jaccard_join.Counts(np.array([jaccard_join._counts(s, most) for s in sets], object))
+        plain = np.stack([np.bincount((s % np.uint64(jaccard_join.BUCKETS)).astype(int), minlength=jaccard_join.BUCKETS) for s in sets])
+        for i, j in itertools.product(range(5), repeat=2):
+            got = np.minimum(table[np.array([i, 0])], table[np.array([j, 0])]).sum(axis=1, dtype=np.int64)
+            assert got.tolist() == [np.minimum(plain[i], plain[j]).sum(), 3] and got[0] >= len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_jaccard_of_very_long_texts_in_long_lists(spark):
+    """Sets of more than 142,160 shingles that meet in long lists only link by their whole counts."""
+    words = [f"{i:x}" for i in range(150_000)]
+    rows = [(d, " ".join([*words[: 30_000 * d], f"new{d}", *words[30_000 * d :]])) for d in range(1, 5)] + [(9, "a b c d e")]
+    got = jaccard_join.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string"), long=2)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 9: 9}
+
+
 def test_jaccard_of_nothing(none):
     assert jaccard_join.similarity_classes(none).count() == 0
 

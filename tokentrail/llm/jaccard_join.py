@@ -215,10 +215,28 @@ def candidates(rows: DataFrame, percent: int, long: int = LONG) -> DataFrame:
     return dealt.mapInArrow(run, _CANDIDATE)
 
 
-def _counts(s: np.ndarray) -> bytes:
+def _counts(s: np.ndarray, most: int = 255) -> bytes:
     """How many elements fall in each of BUCKETS. Two sets share no more than the sum of the lesser counts."""
     counts = np.bincount((s % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-    return (counts if counts.max() < 255 else np.full(BUCKETS, 255)).astype(np.uint8).tobytes()
+    return counts.astype(np.uint8 if counts.max() <= most else np.uint32).tobytes()
+
+
+class Counts:
+    """Rows of element counts: a byte each, and four in the vectors of very large sets."""
+
+    def __init__(self, vectors: np.ndarray) -> None:
+        self.wide = np.array([len(v) > BUCKETS for v in vectors], bool)
+        self.narrow = np.frombuffer(b"".join(vectors[~self.wide]), np.uint8).reshape(-1, BUCKETS)
+        self.large = np.frombuffer(b"".join(vectors[self.wide]), np.uint32).reshape(-1, BUCKETS)
+        self.place = np.where(self.wide, np.cumsum(self.wide), np.cumsum(~self.wide)) - 1
+
+    def __getitem__(self, i: np.ndarray) -> np.ndarray:
+        wide = self.wide[i]
+        if not wide.any():
+            return self.narrow[self.place[i]]
+        out = np.empty((len(i), BUCKETS), np.uint32)
+        out[wide], out[~wide] = self.large[self.place[i[wide]]], self.narrow[self.place[i[~wide]]]
+        return out
 
 
 def bucket_counts(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -256,7 +274,7 @@ def from_long_lists(rows: DataFrame, counts: DataFrame, percent: int, groups: Da
             same = np.minimum.reduceat(group, starts) == np.maximum.reduceat(group, starts)
             mixed = np.repeat(~same, np.diff(np.append(starts, len(element))))
             element, size_at, doc, before, group = (x[mixed] for x in (element, size_at, doc, before, group))
-            table, size = np.frombuffer(b"".join(vectors[mixed]), np.uint8).reshape(-1, BUCKETS), size_at >> 32
+            table, size = Counts(vectors[mixed]), size_at >> 32
             longest = int(np.diff(np.append(starts, len(mixed))).max())
             i, j, shared = (np.empty(0, np.int64) for _ in range(3))
             step = max(1, TOGETHER // longest)
