@@ -332,6 +332,25 @@ def test_mix(docs, none, spark):
     assert mixing.mix(none).count() == 0 and mixing.mixed_documents(none, spark).count() == 0
 
 
+def test_mix_of_rows_with_one_id(spark):
+    """Repeated and null ids with other texts, and equal rows: each row is taken by its own plan."""
+    rows = [(d, " ".join(f"{i}w{k}" for k in range(9 + i)), "en", s, 1) for i, (d, s) in enumerate([(1, "a"), (1, "a"), (1, "b"), (None, "a"), (None, "a"), (None, None), (2, "b"), (3, None)])]
+    rows += [rows[0], (1, None, "en", "a", 1), (None, "", "en", "a", 0), (0, rows[3][1], "en", "a", 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for share in (0.4, 1.5):
+        want, got = Counter(), Counter()
+        for r in mixing.mix(df, share=share, block_words=4).collect():
+            want[r.doc_id, r["size"]] += r.taken
+        out = mixing.mixed_documents(df, spark, share=share, block_words=4).collect()
+        whole = {(r[0], r[3], r[1].split("w")[0]): r[1].split() for r in rows if r[1]}
+        for r in out:
+            own = whole[r.doc_id, r.source, r.text.split("w")[0]]
+            assert set(r.text.split()) <= set(own)
+            got[r.doc_id, len(own)] += len(r.text.split())
+        assert got == +want
+        assert sorted(map(str, out)) == sorted(map(str, mixing.mixed_documents(df.repartition(3), spark, share=share, block_words=4).collect()))
+
+
 def test_pieces(docs, none):
     model = pieces.load(queries.PIECES)
     for text in ["ab cd", "hello", "a  b", "é ñ", "x\ny", "日本", "▁a", "\t q", ""]:

@@ -6,7 +6,8 @@ seeded order and their words are cut into blocks; a quota above the number of bl
 seeded permutation of the blocks chooses the rest. Nothing depends on partitions or time, so reruns agree.
 
 Nulls: a null text has no words; a null source is a source of its own and the last; a null doc_id sorts first.
-Empty texts take nothing. Rows with one doc_id are rows of their own. An empty table gives no rows.
+Empty texts take nothing. Rows with one doc_id, or none, are rows of their own: each has its own plan and text.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -67,11 +68,11 @@ def document_sizes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
-def mixed(sizes: DataFrame, share: float = 1.5, cap: float = 2.0, seed: int = 7, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
+def mixed(sizes: DataFrame, share: float = 1.5, cap: float = 2.0, seed: int = 7, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, ties: tuple[str, ...] = ()) -> DataFrame:
     """Adds source_size, target, passes (whole repeats), start (place of the first word in its shard), blocks, step,
     shift, rest (blocks chosen beyond the passes), shard_size and taken to (doc_id, source, size).
 
-    sizes is read three times and should be a stored table. The driver sees one row for each source and shard.
+    ties are columns that order rows of one doc_id and size. sizes is read three times and should be a stored table. The driver sees one row for each source and shard.
     """
     spark = sizes.sparkSession
     per_source = [(r[0], r[1]) for r in sizes.groupBy("source").agg(F.sum("size")).collect()]
@@ -98,7 +99,7 @@ def mixed(sizes: DataFrame, share: float = 1.5, cap: float = 2.0, seed: int = 7,
     kind = T.StructType([T.StructField("s_source", T.StringType()), T.StructField("s_shard", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("shard_size", "blocks", "passes", "rest", "step", "shift"))])
     quotas = spark.createDataFrame(rows, kind)
     quotas = F.broadcast(quotas) if len(rows) <= 50_000 else quotas
-    w = Window.partitionBy("source", "shard").orderBy(key, "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("source", "shard").orderBy(key, "doc_id", "size", *ties).rowsBetween(Window.unboundedPreceding, -1)
     out = placed.withColumn("start", F.coalesce(F.sum("size").over(w), F.lit(0)))
     out = out.join(quotas, out.source.eqNullSafe(quotas.s_source) & (out.shard == quotas.s_shard))
     return out.withColumn("taken", F.col("passes") * F.col("size") + F.coalesce(_overlap(), F.lit(0))).drop("m_source", "s_source", "s_shard", "n_shards")
@@ -138,15 +139,24 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, spark: SparkSession, **options) -> DataFrame:
     """The mix itself, with the columns of documents: a row for each whole pass over a document, and one more with
     the text from the first to the last word of each run of chosen blocks, runs joined by one line end."""
-    sizes = written(document_sizes(docs), "sizes")
+    columns = [F.col(c) for c in docs.columns]
+    # rows that are equal in all columns share a key; they take the plans of that key one by one
+    own = {"_mix_id": F.coalesce("doc_id", F.lit(0)), "_mix_hash": F.xxhash64(*(c.isNull() for c in columns), *columns)}
+    docs = docs.withColumns(own)
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    sizes = written(docs.select("doc_id", "source", size, "_mix_hash"), "sizes")
     spans = F.coalesce(chosen_spans(), F.array().cast("array<struct<a:bigint,b:bigint>>"))
-    plan = mixed(sizes, **options).filter("taken > 0").select(F.col("doc_id").alias("_mix_id"), F.col("passes").alias("_mix_passes"), spans.alias("_mix_spans"))
-    both = docs.join(plan.dropDuplicates(["_mix_id"]), docs.doc_id.eqNullSafe(F.col("_mix_id")))
+    plan = F.struct("start", F.col("passes").alias("_mix_passes"), spans.alias("_mix_spans"))
+    plans = mixed(sizes, ties=("_mix_hash",), **options).filter("taken > 0").select(own["_mix_id"].alias("_mix_id"), "_mix_hash", plan.alias("plan"))
+    plans = plans.groupBy("_mix_id", "_mix_hash").agg(F.array_sort(F.collect_list("plan")).alias("_mix_plans"))
+    nth = F.row_number().over(Window.partitionBy("_mix_id", "_mix_hash").orderBy(F.lit(0)))
+    both = docs.withColumn("_mix_nth", nth).join(plans, ["_mix_id", "_mix_hash"]).withColumn("_mix_plan", F.try_element_at("_mix_plans", "_mix_nth"))
+    both = both.filter("_mix_plan IS NOT NULL").select(*columns, "_mix_plan._mix_passes", "_mix_plan._mix_spans")
     whole = F.transform(F.sequence(F.lit(1), F.greatest(F.col("_mix_passes"), F.lit(1))), lambda i: F.when(i <= F.col("_mix_passes"), F.col("text")))
     parts = F.concat(whole, F.array(F.when(F.size("_mix_spans") > 0, _cut("_mix_spans"))))
     out = both.withColumn("_mix_text", F.explode(F.filter(parts, lambda x: x.isNotNull())))
     changed = {"text": F.col("_mix_text"), "n_chars": F.char_length("_mix_text").cast(dict(docs.dtypes).get("n_chars", "bigint"))}
-    return out.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+    return out.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns if c not in own])
 
 
 def _cut(spans: str):
