@@ -265,20 +265,80 @@ def test_substrings(spark, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def test_substrings_of_heavy_anchors(spark):
+    """A very common passage in other surroundings: its windows go one by one, and all repeats are found."""
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(14)]
+    rows = []
+    for d in range(300):
+        own = [rng.choice("xyz") + str(rng.randint(0, 3)) for _ in range(rng.randint(0, 9))]
+        rows.append((d, " ".join([*own, *common, *own[::-1]])))
+    rows += [(1, "another text with that id " + rows[5][1]), (2, rows[2][1]), (None, rows[3][1])]
+    seen, want = {}, Counter()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    keys = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    for d, t in sorted(order, key=lambda r: (r[0] is not None, r[0] or 0, keys[r[1]])):
+        w, gone = t.split(), set()
+        for i in range(len(w) - 9):
+            k = tuple(w[i : i + 10])
+            if seen.setdefault(k, (d, t, i)) != (d, t, i):
+                gone.update(range(i, i + 10))
+        want[d, len(w), len(gone)] += 1
+    for held in (5, 60_000):
+        base = df.select("doc_id", "text")
+        repeated = substring_dedup.repeated_anchors(base, 10, 4)
+        assert len(repeated.heavy)
+        spans = substring_dedup.repeated_spans(substring_dedup.contexts(base, repeated, 10, 4, held), 10).collect()
+        gone = defaultdict(set)
+        for s in spans:
+            gone[s.doc_id, s.text_hash].update(range(s.first, s.last + 10))
+        got = Counter((d, len(t.split()), len(gone[-(2**63) if d is None else d, keys[t]])) for d, t in rows)
+        assert got == want
+    found = substring_dedup.remove_repeats(df, 10, 4)
+    assert Counter((r.doc_id, r.n_words, r.n_removed) for r in found.collect()) == want
+
+
 def test_fm_index():
     rng = np.random.default_rng(0)
     for _ in range(30):
         t = int(rng.integers(1, 6))
         seqs = [rng.integers(1, 4, rng.integers(1, 15)) for _ in range(3)]
-        index = fm_index.FMIndex(seqs, t)
-        text = index.text.tolist()
+        index = fm_index.FMIndex(seqs, t, 3)
+        text = [int(c) for s in seqs for c in [*s, 0]]
         at = lambda p: [i for i in range(len(text) - len(p) + 1) if text[i : i + len(p)] == p]  # noqa: B023, E731
+        places = sorted(range(len(text)), key=lambda i: text[i:])  # noqa: B023
+        assert index.locate(np.arange(len(text))).tolist() == [p if text[p] else -1 for p in places]
         queries_ = [*seqs, rng.integers(1, 6, 9)]
-        for q, length, first in zip(queries_, *index.matching_statistics(queries_), strict=True):
+        for q, length, row in zip(queries_, *index.matching_statistics(queries_), strict=True):
             q = q.tolist()
             for i in range(len(q)):
                 m = max(n for n in range(t + 1) if i + n <= len(q) and (n == 0 or at(q[i : i + n])))
-                assert length[i] == m and first[i] == (at(q[i : i + t])[0] if m == t else -1)
+                found = at(q[i : i + t])
+                assert length[i] == m and (row[i] >= 0) == (m == t)
+                if m == t:
+                    assert index.first_places(row[i : i + 1])[0] == (found[0] if len(found) > 1 else -1)
+                    assert index.locate(row[i : i + 1])[0] in found
+        pattern = seqs[0][:t]
+        assert index.count(pattern) == len(at(pattern.tolist()))
+
+
+def test_fm_index_is_compressed():
+    rng = np.random.default_rng(1)
+    some = [rng.integers(1, 9000, 27) for _ in range(2000)]
+    index = fm_index.FMIndex([*some, *(np.concatenate([x[5:], rng.integers(1, 9000, 5)]) for x in some)], 20)
+    assert index.n > 100_000 and index.size_in_bytes < 6 * index.n and not hasattr(index, "text")
+
+
+def test_bits():
+    rng = np.random.default_rng(2)
+    for n in (1, 63, 64, 65, 1000):
+        bits = rng.random(n) < 0.4
+        bits[0] = True
+        b = fm_index.Bits(bits)
+        at = np.arange(n)
+        assert b.rank1(at).tolist() == [int(bits[:i].sum()) for i in range(n)] and (b.get(at) == bits).all()
+        assert (b.select1(np.arange(int(bits.sum()))) == np.flatnonzero(bits)).all()
 
 
 def test_language(spark, none):

@@ -20,9 +20,12 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; it goes when the session ends."""
+    """A new path in the folder that driver and executors share; it goes when the session ends. Only a local session may
+    leave spark.checkpoint.dir unset: on a cluster no folder of one machine would do."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tokentrail-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -36,20 +39,33 @@ def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = path or work_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+def drop_written(df: DataFrame) -> None:
+    """Deletes the files of a table that written() gave and that nothing reads any more."""
+    spark = df.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(df._written_to)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def fresh(columns: Iterable[str], name: str) -> str:
+    """name, or a longer one, that none of the columns has in any case."""
+    known = {c.lower() for c in columns}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts are long: Spark's 10,000 rows a batch would hold tens of MB in each Python worker, or far more."""
+    """Texts are long: Spark's 10,000 rows a batch would hold tens of MB in each Python worker, or far more. The session
+    keeps the smaller batches; they change no result."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1024:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")

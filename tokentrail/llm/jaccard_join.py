@@ -4,19 +4,25 @@ A document's set holds the hashes of its distinct shingles. Two documents link w
 
 1. Equal sets are one class with its least doc_id as representative; copies take no further part.
 2. Shingles have one order: rare ones by hash, then frequent ones by how often they occur (those that stand in many
-   prefixes under the order of hashes alone). Linked sets share an element of their first n - ceil(percent n / 100) + 1 elements.
-   Elements in one prefix only are left out by a filter of bounded size.
-3. The index list of an element holds its sets by size. A set's partners are read from there on: a whole block of the
-   list is skipped once sizes are too far apart, and a pair is skipped when the places of the element leave too few
-   further ones, or when both sets have the same element before it, for an earlier list then has the pair.
-4. Lists longer than LONG first give each set's EACH nearest only. Their links make groups of highly similar sets,
-   and the answers of one are derived from the group's: in the same lists, only pairs of different groups are left.
-   What is near, and what can link at all, is told by how many elements the sets have in each of BUCKETS.
-5. Pairs are held against each other in full, and components of the links are found by star contraction.
+   prefixes under the order of hashes alone). Linked sets share an element of their first n - ceil(percent n / 100) + 1
+   elements. Elements in one prefix only are left out by a filter of bounded size.
+3. Answers against the heads: each set of an element's index list is held against the list's least doc_id only, so
+   that a group of near copies costs a pair or few for each of its sets. A set that links with a head leads its group;
+   a member's `plus` counts the elements that its leader lacks.
+4. Answers between groups: of each list one entry a leader is left, and lists within one component go. Entries stand
+   in blocks of one size, by the place of the element. A probe steps over whole blocks: those too large, those whose
+   sizes need more further elements than its own place leaves; and of a block it takes only the entries before the
+   place from which on too few are left. Lists longer than LONG also hold leaders against each other by how many
+   elements they have in each of BUCKETS.
+5. A member's answers are derived from its leader's: it shares at most `plus` elements more with any set. So leaders
+   are held against each other in full, and members of two groups only where that count plus both of theirs could
+   link, first against the other leader, then against its members.
+6. Components of the links are found by star contraction.
 
 The set element is a 64-bit hash. Nulls: a null text, or one without words, has an empty set that links with
-nothing; a text of fewer words than a shingle is one shingle of all. A null doc_id is left out of joins and has no
-component. Rows with one doc_id count as one document with the set of any of them. An empty table gives no rows.
+nothing; a text of fewer words than a shingle is one shingle of all. A null doc_id takes no part and its component is
+null. Rows with one doc_id are one document, whose set is that of the text with the least hash; each row keeps its own
+n_shingles. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,43 +37,50 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from . import filters
-from .common import mix64, partitions, shingle_set, slices, unmix64, utf8, written
+from .common import drop_written, mix64, partitions, shingle_set, slices, unmix64, utf8, written
 
 WORDS, PERCENT = 4, 85
-#: Prefixes that a frequent shingle stands in; frequent shingles at most; lists that are long; nearest sets first
-#: tried there; buckets of a set's element counts; pairs of a long list that are held at once.
-OFTEN, FREQUENT, LONG, EACH, BUCKETS, TOGETHER = 5, 1 << 19, 48, 3, 512, 400_000
+#: Prefixes that a frequent shingle stands in; frequent shingles at most; entries of a list that is long; buckets of a
+#: set's element counts; pairs that are held at once.
+OFTEN, FREQUENT, LONG, BUCKETS, TOGETHER = 5, 1 << 19, 48, 512, 400_000
 
 
 def _set(text: bytes, words: int) -> np.ndarray:
     return shingle_set(text.lower(), words)
 
 
-def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, signature): equal sets have equal signatures; an empty set has none."""
+def _head(n: int, percent: int) -> int:
+    """Elements of which linked sets share one."""
+    return n - (percent * n + 99) // 100 + 1
+
+
+def _need(a, b, percent: int):
+    """The least number of elements that linked sets of these sizes share."""
+    return (percent * (a + b) + 99 + percent) // (100 + percent)
+
+
+def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, signature, prefix): equal sets have equal signatures, an empty set has none; prefix holds
+    the first elements by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             sets = [_set(t, words) for t in utf8(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())], names=["doc_id", "n_shingles", "signature"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, signature binary")
-
+            digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            firsts = [s[: _head(len(s), percent)].tobytes() if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(digests, pa.binary()), pa.array(firsts, pa.binary())], names=["doc_id", "n_shingles", "signature", "prefix"])
 
-def _head(n: int, percent: int) -> int:
-    """Elements of which linked sets share one."""
-    return n - (percent * n + 99) // 100 + 1
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, signature binary, prefix binary")
 
 
-def frequent_shingles(docs: DataFrame, words: int, percent: int, least: int = OFTEN, most: int = FREQUENT) -> np.ndarray:
-    """Elements that stand in many prefixes under the order of hashes, the rarest first: `most` of them, those in most
-    prefixes. An element of d sets is in the prefixes of a fixed share of them, so all data are counted."""
-    n = partitions(docs.sparkSession)
+def frequent_shingles(firsts: DataFrame, least: int = OFTEN, most: int = FREQUENT) -> np.ndarray:
+    """Elements that stand in many prefixes by hash, the rarest first: `most` of them, those in most prefixes. An
+    element of d sets is in the prefixes of a fixed share of them, so all sets are counted."""
+    n = partitions(firsts.sparkSession)
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1024):
-            sets = (_set(t, words) for t in utf8(b.column(0)))
-            yield filters.blobs(mix64(np.concatenate([np.empty(0, np.uint64), *(s[: _head(len(s), percent)] for s in sets)])), n)
+            yield filters.blobs(mix64(np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint64)), n)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -79,7 +92,7 @@ def frequent_shingles(docs: DataFrame, words: int, percent: int, least: int = OF
             v, c = v[c >= least], c[c >= least]
             yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(c.astype(np.int64))], names=["value", "n"])
 
-    blobs = docs.select("text").mapInArrow(values, filters.BLOBS).repartitionById(n, "part")
+    blobs = firsts.select("prefix").mapInArrow(values, filters.BLOBS).repartitionById(n, "part")
     rows = blobs.mapInArrow(count, "value long, n long").orderBy(F.col("n").desc(), "value").limit(most).toPandas()
     order = np.lexsort((rows["value"].to_numpy(), rows["n"].to_numpy()))
     return unmix64(rows["value"].to_numpy(np.int64)[order].view(np.uint64))
@@ -100,26 +113,28 @@ class Order:
         return np.concatenate([values[~often], values[often][np.argsort(self.place[at[often]])]])
 
 
-def prefixes(docs: DataFrame, frequent: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, prefix): the first elements of each set that is not empty."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+def prefixes(texts: DataFrame, firsts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, n, prefix): the first elements, by the order of shingles, of the sets that firsts (doc_id, ...) names."""
+    frequent = frequent_shingles(firsts)
+    if not len(frequent):
+        return firsts.select("doc_id", F.col("n_shingles").alias("n"), "prefix")
+    sent = texts.sparkSession.sparkContext.broadcast((frequent, filters.of_ids(firsts.select("doc_id"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = Order(sent.value)
+        order = Order(sent.value[0])
         for b in slices(batches):
+            b = filters.chosen(b, sent.value[1])
             sets = [_set(t, words) for t in utf8(b.column(1))]
             cut = [order(s)[: _head(len(s), percent)].tobytes() for s in sets]
-            keep = pa.array([len(s) > 0 for s in sets], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(cut, pa.binary())], names=["doc_id", "n", "prefix"]).filter(keep)
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, prefix binary")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(map(len, sets), pa.int64()), pa.array(cut, pa.binary())], names=["doc_id", "n", "prefix"])
 
-
-_POSTING = "element long, size_at long, doc_id long, before long"
+    found = texts.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, prefix binary")
+    return found.join(firsts.select("doc_id").hint("merge"), "doc_id", "left_semi")
 
 
 def postings(heads: DataFrame) -> DataFrame:
-    """(element, size << 32 | place, doc_id, element before) of prefix elements that another set's prefix may have."""
+    """(element, size, at, doc_id, before) of prefix elements that another set's prefix may have: the set's size, the
+    element's place in it, and the element before it (0 at the first place)."""
     n = partitions(heads.sparkSession)
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +144,6 @@ def postings(heads: DataFrame) -> DataFrame:
     shared = heads.sparkSession.sparkContext.broadcast(filters.build(heads.select("prefix").mapInArrow(values, filters.BLOBS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = filters.Filter(shared.value)
         for b in slices(batches, 512):
             raw = b.column(2).to_pylist()
             counts = np.array([len(x) // 8 for x in raw], np.int64)
@@ -138,81 +152,106 @@ def postings(heads: DataFrame) -> DataFrame:
             at = np.arange(len(element)) - np.repeat(ends - counts, counts)
             before = np.concatenate([[np.uint64(0)], element[:-1]]) if len(element) else element
             before = np.where(at == 0, np.uint64(0), before)
-            keep = known.maybe(mix64(element))
+            keep = shared.value.maybe(mix64(element))
             size = np.repeat(b.column(1).to_numpy(), counts)
             doc = np.repeat(b.column(0).to_numpy(), counts)
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (element.view(np.int64), size << 32 | at, doc, before.view(np.int64))], names=["element", "size_at", "doc_id", "before"])
-
-    return heads.select("doc_id", "n", "prefix").mapInArrow(run, _POSTING)
-
-
-def _pairs(element, size_at, before, percent: int, reach: np.ndarray | int, group=None, some: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of one list, i in some, j after i by at most reach[i], that can link. Rows are sorted by element
-    and size.
-
-    Sizes grow along a list, so a row whose partner is too large is done: the rest of its list is skipped.
-    """
-    n = len(element)
-    size, at = size_at >> 32, size_at & 0xFFFFFFFF
-    reach = np.broadcast_to(np.asarray(reach), n)
-    live, d, left, right = np.arange(n)[some], 0, [], []
-    while len(live):
-        d += 1
-        live = live[(live + d < n) & (reach[live] >= d)]
-        j = live + d
-        near = (element[live] == element[j]) & (100 * size[live] >= percent * size[j])
-        live, j = live[near], j[near]
-        need = (percent * (size[live] + size[j]) + 99 + percent) // (100 + percent)
-        ok = np.minimum(size[live] - at[live], size[j] - at[j]) >= need
-        ok &= (before[live] != before[j]) | (at[live] == 0) | (at[j] == 0)
-        if group is not None:
-            ok &= group[live] != group[j]
-        left.append(live[ok])
-        right.append(j[ok])
-    e = np.empty(0, np.int64)
-    return np.concatenate([e, *left]), np.concatenate([e, *right])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (element.view(np.int64), size, at, doc, before.view(np.int64))], names=["element", "size", "at", "doc_id", "before"])
+
+    return heads.select("doc_id", "n", "prefix").mapInArrow(run, "element long, size long, at long, doc_id long, before long")
+
+
+def lists(rows: DataFrame) -> DataFrame:
+    """The index lists of two sets or more: rows with the list's head, its least doc_id, and length. Heads are found
+    with partial sums, and joined back, so no list has to be in one task."""
+    heads = rows.groupBy("element").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("length")).filter("length > 1")
+    return rows.join(heads.hint("merge"), "element")
+
+
+# ---- pairs of entries, block by block ----
+
+
+def _expanded(probe: np.ndarray, start: np.ndarray, count: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (probe, start + 0 ... count - 1), about `most` at once."""
+    live = np.flatnonzero(count)
+    probe, start, count = probe[live], start[live], count[live]
+    total, at = np.cumsum(count), 0
+    while at < len(probe):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, side="right")))
+        c = count[at:end]
+        yield np.repeat(probe[at:end], c), np.repeat(start[at:end] - (np.cumsum(c) - c), c) + np.arange(int(c.sum()))
+        at = end
+
+
+def block_pairs(element: np.ndarray, low: np.ndarray, high: np.ndarray, rest: np.ndarray, percent: int, most: int = TOGETHER) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j), i < j, of entries in one list that can link by their sizes (low to high) and by how many elements
+    each has left from this one on at most. Rows are sorted by element, low and falling rest."""
+    if not len(element):
+        return
+    opens = np.concatenate([[True], (element[1:] != element[:-1]) | (low[1:] != low[:-1])])
+    starts = np.flatnonzero(opens)
+    block = np.cumsum(opens) - 1
+    scale = int(rest.max()) + 2
+    key = block * scale - rest  # ascending over all rows
+    probe, at = np.arange(len(element)), block
+    while len(probe):
+        need = _need(low[probe], low[starts[at]], percent)
+        # within the block, entries with enough left stand first: one search steps over the others
+        cut = np.searchsorted(key, at * scale - need, side="right")
+        start = np.maximum(starts[at], probe + 1)
+        yield from _expanded(probe, start, np.where(rest[probe] >= need, np.maximum(cut - start, 0), 0), most)
+        at = at + 1
+        on = at < len(starts)
+        probe, at = probe[on], at[on]
+        on = (element[starts[at]] == element[probe]) & (percent * low[starts[at]] <= 100 * high[probe])
+        probe, at = probe[on], at[on]
+
+
+_ENTRY = ["element", "low", "high", "rest", "leader", "component", "before", "reach"]
 
 
 def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
     """Columns of sorted batches, cut where a list ends."""
-    rest: list[np.ndarray] | None = None
+    parts: list[list[np.ndarray]] = []
     for b in batches:
         cols = [c.to_numpy(zero_copy_only=False) for c in b.columns]
-        if rest is not None:
-            cols = [np.concatenate([r, c]) for r, c in zip(rest, cols, strict=True)]
-        cut = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0
-        rest = [c[cut:] for c in cols]
-        if cut:
-            yield [c[:cut] for c in cols]
-    if rest is not None and len(rest[0]):
-        yield rest
+        if not len(cols[0]):
+            continue
+        cut = int(np.searchsorted(cols[0], cols[0][-1]))
+        if cut or (parts and parts[-1][0][-1] != cols[0][0]):
+            parts.append([c[:cut] for c in cols])
+            yield [np.concatenate(x) for x in zip(*parts, strict=True)]
+            parts = []
+        parts.append([c[cut:] for c in cols])
+    if parts:
+        yield [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+
+def leader_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of leaders of different components that can have linked members. With a column counts, leaders are
+    also held against each other by these."""
+    columns = [*_ENTRY, *(["counts"] if "counts" in entries.columns else [])]
+    n = partitions(entries.sparkSession)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for element, low, high, rest, leader, component, before, reach, *vectors in _whole_lists(batches):
+            table = Counts(vectors[0]) if vectors else None
+            for i, j in block_pairs(element, low, high, rest, percent):
+                # an element before this one that both have: an earlier list has the pair
+                ok = (component[i] != component[j]) & ((before[i] != before[j]) | (before[i] == 0))
+                i, j = i[ok], j[ok]
+                if table is not None and len(i):
+                    shared = np.concatenate([np.minimum(table[i[k : k + 4096]], table[j[k : k + 4096]]).sum(axis=1, dtype=np.int64) for k in range(0, len(i), 4096)])
+                    ok = shared + reach[i] + reach[j] >= _need(low[i], low[j], percent)
+                    i, j = i[ok], j[ok]
+                if len(i):
+                    a, b = np.unique(np.stack([np.minimum(leader[i], leader[j]), np.maximum(leader[i], leader[j])]), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-_CANDIDATE = "a long, b long, element long, size_at long, before long"
+    dealt = entries.select(*columns).repartition(n, "element").sortWithinPartitions("element", "low", F.desc("rest"), "leader")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def candidates(rows: DataFrame, percent: int, long: int = LONG) -> DataFrame:
-    """Pairs (a, b) of short lists, and the rows of long ones (a, null, element, ...)."""
-    n = partitions(rows.sparkSession)
-    schema = pa.schema([(c.split()[0], pa.int64()) for c in _CANDIDATE.split(", ")])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for element, size_at, doc, before in _whole_lists(batches):
-            starts = np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1]]))
-            length = np.diff(np.append(starts, len(element)))
-            many = np.repeat(length > long, length)
-            i, j = _pairs(element, size_at, before, percent, np.where(many, 0, long))
-            a, b = np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])
-            if len(a):
-                a, b = np.unique(np.stack([a, b]), axis=1)
-                nothing = pa.nulls(len(a), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), nothing, nothing, nothing], schema=schema)
-            if many.any():
-                k = int(many.sum())
-                yield pa.RecordBatch.from_arrays([pa.array(doc[many]), pa.nulls(k, pa.int64()), *(pa.array(x[many]) for x in (element, size_at, before))], schema=schema)
-
-    dealt = rows.repartition(n, "element").sortWithinPartitions("element", "size_at", "doc_id")
-    return dealt.mapInArrow(run, _CANDIDATE)
+# ---- counts of elements ----
 
 
 def _counts(s: np.ndarray, most: int = 255) -> bytes:
@@ -239,127 +278,153 @@ class Counts:
         return out
 
 
-def bucket_counts(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+def bucket_counts(texts: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """(doc_id, counts) of the documents that ids names, and of few others."""
+    sent = texts.sparkSession.sparkContext.broadcast(filters.of_ids(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
+            b = filters.chosen(b, sent.value)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_counts(_set(t, words)) for t in utf8(b.column(1))], pa.binary())], names=["doc_id", "counts"])
 
-    return named(docs, ids).mapInArrow(run, "doc_id long, counts binary")
-
-
-def _nearest(i: np.ndarray, j: np.ndarray, shared: np.ndarray, each: int) -> np.ndarray:
-    """Places of the pairs that are among the `each` best of either end."""
-    end, place = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
-    order = np.lexsort((place, -np.tile(shared, 2), end))
-    end = end[order]
-    first = np.searchsorted(end, end)
-    return np.unique(place[order][np.arange(len(end)) - first < each])
-
-
-def _distinct(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, counts binary")
 
 
-def from_long_lists(rows: DataFrame, counts: DataFrame, percent: int, groups: DataFrame | None = None, each: int | None = None) -> DataFrame:
-    """Pairs of long lists whose element counts allow a link: of sets in different groups, if there are groups; and for
-    each set only its `each` best, if that is given."""
-    n = partitions(rows.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for element, size_at, doc, before, group, vectors in _whole_lists(batches):
-            starts = np.flatnonzero(np.concatenate([[True], element[1:] != element[:-1]]))
-            same = np.minimum.reduceat(group, starts) == np.maximum.reduceat(group, starts)
-            mixed = np.repeat(~same, np.diff(np.append(starts, len(element))))
-            element, size_at, doc, before, group = (x[mixed] for x in (element, size_at, doc, before, group))
-            table, size = Counts(vectors[mixed]), size_at >> 32
-            longest = int(np.diff(np.append(starts, len(mixed))).max())
-            i, j, shared = (np.empty(0, np.int64) for _ in range(3))
-            step = max(1, TOGETHER // longest)
-            for at in range(0, len(element), step):
-                x, y = _pairs(element, size_at, before, percent, len(element), group, slice(at, at + step))
-                common = np.concatenate([np.empty(0, np.int64), *(np.minimum(table[x[k : k + 4096]], table[y[k : k + 4096]]).sum(axis=1, dtype=np.int64) for k in range(0, len(x), 4096))])
-                ok = common * (100 + percent) >= percent * (size[x] + size[y])
-                i, j, shared = (np.concatenate(z) for z in ((i, x[ok]), (j, y[ok]), (shared, common[ok])))
-                if each and len(i):  # the best of all are among the best of any part
-                    best = _nearest(i, j, shared * 1_000_000 // (size[i] + size[j]), each)
-                    i, j, shared = i[best], j[best], shared[best]
-                elif not each and len(i) >= TOGETHER:
-                    yield _distinct(doc[i], doc[j])
-                    i, j, shared = i[:0], j[:0], shared[:0]
-            if len(i):
-                yield _distinct(doc[i], doc[j])
-
-    rows = rows.join(counts, "doc_id")
-    if groups is not None:
-        rows = rows.join(groups.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    else:
-        rows = rows.withColumn("component", F.col("doc_id"))
-    dealt = rows.select("element", "size_at", "doc_id", "before", "component", "counts").repartition(n, "element")
-    return dealt.sortWithinPartitions("element", "size_at", "doc_id").mapInArrow(run, "a long, b long").distinct()
+# ---- whole sets ----
 
 
-def named(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the documents whose ids occur in the columns of ids, and of few others: a filter of bounded
-    size goes to the scan, so that other texts do not move."""
-    spark = docs.sparkSession
-    n = partitions(spark)
-
-    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield filters.blobs(mix64(np.unique(np.concatenate([c.to_numpy() for c in b.columns])).view(np.uint64)), n)
-
-    involved = spark.sparkContext.broadcast(filters.build(ids.mapInArrow(values, filters.BLOBS), 1))
+def overlaps(texts: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """(a, b, shared, n_a, n_b) of pairs (a, b), by their whole sets. Texts that no pair names stay where they are: a
+    filter of bounded size goes to the scan. Joins are by sorting, so that no stage holds two Python functions."""
+    sent = texts.sparkSession.sparkContext.broadcast(filters.of_ids(pairs))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = filters.Filter(involved.value)
         for b in batches:
-            yield b.filter(pa.array(known.maybe(mix64(b.column(0).to_numpy().view(np.uint64)))))
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).filter("doc_id IS NOT NULL").mapInArrow(some, "doc_id long, text string")
-
+            yield filters.chosen(b, sent.value)
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets."""
-    texts = named(docs, pairs.select("a", "b"))
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    found = texts.select("doc_id", "text").mapInArrow(some, "doc_id long, text string")
+    a, b = (found.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")).hint("merge") for x in "ab")
+    both = pairs.join(b, "b").join(a, "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, None
-        for b in slices(batches):
-            keep = []
-            for x, ta, tb in zip(b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), b.column(3).cast(pa.binary()).to_pylist(), strict=True):
+        for batch in slices(batches):
+            out = []
+            for x, ta, tb in zip(batch.column(0).to_pylist(), utf8(batch.column(2)), utf8(batch.column(3)), strict=True):
                 if x != last:
-                    last, own = x, _set(tb, words)
-                other = _set(ta, words)
-                shared = len(np.intersect1d(own, other, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(own) + len(other) - shared))
-            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+                    last, own = x, _set(ta, words)
+                other = _set(tb, words)
+                out.append((len(np.intersect1d(own, other, assume_unique=True)), len(own), len(other)))
+            counts = np.array(out, np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(counts[:, k]) for k in range(3))], names=["a", "b", "shared", "n_a", "n_b"])
+
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, shared long, n_a long, n_b long")
+
+
+def _linked(percent: int):
+    return 100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))
+
+
+def _need_of(a, b, percent: int):
+    return F.ceil(percent * (a + b) / (100 + percent))
+
+
+def groups(answers: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, leader, plus, size) of sets that link with a leader, a set without a smaller linked one."""
+    linked = answers.filter(_linked(percent))
+    least = linked.join(linked.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+    return least.groupBy(F.col("b").alias("doc_id")).agg(F.min(F.struct(F.col("a").alias("leader"), (F.col("n_b") - F.col("shared")).alias("plus"), F.col("n_b").alias("size"))).alias("g")).select("doc_id", "g.*")
+
+
+def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """The pairs (a, b) that links leave in different components."""
+    found = connected_components(links, "a", "b")
+    for x in "ab":
+        pairs = pairs.join(found.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}")), x, "left").withColumn(f"c_{x}", F.coalesce(f"c_{x}", x))
+    return pairs.filter("c_a <> c_b").drop("c_a", "c_b")
+
+
+def links_between(texts: DataFrame, index: DataFrame, answers: DataFrame, words: int, percent: int, long: int) -> DataFrame:
+    """(a, b) of all further links that join components which the answers against the heads leave apart."""
+    links = answers.filter(_linked(percent)).select("a", "b")
+    place = connected_components(links, "a", "b")
+    member = written(groups(answers, percent), "groups")
+    reach = member.groupBy("leader").agg(F.max("plus").alias("reach"), F.min("size").alias("least"))
+    node = place.join(member.select(F.col("doc_id").alias("node"), "leader"), "node", "left").withColumn("leader", F.coalesce("leader", "node"))
+    node = node.join(reach, "leader", "left").select(F.col("node").alias("doc_id"), "leader", "component", F.coalesce("reach", F.lit(0)).alias("reach"))
+    rows = index.filter("length > 2").join(node, "doc_id", "left")
+    rows = rows.withColumns({"leader": F.coalesce("leader", "doc_id"), "component": F.coalesce("component", "doc_id"), "reach": F.coalesce("reach", F.lit(0))})
+    entries = rows.groupBy("element", "leader", "component", "reach").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.max(F.col("size") - F.col("at")).alias("rest"), F.when(F.count(F.lit(1)) == 1, F.max("before")).otherwise(0).alias("before"))
+    entries = written(entries, "entries")
+    mixed = entries.groupBy("element").agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("n_entries")).filter("c1 <> c2").select("element", "n_entries")
+    entries = entries.join(mixed.hint("merge"), "element")
+    pairs = leader_pairs(entries.filter(F.col("n_entries") <= long), percent)
+    crowded = written(entries.filter(F.col("n_entries") > long).select(*_ENTRY), "crowded")
+    if not crowded.isEmpty():
+        counts = bucket_counts(texts, crowded.select("leader").distinct(), words).withColumnRenamed("doc_id", "leader")
+        pairs = pairs.union(leader_pairs(crowded.join(counts.hint("merge"), "leader"), percent)).distinct()
+    pairs = written(pairs, "pairs")
+    known = pairs.join(answers, ["a", "b"])
+    new = overlaps(texts, pairs.join(answers.select("a", "b"), ["a", "b"], "left_anti"), words)
+    between = written(known.unionByName(new), "between")
+    found = written(links.union(between.filter(_linked(percent)).select("a", "b")), "links")
+    # members whose answers the leaders' do not settle
+    own = reach.select(F.col("leader").alias("own"), "reach", "least")
+    of = lambda x: own.select(F.col("own").alias(x), F.col("reach").alias(f"reach_{x}"), F.col("least").alias(f"least_{x}"))
+    open_ = between.filter(~_linked(percent)).join(of("a"), "a", "left").join(of("b"), "b", "left")
+    open_ = open_.withColumns({f"reach_{x}": F.coalesce(f"reach_{x}", F.lit(0)) for x in "ab"} | {f"least_{x}": F.least(F.coalesce(f"least_{x}", f"n_{x}"), f"n_{x}") for x in "ab"})
+    open_ = open_.filter((F.col("reach_a") + F.col("reach_b") > 0) & (F.col("shared") + F.col("reach_a") + F.col("reach_b") >= _need_of(F.col("least_a"), F.col("least_b"), percent)))
+    open_ = written(open_, "open")
+    if open_.isEmpty():
+        return found
+    open_ = _apart(open_, found)
+    # each member of a's group against b, then each of b's group against those
+    first = open_.join(member.select(F.col("leader").alias("a"), F.col("doc_id").alias("m"), F.col("plus").alias("plus_m"), F.col("size").alias("n_m")), "a")
+    first = first.filter(F.col("shared") + F.col("plus_m") + F.col("reach_b") >= _need_of(F.col("n_m"), F.col("least_b"), percent))
+    first = written(first.select("m", F.col("b").alias("leader_b"), "reach_b", "least_b").distinct(), "first")
+    asked = first.select(F.least("m", "leader_b").alias("a"), F.greatest("m", "leader_b").alias("b")).distinct()
+    told = written(overlaps(texts, asked, words), "told")
+    found = written(found.union(told.filter(_linked(percent)).select("a", "b")), "links")
+    both = told.select("a", "b", "shared").union(told.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared")).select(F.col("a").alias("m"), F.col("b").alias("leader_b"), "shared")
+    size = told.select(F.col("a").alias("m"), F.col("n_a").alias("n_m")).union(told.select("b", "n_b")).distinct()
+    reached = first.join(both, ["m", "leader_b"]).join(size, "m").select("m", "leader_b", "shared", "n_m")
+    reached = reached.union(open_.select(F.col("a").alias("m"), F.col("b").alias("leader_b"), "shared", F.col("n_a").alias("n_m"))).distinct()
+    second = reached.join(member.select(F.col("leader").alias("leader_b"), F.col("doc_id").alias("k"), "plus", "size"), "leader_b")
+    second = second.filter(F.col("shared") + F.col("plus") >= _need_of(F.col("n_m"), F.col("size"), percent))
+    second = second.select(F.least("m", "k").alias("a"), F.greatest("m", "k").alias("b")).distinct()
+    second = written(_apart(second, found), "second")
+    return found.union(overlaps(texts, second, words).filter(_linked(percent)).select("a", "b"))
 
 
 def similarity_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, long: int = LONG) -> DataFrame:
     """(doc_id, n_shingles, component_id): the least doc_id that links reach."""
-    members = written(signatures(docs, words), "signatures")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    signed = written(signatures(texts, words, percent), "signatures")
+    texts, members = texts.filter("doc_id IS NOT NULL"), signed.filter("doc_id IS NOT NULL")
+    repeated = not members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    if repeated:
+        texts = written(texts.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")), "texts")
+        members = written(signatures(texts, words, percent), "signatures")
     classes = members.filter("n_shingles > 0").groupBy("signature", "n_shingles").agg(F.min("doc_id").alias("representative"))
-    heads = prefixes(docs, frequent_shingles(docs, words, percent), words, percent).join(classes.select(F.col("representative").alias("doc_id")), "doc_id", "left_semi")
-    found = written(candidates(postings(written(heads, "prefixes")), percent, long), "candidates")
-    pairs = found.filter("b IS NOT NULL").select("a", "b").distinct()
-    long_rows = found.filter("b IS NULL").select("element", "size_at", F.col("a").alias("doc_id"), "before")
-    if long_rows.isEmpty():
-        links = written(verified(docs, pairs, words, percent), "links")
+    classes = written(classes, "classes")
+    firsts = members.join(classes.select(F.col("representative").alias("doc_id")).hint("merge"), "doc_id", "left_semi").select("doc_id", "n_shingles", "prefix")
+    firsts = written(firsts, "firsts")
+    rows = written(signed.drop("prefix"), "rows")
+    members = members.drop("prefix") if repeated else rows.filter("doc_id IS NOT NULL")
+    drop_written(signed)
+    heads = written(prefixes(texts, firsts, words, percent), "prefixes")
+    index = written(lists(postings(heads)), "lists")
+    for done in (firsts, heads):
+        drop_written(done)
+    stars = index.filter("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
+    answers = written(overlaps(texts, written(stars, "stars"), words), "answers")
+    links = written(links_between(texts, index, answers, words, percent, long), "links")
+    found = connected_components(links, "a", "b")
+    whole = classes.join(found, classes.representative == found.node, "left").select(F.col("signature").alias("c_signature"), F.col("n_shingles").alias("c_n"), F.coalesce("component", "representative").alias("component_id"))
+    placed = members.join(whole, (F.col("signature") == F.col("c_signature")) & (F.col("n_shingles") == F.col("c_n")), "left")
+    placed = placed.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    if repeated:
+        placed = rows.select("doc_id", "n_shingles").join(placed.select("doc_id", "component_id"), "doc_id", "left")
     else:
-        counts = written(bucket_counts(docs, long_rows.select("doc_id"), words), "counts")
-        pairs = written(pairs.union(from_long_lists(long_rows, counts, percent, each=EACH)).distinct(), "candidates")
-        links = written(verified(docs, pairs, words, percent), "links")
-        more = from_long_lists(long_rows, counts, percent, connected_components(links, "a", "b"))
-        more = written(more.join(pairs, ["a", "b"], "left_anti"), "candidates")
-        links = written(links.union(verified(docs, more, words, percent)), "links")
-    groups = connected_components(links, "a", "b")
-    whole = classes.join(groups, classes.representative == groups.node, "left").select("signature", "n_shingles", F.coalesce("component", "representative").alias("component_id"))
-    own = whole.withColumnsRenamed({"signature": "c_signature", "n_shingles": "c_n"})
-    joined = members.join(own, (F.col("signature") == F.col("c_signature")) & (F.col("n_shingles") == F.col("c_n")), "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        placed = placed.union(rows.filter("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long")))
+    return placed
