@@ -96,7 +96,7 @@ def contexts(docs: DataFrame, repeated: filters.Filter, window: int, anchor: int
             elif other[:3] != place[:3]:
                 if place < other:
                     seen[key], place = place, other
-                late.append((place[1] % n, None, None, *place))
+                late.append(((place[0] * 0x9E3779B1 + place[2]) % n, None, None, *place))
 
         def all_seen() -> Iterator[pa.RecordBatch]:
             for part in itertools.batched(seen.items(), 10_000):
