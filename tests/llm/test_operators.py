@@ -59,6 +59,45 @@ def test_token_store(spark, docs, none):
     assert token_store.read_tokens(spark, path).count() == 0
 
 
+def test_ids_are_the_librarys():
+    """Words over all of Unicode, with letters that grow or turn into marks in lower case."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    t, rng = Tokenizer.from_file(queries.WORD_BPE), random.Random(1)
+    words = token_store._word_ids(t, "H")
+    odd = "İıſßŉǰΐẞΣςσAaZz.,!?'`\"-’“\u0327\u0301\u0307\u00a0\u200b\t\x0b\x85 ½Ⅷ日カ가ﬁ"
+
+    def char():
+        k = rng.random()
+        c = rng.randint(0, 0x10FFFF)
+        return rng.choice("abcXYZ .,!'019") if k < 0.35 else rng.choice(odd) if k < 0.6 else chr(c % 0x2500) if k < 0.8 or 0xD800 <= c < 0xE000 else chr(c)
+
+    some = ["EVİ.", "TÜRKİ, x", "İ!", "ΑΣ.", *("".join(char() for _ in range(rng.randint(1, 14))) for _ in range(20_000))]
+    got = token_store._ids_of(pa.array(some), words, 2)
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [e.ids for e in t.encode_batch(some, add_special_tokens=False)]
+
+
+def test_token_store_of_repeated_ids(spark):
+    """Many rows of one id go to several shards, in one order whatever the shards."""
+    rows = [(5, f"word{i % 70} b{i}") for i in range(400)] + [(None, "x"), (None, None), (1, "a"), (9, "z"), (5, "word1 b1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("shard", "hash", "ids", "width")})
+    found = []
+    for parts, per_file in ((4, 100), (3, 10**6)):
+        path = work_path(spark, "t")
+        token_store.write_tokens(df.repartition(parts), path, queries.WORD_BPE, tokens_per_file=per_file)
+        got = token_store.with_crc32(token_store.read_tokens(spark, path)).orderBy("start").collect()
+        assert [r.doc_id for r in got] == [None, None, 1, *[5] * 401, 9]
+        assert all(a.start + a.n_tokens == b.start for a, b in itertools.pairwise(got))
+        found.append(list(map(tuple, got)))
+    assert found[0] == found[1]
+    files = spark.read.parquet(f"{path}/files")
+    assert files.select("shard").distinct().count() > 2
+    ids, cuts = np.array([5] * 1000 + [4, 6]), np.array([5, 5, 5])
+    shards = token_store.shard_of(ids, mix64(np.arange(1002, dtype=np.uint64)), cuts)
+    assert set(shards[:1000].tolist()) == {0, 1, 2} and shards[1000:].tolist() == [0, 3]
+
+
 def test_random_access():
     ids = np.random.default_rng(0).integers(0, 1 << 21, 3000)
     f = token_store.DacFile(io.BytesIO(token_store.dac_file([5, 9], np.array([0, 1000, 3000]), ids)))
@@ -85,6 +124,46 @@ def test_quality(spark, none):
     assert {r.score for r in quality.classify(df, labels.limit(0)).collect()} == {1.0}
 
 
+def test_quality_parts_against_plain_ones():
+    """Log-count ratios by counting, and the descent's solution by its conditions: no other weights are better."""
+    rng = np.random.default_rng(2)
+    rows = [np.unique(rng.integers(0, 12, 5)) for _ in range(40)]
+    y = rng.integers(0, 2, 40)
+    y[:2] = 0, 1
+    ratio = quality.log_count_ratios(rows, y, 12)
+    p, q = ([1 + sum(f in r for r, c in zip(rows, y, strict=True) if c == k) for f in range(12)] for k in (1, 0))
+    assert ratio == pytest.approx([np.log((a / sum(p)) / (b / sum(q))) for a, b in zip(p, q, strict=True)])
+    x = np.zeros((40, 12))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r]
+    sign, c = np.where(y == 1, 1.0, -1.0), np.full(40, 0.7)
+    w, b = quality.dual_coordinate_descent([r for r in rows], [ratio[r] for r in rows], sign, 12, c, rounds=3000)
+
+    def loss(v):
+        return (v @ v) / 2 + (c * np.maximum(0, 1 - sign * (x @ v[:12] + v[12])) ** 2).sum()
+
+    best = np.append(w, b)
+    # plain gradient steps from elsewhere come to the same least loss
+    v = rng.normal(size=13)
+    for _ in range(20_000):
+        slack = np.maximum(0, 1 - sign * (x @ v[:12] + v[12]))
+        v -= 0.005 * (v - 2 * np.append(x.T @ (c * sign * slack), (c * sign * slack).sum()))
+    assert loss(best) == pytest.approx(loss(v), rel=1e-4) and np.abs(best - v).max() < 0.02
+
+
+def test_quality_of_odd_rows(spark):
+    rows = [(i, f"good words number {i}" if i % 3 else f"BAD!!! {i} ###") for i in range(90)]
+    rows += [(None, "good words"), (5, "BAD!!! ### other"), (6, rows[6][1]), (200, "good words again " * 40_000), (201, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("own") for c in ("l_id", "quality", "score", "bits", "held_out")})
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(90)] + [(4, 1)], "doc_id long, quality int").withColumn("text", F.lit("own"))
+    got = quality.classify(df, labels).collect()
+    assert len(got) == len(rows) and len({r.score for r in got if r.doc_id == 6}) == 1
+    kept = quality.keep_good(df, labels)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} >= {200, None}
+    index = quality.features(b"good words again " * 3000)
+    assert (quality._unpacked(quality._packed(index)) == index).all() and (quality._unpacked(quality._packed(np.arange(20_000))) == np.arange(20_000)).all()
+
+
 def shingles(text, n):
     w = text.split()
     return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
@@ -104,6 +183,23 @@ def test_fingerprints(docs, none):
     assert fingerprints.fingerprints(none).count() == 0
 
 
+def test_estimates_of_sets_above_k(spark):
+    """Sampled estimates are near the truth, and sketches of parts merge into that of the whole."""
+    rng, k = random.Random(3), 128
+    own = [f"w{rng.randint(0, 10**6)}" for _ in range(4000)]
+    rows = [(" ".join(own), " ".join(own[:3000])), (" ".join(own[:2500]), " ".join(own[1500:])), (" ".join(own), "other " * 9)]
+    df = spark.createDataFrame(rows, "a string, b string").select(*(fingerprints.words_of(F.col(c)).alias(c) for c in "ab"))
+    df = df.select(*(fingerprints.sketch_of(F.col(c), k).alias(c) for c in "ab"))
+    f = df.select(*(c.alias(n) for n, c in {"j": fingerprints.resemblance(F.col("a"), F.col("b"), k), "in_": fingerprints.containment(F.col("b"), F.col("a"), k), "n": fingerprints.distinct_count(F.col("a"), k), "size": F.size("a"), "back": fingerprints.from_text(fingerprints.as_text(F.col("a"))) == F.col("a")}.items()))
+    for r, (a, b) in zip(f.collect(), rows, strict=True):
+        x, y = shingles(a, 5), shingles(b, 5)
+        assert r.size == k and r.back and abs(r.j - len(x & y) / len(x | y)) < 0.15 and abs(r.n / len(x) - 1) < 0.3
+        assert abs(r["in_"] - len(x & y) / len(y)) < 0.3
+    parts = spark.createDataFrame([(1, " ".join(own[i : i + 504])) for i in range(0, 4000, 500)], "g int, t string").select("g", fingerprints.words_of(F.col("t")).alias("t"))
+    whole = spark.createDataFrame([(" ".join(own),)], "t string").select(fingerprints.words_of(F.col("t")).alias("t")).select(fingerprints.sketch_of(F.col("t"), k).alias("s")).first().s
+    assert fingerprints.merged(parts.select("g", fingerprints.sketch_of(F.col("t"), k).alias("sketch")), ["g"], k=k).first().sketch == whole
+
+
 def test_merged_fingerprints(spark):
     df = spark.createDataFrame([(1, [1, 5, 9]), (1, [2, 5]), (2, [7])], "g int, sketch array<long>")
     assert {r.g: r.sketch for r in fingerprints.merged(df, ["g"], k=3).collect()} == {1: [1, 2, 5], 2: [7]}
@@ -146,6 +242,49 @@ def test_jaccard(spark, words, percent, long):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == classes(rows, words, percent)
 
 
+def test_block_pairs_are_those_that_can_link():
+    rng = np.random.default_rng(4)
+    for percent in (50, 80, 85):
+        n = 300
+        element, low = rng.integers(0, 6, n), rng.integers(1, 40, n)
+        high = low + rng.integers(0, 3, n) * rng.integers(0, 2, n)
+        rest = rng.integers(1, high + 1)
+        order = np.lexsort((-rest, low, element))
+        element, low, high, rest = (x[order] for x in (element, low, high, rest))
+        want = set()
+        for i, j in itertools.combinations(range(n), 2):
+            need = -(-percent * int(low[i] + low[j]) // (100 + percent))
+            if element[i] == element[j] and (percent * low[j] <= 100 * high[i] or low[i] == low[j]) and min(rest[i], rest[j]) >= need:
+                want.add((i, j))
+        got = [(int(i), int(j)) for a, b in jaccard_join.block_pairs(element, low, high, rest, percent, 50) for i, j in zip(a, b, strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize(("percent", "long"), [(70, 2), (80, 1000)])
+def test_jaccard_between_groups(spark, percent, long):
+    """Chains of copies that drift apart: groups whose leaders do not link while members do."""
+    rng, rows = random.Random(percent), []
+    for family in range(6):
+        x = [f"{family}w{i}" for i in range(40)]
+        for step in range(25):
+            rows.append((rng.randint(0, 10**9), " ".join(x)))
+            for _ in range(rng.randint(1, 4)):
+                x[rng.randrange(40)] = f"{family}n{rng.randint(0, 60)}"
+    got = jaccard_join.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string"), 1, percent, long)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == classes(rows, 1, percent)
+
+
+def test_jaccard_of_odd_rows(spark):
+    """Null ids have no component; rows of one id are one document; columns may have any names."""
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(5, a), (5, b), (5, a), (7, a), (8, b), (None, a), (None, None), (9, "x " * 60_000), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("own") for c in ("n_shingles", "component_id", "signature", "leader", "element")})
+    got = Counter(map(tuple, jaccard_join.similarity_classes(df).collect()))
+    five = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    with_a = five[a] < five[b]
+    assert got == Counter([(5, 27, 5), (5, 27, 5), (5, 27, 5), (7, 27, 5 if with_a else 7), (8, 27, 8 if with_a else 5), (None, 27, None), (None, 0, None), (9, 1, 9), (3, 0, 3)])
+
+
 def test_bucket_counts_of_large_sets():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (3, 4000, 5000, 900_000)]
@@ -191,10 +330,33 @@ def test_media(docs, none):
         raw = texts()[r.doc_id].encode()
         payload = raw.ljust(max(192, -(-len(raw) // 192) * 192))
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
-        assert sum(map(int, r.feature.split(","))) == len(payload)
+        levels = np.bincount(np.frombuffer(payload, np.uint8) >> 4, minlength=16).tolist()
+        rows = -(-len(payload) // 192)
+        assert [(f.start, f.delay, f.width) for f in r.frames] == [(4 * i, 4, 192) for i in range(-(-rows // 256))]
+        assert all([sum(f[c][k] for f in r.frames) for k in range(16)] == levels for c in ("red", "green", "blue"))
+    feature = {r.doc_id: r.feature for r in gif.stored_media(docs).select("doc_id", gif.feature_of("frames").alias("feature")).collect()}
+    assert feature[3] == feature[40] != feature[4] and feature[41] == "1;4;" + ";".join([",".join(["0"] * 2 + ["192"] + ["0"] * 13)] * 3)
     assert gif.stored_media(none).count() == 0
 
 
+def test_media_frames(spark):
+    """Timed frames as they are shown, and damaged files told apart."""
+    red_blue = bytes([255, 0, 0, 0, 0, 255])
+    good = gif.encode_gif(2, 2, [gif.Frame(0, 0, 2, 2, bytes([0, 0, 0, 1]), delay=5), gif.Frame(1, 0, 1, 2, bytes([1, 0]), delay=7, disposal=2, transparent=0), gif.Frame(0, 0, 1, 1, b"\1")], red_blue)
+    rows = [(1, bytearray(good)), (1, bytearray(good)), (2, None), (3, bytearray(b"GIF89a")), (4, bytearray(b"nothing")), (None, bytearray(good[:-4])), (5, bytearray(good[:30]))]
+    df = spark.createDataFrame(rows, "doc_id long, media binary").withColumn("frame", F.lit("own"))
+    got = gif.media_frames(df).collect()
+    frames = [r for r in got if r.doc_id == 1]
+    assert Counter((r.frame, r.start, r.delay, r.width, r.height) for r in frames) == Counter({(0, 0, 5, 2, 2): 2, (1, 5, 7, 2, 2): 2, (2, 12, 0, 2, 2): 2})
+    # red and blue of the pixels shown: 3 and 1; the right column half blue; its area gone but for the left one
+    assert {(r.frame, r.red[15], r.blue[15], sum(r.green)) for r in frames} == {(0, 3, 1, 4), (1, 2, 2, 4), (2, 1, 1, 2)}
+    assert {r.doc_id for r in got if r.error} == {3, 4, None, 5} and all(r.frame is None for r in got if r.error)
+    assert gif.media_frames(df.limit(0)).count() == 0
+    for cut in range(6, len(good)):
+        with pytest.raises(ValueError):
+            gif.decode_gif(good[:cut])
+
+
 def test_lines(spark, none):
     rng = random.Random(3)
     rows = [(i, "\n".join(rng.choice(["a", " b", "c ", "", "d"]) for _ in range(rng.randint(0, 12)))) for i in range(80)] + [(200, None), (201, "")]
@@ -242,6 +404,39 @@ def test_lines_with_many_words(spark):
     assert {r.doc_id: r.text for r in line_dedup.without_repeats(some).collect()} == {1: f"x\n{long}", 3: "y", 4: long[:-4], 5: long[:-4]}
 
 
+def test_positions_are_selected_ones():
+    """Fewer rows than runs; each run is in the rows of one position; and without the fingerprint's match nothing goes."""
+    h = mix64(np.arange(400, dtype=np.uint64))
+    prints, at, first, last = line_dedup.positions(h, 2, 2)
+    assert len(prints) < 0.8 * (len(h) - 2) and len(set(at.tolist())) == len(at)
+    assert [k for a, b in zip(first, last, strict=True) for k in range(a, b + 1)] == list(range(len(h) - 2))
+    assert all(a - 1 <= x and y <= a for a, x, y in zip(at, first, last, strict=True))
+
+
+@pytest.mark.parametrize(("gram", "window"), [(2, 2), (1, 3), (2, 4), (3, 1)])
+def test_extents(spark, gram, window):
+    """Every line in a run of lines that also starts earlier goes, and no other; also with repeated and null ids, clashing
+    columns and a long text."""
+    rng, run = random.Random(gram), gram + window - 1
+    rows = [(i, "\n".join(rng.choice("abcd") for _ in range(rng.randint(0, 14)))) for i in range(60)]
+    rows += [(7, "p\nq\nr\ns\nt\nu"), (None, "p\nq\nr\ns\nt\nu"), (None, None), (3, rows[3][1]), (99, "\n".join(rng.choice("efghijkl") for _ in range(3000)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("own") for c in ("_extents", "_doc_id", "_text_hash", "print", "head", "n_chars")})
+    keys = {r.text: r.h for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    seen, want = {}, {}
+    for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, keys[r[1]])):
+        lines, gone = (t or "").split("\n"), set()
+        at = [i for i, x in enumerate(lines) if x.strip()]
+        for k in range(len(at) - run + 1):
+            if seen.setdefault(tuple(lines[i] for i in at[k : k + run]), (d, t, k)) != (d, t, k):
+                gone.update(range(at[k], at[k + run - 1] + 1))
+        want[d, t] = None if t is None else "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    got = line_dedup.report(df, gram, window).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((d, want[d, t]) for d, t in rows)
+    left = line_dedup.without_repeats(df.drop("n_chars"), gram, window, None)
+    assert left.columns == df.drop("n_chars").columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter((d, want[d, t]) for d, t in rows if want[d, t] == t or (want[d, t] or "").strip())
+
+
 def test_winnow_takes_one_of_each_window():
     g = mix64(np.arange(50, dtype=np.uint64) // np.uint64(2))
     at = line_dedup.winnow(g, 4)
@@ -352,10 +547,54 @@ def test_language(spark, none):
     assert lang_id.identify(none).count() == 0
 
 
-def test_cross_parsing_counts_greedy_phrases():
+def greedy(text, sample):
+    n = i = 0
+    while i < len(text):
+        k = 0
+        while i + k < len(text) and text[i : i + k + 1] in sample:
+            k += 1
+        i, n = i + max(k, 1), n + 1
+    return n
+
+
+def test_cross_parsing_counts_greedy_phrases(monkeypatch):
     p = lang_id.CrossParser({"x": "abcabd"})
     # ab | abca | zz twice alone | d
     assert p.phrases(["ababca"])[0, 0] == 2 and p.phrases(["zzd"])[0, 0] == 3
+    rng = random.Random(0)
+    for _ in range(25):
+        for name, values in (("SEGMENT", (3, 7, 20)), ("LANES", (2, 5, 100)), ("ALPHABET", (3, 6, 64))):
+            monkeypatch.setattr(lang_id, name, rng.choice(values))
+        letters = "abcdefg日本語"
+        samples = {k: "".join(rng.choice(letters[: rng.randint(2, 10)]) for _ in range(rng.randint(1, 60))) for k in "xyz"}
+        many = ["".join(rng.choice(letters + "Z") for _ in range(rng.randint(0, 90))) for _ in range(9)]
+        parser = lang_id.CrossParser(samples)
+        assert parser.phrases(many).tolist() == [[greedy(t, samples[k]) for k in "xyz"] for t in many]
+        known = [t for t in many if t]
+        cost = [[greedy(t.lower(), samples[k]) * np.log2(max(2, len(samples[k]))) for k in "xyz"] for t in known]
+        assert parser.predict(known)[0] == ["xyz"[int(np.argmin(c))] for c in cost]
+
+
+def test_suffix_automaton():
+    rng = random.Random(1)
+    for _ in range(30):
+        text = [rng.randint(0, 2) for _ in range(rng.randint(1, 25))]
+        to = lang_id.suffix_automaton(text)
+        parts = {tuple(text[i:j]) for i in range(len(text)) for j in range(i, len(text) + 1)}
+        for n in range(6):
+            for word in itertools.product(range(3), repeat=n):
+                state = 0
+                for c in word:
+                    state = None if state is None else to[state].get(c)
+                assert (state is not None) == (word in parts)
+
+
+def test_language_of_odd_rows(spark):
+    long = "the quick brown fox jumps over the lazy dog " * 5000
+    rows = [(1, long, "en"), (1, "der schnelle braune fuchs", "de"), (None, "the lazy fox", "en"), (None, "der braune fuchs", None), (2, "the fox", "en"), (2, "the fox", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({c: F.lit(1) for c in ("rank", "h", "size", "over", "held_out", "score")})
+    got = lang_id.identify(df).collect()
+    assert Counter((r.doc_id, r.lang_pred) for r in got) == Counter((d, "de" if "der" in t else "en") for d, t, _ in rows)
 
 
 def test_targets_and_seats():
@@ -396,7 +635,7 @@ def test_mix_of_rows_with_one_id(spark):
     """Repeated and null ids with other texts, and equal rows: each row is taken by its own plan."""
     rows = [(d, " ".join(f"{i}w{k}" for k in range(9 + i)), "en", s, 1) for i, (d, s) in enumerate([(1, "a"), (1, "a"), (1, "b"), (None, "a"), (None, "a"), (None, None), (2, "b"), (3, None)])]
     rows += [rows[0], (1, None, "en", "a", 1), (None, "", "en", "a", 0), (0, rows[3][1], "en", "a", 1)]
-    df = spark.createDataFrame(rows, SCHEMA)
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("own") for c in ("_mix_id", "row", "id", "hash", "key", "nth", "plan", "plans", "passes", "spans", "taken_text")})
     for share in (0.4, 1.5):
         want, got = Counter(), Counter()
         for r in mixing.mix(df, share=share, block_words=4).collect():
@@ -416,19 +655,20 @@ def test_pieces(docs, none):
     for text in ["ab cd", "hello", "a  b", "é ñ", "x\ny", "日本", "▁a", "\t q", ""]:
         found = []
 
-        def go(at, score, chunk, found=found):
+        def go(at, score, ids, chunk, found=found):
             if at == len(chunk):
-                found.append(score)
+                found.append((score, np.array(ids, "<u2").tobytes()))
             for end in range(at + 1, len(chunk) + 1):
-                for start, s, _ in model._edges(chunk, end):
+                for start, s, piece in model._edges(chunk, end):
                     if start == at:
-                        go(end, score + s, chunk)
+                        go(end, score + s, ids + piece, chunk)
 
-        go(0, 0, f" {text}" if text else "")
-        ids, best, scores = model.encode(text)
+        go(0, 0, (), f" {text}" if text else "")
+        ids, best, n_best = model.encode(text)
         assert model.decode(ids) == text if text else ids == b""
-        assert scores == sorted(found, reverse=True)[:3] and best == scores[0]
-        assert [round(s * 1024) for s, _ in model.n_best_of(text)] == scores
+        assert [s for s, _ in n_best] == sorted((s for s, _ in found), reverse=True)[:3] and n_best[0] == (best, ids)
+        assert len({x for _, x in n_best}) == len(n_best) and set(n_best) <= set(found)
+        assert [round(s * pieces.UNIT) for s, _ in model.n_best_of(text)] == [s for s, _ in n_best]
     rng = random.Random(5)
     chunks = {" " + "".join(rng.choice("abeilnorst'.é日\t▁\0") for _ in range(rng.randint(1, 40))) for _ in range(600)} | {" ", "   ", "\n"}
     model.solve_all(chunks)
@@ -437,9 +677,22 @@ def test_pieces(docs, none):
         assert model.solved[chunk] == model._solve(chunk) and gap in ([], [model.solved[chunk][2]])
     rows = pieces.encode_pieces(docs, queries.PIECES).collect()
     assert len(rows) == len(corpus()) and all(r.round_trip for r in rows)
+    for r in rows:
+        wide = lambda x: zlib.crc32(np.frombuffer(bytes(x), "<u2").astype("<u4").tobytes())
+        assert r.ids == r.n_best_ids[0] and r.ids_crc32 == wide(r.ids) and r.n_best_crc32 == list(map(wide, r.n_best_ids))
+        assert r.n_best_scores == sorted(r.n_best_scores, reverse=True) and r.n_best_scores[0] == r.score
     assert pieces.encode_pieces(none, queries.PIECES).count() == 0
 
 
+def test_best_pieces_are_mostly_the_librarys(spark):
+    import sentencepiece
+
+    library, model = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES), pieces.load(queries.PIECES)
+    words = Counter(w for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() for w in (r.text or "").split())
+    same = sum(n for w, n in words.items() if np.frombuffer(model.encode(w)[0], "<u2").tolist() == library.encode(w))
+    assert same >= 0.9 * sum(words.values())
+
+
 def test_mix64():
     x = np.random.default_rng(7).integers(0, 1 << 63, 100).astype(np.uint64)
     assert (unmix64(mix64(x)) == x).all()

@@ -136,9 +136,10 @@ def shingle_set(text: bytes, n: int) -> np.ndarray:
     return np.unique(gram_hashes(word_hashes(words), min(n, len(words))))
 
 
-def ranges(df: DataFrame, column: str, n: int) -> list:
-    """At most n - 1 values of an integer column that cut its rows in n parts; only that column is read."""
+def ranges(df: DataFrame, column: str, n: int, repeats: bool = False) -> list:
+    """At most n - 1 values of an integer column that cut its rows in n parts, in order; with repeats a value that takes
+    the place of several stands as often. Only that column is read."""
     if n < 2:
         return []
     at = df.select(F.percentile_approx(column, [i / n for i in range(1, n)], 20_000)).first()[0]
-    return sorted(set(at or []))
+    return sorted(at or []) if repeats else sorted(set(at or []))

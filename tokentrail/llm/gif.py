@@ -5,7 +5,10 @@ disposal 0 to 3, transparent colours, delays. encode_gif() writes frames of pale
 bytes as the pixels of grey frames, 192 wide, losslessly; payload_of() gets them back.
 
 Nulls: a null text is the empty text. An empty text is one row of 192 spaces. Long texts are frames of at most
-FRAME_ROWS rows that follow each other in time. Equal texts give equal bytes. Damaged files raise ValueError.
+FRAME_ROWS rows that follow each other in time, each removed after its time, so that a short last frame shows no rows of
+the one before. Equal texts give equal bytes, and rows with one doc_id are rows of their own. Damaged files raise
+ValueError; in a table they have no frames and say in column error what is wrong, and null media has neither. An empty
+table gives no rows. Columns other than doc_id and text, or media, are left out.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, utf8, written
@@ -173,6 +176,13 @@ def parse_gif(data: bytes) -> tuple[int, int, bytes | None, int, list[Frame]]:
     """(width, height, global palette, background index, frames of palette indices)."""
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
+    try:
+        return _parsed(data)
+    except IndexError:
+        raise ValueError("the file ends early") from None
+
+
+def _parsed(data: bytes) -> tuple[int, int, bytes | None, int, list[Frame]]:
     width, height, flags, background = int.from_bytes(data[6:8], "little"), int.from_bytes(data[8:10], "little"), data[10], data[11]
     at, palette = 13, None
     if flags & 0x80:
@@ -187,7 +197,7 @@ def parse_gif(data: bytes) -> tuple[int, int, bytes | None, int, list[Frame]]:
         return b"".join(parts), at + 1
 
     frames, control = [], {}
-    while at < len(data) and data[at] != 0x3B:
+    while data[at] != 0x3B:
         if data[at] == 0x21:
             body, end = sub_blocks(at + 2)
             if data[at + 1] == 0xF9 and len(body) >= 4:
@@ -199,8 +209,11 @@ def parse_gif(data: bytes) -> tuple[int, int, bytes | None, int, list[Frame]]:
             if flags & 0x80:
                 n = 3 << (flags & 7) + 1
                 local, at = data[at : at + n], at + n
+            size = data[at]
+            if not 2 <= size <= 8:
+                raise ValueError(f"samples of {size} bits")
             body, end = sub_blocks(at + 1)
-            pixels = lzw_decode(body, data[at], w * h)
+            pixels = lzw_decode(body, size, w * h)
             if flags & 0x40:
                 rows = [b""] * h
                 for i, r in enumerate(_interlace(h)):
@@ -213,24 +226,33 @@ def parse_gif(data: bytes) -> tuple[int, int, bytes | None, int, list[Frame]]:
     return width, height, palette, background, frames
 
 
-def decode_gif(data: bytes) -> list[tuple[int, int, np.ndarray]]:
-    """(start in hundredths, delay, canvas of height x width x 4) of each frame, as it is shown."""
-    width, height, palette, _, frames = parse_gif(data)
-    canvas, out, clock = np.zeros((height, width, 4), np.uint8), [], 0
+def shown_frames(width: int, height: int, palette: bytes | None, frames: list[Frame]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(start in hundredths, delay, canvas of height x width x 4) of each frame, as it is shown. The canvas is the same
+    array each time."""
+    canvas, clock = np.zeros((height, width, 4), np.uint8), 0
     for f in frames:
-        colours = np.frombuffer((f.palette or palette or GREY).ljust(768, b"\0"), np.uint8).reshape(256, 3)
+        colours = np.full((256, 4), 255, np.uint8)
+        colours[:, :3] = np.frombuffer((f.palette or palette or GREY).ljust(768, b"\0")[:768], np.uint8).reshape(256, 3)
         before = canvas.copy() if f.disposal == 3 else None
         index = np.frombuffer(f.pixels, np.uint8).reshape(f.height, f.width)[: max(0, height - f.top), : max(0, width - f.left)]
         area = canvas[f.top : f.top + index.shape[0], f.left : f.left + index.shape[1]]
-        shown = np.ones(index.shape, bool) if f.transparent is None else index != f.transparent
-        area[shown] = np.concatenate([colours[index[shown]], np.full((int(shown.sum()), 1), 255, np.uint8)], axis=1)
-        out.append((clock, f.delay, canvas.copy()))
+        if f.transparent is None:
+            area[:] = colours[index]
+        else:
+            shown = index != f.transparent
+            area[shown] = colours[index[shown]]
+        yield clock, f.delay, canvas
         clock += f.delay
         if f.disposal == 2:
             area[:] = 0
         elif f.disposal == 3:
             canvas = before
-    return out
+
+
+def decode_gif(data: bytes) -> list[tuple[int, int, np.ndarray]]:
+    """shown_frames of a file, each with a canvas of its own."""
+    width, height, palette, _, frames = parse_gif(data)
+    return [(start, delay, canvas.copy()) for start, delay, canvas in shown_frames(width, height, palette, frames)]
 
 
 # ---- columns ----
@@ -240,15 +262,18 @@ def payload_gif(payload: bytes) -> bytes:
     """Bytes, a multiple of WIDTH, as the samples of grey frames that follow each other."""
     step = WIDTH * FRAME_ROWS
     parts = [payload[i : i + step] for i in range(0, len(payload), step)]
-    return encode_gif(WIDTH, min(FRAME_ROWS, len(payload) // WIDTH), [Frame(0, 0, WIDTH, len(p) // WIDTH, p, delay=4) for p in parts])
+    return encode_gif(WIDTH, min(FRAME_ROWS, len(payload) // WIDTH), [Frame(0, 0, WIDTH, len(p) // WIDTH, p, delay=4, disposal=2) for p in parts])
 
 
 def payload_of(data: bytes) -> bytes:
     return b"".join(f.pixels for f in parse_gif(data)[4])
 
 
-def histogram(samples: np.ndarray, bins: int = BINS) -> np.ndarray:
-    return np.bincount(samples >> 4 if bins == 16 else samples * bins // 256, minlength=bins)
+def colour_histograms(canvas: np.ndarray) -> list[list[int]]:
+    """How many of the pixels shown fall in each of BINS levels of red, of green and of blue."""
+    seen = canvas[..., 3] > 0
+    levels = canvas[..., :3] if seen.all() else canvas[seen]
+    return [np.bincount(levels[..., k].reshape(-1) >> 4, minlength=BINS).tolist() for k in range(3)]
 
 
 def media_table(docs: DataFrame) -> DataFrame:
@@ -263,43 +288,66 @@ def media_table(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
+_FRAME = pa.struct([(n, pa.int32()) for n in ("start", "delay", "width", "height")] + [(n, pa.list_(pa.int32())) for n in ("red", "green", "blue")])
+_FRAME_SQL = "struct<start:int,delay:int,width:int,height:int,red:array<int>,green:array<int>,blue:array<int>>"
+
+
+def _frames(parsed: tuple) -> list[dict]:
+    """The timed frames of a parsed file as they are shown, with colour histograms."""
+    width, height, palette, _, frames = parsed
+    out = []
+    for start, delay, canvas in shown_frames(width, height, palette, frames):
+        red, green, blue = colour_histograms(canvas)
+        out.append({"start": start, "delay": delay, "width": width, "height": height, "red": red, "green": green, "blue": blue})
+    return out
+
+
 def media_features(media: DataFrame) -> DataFrame:
-    """Decodes stored payload GIFs: the payload's size and checksums, and its histogram of BINS grey levels."""
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames int, feature string"
+    """Decodes stored payload GIFs: the payload's size and checksums, and the timed frames with colour histograms."""
+    schema = f"doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, frames array<{_FRAME_SQL}>"
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "frames"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(_FRAME)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             rows = []
             for d, n, raw in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                frames = parse_gif(raw)[4]
-                payload = b"".join(f.pixels for f in frames)
-                h = histogram(np.frombuffer(payload, np.uint8))
-                rows.append((d, n, len(payload), sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(raw), sha256(raw).hexdigest(), len(frames), ",".join(map(str, h.tolist()))))
-            yield pa.RecordBatch.from_pylist([dict(zip([c.split()[0] for c in schema.split(", ")], r, strict=True)) for r in rows], schema=kind)
+                parsed = parse_gif(raw)
+                payload = b"".join(f.pixels for f in parsed[4])
+                rows.append((d, n, len(payload), sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(raw), sha256(raw).hexdigest(), _frames(parsed)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
-    kind = pa.schema([(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[c.split()[1]]) for c in schema.split(", ")])
     return media.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
 
 
+def feature_of(frames) -> Column:
+    """A string of the frames: their number, the whole time, and the levels of red, green and blue summed over them."""
+    f = F.col(frames)
+    total = lambda c: F.aggregate(f[c], F.array_repeat(F.lit(0).cast("long"), BINS), lambda a, x: F.zip_with(a, x, lambda p, q: p + q))
+    levels = [F.array_join(total(c), ",") for c in ("red", "green", "blue")]
+    return F.concat_ws(";", F.size(f).cast("string"), F.aggregate(f["delay"], F.lit(0).cast("long"), lambda a, x: a + x).cast("string"), *levels)
+
+
 def media_frames(media: DataFrame) -> DataFrame:
     """Any GIFs (doc_id, media) as timed frames: start and delay in hundredths, size, and histograms of BINS levels of
-    red, green and blue over the pixels shown."""
-    schema = "doc_id long, frame int, start int, delay int, width int, height int, red array<int>, green array<int>, blue array<int>"
+    red, green and blue over the pixels shown. A damaged file is one row with the reason in error."""
+    schema = "doc_id long, frame int, start int, delay int, width int, height int, red array<int>, green array<int>, blue array<int>, error string"
+    numbers, levels = ["start", "delay", "width", "height"], ["red", "green", "blue"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 16):
             out: list[tuple] = []
             for d, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for i, (start, delay, canvas) in enumerate(decode_gif(raw) if raw else ()):
-                    shown = canvas[canvas[..., 3] > 0]
-                    out.append((d, i, start, delay, canvas.shape[1], canvas.shape[0], *(histogram(shown[:, k]).tolist() for k in range(3))))
-            types = [pa.int64(), *[pa.int32()] * 5, *[pa.list_(pa.int32())] * 3]
-            names = ["doc_id", "frame", "start", "delay", "width", "height", "red", "green", "blue"]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names=names)
+                try:
+                    out += [(d, i, *(f[c] for c in numbers + levels), None) for i, f in enumerate(_frames(parse_gif(raw)) if raw is not None else ())]
+                except ValueError as e:
+                    out.append((d, *[None] * 8, str(e)))
+            types = [pa.int64(), *[pa.int32()] * 5, *[pa.list_(pa.int32())] * 3, pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names=["doc_id", "frame", *numbers, *levels, "error"])
 
-    return media.select("doc_id", "media").mapInArrow(run, schema)
+    return media.select(F.col("doc_id").cast("long"), "media").mapInArrow(run, schema)
 
 
 def stored_media(docs: DataFrame) -> DataFrame:
-    """Stores the media column in a table of the shared folder and computes features from what is read back."""
+    """Stores the media column in a table of the shared folder and computes features and frames from what is read back."""
     return media_features(written(media_table(docs), "media"))

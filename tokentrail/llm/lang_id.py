@@ -1,14 +1,21 @@
 """Language identification by cross-parsing against suffix automata.
 
-A bounded sample of labelled text of each language becomes a suffix automaton. A text is parsed, against each of
-them, into the longest phrases that occur in the sample; the language that needs fewest phrases wins. Automata
-are stored as dense transition tables over the commonest characters, whose missing transitions already hold the
-way on: end a phrase and start the next one with this character. So all texts of a batch, cut in segments of
-SEGMENT characters, go through the tables side by side, one table lookup for a character.
-
+A bounded sample of whole labelled texts of each language becomes a suffix automaton. A text is parsed, against each of
+them, into the longest phrases that occur in the sample; a character that does not is a phrase. A phrase costs the bits
+of a place in the sample, the logarithm of its size, so that samples of unequal sizes compare; the language with the
+least normalised number of phrases wins.
+
+Automata are dense transition tables over the ALPHABET commonest characters, whose missing transitions already hold the
+way on (end a phrase, and start the next one with this character), and sorted lists for other characters. A long text is
+one parse: its segments go through the tables side by side from the start state, and are then gone through again from
+the state in which the one before them really ends, until both ways meet.
+
+The sample: by a hash of doc_id, at most SAMPLE_DOCS whole texts a language of at most TEXT_CHARS characters, until
+SAMPLE_CHARS are reached, or its part of ALL_CHARS; a language with longer texts only gives its shortest one.
 Nulls: a null text, or one without a letter, is `und` with score 0. Rows with null lang are never learned from.
-Ties go to the language first by code point. Without anything to learn from, all is `und`. An empty table gives
-no rows; columns other than doc_id, text and lang are ignored.
+Ties go to the language first by code point. Without anything to learn from, all is `und`. Rows with one doc_id are rows
+of their own, and equal texts have equal results. An empty table gives no rows; columns other than doc_id, text and lang
+are ignored.
 """
 
 from __future__ import annotations
@@ -23,27 +30,29 @@ from pyspark.sql import functions as F
 from .common import slices
 
 UNDETERMINED = "und"
-#: Bounds of the sample: documents of a language, characters of a language, and characters of all languages.
-SAMPLE_DOCS, SAMPLE_CHARS, ALL_CHARS = 200, 40_000, 320_000
-SEGMENT, ALPHABET = 512, 64
+#: Bounds of the sample: texts of a language, characters of a text, of a language, and of all languages.
+SAMPLE_DOCS, TEXT_CHARS, SAMPLE_CHARS, ALL_CHARS = 200, 2_000, 40_000, 320_000
+#: Characters of a segment, segments that go side by side, and characters with a column of their own.
+SEGMENT, LANES, ALPHABET = 512, 2_048, 64
 
 
 def held_out(doc_id: str = "doc_id", of: int = 3, fold: int = 1):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % of == fold, F.lit(False))
 
 
-def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
-    """The sample of each language: documents by a hash of their ids, SAMPLE_DOCS of them at most, an equal share of
-    characters from the middle of each until the bound."""
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    share = sample_chars // sample_docs
-    ids = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", F.expr(f"substring(text, greatest(1, char_length(text) div 2 - {share}), {2 * share})").alias("part"))
-    rows = ids.withColumn("rank", rank).filter(F.col("rank") <= sample_docs).select("lang", "rank", "part").collect()
+def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, text_chars: int = TEXT_CHARS, sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
+    """The sample of each language, whole texts put together by line ends."""
+    known = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.char_length("text").alias("size"), F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"))
+    known = known.withColumn("over", F.greatest(F.col("size") - text_chars, F.lit(0)))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("over", "h", "t", "text"))
+    rows = known.withColumn("rank", rank).filter((F.col("rank") <= sample_docs) & ((F.col("over") == 0) | (F.col("rank") == 1))).select("lang", "rank", "text").collect()
+    most = min(sample_chars, ALL_CHARS // max(1, len({r.lang for r in rows})))
     out: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r.lang, r.rank)):
-        out.setdefault(r.lang, []).append(r.part.lower())
-    most = min(sample_chars, ALL_CHARS // max(1, len(out)))
-    return {lang: "\n".join(parts)[:most] for lang, parts in out.items()}
+        own = out.setdefault(r.lang, [])
+        if not own or sum(map(len, own)) + len(r.text) <= most:
+            own.append(r.text.lower())
+    return {lang: "\n".join(parts) for lang, parts in out.items() if any(parts)}
 
 
 def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
@@ -81,60 +90,114 @@ class CrossParser:
 
     def __init__(self, samples: dict[str, str]) -> None:
         self.langs = sorted(samples)
-        counts = np.bincount(np.frombuffer("".join(samples.values()).encode("utf-32-le"), "<u4"), minlength=1) if samples else np.zeros(1, np.int64)
+        points = [np.frombuffer(samples[x].encode("utf-32-le", "replace"), "<u4") for x in self.langs]
+        counts = np.bincount(np.concatenate(points)) if points else np.zeros(1, np.int64)
         commonest = np.argsort(-counts, kind="stable")[: ALPHABET - 1]
-        self.classes = np.zeros(max(len(counts), 1), np.uint8)  # 0: any other character
-        for i, c in enumerate(commonest):
-            if counts[c]:
-                self.classes[c] = i + 1
-        self.tables = []
-        for lang in self.langs:
-            to = suffix_automaton(self._classes_of(samples[lang]).tolist())
+        self.columns = np.zeros(len(counts), np.uint8)  # 0: any other character
+        self.columns[commonest] = np.arange(1, len(commonest) + 1)
+        self.columns[counts == 0] = 0
+        self.known = counts > 0
+        self.bits = np.array([np.log2(max(2, len(x))) for x in points])
+        self.tables, self.rare = [], []
+        for text in points:
+            to = suffix_automaton(text.tolist())
             table = np.zeros((len(to), ALPHABET), np.int32)
-            for c in range(ALPHABET):
-                table[:, c] = ~to[0].get(c, 0)  # below zero: a phrase ends before this character
+            for c in commonest.tolist():
+                table[:, self.columns[c]] = ~to[0].get(c, 0)  # below zero: a phrase begins with this character
+            table[:, 0] = ~0
+            keys, states = [], []
             for s, edges in enumerate(to):
                 for c, t in edges.items():
-                    table[s, c] = t
+                    if self.columns[c]:
+                        table[s, self.columns[c]] = t if s else ~t
+                    else:
+                        keys.append(s << 21 | c)
+                        states.append(t if s else ~t)
+            order = np.argsort(np.array(keys, np.int64))
             self.tables.append(table.ravel())
-
-    def _classes_of(self, text: str) -> np.ndarray:
-        points = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-        return np.where(points < len(self.classes), self.classes[np.minimum(points, len(self.classes) - 1)], np.uint8(0))
+            self.rare.append((np.array(keys, np.int64)[order], np.array(states, np.int32)[order]))
+
+    def _next(self, lang: int, state: np.ndarray, column: np.ndarray, point: np.ndarray | None) -> np.ndarray:
+        """States after a character, below zero where it begins a phrase. point: characters, if any is rare."""
+        out = self.tables[lang][state * ALPHABET + column]
+        keys, states = self.rare[lang]
+        if point is not None and len(keys):
+            odd = np.flatnonzero(column == 0)
+            for s in (np.zeros(len(odd), np.int64), state[odd].astype(np.int64)):  # a new phrase, unless this one goes on
+                key = s << 21 | point[odd]
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = keys[at] == key
+                out[odd[hit]] = states[at[hit]]
+        return out
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases of each text (rows) for each language (columns)."""
-        coded = [self._classes_of(t) for t in texts]
-        owner = np.repeat(np.arange(len(texts)), [-(-len(x) // SEGMENT) for x in coded])
-        parts = [x[i : i + SEGMENT] for x in coded for i in range(0, len(x), SEGMENT)]
-        order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
-        sizes = np.array([len(parts[i]) for i in order])
-        grid = np.zeros((SEGMENT, len(parts)), np.int32)
-        for k, i in enumerate(order):
-            grid[: sizes[k], k] = parts[i]
         out = np.zeros((len(texts), len(self.langs)), np.int64)
-        if not parts:
-            return out
-        active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
-        for j, table in enumerate(self.tables):
-            state, ends = np.zeros(len(parts), np.int32), np.ones(len(parts), np.int32)
-            for step, n in enumerate(active.tolist()):
-                nxt = table[state[:n] * ALPHABET + grid[step, :n]]
-                mark = nxt >> 31  # -1 where a phrase ends
-                ends[:n] -= mark
-                state[:n] = nxt ^ mark
-            out[:, j] = np.bincount(owner[order], weights=ends, minlength=len(texts)).astype(np.int64)
+        coded = [np.frombuffer(t.encode("utf-32-le", "replace"), "<u4") for t in texts]
+        lanes = [(k, i) for k, x in enumerate(coded) for i in range(0, len(x), SEGMENT)]
+        ends = np.zeros(len(self.langs), np.int32)  # of the last lane before, for a text that goes on
+        for at in range(0, len(lanes), LANES):
+            part = lanes[at : at + LANES]
+            owner = np.array([k for k, _ in part])
+            sizes = np.array([min(SEGMENT, len(coded[k]) - i) for k, i in part])
+            points = np.zeros((int(sizes.max()), len(part)), np.int64)
+            for j, (k, i) in enumerate(part):
+                points[: sizes[j], j] = coded[k][i : i + SEGMENT]
+            inside = np.minimum(points, len(self.columns) - 1)
+            columns = np.where(points < len(self.columns), self.columns[inside], np.uint8(0))
+            odd = (columns == 0) & self.known[inside] & (points < len(self.columns))
+            follows = np.array([i > 0 for _, i in part])
+            for lang in range(len(self.langs)):
+                count, ends[lang] = self._parse(lang, columns, points if odd.any() else None, sizes, follows, ends[lang])
+                out[:, lang] += np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
         return out
 
+    def _parse(self, lang: int, columns: np.ndarray, points: np.ndarray | None, sizes: np.ndarray, follows: np.ndarray, carried: int) -> tuple[np.ndarray, int]:
+        """(phrases that begin in each lane, state behind the last one). A lane that follows goes on from the state
+        behind the one before it, the first from carried."""
+        lanes, steps = columns.shape[1], columns.shape[0]
+        after = np.zeros((steps, lanes), np.int32)
+        state, count = np.zeros(lanes, np.int32), np.zeros(lanes, np.int64)
+
+        def step(k: int, who: np.ndarray, now: np.ndarray) -> np.ndarray:
+            return self._next(lang, now, columns[k, who], None if points is None else points[k, who])
+
+        order = np.argsort(-sizes, kind="stable")
+        active = np.searchsorted(-sizes[order], -np.arange(1, steps + 1), side="right")
+        for k, n in enumerate(active.tolist()):
+            who = order[:n]
+            nxt = step(k, who, state[who])
+            after[k, who] = nxt
+            count[who] += nxt < 0
+            state[who] = nxt ^ (nxt >> 31)
+        entered = np.zeros(lanes, np.int32)
+        while True:
+            enter = np.where(follows, np.concatenate([[carried], state[:-1]]), 0).astype(np.int32)
+            who = np.flatnonzero(enter != entered)
+            if not len(who):
+                return count, int(state[-1])
+            entered = enter
+            now, k = enter[who], 0
+            while len(who):
+                nxt, was = step(k, who, now), after[k, who]
+                count[who] += (nxt < 0).astype(np.int64) - (was < 0)
+                now = nxt ^ (nxt >> 31)
+                after[k, who] = nxt
+                apart = now != was ^ (was >> 31)
+                done = apart & (sizes[who] == k + 1)
+                state[who[done]] = now[done]
+                on = apart & ~done
+                who, now, k = who[on], now[on], k + 1
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         known = [i for i, t in enumerate(texts) if t and self.langs and any(map(str.isalpha, t))]
         langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
         if known:
-            found = self.phrases([texts[i].lower() for i in known])
-            best = found.argmin(axis=1)
-            # phrases relative to the best, in bits of a cross-entropy: shares of 2 ** -cost
-            cost = found - found.min(axis=1, keepdims=True)
-            share = 1 / np.exp2(-np.minimum(cost, 60.0)).sum(axis=1)
+            cost = self.phrases([texts[i].lower() for i in known]) * self.bits
+            best = cost.argmin(axis=1)
+            # what the others cost more, in phrases of the best, as bits: shares of 2 ** -cost
+            more = (cost - cost.min(axis=1, keepdims=True)) / self.bits[best][:, None]
+            share = 1 / np.exp2(-np.minimum(more, 60.0)).sum(axis=1)
             for i, k, s in zip(known, best, share, strict=True):
                 langs[i], scores[i] = self.langs[k], float(s)
         return langs, scores
@@ -144,7 +207,8 @@ _PARSERS: dict[int, CrossParser] = {}
 
 
 def predict_languages(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
-    """(doc_id, lang_pred, score) of each whole text. samples is bounded by ALL_CHARS and goes with the tasks."""
+    """(doc_id, lang_pred, score) of each whole text. samples is bounded by ALL_CHARS, or one text a language, and goes
+    with the tasks."""
     sent = docs.sparkSession.sparkContext.broadcast(samples)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

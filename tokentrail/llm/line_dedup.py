@@ -2,16 +2,22 @@
 
 Lines are compared without white space at their ends; blank lines are skipped in comparing and stay where they
 are, unless the lines around them go. Every RUN lines in a row (a run; RUN = GRAM + WINDOW - 1) hold WINDOW hashes of
-GRAM lines; the least, the last of equals, is selected as fingerprint, so two equal runs have it at one offset. Positions
-of one fingerprint are joined on what stands around it; each match names the first place of its lines, matches
-that go on in both documents grow both ways into one, and the later one's lines go. So a line goes if and only if
-it is in RUN lines in a row that also start earlier: in a document with a smaller doc_id, or further up in its own.
-With words, a repeat of fewer lines counts as well if it has that many words: such runs are matched one by one, by all
-their lines. The report's rule is the plain one, which its SQL has; the pipeline takes WORDS. Runs are judged on the input. Lines are cut at \\n only.
+GRAM lines; the least, the last of equals, is selected as fingerprint, so two equal runs have it at one offset.
+
+1. Only selected positions are kept, each once, with the lines before and behind it that its runs reach.
+2. Positions of one fingerprint are joined with its first place, and the match is extended to the left and to the
+   right, line by line, until the two texts differ. An extent of RUN lines or more is a repeat; the later one goes.
+3. Where a position's own text goes on otherwise than at the first place, its runs there are left over. These few are
+   joined in the same way on all their lines, with the first place that has them.
+So a line goes if and only if it is in RUN lines in a row that also start earlier: in a document with a smaller doc_id,
+or further up in its own. Matches that touch are one run. With words, a repeat of fewer lines counts as well if it has
+that many words; such runs are fingerprints of their own. The report's rule is the plain one, which its SQL has; the
+pipeline takes WORDS. Runs are judged on the input. Lines are cut at \\n only.
 
 Nulls: a null text stays null and has no lines; a null doc_id sorts first. Rows with one doc_id and one text get
-the same result and are no repeats of each other. Texts of fewer than RUN lines stay, unless words are given. An
-empty table gives no rows.
+the same result and are no repeats of each other; others with one doc_id are in the order of their text's hash. Texts
+of fewer than RUN lines stay, unless words are given. An empty table gives no rows. Other columns, of any names, are
+kept by without_repeats and left out by report.
 """
 
 from __future__ import annotations
@@ -21,16 +27,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import gram_hashes, slices, utf8
+from .common import fresh, gram_hashes, slices, utf8
 
 GRAM, WINDOW = 2, 2
 #: Words with which a run of fewer lines counts in the pipeline.
 WORDS = 50
 _NULL = -(2**63)
-_ROWS = "print long, run long, doc_id long, text_hash long, at int, lines int"
+_POSITION = "print long, lines int, slack int, doc_id long, text_hash long, at int, first int, last int, left array<long>, right array<long>"
 
 
 def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -52,56 +58,94 @@ def winnow(grams: np.ndarray, window: int) -> np.ndarray:
     return np.arange(len(runs)) + window - 1 - runs.argmin(axis=1)
 
 
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
+def _ragged(values: np.ndarray, start: np.ndarray, size: np.ndarray, step: int) -> np.ndarray:
+    """values[start], values[start + step], ... of each row, size of them, end to end."""
+    ends = np.cumsum(size)
+    i = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size)
+    return values[np.repeat(start, size) + step * i]
+
+
+def positions(hashes: np.ndarray, gram: int, window: int) -> tuple[np.ndarray, ...]:
+    """(fingerprint, place, first and last run that selected it) of each selected position of one text."""
+    grams = gram_hashes(hashes, gram)
+    if len(grams) < window:
+        none = np.empty(0, np.int64)
+        return grams[:0], none, none, none
+    chosen = winnow(grams, window)
+    first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+    last = np.append(first[1:], len(chosen)) - 1
+    return grams[chosen[first]], chosen[first], first, last
 
 
 def fingerprint_rows(docs: DataFrame, gram: int, window: int, words: int | None = None) -> DataFrame:
-    """(print, run, doc_id, text_hash, at, lines): a selected fingerprint, the hash of a run that selected it, its
-    place and lines; and each run of fewer lines that has enough words, as its own fingerprint."""
+    """A row for each selected position: its fingerprint, the runs (first to last) that selected it, and the hashes of
+    the lines before it, nearest first, and behind it that these runs reach. lines is the least length of a repeat,
+    slack how many lines that is more than the fingerprint's own. Runs of fewer lines with enough words have no slack."""
     run_lines = gram + window - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1024):
-            parts: list[list] = [[], [], [], [], []]
-            owners, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
-
-            def add(i: int, prints: np.ndarray, runs: np.ndarray, at: np.ndarray, lines: int, parts=parts) -> None:
-                for c, v in zip(parts, (_signed(prints), _signed(runs), np.full(len(runs), i), at, np.full(len(runs), lines)), strict=True):
-                    c.append(v)
-
+            parts: list[list[np.ndarray]] = [[] for _ in range(8)]
+            left, right = [], []
             for i, text in enumerate(utf8(b.column(2))):
                 hashes, _ = line_hashes(text)
-                if len(hashes) >= run_lines:
-                    grams = gram_hashes(hashes, gram)
-                    add(i, grams[winnow(grams, window)], gram_hashes(hashes, run_lines), np.arange(len(hashes) - run_lines + 1), run_lines)
-                before = np.concatenate([[0], np.cumsum(line_words(text))]) if words else [0]
-                for lines in range(1, min(run_lines, len(before))):
-                    at = np.flatnonzero(before[lines:] - before[:-lines] >= words)
+                prints, at, first, last = positions(hashes, gram, window)
+                before, behind = at - first, last + window - 1 - at
+                left.append(_ragged(hashes, at - 1, before, -1))
+                right.append(_ragged(hashes, at + gram, behind, 1))
+                found = [(prints, run_lines, window - 1, at, first, last, before, behind)]
+                sums = np.concatenate([[0], np.cumsum(line_words(text))]) if words else [0]
+                for lines in range(1, min(run_lines, len(sums))):
+                    at = np.flatnonzero(sums[lines:] - sums[:-lines] >= words)
                     if len(at):
-                        runs = gram_hashes(hashes, lines)[at]
-                        add(i, runs, runs, at, lines)
-            prints, runs, i, at, lines = (np.concatenate([*c, np.empty(0, np.int64)]) for c in parts)
-            i = i.tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(prints), pa.array(runs), pa.array([owners[k] for k in i], pa.int64()), pa.array([keys[k] for k in i], pa.int64()), pa.array(at.astype(np.int32)), pa.array(lines.astype(np.int32))], names=["print", "run", "doc_id", "text_hash", "at", "lines"])
-
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)), F.xxhash64("text"), "text").mapInArrow(run, _ROWS)
+                        none = np.zeros(len(at), np.int64)
+                        found.append((gram_hashes(hashes, lines)[at], lines, 0, at, at, at, none, none))
+                for prints, lines, slack, at, first, last, before, behind in found:
+                    for c, v in zip(parts, (prints.view(np.int64), np.full(len(at), lines), np.full(len(at), slack), np.full(len(at), i), at, np.stack([first, last]), before, behind), strict=True):
+                        c.append(v)
+            prints, lines, slack, i, at = (np.concatenate(c) if c else np.empty(0, np.int64) for c in parts[:5])
+            first, last = np.concatenate(parts[5], axis=1) if parts[5] else np.empty((2, 0), np.int64)
+            arrays = []
+            for sizes, values in ((parts[6], left), (parts[7], right)):
+                cuts = np.concatenate([[0], *sizes]).cumsum().astype(np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate([np.empty(0, np.uint64), *values]).view(np.int64))))
+            who = pa.array(i)
+            small = [pa.array(x.astype(np.int32)) for x in (lines, slack, at, first, last)]
+            yield pa.RecordBatch.from_arrays([pa.array(prints), *small[:2], b.column(0).take(who), b.column(1).take(who), *small[2:], *arrays], names=[c.split()[0] for c in _POSITION.split(", ")])
+
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)), F.xxhash64("text"), "text").mapInArrow(run, _POSITION)
+
+
+def _alike(a: Column, b: Column) -> Column:
+    """How many elements two arrays have in common from their beginning on."""
+    differs = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), False).cast("int")
+    return F.when(differs == 0, F.size(a)).otherwise(differs - 1)
 
 
 def matches(rows: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, at, lines, from_doc, from_at): runs that also start earlier, with the first place of all.
+    """(doc_id, text_hash, at, lines, from_doc, from_at): extents that also stand at an earlier place.
 
     First places are found with partial sums in each task, so a very common line moves a few rows only; the join back
-    has one row for each repeated run on its right, and Spark may split its left side.
+    has one row for each repeated fingerprint on its right, and Spark may split its left side.
     """
+    first = rows.groupBy("print", "lines").agg(F.min(F.struct("doc_id", "text_hash", "at", "left", "right")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    pairs = rows.join(first, ["print", "lines"]).filter((F.col("head.doc_id") != F.col("doc_id")) | (F.col("head.text_hash") != F.col("text_hash")) | (F.col("head.at") != F.col("at")))
+    pairs = pairs.withColumns({"back": _alike(F.col("left"), F.col("head.left")), "on": _alike(F.col("right"), F.col("head.right"))})
+    # the runs of this position within the extent
+    pairs = pairs.withColumns({"m1": F.greatest("first", F.col("at") - F.col("back")), "m2": F.least("last", F.col("at") + F.col("on") - F.col("slack"))})
+    long = pairs.filter("m1 <= m2").select("doc_id", "text_hash", F.col("m1").alias("at"), (F.col("m2") - F.col("m1") + F.col("lines")).alias("lines"), F.col("head.doc_id").alias("from_doc"), (F.col("head.at") + F.col("m1") - F.col("at")).alias("from_at"))
+    over = F.filter(F.sequence("first", "last"), lambda k: (F.col("m1") > F.col("m2")) | (k < F.col("m1")) | (k > F.col("m2")))
+    rest = pairs.filter(F.size(over) > 0).withColumn("k", F.explode(over))
+    rest = rest.select("doc_id", "text_hash", F.col("k").alias("at"), "lines", F.xxhash64("print", F.col("at") - F.col("k"), F.slice("left", F.lit(1), F.col("at") - F.col("k")), F.slice("right", F.lit(1), F.col("k") + F.col("slack") - F.col("at"))).alias("run"))
     here = F.struct("doc_id", "text_hash", "at")
-    first = rows.groupBy("print", "run", "lines").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return rows.join(first, ["print", "run", "lines"]).filter((F.col("first.doc_id") < F.col("doc_id")) | ((F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.text_hash") != F.col("text_hash"))) | ((F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.at") < F.col("at")))).select("doc_id", "text_hash", "at", "lines", F.col("first.doc_id").alias("from_doc"), F.col("first.at").alias("from_at"))
+    others = rest.groupBy("run", "lines").agg(F.min(here).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    late = rest.join(others, ["run", "lines"]).filter(F.col("head") != here)
+    return long.union(late.select("doc_id", "text_hash", "at", "lines", F.col("head.doc_id"), F.col("head.at")))
 
 
 def cut_lines(text: bytes, found: list[int]) -> tuple[bytes, int, int, int]:
-    """(text without the runs, lines, lines removed, runs after growing both ways), by runs as start << 32 | lines. A
-    blank line between two lines that go is removed with them."""
+    """(text without the extents, lines, lines removed, runs after joining those that touch), by extents as
+    start << 32 | lines. A blank line between two lines that go is removed with them."""
     lines = text.split(b"\n")
     _, at = line_hashes(text)
     edge = np.zeros(len(at) + 1, np.int64)
@@ -119,9 +163,13 @@ def cut_lines(text: bytes, found: list[int]) -> tuple[bytes, int, int, int]:
 
 
 def _joined(docs: DataFrame, gram: int, window: int, words: int | None) -> DataFrame:
-    stretch = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("lines").cast("long"))
-    found = matches(fingerprint_rows(docs, gram, window, words)).groupBy("doc_id", "text_hash").agg(F.collect_list(stretch).alias("_starts")).withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
-    return docs.join(found, (F.coalesce(docs.doc_id.cast("long"), F.lit(_NULL)) == F.col("_d")) & (F.xxhash64(docs.text) == F.col("_h")), "left").drop("_d", "_h")
+    """docs with one more column, last: the extents of each row's text that go, or null."""
+    extent = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("lines").cast("long"))
+    found = matches(fingerprint_rows(docs, gram, window, words)).groupBy("doc_id", "text_hash").agg(F.collect_list(extent).alias("extents"))
+    names = {c: fresh(docs.columns, f"_{c}") for c in found.columns}
+    found = found.withColumnsRenamed(names)
+    same = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)) == F.col(names["doc_id"])) & (F.xxhash64("text") == F.col(names["text_hash"]))
+    return docs.join(found, same, "left").drop(names["doc_id"], names["text_hash"])
 
 
 def report(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, words: int | None = None) -> DataFrame:
@@ -130,8 +178,8 @@ def report(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, words: int |
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             out = []
-            for d, text, starts in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
-                kept, lines, removed, runs = cut_lines(text, starts) if starts else (text, 0 if text is None else text.count(b"\n") + 1, 0, 0)
+            for d, text, found in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True):
+                kept, lines, removed, runs = cut_lines(text, found) if found else (text, 0 if text is None else text.count(b"\n") + 1, 0, 0)
                 out.append((d, lines, removed, runs, kept))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             arrays = [pa.array([r[i] for r in out], t) for i, t in enumerate(types)]
@@ -156,5 +204,5 @@ def without_repeats(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, wor
             arrays = [pa.array(cut, pa.binary()).cast(pa.string()) if i == text else b.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(keep)
 
-    out = _joined(docs, gram, window, words).select(*columns, "_starts").mapInArrow(run, schema)
+    out = _joined(docs, gram, window, words).mapInArrow(run, schema)
     return out.withColumn("n_chars", F.char_length("text").cast(schema["n_chars"].dataType)) if "n_chars" in columns else out

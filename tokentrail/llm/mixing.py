@@ -5,9 +5,11 @@ shards get theirs from the source's number in the same way by their sizes. In ea
 seeded order and their words are cut into blocks; a quota above the number of blocks repeats all of them, and a
 seeded permutation of the blocks chooses the rest. Nothing depends on partitions or time, so reruns agree.
 
+A source has MAX_SHARDS shards at most, so that the driver sees few rows: at 100 TB in three sources a shard's window
+holds about a million rows of four numbers.
 Nulls: a null text has no words; a null source is a source of its own and the last; a null doc_id sorts first.
 Empty texts take nothing. Rows with one doc_id, or none, are rows of their own: each has its own plan and text.
-An empty table gives no rows.
+An empty table gives no rows. Other columns, of any names, are kept by mixed_documents and left out by mix.
 """
 
 from __future__ import annotations
@@ -88,9 +90,11 @@ def mixed(sizes: DataFrame, share: float = 1.5, cap: float = 2.0, seed: int = 7,
     blocks = {(s, k): max(1, round(n / block_words)) if n else 0 for s, k, n in per_shard}
     order = sorted(targets, key=lambda s: (s is None, s or ""))
     seats = sainte_lague([targets[s] for s in order], round(sum(targets.values()) / block_words))
-    rows = []
+    rows, shards_of = [], {s: [] for s in order}
+    for x in per_shard:
+        shards_of[x[0]].append(x)
     for source, q in zip(order, seats, strict=True):
-        own = [x for x in per_shard if x[0] == source]
+        own = shards_of[source]
         quota = sainte_lague([x[2] for x in own], q, [int(cap * blocks[x[:2]]) for x in own])
         for (_, k, n), given in zip(own, quota, strict=True):
             b = max(1, blocks[source, k])
@@ -139,24 +143,26 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, spark: SparkSession, **options) -> DataFrame:
     """The mix itself, with the columns of documents: a row for each whole pass over a document, and one more with
     the text from the first to the last word of each run of chosen blocks, runs joined by one line end."""
-    columns = [F.col(c) for c in docs.columns]
+    columns = docs.columns
     # rows that are equal in all columns share a key; they take the plans of that key one by one
-    own = {"_mix_id": F.coalesce("doc_id", F.lit(0)), "_mix_hash": F.xxhash64(*(c.isNull() for c in columns), *columns)}
-    docs = docs.withColumns(own)
+    every = [F.col(c) for c in columns]
+    whole_hash = F.xxhash64(*(c.isNull() for c in every), *every)
+    keyed = docs.select(F.struct(*every).alias("row"), F.col("doc_id").alias("id"), "source", F.col("text").alias("text"), whole_hash.alias("hash"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
-    sizes = written(docs.select("doc_id", "source", size, "_mix_hash"), "sizes")
+    sizes = written(keyed.select(F.col("id").alias("doc_id"), "source", size, "hash"), "sizes")
     spans = F.coalesce(chosen_spans(), F.array().cast("array<struct<a:bigint,b:bigint>>"))
-    plan = F.struct("start", F.col("passes").alias("_mix_passes"), spans.alias("_mix_spans"))
-    plans = mixed(sizes, ties=("_mix_hash",), **options).filter("taken > 0").select(own["_mix_id"].alias("_mix_id"), "_mix_hash", plan.alias("plan"))
-    plans = plans.groupBy("_mix_id", "_mix_hash").agg(F.array_sort(F.collect_list("plan")).alias("_mix_plans"))
-    nth = F.row_number().over(Window.partitionBy("_mix_id", "_mix_hash").orderBy(F.lit(0)))
-    both = docs.withColumn("_mix_nth", nth).join(plans, ["_mix_id", "_mix_hash"]).withColumn("_mix_plan", F.try_element_at("_mix_plans", "_mix_nth"))
-    both = both.filter("_mix_plan IS NOT NULL").select(*columns, "_mix_plan._mix_passes", "_mix_plan._mix_spans")
-    whole = F.transform(F.sequence(F.lit(1), F.greatest(F.col("_mix_passes"), F.lit(1))), lambda i: F.when(i <= F.col("_mix_passes"), F.col("text")))
-    parts = F.concat(whole, F.array(F.when(F.size("_mix_spans") > 0, _cut("_mix_spans"))))
-    out = both.withColumn("_mix_text", F.explode(F.filter(parts, lambda x: x.isNotNull())))
-    changed = {"text": F.col("_mix_text"), "n_chars": F.char_length("_mix_text").cast(dict(docs.dtypes).get("n_chars", "bigint"))}
-    return out.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns if c not in own])
+    plan = F.struct("start", "passes", spans.alias("spans"))
+    plans = mixed(sizes, ties=("hash",), **options).filter("taken > 0").select(F.coalesce("doc_id", F.lit(0)).alias("key"), "hash", plan.alias("plan"))
+    plans = plans.groupBy("key", "hash").agg(F.array_sort(F.collect_list("plan")).alias("plans"))
+    keyed = keyed.withColumn("key", F.coalesce("id", F.lit(0)))
+    nth = F.row_number().over(Window.partitionBy("key", "hash").orderBy(F.lit(0)))
+    both = keyed.withColumn("nth", nth).join(plans, ["key", "hash"]).withColumn("plan", F.try_element_at("plans", "nth"))
+    both = both.filter("plan IS NOT NULL").select("row", "text", "plan.passes", "plan.spans")
+    whole = F.transform(F.sequence(F.lit(1), F.greatest(F.col("passes"), F.lit(1))), lambda i: F.when(i <= F.col("passes"), F.col("text")))
+    parts = F.concat(whole, F.array(F.when(F.size("spans") > 0, _cut("spans"))))
+    out = both.withColumn("taken_text", F.explode(F.filter(parts, lambda x: x.isNotNull())))
+    changed = {"text": F.col("taken_text"), "n_chars": F.char_length("taken_text").cast(dict(docs.dtypes).get("n_chars", "bigint"))}
+    return out.select(*[(changed[c] if c in changed else F.col("row").getField(c)).alias(c) for c in columns])
 
 
 def _cut(spans: str):

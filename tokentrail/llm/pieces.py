@@ -2,15 +2,20 @@
 
 A model's pieces and scores span a lattice over the text. Forward Viterbi gives each place the best score of any
 path to it. These scores are exact heuristics for a backward A* search from the end, so complete paths come off
-its queue best first: the N best segmentations. Where no piece goes on over a boundary (between a character and a
-following space mark, and around a line end) the lattice falls apart in chunks; a worker solves each chunk once,
-and a text's N best are the N best combinations of its chunks' own.
+its queue best first: the N best segmentations. The first of them never leaves the edges that lose nothing against the
+heuristic; so many chunks' first paths are traced at once, and the search itself runs for the others. Where no piece
+goes on over a boundary (between a character and a following space mark, and around a line end) the lattice falls apart
+in chunks; a worker solves each chunk once, and a text's N best are the N best combinations of its chunks' own.
 
-A character without a piece is its UTF-8 bytes, each with a score below all pieces. A space is the mark U+2581,
-and one is put before the text; a mark in the text itself is written as bytes. So decoding gives back every text.
+A byte-pair model has ranks of merges and no likelihoods. A piece's score is the worth of the merges that make it up,
+each 1 / rank ** 2, so that early merges outweigh all later ones as they do in merging: the best path is then the
+library's segmentation for more than nine words in ten. A character without a piece is its UTF-8 bytes, each with a
+score below all pieces. A space is the mark U+2581, and one is put before the text; a mark in the text itself is
+written as bytes. So decoding gives back every text.
 
 Nulls: a null text is empty. An empty text has no pieces, score 0 and one segmentation. Ties go to the longer last
-piece. Rows are independent; an empty table gives no rows.
+piece. Rows are independent, repeated ones and rows with one doc_id too; an empty table gives no rows; columns other than
+doc_id and text are left out. A very long text is held by one worker, with its chunks.
 """
 
 from __future__ import annotations
@@ -34,9 +39,24 @@ CACHE_CHUNKS, N_BEST = 60_000, 3
 BLOCK, LONGEST_IN_BLOCK, TOGETHER = 2048, 32, 400_000  # chunks, characters of one, characters of texts split at once
 BUCKET_BITS, FAR, NONE = 18, 1 << 60, -(1 << 50)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Scores are multiples of 1 / UNIT, which add up without rounding in any order.
+UNIT = 1 << 32
 _CHUNKS = re.compile(r"\n| *[^ \n]+| +")
 
 
+def merge_worth(piece: str, rank: dict[str, float]) -> int:
+    """The sum of 1 / rank ** 2 over the merges that lead from a piece's characters to it, of the lowest rank first and
+    of equal ones the leftmost."""
+    parts, worth = list(piece), 0
+    while len(parts) > 1:
+        r, i = min((rank.get(parts[i] + parts[i + 1], np.inf), i) for i in range(len(parts) - 1))
+        if r == np.inf:
+            return worth  # the merges do not make this piece
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        worth += max(1, round(UNIT / r**2))
+    return worth
+
+
 class PieceModel:
     def __init__(self, path: str, n_best: int = N_BEST) -> None:
         import sentencepiece
@@ -46,9 +66,9 @@ class PieceModel:
         n = sp.get_piece_size()
         scores = [sp.get_score(i) for i in range(n)]
         normal = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
-        # multiples of 1/1024 add up without rounding, in any order
-        self.ids = {sp.id_to_piece(i): (i, round(scores[i] * 1024)) for i in normal}
-        self.byte_score = min((s for _, s in self.ids.values() if s > -(10**11)), default=0) - 1024
+        rank = {sp.id_to_piece(i): 1 + min(-scores[i], n) for i in normal}
+        self.ids = {sp.id_to_piece(i): (i, merge_worth(sp.id_to_piece(i), rank)) for i in normal}
+        self.byte_score = -UNIT
         for i in range(n):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -260,11 +280,11 @@ class PieceModel:
                 ids.append(piece)
         return np.array(ids[::-1], "<u2").tobytes(), best[n], least
 
-    def encode(self, text: str) -> tuple[bytes, int, list[int]]:
-        """(ids of the best segmentation as 16-bit integers, its score, scores of the n best)."""
+    def encode(self, text: str) -> tuple[bytes, int, list[tuple[int, bytes]]]:
+        """(ids of the best segmentation as 16-bit integers, its score, (score, ids) of the n best)."""
         return self.encode_all([text])[0]
 
-    def encode_all(self, texts: list[str]) -> list[tuple[bytes, int, list[int]]]:
+    def encode_all(self, texts: list[str]) -> list[tuple[bytes, int, list[tuple[int, bytes]]]]:
         """encode of each text; chunks that are new are solved together."""
         split = [self.chunks(text) if text else [] for text in texts]
         self.solve_all(set(itertools.chain.from_iterable(split)))
@@ -272,10 +292,16 @@ class PieceModel:
         for chunks in split:
             if chunks:
                 ids, scores, gaps = zip(*map(self.solved.__getitem__, chunks), strict=True)
-                total = sum(scores)
-                out.append((b"".join(ids), total, self._combine(chunks, gaps, total)))
+                total, first = sum(scores), b"".join(ids)
+                best = [(total, first)]
+                for loss, changed in self._combine(chunks, gaps)[1:]:
+                    parts = list(ids)
+                    for i, other in changed:
+                        parts[i] = other
+                    best.append((total - loss, b"".join(parts)))
+                out.append((first, total, best))
             else:
-                out.append((b"", 0, [0]))
+                out.append((b"", 0, [(0, b"")]))
         return out
 
     def n_best_of(self, text: str, n: int | None = None) -> list[tuple[float, list[int]]]:
@@ -287,27 +313,33 @@ class PieceModel:
         found: list[tuple[int, tuple]] = [(0, ())]
         for options in parts:
             found = heapq.nlargest(n, ((s + t, a + b) for s, a in found for t, b in options), key=lambda x: x[0])
-        return [(s / 1024, list(ids)) for s, ids in found]
+        return [(s / UNIT, list(ids)) for s, ids in found]
+
+    def _options(self, chunk: str) -> list[tuple[int, bytes]]:
+        """The n best segmentations of a chunk as (score lost, ids), the solved one first."""
+        out = self.lists.get(chunk)
+        if out is None:
+            if len(self.lists) >= CACHE_CHUNKS // 4:
+                self.lists.clear()
+            own, score, _ = self.solved[chunk]
+            found = [(score - s, np.array(ids, "<u2").tobytes()) for s, ids in self.search(chunk, self.n_best)]
+            others = [x for x in found if x[1] != own]
+            out = self.lists[chunk] = [(0, own), *others[: len(found) - 1]]
+        return out
 
-    def _combine(self, chunks: list[str], gaps: tuple[int, ...], total: int) -> list[int]:
-        """Scores of the n best: n - 1 chunks with the nearest second segmentations can take part, no others."""
+    def _combine(self, chunks: list[str], gaps: tuple[int, ...]) -> list[tuple[int, tuple]]:
+        """The n best as (score lost, chunks that differ from the best and their ids): n - 1 chunks with the nearest
+        second segmentations can take part, no others."""
         n = self.n_best
         if n < 2:
-            return [total]
+            return [(0, ())]
         far = np.array(gaps)
-        near = np.argpartition(far, n - 2)[: n - 1] if len(far) >= n else range(len(far))
-        found = [0]
+        near = sorted(np.argpartition(far, n - 2)[: n - 1].tolist()) if len(far) >= n else range(len(far))
+        found: list[tuple[int, tuple]] = [(0, ())]
         for i in near:
-            if gaps[i] == FAR:
-                continue
-            options = self.lists.get(chunks[i])
-            if options is None:
-                if len(self.lists) >= CACHE_CHUNKS // 4:
-                    self.lists.clear()
-                top = self.search(chunks[i], n)
-                options = self.lists[chunks[i]] = [top[0][0] - s for s, _ in top]
-            found = sorted(a + b for a in found for b in options)[:n]
-        return [total - x for x in found]
+            if gaps[i] < FAR:
+                found = sorted(((a + b, (*x, (i, ids)) if k else x) for a, x in found for k, (b, ids) in enumerate(self._options(chunks[i]))), key=lambda y: (y[0], len(y[1])))[:n]
+        return found
 
     def decode(self, ids: bytes) -> str:
         raw = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u2").tolist()))
@@ -332,19 +364,25 @@ def load(path: str, n_best: int = N_BEST) -> PieceModel:
 
 
 def encode_pieces(docs: DataFrame, model_path: str, n_best: int = N_BEST) -> DataFrame:
-    """(doc_id, n_pieces, ids, ids_crc32, score, n_best_scores, round_trip) of each whole text: ids are 16-bit little-
-    endian integers, ids_crc32 is over 32-bit ones; round_trip tells whether decoding gave back the text."""
+    """(doc_id, n_pieces, ids, ids_crc32, score, n_best_scores, n_best_ids, n_best_crc32, round_trip) of each whole text:
+    ids are 16-bit little-endian integers, checksums are over 32-bit ones; the n best are in falling order of score, the
+    first is ids; round_trip tells whether decoding any of them gives back the text."""
+
+    def wide(ids: bytes) -> int:
+        return zlib.crc32(np.frombuffer(ids, "<u2").astype("<u4"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(model_path, n_best)
         for b in slices(batches):
             out = []
             for texts in _groups(b.column(1).to_pylist()):
-                for text, (ids, score, scores) in zip(texts, model.encode_all(texts), strict=True):
-                    wide = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
-                    out.append((len(ids) // 2, ids, zlib.crc32(wide), score / 1024, [s / 1024 for s in scores], model.decode(ids) == text))
-            types = [pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.bool_()]
-            names = ["n_pieces", "ids", "ids_crc32", "score", "n_best_scores", "round_trip"]
+                for text, (ids, score, best) in zip(texts, model.encode_all(texts), strict=True):
+                    scores, each = zip(*best, strict=True)
+                    crc = [wide(x) for x in each]
+                    out.append((len(ids) // 2, ids, crc[0], score / UNIT, [s / UNIT for s in scores], each, crc, all(model.decode(x) == text for x in each)))
+            types = [pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.bool_()]
+            names = ["n_pieces", "ids", "ids_crc32", "score", "n_best_scores", "n_best_ids", "n_best_crc32", "round_trip"]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[i] for r in out], t) for i, t in enumerate(types))], names=["doc_id", *names])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_pieces long, ids binary, ids_crc32 long, score double, n_best_scores array<double>, round_trip boolean")
+    schema = "doc_id long, n_pieces long, ids binary, ids_crc32 long, score double, n_best_scores array<double>, n_best_ids array<binary>, n_best_crc32 array<long>, round_trip boolean"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

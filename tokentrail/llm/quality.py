@@ -5,10 +5,12 @@ runs of 3, 5 and 8 character kinds, and words or pairs said again. Each is scale
 a linear model with squared hinge loss is fitted to them by dual coordinate descent, and its margins become
 probabilities by a logistic fit on labelled rows that the descent did not see.
 
-The fit takes at most SAMPLE_ROWS labelled rows, those lowest by a hash of doc_id; counts, weights and texts to
-score cover all rows given. Nulls: a null text is empty and is scored by the bias alone; null labels and null
-doc_ids are never learned from. With no labels, or labels of one class only, all scores are that class's share (1
-if there is none). Several labels of one doc_id each count. An empty table gives no rows.
+The fit, its class counts included, takes at most SAMPLE_ROWS labelled rows, those lowest by a hash of doc_id. Their
+whole texts become feature bits where they lie; the driver gets these, 2 ** BITS bits a row at most. Every text is
+scored as a whole. Nulls: a null text is empty and is scored by the bias alone; null labels and null doc_ids are never
+learned from. With no labels, or labels of one class only, all scores are that class's share (1 if there is none).
+Several labels of one doc_id each count, and so do several texts of one. Equal texts have equal scores. An empty table
+gives no rows. Other columns, of any names, are kept by keep_good and left out by classify.
 """
 
 from __future__ import annotations
@@ -120,11 +122,13 @@ def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y:
 
 
 def fit(texts: list[bytes], labels: list[int], bits: int = BITS, c: float = 1.0) -> Model:
+    return fit_features([features(t, bits) for t in texts], labels, 1 << bits, c)
+
+
+def fit_features(rows: list[np.ndarray], labels: list[int], size: int, c: float = 1.0) -> Model:
     y = np.array(labels, np.int64)
     if len(set(labels)) < 2:
         return Model(np.empty(0), float(labels[0]) if labels else 1.0, 1.0, 0.0)
-    rows = [features(t, bits) for t in texts]
-    size = 1 << bits
     own = np.arange(len(y)) % 5 != 0
     if len(set(y[own])) < 2 or len(set(y[~own])) < 2:
         own[:] = True
@@ -162,14 +166,36 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fits to labelled documents outside the held-out fold. Only sampled rows' texts move: their ids, at most
-    sample_rows, are few enough to be sent to the scan of docs."""
+    """Fits to labelled documents outside the held-out fold. The ids of the sample, at most sample_rows, are few enough
+    to be sent to the scan of docs; of its texts only the features move, as bits."""
     known = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").filter(~held_out())
-    ids = known.select(F.col("doc_id").alias("l_id"), "quality").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_rows)
-    rows = docs.join(F.broadcast(ids), docs.doc_id == F.col("l_id")).select("doc_id", "quality", F.coalesce("text", F.lit("")).alias("text"))
-    sample = sorted((r.doc_id, r.quality, r.text.encode()) for r in rows.toLocalIterator())
+    ids = known.select(F.col("doc_id").cast("long").alias("l_id"), F.col("quality").cast("int").alias("quality")).orderBy(F.xxhash64("l_id"), "l_id", "quality").limit(sample_rows)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts.join(F.broadcast(ids), texts.doc_id == ids.l_id).select("doc_id", "quality", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            found = [features(t) for t in utf8(b.column(2))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([_packed(f) for f in found], pa.binary())], names=["doc_id", "quality", "bits"])
+
+    sample = sorted((r.doc_id, r.quality, bytes(r.bits)) for r in rows.mapInArrow(run, "doc_id long, quality int, bits binary").toLocalIterator())
     order = np.random.default_rng(11).permutation(len(sample))
-    return fit([sample[i][2] for i in order], [sample[i][1] for i in order])
+    return fit_features([_unpacked(sample[i][2]) for i in order], [sample[i][1] for i in order], 1 << BITS)
+
+
+def _packed(index: np.ndarray, bits: int = BITS) -> bytes:
+    """Feature numbers as four bytes each or as one bit map, whichever is less."""
+    if 32 * len(index) < 1 << bits:
+        return b"\0" + index.astype("<i4").tobytes()
+    seen = np.zeros(1 << bits, bool)
+    seen[index] = True
+    return b"\1" + np.packbits(seen).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    if raw[:1] == b"\0":
+        return np.frombuffer(raw[1:], "<i4")
+    return np.flatnonzero(np.unpackbits(np.frombuffer(raw[1:], np.uint8))).astype(np.int32)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprints, gif, jaccard_join, lang_id, line_dedup, mixing, pieces, quality, substring_dedup, token_store
 from .common import table, work_path
 
-#: Folder of the public tokenizers' files.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
-PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +34,8 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gif.stored_media(table(spark, sf_dir, "documents"))
+    found = gif.stored_media(table(spark, sf_dir, "documents"))
+    return found.withColumns({"n_frames": F.size("frames"), "feature": gif.feature_of("frames")}).drop("frames")
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +56,7 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode_pieces(table(spark, sf_dir, "documents"), PIECES).drop("ids")
+    return pieces.encode_pieces(table(spark, sf_dir, "documents"), PIECES).drop("ids", "n_best_ids")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,14 +9,16 @@ Layout, little-endian: b"DAC1", header length (4 bytes), JSON header with the pl
 sections: document ids (int64), document offsets (int64, one more than documents), and for each level its
 chunks (uint8), bitmap (lowest bit first) and directory (uint32). The last level has no bitmap.
 
-Nulls: a null text is empty; a null doc_id sorts first. Rows with one doc_id stay apart and sort by ids.
-An empty table gives no files and no rows. Columns other than doc_id and text are ignored.
+Nulls: a null text is empty; a null doc_id sorts first. Rows with one doc_id stay apart, in the order of a hash of their
+ids and then of the ids; many of them are split over shards by that hash. An empty table gives no files and no rows.
+Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
 import itertools
 import json
+import re
 import uuid
 from array import array
 from collections.abc import Iterator
@@ -25,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +39,8 @@ CHUNK = 8
 CACHE_WORDS = 600_000
 TOKENS_PER_FILE = 1_000_000
 MARKS = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
+#: Letters that are letters in every version of Unicode and stay letters, one for one, in lower case; so not U+0130.
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0400-\u0481]+")
 
 
 # ---- the codes ----
@@ -160,9 +165,10 @@ class _Recent(dict):
 def _word_ids(tokenizer, kind: str):
     """A function from a piece of text without white space to its ids, as bytes of integers.
 
-    The tokenizer cuts between a letter and a mark. So letters with ASCII marks behind them are looked up apart,
-    which lets a word's forms share an entry; it lowers letters, and ASCII ones alike at any place. Lower-case
-    ASCII letters pass its normalizer and its splits unchanged, so they go to its model at once.
+    The tokenizer cuts between a letter and a mark. So LETTERS with ASCII marks behind them are looked up apart,
+    which lets a word's forms share an entry; it lowers letters, and ASCII ones alike at any place. Words with other
+    letters go to the library whole: in lower case some end in a mark that joins the one behind. Lower-case ASCII
+    letters pass its normalizer and its splits unchanged, so they go to its model at once.
     """
     tokenize, encode = tokenizer.model.tokenize, tokenizer.encode
 
@@ -173,11 +179,11 @@ def _word_ids(tokenizer, kind: str):
             ids = encode(piece, add_special_tokens=False).ids
         return array(kind, ids).tobytes()
 
-    pieces = _Recent(by_library)
+    pieces, is_letters = _Recent(by_library), LETTERS.fullmatch
 
     def ids_of(word: str) -> bytes:
         letters = word.rstrip(MARKS)
-        if not letters.isalpha():
+        if not is_letters(letters):
             return pieces[word]
         ids = pieces[letters.lower() if letters.isascii() else letters]
         return ids + pieces[word[len(letters) :]] if len(letters) < len(word) else ids
@@ -201,8 +207,15 @@ def _ids_of(texts: pa.Array, words, width: int) -> list[bytes]:
     return [raw[a:b] for a, b in itertools.pairwise(cuts.tolist())]
 
 
+def shard_of(doc_ids: np.ndarray, hashes: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The range between cuts that a row falls in, by doc_id; rows of a doc_id that is several cuts at once are dealt to
+    the ranges between these by their hash."""
+    low, high = np.searchsorted(cuts, doc_ids, side="left"), np.searchsorted(cuts, doc_ids, side="right")
+    return (low + ((hashes >> np.uint64(32)) * np.maximum(high - low, 1).astype(np.uint64) >> np.uint64(32)).astype(np.int64)).astype(np.int32)
+
+
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, cuts: list | None = None) -> DataFrame:
-    """(doc_id, shard, width, ids) of every document: ids end with end_id, as integers of width bytes.
+    """(doc_id, shard, width, hash, ids) of every document: ids end with end_id, as integers of width bytes.
 
     The tokenizer drops white space and never joins across it, so each piece between spaces and line ends is
     encoded by the library once a worker and its ids are reused. shard numbers the range of doc_id between cuts.
@@ -219,10 +232,13 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, cuts
         edges = np.array(cuts, np.int64)
         for b in slices(batches, 2048):
             ids = [x + end for x in _ids_of(b.column(1), words, width)]
-            shard = np.searchsorted(edges, np.array(b.column(0).fill_null(-(2**63)), np.int64), side="left").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shard), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], names=["doc_id", "shard", "width", "ids"])
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, ids), np.uint64, len(ids))
+            shard = shard_of(np.array(b.column(0).fill_null(-(2**63)), np.int64), hashes, edges)
+            # the order of signed integers is that of the unsigned hashes by which rows are dealt
+            signed = (hashes ^ np.uint64(1 << 63)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(shard), pa.array([width] * len(ids), pa.int32()), pa.array(signed), pa.array(ids, pa.binary())], names=["doc_id", "shard", "width", "hash", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, shard int, width int, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, shard int, width int, hash long, ids binary")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, tokens_per_file: int = TOKENS_PER_FILE) -> None:
@@ -232,7 +248,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     those of the tasks that succeeded; so lost or doubled tasks leave nothing that is read.
     """
     n = partitions(docs.sparkSession)
-    encoded = encode_documents(docs, tokenizer_path, end_id, ranges(docs, "doc_id", n))
+    encoded = encode_documents(docs, tokenizer_path, end_id, ranges(docs, "doc_id", n, repeats=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _filesystem(path)
@@ -248,7 +264,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         fs.create_dir(base, recursive=True)
         shard = width = 0
         for b in slices(batches, 1024):
-            for d, s, width, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for d, s, width, _, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if doc_ids and (s != shard or total >= tokens_per_file):
                     yield flush(shard, width)
                     doc_ids, ids, total, seq = [], [], 0, seq + 1
@@ -259,7 +275,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         if doc_ids:
             yield flush(shard, width)
 
-    encoded.repartitionById(n, "shard").sortWithinPartitions("shard", "doc_id", "ids").mapInArrow(run, "shard int, seq int, file string, n_docs long, n_tokens long").write.mode("overwrite").parquet(f"{path}/files")
+    encoded.repartitionById(n, "shard").sortWithinPartitions("shard", "doc_id", "hash", "ids").mapInArrow(run, "shard int, seq int, file string, n_docs long, n_tokens long").write.mode("overwrite").parquet(f"{path}/files")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -280,7 +296,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                     raw = [ids[x:y].astype("<u4").tobytes() for x, y in zip(a[:-1], a[1:], strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(d, mask=d == -(2**63)), pa.array(start + a[:-1]), pa.array(np.diff(a)), pa.array(raw, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
 
-    n = max(1, min(4096, spark.read.parquet(f"{path}/files").count()))
+    n = max(1, min(1 << 16, spark.read.parquet(f"{path}/files").count()))
     return files.repartition(n).mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
