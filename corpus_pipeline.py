@@ -9,7 +9,10 @@ next stage's docs. All but the last return the columns of documents.
 4. mix: sources are brought to their target weights by blocks of words; a document may come twice.
 5. pieces: texts become piece ids, with the scores of their best segmentations and a check of decoding.
 
-Nulls and empty texts pass quality by their score; they are empty sets in stage 3 and take nothing in stage 4.
+Nulls and empty texts pass quality by their score; they are empty sets in stage 3 and take nothing in stage 4. Rows with
+a null doc_id are no copies of others in stage 3, and of rows with one doc_id all stay or all go; equal rows there count
+as one document and all stay if it does. Very long texts are worked on whole. Empty tables give no rows. Other columns
+of documents, of any names, come through to stage 4.
 """
 
 from __future__ import annotations
@@ -37,8 +40,8 @@ def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     classes = jaccard_join.similarity_classes(docs, WORDS, PERCENT)
-    others = classes.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_other"))
-    return docs.join(others, docs.doc_id == F.col("_other"), "left_anti")
+    others = classes.filter(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("other")).distinct()
+    return docs.join(others, docs["doc_id"].cast("long") == others["other"], "left_anti")
 
 
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
