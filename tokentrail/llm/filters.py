@@ -89,7 +89,8 @@ def build(rows: DataFrame, least: int = 2) -> Filter:
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(marks, bitorder="little").tobytes()], pa.binary()), pa.array([heavy.tobytes()], pa.binary())], names=["part", "bits", "heavy"])
 
     maps, heavy = [np.empty(0, np.uint8)] * n, [np.empty(0, np.uint64)]
-    for r in rows.repartitionById(n, "part").mapInArrow(meet, "part int, bits binary, heavy binary").toLocalIterator():
+    # one job for all ranges: what they give is bounded as a whole
+    for r in rows.repartitionById(n, "part").mapInArrow(meet, "part int, bits binary, heavy binary").collect():
         maps[r.part] = np.frombuffer(bytes(r.bits), np.uint8)
         heavy.append(np.frombuffer(bytes(r.heavy), np.uint64))
     return Filter(np.array([8 * len(m) for m in maps], np.int64), np.concatenate(maps), np.sort(np.concatenate(heavy)))

@@ -178,7 +178,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             found = [features(t) for t in utf8(b.column(2))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([_packed(f) for f in found], pa.binary())], names=["doc_id", "quality", "bits"])
 
-    sample = sorted((r.doc_id, r.quality, bytes(r.bits)) for r in rows.mapInArrow(run, "doc_id long, quality int, bits binary").toLocalIterator())
+    sample = sorted((r.doc_id, r.quality, bytes(r.bits)) for r in rows.mapInArrow(run, "doc_id long, quality int, bits binary").collect())
     order = np.random.default_rng(11).permutation(len(sample))
     return fit_features([_unpacked(sample[i][2]) for i in order], [sample[i][1] for i in order], 1 << BITS)
 
