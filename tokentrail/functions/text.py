@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 
@@ -139,11 +140,23 @@ def basename(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
+def sha1_hex(content: bytes) -> str:
+    return hashlib.sha1(content).hexdigest()
+
+
 def memo_path(content: Column) -> Column:
     sha = F.sha1(content)
     return F.concat_ws("/", F.substring(sha, 1, 2), F.substring(sha, 3, 2), sha)
 
 
+def plain_text(text: str) -> str:
+    """undo_mojibake of one string."""
+    try:
+        return text.encode("latin-1").decode("utf-8")
+    except UnicodeError:
+        return text
+
+
 def undo_mojibake(c: Column) -> Column:
     """Latin-1 bytes read as UTF-8; text that is neither stays."""
     fits = c.rlike(r"^[\x00-\xff]*$")
@@ -175,20 +188,21 @@ def memory_size(text: str) -> str:
 
 def unquote_path(name: str) -> str:
     """A path as version control quotes it: C escapes and octal bytes between double quotes."""
-    if not (len(name) > 1 and name[0] == name[-1] == '"'):
+    return unquote_bytes(name.encode()).decode("utf-8", "replace")
+
+
+def unquote_bytes(name: bytes) -> bytes:
+    if not (len(name) > 1 and name[:1] == name[-1:] == b'"'):
         return name
-    single = {"a": 7, "b": 8, "t": 9, "n": 10, "v": 11, "f": 12, "r": 13, '"': 34, "\\": 92}
-    out, i, body = bytearray(), 0, name[1:-1]
-    while i < len(body):
-        if body[i] == "\\" and i + 1 < len(body):
-            if m := re.match("[0-3][0-7]{2}", body[i + 1 :]):
-                out.append(int(m[0], 8))
-                i += 4
-                continue
-            if body[i + 1] in single:
-                out.append(single[body[i + 1]])
-                i += 2
-                continue
-        out += body[i].encode()
-        i += 1
-    return out.decode("utf-8", "replace")
+    single = dict(zip(b'abtnvfr"\\', b'\a\b\t\n\v\f\r"\\', strict=True))
+
+    def one(m: re.Match) -> bytes:
+        code = m[1]
+        return bytes([int(code, 8) if len(code) == 3 else single[code[0]]])
+
+    return re.sub(rb'\\([0-3][0-7]{2}|[abtnvfr"\\])', one, name[1:-1])
+
+
+@F.pandas_udf(T.StringType())
+def unquoted_path(names: pd.Series) -> pd.Series:
+    return names.map(lambda s: None if s is None else unquote_path(s))

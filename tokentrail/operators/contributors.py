@@ -42,6 +42,19 @@ def function_report(rows: DataFrame) -> DataFrame:
     return _shares(g, ["file_path", "func_no"])
 
 
+def ranked(report: DataFrame, keys: list[str]) -> DataFrame:
+    """A report with place: its rows of one file or function from most to fewest tokens, equal ones by name."""
+    return report.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("tokens"), "person")))
+
+
+def with_totals(report: DataFrame, keys: list[str]) -> DataFrame:
+    """A report in its order, with a last row Total for each file or function: tokens and commits summed over persons."""
+    rows = ranked(report, keys)
+    hundred = F.lit(100.0)
+    total = rows.groupBy(*keys).agg(F.lit("Total").alias("person"), F.sum("tokens").alias("tokens"), F.sum("commits").alias("commits"), F.max(F.when(F.col("token_pct").isNotNull(), hundred)).alias("token_pct"), F.max(F.when(F.col("commit_pct").isNotNull(), hundred)).alias("commit_pct"), (F.max("place") + 1).alias("place"))
+    return rows.unionByName(total.select(*rows.columns))
+
+
 def reviewers(wide: DataFrame) -> DataFrame:
     """Commits that each reviewer's trailer stands in: a commit counts once, however many tokens it has."""
     each = wide.select("original_commit_sha", F.explode("footer_reviewed_by").alias("reviewer")).distinct()

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
+from .ordering import numbered
 
 
 def commit_map(logs: DataFrame) -> DataFrame:
@@ -66,51 +67,37 @@ def tree_bodies(entries: DataFrame) -> DataFrame:
     return g.withColumn("new_tree", F.sha1(F.concat(head, F.col("body"))))
 
 
-def assembled_trees(entries: DataFrame, new_ids: DataFrame, rounds: int = 256) -> DataFrame:
-    """(tree, new_tree) bottom up: (tree, name, mode, object_id) with blobs replaced by new_ids (object_id, path_key,
-    new_id); blobs without a new id, which were excluded, leave their tree. A tree is built once all its own are."""
-    blobs = entries.filter("mode <> '40000'").join(new_ids.select("object_id", "new_id"), "object_id").select("tree", "name", "mode", F.col("new_id").alias("object_id"))
-    dirs = entries.filter("mode = '40000'")
-    trees = entries.select("tree").distinct()
-    done = None
-    for _ in range(rounds):
-        if done is None:
-            ready = trees.join(dirs.select("tree").distinct(), "tree", "left_anti")
-            subs = dirs.limit(0)
-        else:
-            left = trees.join(done.select("tree"), "tree", "left_anti")
-            open_ = dirs.join(done.select(F.col("tree").alias("object_id")), "object_id", "left_anti").select("tree").distinct()
-            ready = left.join(open_, "tree", "left_anti")
-            subs = dirs.join(done.withColumnRenamed("tree", "object_id"), "object_id").select("tree", "name", "mode", F.col("new_tree").alias("object_id"))
-        built = tree_bodies(ready.join(blobs.unionByName(subs.select("tree", "name", "mode", "object_id")), "tree")).select("tree", "new_tree")
-        built = (built if done is None else done.unionByName(built)).checkpoint()
-        if done is not None and built.count() == done.count():
-            return built
-        done = built
-    raise ValueError("trees are nested too deeply")
+def assembled_trees(entries: DataFrame, new_ids: DataFrame) -> DataFrame:
+    """(tree, new_tree) bottom up: (tree, name, mode, object_id) with blobs replaced by new_ids (object_id, new_id);
+    blobs without a new id, which were excluded, leave their tree."""
+    from . import rewrite
+
+    spark = entries.sparkSession
+    none = lambda schema: spark.createDataFrame([], schema)
+    below = entries.filter("mode = '40000'").select(F.col("object_id").alias("tree")).distinct()
+    roots = entries.select("tree").distinct().join(below, "tree", "left_anti").withColumnRenamed("tree", "root")
+    trees = none("orig_tree string, new_tree string, processed_at long")
+    plan = rewrite.plan_trees(entries.withColumn("name", F.col("name").cast("binary")), roots, "", trees, none("orig_blob string, path string, new_blob string"))
+    blobs = plan.filter("plan = 'miss'").select(F.col("object_id").alias("orig_blob"), "path").distinct()
+    blobs = blobs.join(new_ids.select(F.col("object_id").alias("orig_blob"), F.col("new_id").alias("new_blob")).dropDuplicates(["orig_blob"]), "orig_blob")
+    return rewrite.assemble(plan, blobs, trees).select(F.col("orig_tree").alias("tree"), "new_tree")
 
 
 def rewritten_commits(rows: list[dict]) -> dict[str, str]:
-    """Old to new ids of a history, parents first. Each id hashes its parents', so this chain is a fold over compact
-    rows (cid, tree, parents, author, committer, message); all else about a rewrite is done in tables."""
-    new: dict[str, str] = {}
-    left = {r["cid"]: r for r in rows}
-    while left:
-        ready = [c for c, r in left.items() if all(p in new for p in r["parents"])]
-        if not ready:
-            raise ValueError("a parent is missing, or the history has a circle")
-        for c in ready:
-            r = left.pop(c)
-            last = r["message"].rsplit("\n\n", 1)[-1]
-            inside = any(fn.re.fullmatch(r"[A-Za-z0-9-]+: *.*", line) for line in last.split("\n"))
-            message = r["message"] + ("\n" if inside else "\n\n") + f"Former-commit-id: {c}"
-            body = "".join([f"tree {r['tree']}\n", *(f"parent {new[p]}\n" for p in r["parents"]), f"author {r['author']}\ncommitter {r['committer']}\n\n{message}"])
-            new[c] = git_object_id("commit", body.encode())
-    return new
+    """Old to new ids of a small history (cid, tree, parents, author, committer, message), of text, in any order; tables
+    go through rewrite.fold_commits."""
+    from .rewrite import Fold
+
+    fold = Fold()
+    for r in rows:
+        for _ in fold.add({k: v.encode() if k in ("author", "committer", "message") else v for k, v in r.items()}):
+            pass
+    fold.close()
+    return fold.new
 
 
 def shards(commits: DataFrame, n: int) -> DataFrame:
     """(ordinal, shard): shard k has ordinals from floor(k m / n) up to floor((k + 1) m / n) - 1."""
     m = commits.count()
-    rows = commits.withColumn("ordinal", F.row_number().over(Window.orderBy("autdate", "cid")).cast("long") - 1)
+    rows = numbered(commits, ["autdate", "cid"], "ordinal")
     return rows.withColumn("shard", F.floor(((F.col("ordinal") + 1) * n - 1) / F.lit(max(m, 1))).cast("long"))

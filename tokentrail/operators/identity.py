@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
 from .components import connected_components
+from .ordering import numbered
 
 FIELDS = ["name", "name_key", "email", "lcemail", "userid", "domain"]
 
@@ -35,17 +36,23 @@ def unified(ids: DataFrame) -> DataFrame:
     return placed.join(best, "component").drop("component")
 
 
-def emails_table(unified_ids: DataFrame) -> DataFrame:
-    """The emails table: recordid runs over persons in order and, within one, from most to fewest commits.
+def emails_table(unified_ids: DataFrame, zone: str | None = None) -> DataFrame:
+    """The emails table: recordid runs over persons in order and, within one, from most to fewest commits. Rows are
+    numbered in ranges of that order. dateadded is the present time, in the session's zone or another."""
+    rows = numbered(unified_ids, ["personid", F.desc("total"), F.desc("authored"), "name", "email"], "recordid")
+    now = F.current_timestamp() if zone is None else F.convert_timezone(F.lit(zone), F.to_timestamp_ntz(F.current_timestamp()))
+    return rows.select(F.col("recordid").cast("int"), "personid", fn.full_email(F.col("name"), F.col("email")).alias("fullemail"), F.col("email").alias("emailaddr"), F.col("name").alias("emailname"), "lcemail", "userid", "domain", F.col("authored").cast("int").alias("autcount"), F.col("committed").cast("int").alias("comcount"), F.date_format(now, "yyyy-MM-dd HH:mm:ss").alias("dateadded"), F.lit(False).alias("checked"), F.lit(None).cast("string").alias("notes"))
 
-    The number of a row is its place in its person plus the identities of all persons before, which a window over one
-    row a person gives.
-    """
-    inner = F.row_number().over(Window.partitionBy("personid").orderBy(F.desc("total"), F.desc("authored"), "name", "email"))
-    sizes = unified_ids.groupBy("personid").agg(F.count(F.lit(1)).alias("n"))
-    offset = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("personid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    rows = unified_ids.withColumn("i", inner).join(offset, "personid")
-    return rows.select((F.col("before") + F.col("i") - 1).cast("int").alias("recordid"), "personid", fn.full_email(F.col("name"), F.col("email")).alias("fullemail"), F.col("email").alias("emailaddr"), F.col("name").alias("emailname"), "lcemail", "userid", "domain", F.col("authored").cast("int").alias("autcount"), F.col("committed").cast("int").alias("comcount"), F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("dateadded"), F.lit(False).alias("checked"), F.lit(None).cast("string").alias("notes"))
+
+def identities_sheet(unified_ids: DataFrame) -> DataFrame:
+    """The rows of the identity spreadsheet's first sheet, persons in order, most used identities first."""
+    rows = numbered(unified_ids, ["personid", F.desc("total"), F.desc("authored"), "name", "email"], "row")
+    return rows.select("row", "personid", "name", "email", "lcemail", "userid", "domain", "total", "authored", "committed")
+
+
+def stats_sheet(unified_ids: DataFrame) -> DataFrame:
+    """The rows of its second sheet: a person's totals and the name that the most used identity prefers."""
+    return numbered(person_totals(unified_ids).join(persons_table(unified_ids, fill=True), "personid"), ["personid"], "row").select("row", "personid", "personname", "identities", "total", "authored", "committed")
 
 
 def persons_table(unified_ids: DataFrame, fill: bool = False) -> DataFrame:

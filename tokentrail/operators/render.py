@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
+from ..store import write_files
+from . import contributors
 
 # Link functions by repository tag.
 LINKS = {"p": "windowPre", "b": "windowBit", "l": "windowLin"}
@@ -37,3 +39,35 @@ def pages(rows: DataFrame, colours: DataFrame, header: str = "<html><title>_FILE
     path = F.col("file_path")
     ends = [expanded(F.lit(x), fn.basename(path), F.regexp_replace(path, "/?[^/]*$", ""), F.lit(version), F.lit(url)) for x in (header, footer)]
     return g.select("file_path", F.concat(ends[0], "body", ends[1]).alias("html"))
+
+
+def table_html(report: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, table): the contributors of each file or function as an HTML table with its total row."""
+    cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
+    share = lambda c: F.format_string("%.2f%%", F.coalesce(c, F.lit(0.0)).cast("double"))
+    row = F.concat(F.lit("<tr>"), cell(fn.html_escape(F.col("person"))), cell(F.col("tokens").cast("string")), cell(share(F.col("token_pct"))), cell(F.col("commits").cast("string")), cell(share(F.col("commit_pct"))), F.lit("</tr>"))
+    rows = contributors.with_totals(report, keys).withColumn("row", row)
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "row"))), lambda x: x["row"]), "")
+    head = F.lit("<tr><th>Person</th><th>Tokens</th><th>Prop.Toks</th><th>Commits</th><th>CommitProp</th></tr>")
+    return rows.groupBy(*keys).agg(F.concat(F.lit("<table>"), head, body, F.lit("</table>")).alias("table"))
+
+
+def write_site(rows: DataFrame, colours: DataFrame, files: DataFrame, mask: str, root: str, suffix: str = ".html", overwrite: bool = False, make=None, **options) -> DataFrame:
+    """Writes a page for each file and gives (file_path, status) for all of files (file_path, size): no-blame, empty and
+    masked ones are skipped, done ones stay unless overwrite is set, others are written. make takes the place of pages,
+    for another look."""
+    made = (make or pages)(rows, colours, **options)
+    report = contributors.file_report(rows)
+    made = made.join(table_html(report, ["file_path"]), "file_path", "left")
+    whole = F.regexp_replace("html", r"(</pre></html>)?\z", "")
+    content = F.concat(whole, F.lit("</pre>"), F.coalesce("table", F.lit("")), F.lit("</html>")) if make is None and "footer" not in options else F.col("html")
+    state = F.when(~F.col("file_path").rlike(mask), "masked").when(F.col("html").isNull(), "no-blame").when(F.col("size") == 0, "empty")
+    each = files.select("file_path", "size").join(made.withColumn("html", content).select("file_path", "html"), "file_path", "left").withColumn("state", state)
+    written = write_files(each.filter("state IS NULL").select("file_path", F.col("html").alias("content")), root, suffix, overwrite)
+    return written.unionByName(each.filter("state IS NOT NULL").select("file_path", F.col("state").alias("status")))
+
+
+def site_summary(status: DataFrame) -> dict[str, int]:
+    """How many pages were newly written, were there already, and were skipped."""
+    counts = {r.status: r.n for r in status.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {"written": counts.get("written", 0), "done": counts.get("done", 0), "skipped": sum(v for k, v in counts.items() if k not in ("written", "done"))}

@@ -2,29 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
 from ..operators import contributors, dataset, history, identity, mapping, walk
 from ..schema import DATASET, PROVENANCE, TRAILERS
 from .adapter import ctes, load
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
+from .registry import ORACLES, QUERIES, query
 
 # ---- shared SQL ----
 
@@ -60,6 +45,13 @@ tp AS (SELECT cid AS p_cid, list_sort(list(DISTINCT e.personid) FILTER (WHERE e.
   FROM f1 LEFT JOIN emails e ON addr = e.emailaddr LEFT JOIN persons p ON p.personid = e.personid GROUP BY cid)"""
 
 
+# places by running sums: a piece is a code token with the blanks behind it, end2 the place behind a line's end
+PLACES = """pieces AS (SELECT *, is_structural = 0 AS code, CASE WHEN is_structural = 0 THEN token_value || CASE WHEN token_index % 5 = 0 THEN chr(10) || '  ' ELSE ' ' END ELSE '' END AS piece FROM token_rows),
+run AS (SELECT *, coalesce(sum(length(piece)) OVER b, 0) AS a, coalesce(sum(CASE WHEN code AND token_index % 5 = 0 THEN 1 ELSE 0 END) OVER b, 0) AS feeds, max(code) OVER (PARTITION BY file_path) AS has_source
+  FROM pieces WINDOW b AS (PARTITION BY file_path ORDER BY token_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+placed AS (SELECT *, coalesce(max(CASE WHEN code AND token_index % 5 = 0 THEN a + length(piece) - 2 END) OVER (PARTITION BY file_path ORDER BY token_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begun FROM run WHERE has_source)"""
+
+
 def _tokens(spark, d) -> DataFrame:
     return dataset.token_rows(load(spark, d, "blame"))
 
@@ -68,9 +60,17 @@ def _attributed(spark, d) -> DataFrame:
     return dataset.attributed(_tokens(spark, d), *(load(spark, d, t) for t in ("commits", "commitmap", "emails", "persons")))
 
 
+def _sources(tokens: DataFrame) -> DataFrame:
+    """A source for each file: its code tokens, a line end and two blanks behind every fifth, a blank behind others."""
+    piece = F.concat("token_value", F.when(F.col("token_index") % 5 == 0, "\n  ").otherwise(" "))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("is_structural") == 0, F.struct("token_index", piece.alias("p"))))), lambda x: x["p"]), "")
+    return tokens.groupBy("file_path").agg(text.alias("text"), F.lit(True).alias("repairable"))
+
+
 def _wide(spark, d) -> DataFrame:
-    tokens = _tokens(spark, d).withColumns({"source_line": F.col("token_index") + 1, "source_col": F.lit(1), "source_text": F.col("token_value")})
-    return dataset.dataset(tokens, *(load(spark, d, t) for t in ("commits", "commitmap", "emails", "persons", "footers")), "demo", {"owner": "it's", "license": "a\\b"})
+    tokens = _tokens(spark, d)
+    located = dataset.located(tokens, _sources(tokens).filter("text <> ''"))
+    return dataset.dataset(located, *(load(spark, d, t) for t in ("commits", "commitmap", "emails", "persons", "footers")), "demo", {"owner": "it's", "license": "a\\b"})
 
 
 # ---- tokens ----
@@ -94,17 +94,23 @@ def text_tokens(spark, d):
 
 @query(
     "WITH " + ctes("files") + r""", toks AS (SELECT file_path, text, regexp_extract_all(text, '[()\[\]]|[^ \t\n\r\f\v()\[\]]+') AS ts FROM files),
-each_ AS (SELECT file_path, i, ts[i] AS v FROM (SELECT file_path, ts, unnest(range(1, len(ts) + 1)) AS i FROM toks)),
-sums AS (SELECT file_path, i, v, length(v) AS n, coalesce(sum(length(v)) OVER (PARTITION BY file_path ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s FROM each_),
+each_ AS (SELECT file_path, i, ts[i] AS v, i % 10 = 0 AS structural, CASE i % 7 WHEN 3 THEN 'comment' WHEN 5 THEN 'literal' ELSE 'name' END AS kind FROM (SELECT file_path, ts, unnest(range(1, len(ts) + 1)) AS i FROM toks)),
+sized AS (SELECT *, CASE WHEN structural THEN 0 WHEN kind = 'comment' AND i % 2 = 0 THEN length(v) + 1 ELSE length(v) END AS n FROM each_),
+sums AS (SELECT file_path, i, v, n, coalesce(sum(n) OVER (PARTITION BY file_path ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s FROM sized),
 offs AS (SELECT file_path, text, list_filter(range(0, length(text)), lambda p: NOT contains(chr(32) || chr(9) || chr(10) || chr(13), text[p + 1])) AS o FROM files),
-ends AS (SELECT file_path, i, text, CASE WHEN s = 0 THEN 0 ELSE coalesce(o[s + 1], length(text)) END AS a, coalesce(o[s + n + 1], length(text)) AS e FROM sums JOIN offs USING (file_path))
-SELECT file_path, (i - 1)::BIGINT AS token_index, text[a + 1:e] AS source_text, (1 + len(string_split(text[1:a], chr(10))) - 1)::INT AS source_line FROM ends"""
+ends AS (SELECT file_path, i, text, n, CASE WHEN s = 0 THEN 0 ELSE coalesce(o[s + 1], length(text)) END AS a, coalesce(o[s + n + 1], length(text)) AS e FROM sums JOIN offs USING (file_path)),
+cut AS (SELECT *, string_split(text[1:a], chr(10)) AS before FROM ends)
+SELECT file_path, (i - 1)::BIGINT AS token_index, CASE WHEN n = 0 THEN '' ELSE text[a + 1:e] END AS source_text, len(before)::INT AS source_line, (length(before[-1]) + 1)::INT AS source_col FROM cut"""
 )
 def source_walk(spark, d):
     # texts move to where their tokens are put in order: they are far smaller than the tokens
     files = load(spark, d, "files").repartition("file_path")
-    t = files.select("file_path", F.posexplode(walk.text_tokens(F.col("text"))).alias("token_index", "token_value")).withColumns({"token_type": F.lit("name"), "is_structural": F.lit(0)})
-    return walk.aligned(t, files).select("file_path", F.col("token_index").cast("long"), "source_text", "source_line")
+    i = F.col("token_index") + 1
+    kind = F.when(i % 7 == 3, "comment").when(i % 7 == 5, "literal").otherwise("name")
+    blank = F.when((kind == "comment") & (i % 2 == 0), " ").when((kind == "name") & (i % 3 == 0), "\f").when((kind == "literal") & (F.length("v") > 1), "").otherwise("")
+    t = files.select("file_path", F.posexplode(walk.text_tokens(F.col("text"))).alias("token_index", "v"))
+    t = t.select("file_path", "token_index", kind.alias("token_type"), F.concat("v", blank).alias("token_value"), F.when(i % 10 == 0, 1).otherwise(0).alias("is_structural"))
+    return walk.aligned(t, files).select("file_path", F.col("token_index").cast("long"), "source_text", "source_line", "source_col")
 
 
 # ---- attribution ----
@@ -138,10 +144,11 @@ def author_colours(spark, d):
     return contributors.colours(_attributed(spark, d))
 
 
-@query(f"""WITH {TOKENS}, x AS (SELECT file_path, token_index, token_index // 3 AS source_line FROM token_rows WHERE token_type <> 'DECL')
-SELECT file_path, token_index, 'L' || row_number() OVER (PARTITION BY file_path ORDER BY token_index) AS l_anchor, CASE WHEN source_line IS DISTINCT FROM lag(source_line) OVER (PARTITION BY file_path ORDER BY token_index) THEN 'R' || source_line END AS r_anchor FROM x""")
+@query(f"""WITH {TOKENS}, {PLACES}, x AS (SELECT file_path, token_index, feeds + 1 AS source_line FROM placed WHERE token_type <> 'DECL')
+SELECT file_path, token_index, 'L' || row_number() OVER (PARTITION BY file_path ORDER BY token_index) AS l_anchor, CASE WHEN source_line IS DISTINCT FROM lag(source_line) OVER (PARTITION BY file_path ORDER BY token_index) THEN 'R' || source_line::BIGINT END AS r_anchor FROM x""")
 def line_anchors(spark, d):
-    rows = _tokens(spark, d).withColumn("source_line", F.floor(F.col("token_index") / 3).cast("int"))
+    tokens = _tokens(spark, d)
+    rows = walk.aligned(tokens, _sources(tokens).filter("text <> ''"))
     return contributors.line_anchors(rows).select("file_path", "token_index", "l_anchor", "r_anchor")
 
 
@@ -156,11 +163,11 @@ def trailer_persons(spark, d):
 
 
 _PROV = {"owner": "it''s", "license": "a\\b"}
-_WIDE = f"""{ATTRIBUTED}, {ctes('footers')}, {TRAILER_SQL}, wide AS (SELECT 'demo' AS repo_name, {', '.join(f"'{_PROV.get(p, '')}' AS {p}_" for p in PROVENANCE)}, file_path, token_index, token_index + 1 AS source_line, 1 AS source_col,
-  token_value AS source_text, token_type, token_value, is_structural, commit_sha AS cregit_commit_sha, coalesce(originalcid, commit_sha) AS original_commit_sha, autname AS author_name, autemail AS author_email, autdate AS author_date,
+_WIDE = f"""{ATTRIBUTED}, {PLACES}, {ctes('footers')}, {TRAILER_SQL}, wide AS (SELECT 'demo' AS repo_name, {', '.join(f"'{_PROV.get(p, '')}' AS {p}_" for p in PROVENANCE)}, file_path, token_index, (feeds + 1)::INT AS source_line, (a - begun + 1)::INT AS source_col,
+  piece AS source_text, token_type, token_value, is_structural, commit_sha AS rewritten_commit_sha, coalesce(originalcid, commit_sha) AS original_commit_sha, autname AS author_name, autemail AS author_email, autdate AS author_date,
   comname AS committer_name, comemail AS committer_email, comdate AS committer_date, summary AS commit_summary, personid, coalesce(personname, personid) AS person_name, emailaddr AS person_email, domain AS person_domain,
   coalesce(repo, '') AS repo_tag, {', '.join(f'coalesce(footer_{t}, []) AS footer_{t}' for t in TRAILERS)}, coalesce(ids, []) AS footer_personids, coalesce(names, []) AS footer_person_names
-  FROM attributed LEFT JOIN lists ON l_cid = coalesce(originalcid, commit_sha) LEFT JOIN tp ON p_cid = coalesce(originalcid, commit_sha))"""
+  FROM placed JOIN known ON commit_sha = cid LEFT JOIN lists ON l_cid = coalesce(originalcid, commit_sha) LEFT JOIN tp ON p_cid = coalesce(originalcid, commit_sha))"""
 
 
 @query(f"WITH {_WIDE} SELECT {', '.join(f'{c}_ AS {c}' if c in PROVENANCE else c for c in DATASET)} FROM wide")
@@ -224,6 +231,27 @@ def identity_totals(spark, d):
     return identity.person_totals(_unified(spark, d))
 
 
+@query(f"WITH {UNIFIED} SELECT DISTINCT personid, NULL::VARCHAR AS personname FROM unified")
+def identity_persons_stock(spark, d):
+    return identity.persons_table(_unified(spark, d))
+
+
+# each customer's name has its own address and the next one's, in chains of 25: a closure of many steps
+CHAIN = """chain AS (SELECT 'Chain Ä' || c_custkey AS name, 'C' || CAST(c_custkey + x AS BIGINT) || '@x' AS email FROM customer, (VALUES (0), (1)) v(x) WHERE x = 0 OR c_custkey % 25 <> 24)"""
+
+
+@query("WITH RECURSIVE " + CHAIN + """, rows_ AS (SELECT lower(strip_accents(name)) AS k, lower(email) AS e FROM chain), pairs AS (SELECT DISTINCT a.k AS a, b.k AS b FROM rows_ a JOIN rows_ b USING (e)),
+reach AS (SELECT DISTINCT k AS a, k AS b FROM rows_ UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON pairs.a = reach.b),
+part AS (SELECT a AS k, min(b) AS comp FROM reach GROUP BY a), n AS (SELECT comp, k, count(*) AS n FROM rows_ JOIN part USING (k) GROUP BY ALL),
+best AS (SELECT comp, k AS personid FROM (SELECT *, row_number() OVER (PARTITION BY comp ORDER BY n DESC, k) AS r FROM n) WHERE r = 1)
+SELECT personid, sum(n)::BIGINT AS identities FROM n JOIN best USING (comp) GROUP BY personid""")
+def identity_chains(spark, d):
+    c = load(spark, d, "customer").select("c_custkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("x")).filter("x = 0 OR c_custkey % 25 <> 24")
+    name, email = F.concat(F.lit("Chain Ä"), "c_custkey"), F.concat(F.lit("C"), (F.col("c_custkey") + F.col("x")).cast("long"), F.lit("@x"))
+    ids = identity.identities(c.select(name.alias("autname"), email.alias("autemail"), name.alias("comname"), email.alias("comemail")))
+    return identity.person_totals(identity.unified(ids)).select("personid", "identities")
+
+
 # ---- history ----
 
 _FORMER = r"coalesce(nullif(regexp_extract(regexp_replace(log, '\n+$', ''), '(?:^|\n)Former-commit-id: ([0-9a-f]{40})$', 1), ''), cid)"
@@ -360,9 +388,8 @@ def map_lookup(spark, d):
 @query(_B + " SELECT CASE WHEN starts_with(orig_blob, 'ab') THEN 'denylisted' WHEN size >= 4000 THEN 'oversized' WHEN processed_at = 6 THEN 'failed' END AS exclusion, count(DISTINCT (orig_blob, path)) AS blobs FROM blob_map WHERE starts_with(orig_blob, 'ab') OR size >= 4000 OR processed_at = 6 GROUP BY ALL")
 def map_exclusions(spark, d):
     b = _blobs(spark, d)
-    # the deny list is a small table of its own; here all ids with one beginning stand for it
-    out = mapping.screened(b, [], 4000, b.filter("processed_at = 6"))
-    return mapping.exclusion_report(out.withColumn("exclusion", F.when(F.col("orig_blob").startswith("ab"), "denylisted").otherwise(F.col("exclusion"))))
+    denied = b.filter(F.col("orig_blob").startswith("ab")).select(F.upper("orig_blob").alias("object_id"))
+    return mapping.exclusion_report(mapping.screened(b, denied, 4000, b.filter("processed_at = 6")))
 
 
 _OUT = "CASE WHEN processed_at = 0 THEN 'timeout' WHEN s = 33 OR s > 128 OR (s = 0 AND size % 5 = 0 AND size > 0) THEN 'parser-crash' WHEN s <> 0 THEN 'tokenizer-error' WHEN size % 5 = 1 THEN 'skip' ELSE 'replace' END"
@@ -386,11 +413,14 @@ def map_retokenize(spark, d):
     return mapping.retokenized(_blobs(spark, d), ["rs"], ["rs"])
 
 
-@query("SELECT * FROM (VALUES ('rs', 'aaaaaaaa', 'bbbbbbbb')) v(ext, stored, asked)")
+@query(_B + rf""", exts AS (SELECT DISTINCT {_EXT} AS ext FROM blob_map), ids AS (SELECT ext, sha256(ext || '1') AS stored, sha256(ext || CASE WHEN ext IN ('rs', 'txt', 'c') THEN '2' ELSE '1' END) AS asked FROM exts)
+SELECT * FROM ids WHERE stored <> asked AND ext IN (SELECT {_EXT} FROM blob_map WHERE orig_blob <> new_blob)""")
 def map_identity_changes(spark, d):
-    stored = spark.createDataFrame([("rs", "aaaaaaaa"), ("c", "cccccccc"), ("go", "dddddddd")], "ext string, digest string")
-    asked = spark.createDataFrame([("rs", "bbbbbbbb"), ("c", "cccccccc"), ("go", "eeeeeeee")], "ext string, digest string")
-    return mapping.identity_changes(stored, asked, _blobs(spark, d))
+    b = _blobs(spark, d)
+    exts = b.select(fn.extension(F.col("path")).alias("ext")).distinct()
+    digest = lambda c: F.sha2(F.concat("ext", c), 256).alias("digest")
+    asked = exts.select("ext", digest(F.when(F.col("ext").isin("rs", "txt", "c"), "2").otherwise("1")))
+    return mapping.identity_changes(exts.select("ext", digest(F.lit("1"))), asked, b)
 
 
 @query(_B + " SELECT count(*) AS examined, count_if(processed_at < 3)::BIGINT AS deleted, count_if(processed_at >= 3 AND processed_at < 6)::BIGINT AS missing, count_if(processed_at = 6)::BIGINT AS unreadable FROM blob_map")
@@ -417,3 +447,6 @@ def blame_records(spark, d):
 def content_functions(spark, d):
     t = F.col("text")
     return load(spark, d, "documents").select("doc_id", F.sha1(fn.html_escape(t)).alias("escaped"), fn.memo_path(t).alias("memo_path"))
+
+
+from . import history_queries, text_queries  # noqa: E402, F401

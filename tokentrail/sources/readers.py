@@ -4,21 +4,25 @@ from __future__ import annotations
 
 import json
 import sqlite3
-import subprocess
 from collections.abc import Iterator
+from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions import text as fn
 from ..operators.walk import decoded
 from ..schema import PROVENANCE
+from . import git
 
 GIT_LOG = "cid string, autname string, autemail string, autdate string, comname string, comemail string, comdate string, summary string, parents array<string>, log string, footers array<struct<key:string,value:string>>"
 
 
 class GitLog(DataSource):
-    """Commits of all refs of a repository on a path that the executor sees; one partition a repository."""
+    """Commits of all refs of repositories on paths that executors see; one partition a repository, whose log streams.
+    Dates are in the time zone of option zone, UTC if unset."""
 
     @classmethod
     def name(cls) -> str:
@@ -28,31 +32,32 @@ class GitLog(DataSource):
         return GIT_LOG
 
     def reader(self, schema) -> DataSourceReader:
-        return _GitReader(self.options["path"].split(","))
+        return _GitReader(self.options["path"].split(","), self.options.get("zone", "UTC"))
 
 
 class _GitReader(DataSourceReader):
-    def __init__(self, paths: list[str]) -> None:
-        self.paths = paths
+    def __init__(self, paths: list[str], zone: str) -> None:
+        self.paths, self.zone = paths, zone
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(p) for p in self.paths]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        form = "%x1f".join(["%H", "%an", "%ae", "%ad", "%cn", "%ce", "%cd", "%s", "%P", "%B", "%(trailers:only,unfold,separator=%x1e)"])
-        out = subprocess.run(["git", "-C", partition.value, "log", "--all", "-z", "--date=format-local:%Y-%m-%d %H:%M:%S", f"--format={form}"], check=True, capture_output=True, env={"TZ": "UTC", "PATH": "/usr/bin:/bin:/usr/local/bin", "GIT_CONFIG_COUNT": "1", "GIT_CONFIG_KEY_0": "safe.directory", "GIT_CONFIG_VALUE_0": "*"})
-        for record in out.stdout.decode("utf-8", "replace").split("\0"):
-            f = record.split("\x1f")
+        form = "%x1f".join(["%H", "%an", "%ae", "%at", "%cn", "%ce", "%ct", "%s", "%P", "%B", "%(trailers:only,unfold,separator=%x1e)"])
+        zone = ZoneInfo(self.zone)
+        date = lambda at: datetime.fromtimestamp(int(at), zone).strftime("%Y-%m-%d %H:%M:%S")
+        for record in git.records(git.git(partition.value, "log", "--all", "-z", f"--format={form}"), b"\0"):
+            f = record.decode("utf-8", "replace").split("\x1f")
             if len(f) == 11:
                 trailers = [(k, v.strip()) for k, _, v in (t.partition(":") for t in f[10].split("\x1e") if ":" in t)]
-                yield (*f[:8], f[8].split(), f[9], trailers)
+                yield (*f[:3], date(f[3]), *f[4:6], date(f[6]), f[7], f[8].split(), f[9], trailers)
 
 
-def git_history(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+def git_history(spark: SparkSession, path: str, zone: str = "UTC") -> dict[str, DataFrame]:
     """commits, parents, logs and footers of a repository; one trailing space of a name goes."""
     spark.dataSource.register(GitLog)
-    g = spark.read.format("git_log").option("path", path).load()
-    name = lambda c: F.regexp_replace(c, r" \z", "").alias(c)
+    g = spark.read.format("git_log").option("path", path).option("zone", zone).load()
+    name = lambda c: fn.without_last_space(F.col(c)).alias(c)
     return {
         "commits": g.select("cid", name("autname"), "autemail", "autdate", name("comname"), "comemail", "comdate", "summary", (F.size("parents") > 1).alias("ismerge")),
         "parents": g.select("cid", F.posexplode("parents").alias("idx", "parent")),
@@ -91,13 +96,26 @@ class _SqliteReader(DataSourceReader):
     def __init__(self, path: str, table: str, n: int, kinds: list[str]) -> None:
         self.path, self.table, self.n, self.kinds = path, table, n, kinds
 
+    def _open(self) -> sqlite3.Connection:
+        return sqlite3.connect(f"file:{self.path}?mode=ro", uri=True)
+
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(i) for i in range(self.n)]
+        """Ranges of rowid, so that each reads its own pages; a table without rowid is one."""
+        try:
+            with self._open() as db:
+                low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {_quoted(self.table)}").fetchone()
+        except sqlite3.OperationalError:
+            return [InputPartition(None)]
+        if low is None:
+            return []
+        edges = [low + (high + 1 - low) * i // self.n for i in range(self.n + 1)]
+        return [InputPartition((a, b)) for a, b in zip(edges[:-1], edges[1:], strict=True) if b > a]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         make = [(lambda x: None if x is None else bool(x)) if k == "boolean" else (lambda x: None if x is None else str(x)) if k == "string" else (lambda x: x) for k in self.kinds]
-        with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as db:
-            for row in db.execute(f"SELECT * FROM {_quoted(self.table)} WHERE abs(rowid) % ? = ?", (self.n, partition.value)):
+        where, args = ("", ()) if partition.value is None else ("WHERE rowid >= ? AND rowid < ?", partition.value)
+        with self._open() as db:
+            for row in db.execute(f"SELECT * FROM {_quoted(self.table)} {where}", args):
                 yield tuple(f(x) for f, x in zip(make, row, strict=True))
 
 
