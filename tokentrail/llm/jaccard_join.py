@@ -6,9 +6,9 @@ A document's set holds the hashes of its distinct shingles. Two documents link w
 2. Shingles have one order: rare ones by hash, then frequent ones by how often they occur (those that stand in many
    prefixes under the order of hashes alone). Linked sets share an element of their first n - ceil(percent n / 100) + 1
    elements. Elements in one prefix only are left out by a filter of bounded size.
-3. Answers against the heads: each set of an element's index list is held against the list's least doc_id only, so
-   that a group of near copies costs a pair or few for each of its sets. A set that links with a head leads its group;
-   a member's `plus` counts the elements that its leader lacks.
+3. Answers against the heads: the head of an index list is its least doc_id. Each set is held against the head of most
+   of its lists, if these are a quarter of its prefix, so that a group of near copies costs a pair for each of its sets.
+   A head that links with a set leads it; the set's `plus` counts the elements that its leader lacks.
 4. Answers between groups: of each list one entry a leader is left, and lists within one component go. Entries stand
    in blocks of one size, by the place of the element. A probe steps over whole blocks: those too large, those whose
    sizes need more further elements than its own place leaves; and of a block it takes only the entries before the
@@ -167,6 +167,14 @@ def lists(rows: DataFrame) -> DataFrame:
     return rows.join(heads.hint("merge"), "element")
 
 
+def stars(index: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each set b with the head a of most of its lists, if that is a quarter of its prefix or more."""
+    each = index.filter("doc_id <> head").groupBy(F.col("head").alias("a"), F.col("doc_id").alias("b"), "size").agg(F.count(F.lit(1)).alias("c"))
+    best = each.groupBy("b", "size").agg(F.max(F.struct("c", (-F.col("a")).alias("least"))).alias("best"))
+    prefix = F.col("size") - F.ceil(percent * F.col("size") / 100) + 1
+    return best.filter(4 * F.col("best.c") >= prefix).select((-F.col("best.least")).alias("a"), "b")
+
+
 # ---- pairs of entries, block by block ----
 
 
@@ -416,8 +424,7 @@ def similarity_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     index = written(lists(postings(heads)), "lists")
     for done in (firsts, heads):
         drop_written(done)
-    stars = index.filter("doc_id <> head").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-    answers = written(overlaps(texts, written(stars, "stars"), words), "answers")
+    answers = written(overlaps(texts, written(stars(index, percent), "stars"), words), "answers")
     links = written(links_between(texts, index, answers, words, percent, long), "links")
     found = connected_components(links, "a", "b")
     whole = classes.join(found, classes.representative == found.node, "left").select(F.col("signature").alias("c_signature"), F.col("n_shingles").alias("c_n"), F.coalesce("component", "representative").alias("component_id"))
