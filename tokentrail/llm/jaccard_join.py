@@ -161,9 +161,9 @@ def postings(heads: DataFrame) -> DataFrame:
 
 
 def lists(rows: DataFrame) -> DataFrame:
-    """The index lists of two sets or more: rows with the list's head, its least doc_id, and length. Heads are found
-    with partial sums, and joined back, so no list has to be in one task."""
-    heads = rows.groupBy("element").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("length")).filter("length > 1")
+    """The index lists of two sets or more: rows with the list's head, its least doc_id. Heads are found with partial
+    sums, and joined back, so no list has to be in one task."""
+    heads = rows.groupBy("element").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("length")).filter("length > 1").drop("length")
     return rows.join(heads.hint("merge"), "element")
 
 
@@ -360,7 +360,7 @@ def links_between(texts: DataFrame, index: DataFrame, answers: DataFrame, words:
     reach = member.groupBy("leader").agg(F.max("plus").alias("reach"), F.min("size").alias("least"))
     node = place.join(member.select(F.col("doc_id").alias("node"), "leader"), "node", "left").withColumn("leader", F.coalesce("leader", "node"))
     node = node.join(reach, "leader", "left").select(F.col("node").alias("doc_id"), "leader", "component", F.coalesce("reach", F.lit(0)).alias("reach"))
-    rows = index.filter("length > 2").join(node, "doc_id", "left")
+    rows = index.join(node, "doc_id", "left")
     rows = rows.withColumns({"leader": F.coalesce("leader", "doc_id"), "component": F.coalesce("component", "doc_id"), "reach": F.coalesce("reach", F.lit(0))})
     entries = rows.groupBy("element", "leader", "component", "reach").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.max(F.col("size") - F.col("at")).alias("rest"), F.when(F.count(F.lit(1)) == 1, F.max("before")).otherwise(0).alias("before"))
     entries = written(entries, "entries")
