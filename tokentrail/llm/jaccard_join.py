@@ -6,17 +6,19 @@ A document's set holds the hashes of its distinct shingles. Two documents link w
 2. Shingles have one order: rare ones by hash, then frequent ones by how often they occur (those that stand in many
    prefixes under the order of hashes alone). Linked sets share an element of their first n - ceil(percent n / 100) + 1
    elements. Elements in one prefix only are left out by a filter of bounded size.
-3. Answers against the heads: the head of an index list is its least doc_id. Each set is held against the head of most
-   of its lists, if these are a quarter of its prefix, so that a group of near copies costs a pair for each of its sets.
-   A head that links with a set leads it; the set's `plus` counts the elements that its leader lacks.
+3. Answers against the heads: the head of an index list is the set with the fewest elements of its own, of equal ones
+   that with the least doc_id, so that a head is like what a group has in common. Each set is held against the head of
+   most of its lists, if these are a quarter of its prefix, so that a group of near copies costs a pair for each of its
+   sets. A head that links with a set leads it; the set's `plus` counts the elements that its leader lacks.
 4. Answers between groups: of each list one entry a leader is left, and lists within one component go. Entries stand
    in blocks of one size, by the place of the element. A probe steps over whole blocks: those too large, those whose
    sizes need more further elements than its own place leaves; and of a block it takes only the entries before the
    place from which on too few are left. Lists longer than LONG also hold leaders against each other by how many
    elements they have in each of BUCKETS.
-5. A member's answers are derived from its leader's: it shares at most `plus` elements more with any set. So leaders
-   are held against each other in full, and members of two groups only where that count plus both of theirs could
-   link, first against the other leader, then against its members.
+5. A member's answers are derived from its leader's. Leaders are held against each other in full. A member m of leader a
+   shares with a set b what a shares with it, and of the elements that a lacks those that m and b both have, at most. So
+   only these few differences are indexed, and m is held against b where they meet in an element of enough rarity that
+   the two could link, or where the leader's count alone would do; then in the same way b's members against such m.
 6. Components of the links are found by star contraction.
 
 The set element is a 64-bit hash. Nulls: a null text, or one without words, has an empty set that links with
@@ -133,8 +135,8 @@ def prefixes(texts: DataFrame, firsts: DataFrame, words: int, percent: int) -> D
 
 
 def postings(heads: DataFrame) -> DataFrame:
-    """(element, size, at, doc_id, before) of prefix elements that another set's prefix may have: the set's size, the
-    element's place in it, and the element before it (0 at the first place)."""
+    """(element, size, at, doc_id, own, before) of prefix elements that another set's prefix may have: the set's size,
+    the element's place in it, how many of the set's prefix no other has, and the element before (0 at the first place)."""
     n = partitions(heads.sparkSession)
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,16 +157,18 @@ def postings(heads: DataFrame) -> DataFrame:
             keep = shared.value.maybe(mix64(element))
             size = np.repeat(b.column(1).to_numpy(), counts)
             doc = np.repeat(b.column(0).to_numpy(), counts)
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (element.view(np.int64), size, at, doc, before.view(np.int64))], names=["element", "size", "at", "doc_id", "before"])
+            common = np.concatenate([[0], np.cumsum(keep)])
+            own = np.repeat(counts - (common[ends] - common[ends - counts]), counts)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (element.view(np.int64), size, at, doc, own, before.view(np.int64))], names=["element", "size", "at", "doc_id", "own", "before"])
 
-    return heads.select("doc_id", "n", "prefix").mapInArrow(run, "element long, size long, at long, doc_id long, before long")
+    return heads.select("doc_id", "n", "prefix").mapInArrow(run, "element long, size long, at long, doc_id long, own long, before long")
 
 
 def lists(rows: DataFrame) -> DataFrame:
-    """The index lists of two sets or more: rows with the list's head, its least doc_id. Heads are found with partial
-    sums, and joined back, so no list has to be in one task."""
-    heads = rows.groupBy("element").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("length")).filter("length > 1").drop("length")
-    return rows.join(heads.hint("merge"), "element")
+    """The index lists of two sets or more: rows with the list's head, the set with the fewest elements of its own.
+    Heads are found with partial sums, and joined back, so no list has to be in one task."""
+    heads = rows.groupBy("element").agg(F.min(F.struct("own", "doc_id")).alias("h"), F.count(F.lit(1)).alias("length")).filter("length > 1")
+    return rows.drop("own").join(heads.select("element", F.col("h.doc_id").alias("head")).hint("merge"), "element")
 
 
 def stars(index: DataFrame, percent: int) -> DataFrame:
@@ -301,9 +305,9 @@ def bucket_counts(texts: DataFrame, ids: DataFrame, words: int) -> DataFrame:
 # ---- whole sets ----
 
 
-def overlaps(texts: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(a, b, shared, n_a, n_b) of pairs (a, b), by their whole sets. Texts that no pair names stay where they are: a
-    filter of bounded size goes to the scan. Joins are by sorting, so that no stage holds two Python functions."""
+def _both(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, text_a, text_b) of pairs (a, b). Texts that no pair names stay where they are: a filter of bounded size goes
+    to the scan. Joins are by sorting, so that no stage holds two Python functions."""
     sent = texts.sparkSession.sparkContext.broadcast(filters.of_ids(pairs))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,21 +316,41 @@ def overlaps(texts: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
 
     found = texts.select("doc_id", "text").mapInArrow(some, "doc_id long, text string")
     a, b = (found.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")).hint("merge") for x in "ab")
-    both = pairs.join(b, "b").join(a, "a")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
+
+
+def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The two sets of each row of _both; neighbours mostly share the first."""
+    last, own = None, None
+    for x, ta, tb in zip(batch.column(0).to_pylist(), utf8(batch.column(2)), utf8(batch.column(3)), strict=True):
+        if x != last:
+            last, own = x, _set(ta, words)
+        yield own, _set(tb, words)
+
+
+def overlaps(texts: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """(a, b, shared, n_a, n_b) of pairs (a, b), by their whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
         for batch in slices(batches):
-            out = []
-            for x, ta, tb in zip(batch.column(0).to_pylist(), utf8(batch.column(2)), utf8(batch.column(3)), strict=True):
-                if x != last:
-                    last, own = x, _set(ta, words)
-                other = _set(tb, words)
-                out.append((len(np.intersect1d(own, other, assume_unique=True)), len(own), len(other)))
+            out = [(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x, y in _sets(batch, words)]
             counts = np.array(out, np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(counts[:, k]) for k in range(3))], names=["a", "b", "shared", "n_a", "n_b"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, shared long, n_a long, n_b long")
+    return _both(texts, pairs).mapInArrow(run, "a long, b long, shared long, n_a long, n_b long")
+
+
+def differences(texts: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """(a, b, element): the elements of b that a lacks, of pairs (a, b)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [np.setdiff1d(y, x, assume_unique=True) for x, y in _sets(batch, words)]
+            who = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            element = np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(who)), batch.column(1).take(pa.array(who)), pa.array(element)], names=["a", "b", "element"])
+
+    return _both(texts, pairs).mapInArrow(run, "a long, b long, element long")
 
 
 def _linked(percent: int):
@@ -357,9 +381,9 @@ def links_between(texts: DataFrame, index: DataFrame, answers: DataFrame, words:
     links = answers.filter(_linked(percent)).select("a", "b")
     place = connected_components(links, "a", "b")
     member = written(groups(answers, percent), "groups")
-    reach = member.groupBy("leader").agg(F.max("plus").alias("reach"), F.min("size").alias("least"))
+    reach = member.groupBy("leader").agg(F.max("plus").alias("reach"), F.min("size").alias("least"), F.count(F.lit(1)).alias("members"))
     node = place.join(member.select(F.col("doc_id").alias("node"), "leader"), "node", "left").withColumn("leader", F.coalesce("leader", "node"))
-    node = node.join(reach, "leader", "left").select(F.col("node").alias("doc_id"), "leader", "component", F.coalesce("reach", F.lit(0)).alias("reach"))
+    node = node.join(reach.select("leader", "reach"), "leader", "left").select(F.col("node").alias("doc_id"), "leader", "component", F.coalesce("reach", F.lit(0)).alias("reach"))
     rows = index.join(node, "doc_id", "left")
     rows = rows.withColumns({"leader": F.coalesce("leader", "doc_id"), "component": F.coalesce("component", "doc_id"), "reach": F.coalesce("reach", F.lit(0))})
     entries = rows.groupBy("element", "leader", "component", "reach").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.max(F.col("size") - F.col("at")).alias("rest"), F.when(F.count(F.lit(1)) == 1, F.max("before")).otherwise(0).alias("before"))
@@ -372,36 +396,50 @@ def links_between(texts: DataFrame, index: DataFrame, answers: DataFrame, words:
         counts = bucket_counts(texts, crowded.select("leader").distinct(), words).withColumnRenamed("doc_id", "leader")
         pairs = pairs.union(leader_pairs(crowded.join(counts.hint("merge"), "leader"), percent)).distinct()
     pairs = written(pairs, "pairs")
-    known = pairs.join(answers, ["a", "b"])
-    new = overlaps(texts, pairs.join(answers.select("a", "b"), ["a", "b"], "left_anti"), words)
-    between = written(known.unionByName(new), "between")
+    told = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared", F.when(F.col("a") < F.col("b"), F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"), F.when(F.col("a") < F.col("b"), F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"))
+    new = overlaps(texts, pairs.join(told.select("a", "b"), ["a", "b"], "left_anti"), words)
+    between = written(pairs.join(told, ["a", "b"]).unionByName(new), "between")
     found = written(links.union(between.filter(_linked(percent)).select("a", "b")), "links")
-    # members whose answers the leaders' do not settle
-    own = reach.select(F.col("leader").alias("own"), "reach", "least")
-    of = lambda x: own.select(F.col("own").alias(x), F.col("reach").alias(f"reach_{x}"), F.col("least").alias(f"least_{x}"))
-    open_ = between.filter(~_linked(percent)).join(of("a"), "a", "left").join(of("b"), "b", "left")
-    open_ = open_.withColumns({f"reach_{x}": F.coalesce(f"reach_{x}", F.lit(0)) for x in "ab"} | {f"least_{x}": F.least(F.coalesce(f"least_{x}", f"n_{x}"), f"n_{x}") for x in "ab"})
-    open_ = open_.filter((F.col("reach_a") + F.col("reach_b") > 0) & (F.col("shared") + F.col("reach_a") + F.col("reach_b") >= _need_of(F.col("least_a"), F.col("least_b"), percent)))
-    open_ = written(open_, "open")
+    # members whose answers the leaders' do not settle; of two groups the larger is a's
+    near = between.filter(~_linked(percent)).select("a", "b", "shared", "n_a", "n_b")
+    for x in "ab":
+        near = near.join(reach.select(F.col("leader").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("members", "reach", "least"))), x, "left")
+        near = near.withColumns({f"members_{x}": F.coalesce(f"members_{x}", F.lit(0)), f"reach_{x}": F.coalesce(f"reach_{x}", F.lit(0)), f"least_{x}": F.least(F.coalesce(f"least_{x}", f"n_{x}"), f"n_{x}")})
+    sides = [F.struct(*(F.col(f"{c}_{x}").alias(c) for c in ("members", "n", "reach", "least")), F.col(x).alias("id")) for x in "ab"]
+    near = near.select("shared", F.greatest(*sides).alias("x"), F.least(*sides).alias("y")).filter("x.members > 0")
+    near = near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), "shared", F.col("x.n").alias("n_a"), F.col("x.reach").alias("reach_a"), F.col("x.least").alias("least_a"), F.col("y.reach").alias("reach_b"), F.col("y.least").alias("least_b"))
+    open_ = written(_apart(near.filter(F.col("shared") + F.col("reach_a") + F.col("reach_b") >= _need_of(F.col("least_a"), F.col("least_b"), percent)), found), "open")
     if open_.isEmpty():
         return found
-    open_ = _apart(open_, found)
-    # each member of a's group against b, then each of b's group against those
-    first = open_.join(member.select(F.col("leader").alias("a"), F.col("doc_id").alias("m"), F.col("plus").alias("plus_m"), F.col("size").alias("n_m")), "a")
-    first = first.filter(F.col("shared") + F.col("plus_m") + F.col("reach_b") >= _need_of(F.col("n_m"), F.col("least_b"), percent))
-    first = written(first.select("m", F.col("b").alias("leader_b"), "reach_b", "least_b").distinct(), "first")
-    asked = first.select(F.least("m", "leader_b").alias("a"), F.greatest("m", "leader_b").alias("b")).distinct()
-    told = written(overlaps(texts, asked, words), "told")
-    found = written(found.union(told.filter(_linked(percent)).select("a", "b")), "links")
-    both = told.select("a", "b", "shared").union(told.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared")).select(F.col("a").alias("m"), F.col("b").alias("leader_b"), "shared")
-    size = told.select(F.col("a").alias("m"), F.col("n_a").alias("n_m")).union(told.select("b", "n_b")).distinct()
-    reached = first.join(both, ["m", "leader_b"]).join(size, "m").select("m", "leader_b", "shared", "n_m")
-    reached = reached.union(open_.select(F.col("a").alias("m"), F.col("b").alias("leader_b"), "shared", F.col("n_a").alias("n_m"))).distinct()
-    second = reached.join(member.select(F.col("leader").alias("leader_b"), F.col("doc_id").alias("k"), "plus", "size"), "leader_b")
-    second = second.filter(F.col("shared") + F.col("plus") >= _need_of(F.col("n_m"), F.col("size"), percent))
-    second = second.select(F.least("m", "k").alias("a"), F.greatest("m", "k").alias("b")).distinct()
-    second = written(_apart(second, found), "second")
-    return found.union(overlaps(texts, second, words).filter(_linked(percent)).select("a", "b"))
+    first = written(overlaps(texts, member_pairs(texts, open_, member, words, percent), words), "first")
+    found = written(found.union(first.filter(_linked(percent)).select("a", "b")), "links")
+    # what was held against a leader b, with b's members
+    again = first.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared", F.col("n_a").alias("least_b")).union(open_.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared", F.col("n_a").alias("least_b"))).distinct()
+    again = again.join(reach.select(F.col("leader").alias("a"), F.col("reach").alias("reach_a"), F.col("least").alias("least_a")), "a").withColumn("reach_b", F.lit(0))
+    again = again.filter(F.col("shared") + F.col("reach_a") >= _need_of(F.col("least_a"), F.col("least_b"), percent))
+    again = written(_apart(again, found), "again")
+    if again.isEmpty():
+        return found
+    second = overlaps(texts, _apart(member_pairs(texts, again, member, words, percent), found), words)
+    return found.union(second.filter(_linked(percent)).select("a", "b"))
+
+
+def member_pairs(texts: DataFrame, open_: DataFrame, member: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of a leader's member and a set that the leader was held against, which can link (or of which the
+    member can link with a set that has reach_b elements more than b). open_ has a, b, shared, least_a, reach_b, least_b."""
+    group = written(member.join(open_.select(F.col("a").alias("leader")).distinct(), "leader", "left_semi"), "group")
+    lacks = lambda size: _need_of(size, F.col("least_b"), percent) - F.col("reach_b") - F.col("shared")
+    enough = open_.filter(lacks(F.col("least_a")) <= 0).join(group.withColumnRenamed("leader", "a"), "a")
+    enough = enough.filter(lacks(F.col("size")) <= 0).select(F.col("doc_id").alias("a"), "b")
+    own = written(differences(texts, group.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")), words), "own")
+    often = own.groupBy("a", "element").agg(F.count(F.lit(1)).alias("often"))
+    lacking = differences(texts, open_.select("a", "b"), words).join(often, ["a", "element"]).groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("often", "element"))).alias("rare"))
+    # to have n elements in common with a member, b must have one of all but its n - 1 commonest
+    least = F.greatest(lacks(F.col("least_a")), F.lit(1))
+    firsts = lacking.join(open_, ["a", "b"]).withColumn("k", (F.size("rare") - least + 1).cast("int")).filter("k > 0")
+    firsts = firsts.select("a", "b", F.explode(F.slice("rare", F.lit(1), F.col("k"))).alias("e")).select("a", "b", "e.element")
+    met = firsts.join(own.withColumnRenamed("b", "m"), ["a", "element"]).select(F.col("m").alias("a"), "b")
+    return written(enough.union(met).distinct(), "members")
 
 
 def similarity_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, long: int = LONG) -> DataFrame:
