@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, gram_hashes, slices, utf8
+from .common import fresh, gram_hashes, slices, utf8, written
 
 GRAM, WINDOW = 2, 2
 #: Words with which a run of fewer lines counts in the pipeline.
@@ -126,13 +126,15 @@ def matches(rows: DataFrame) -> DataFrame:
     """(doc_id, text_hash, at, lines, from_doc, from_at): extents that also stand at an earlier place.
 
     First places are found with partial sums in each task, so a very common line moves a few rows only; the join back
-    has one row for each repeated fingerprint on its right, and Spark may split its left side.
+    has one row for each repeated fingerprint on its right, and Spark may split its left side. rows is read twice and
+    should be a stored table.
     """
     first = rows.groupBy("print", "lines").agg(F.min(F.struct("doc_id", "text_hash", "at", "left", "right")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     pairs = rows.join(first, ["print", "lines"]).filter((F.col("head.doc_id") != F.col("doc_id")) | (F.col("head.text_hash") != F.col("text_hash")) | (F.col("head.at") != F.col("at")))
     pairs = pairs.withColumns({"back": _alike(F.col("left"), F.col("head.left")), "on": _alike(F.col("right"), F.col("head.right"))})
     # the runs of this position within the extent
     pairs = pairs.withColumns({"m1": F.greatest("first", F.col("at") - F.col("back")), "m2": F.least("last", F.col("at") + F.col("on") - F.col("slack"))})
+    pairs = written(pairs.drop("back", "on"), "met")
     long = pairs.filter("m1 <= m2").select("doc_id", "text_hash", F.col("m1").alias("at"), (F.col("m2") - F.col("m1") + F.col("lines")).alias("lines"), F.col("head.doc_id").alias("from_doc"), (F.col("head.at") + F.col("m1") - F.col("at")).alias("from_at"))
     over = F.filter(F.sequence("first", "last"), lambda k: (F.col("m1") > F.col("m2")) | (k < F.col("m1")) | (k > F.col("m2")))
     rest = pairs.filter(F.size(over) > 0).withColumn("k", F.explode(over))
@@ -165,7 +167,7 @@ def cut_lines(text: bytes, found: list[int]) -> tuple[bytes, int, int, int]:
 def _joined(docs: DataFrame, gram: int, window: int, words: int | None) -> DataFrame:
     """docs with one more column, last: the extents of each row's text that go, or null."""
     extent = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("lines").cast("long"))
-    found = matches(fingerprint_rows(docs, gram, window, words)).groupBy("doc_id", "text_hash").agg(F.collect_list(extent).alias("extents"))
+    found = matches(written(fingerprint_rows(docs, gram, window, words), "prints")).groupBy("doc_id", "text_hash").agg(F.collect_list(extent).alias("extents"))
     names = {c: fresh(docs.columns, f"_{c}") for c in found.columns}
     found = found.withColumnsRenamed(names)
     same = (F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL)) == F.col(names["doc_id"])) & (F.xxhash64("text") == F.col(names["text_hash"]))
