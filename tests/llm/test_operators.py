@@ -65,7 +65,7 @@ def test_ids_are_the_librarys():
     from tokenizers import Tokenizer
 
     t, rng = Tokenizer.from_file(queries.WORD_BPE), random.Random(1)
-    words = token_store._word_ids(t, "H")
+    words = token_store.Words(t, "<u2")
     odd = "İıſßŉǰΐẞΣςσAaZz.,!?'`\"-’“\u0327\u0301\u0307\u00a0\u200b\t\x0b\x85 ½Ⅷ日カ가ﬁ"
 
     def char():
@@ -73,7 +73,9 @@ def test_ids_are_the_librarys():
         c = rng.randint(0, 0x10FFFF)
         return rng.choice("abcXYZ .,!'019") if k < 0.35 else rng.choice(odd) if k < 0.6 else chr(c % 0x2500) if k < 0.8 or 0xD800 <= c < 0xE000 else chr(c)
 
-    some = ["EVİ.", "TÜRKİ, x", "İ!", "ΑΣ.", *("".join(char() for _ in range(rng.randint(1, 14))) for _ in range(20_000))]
+    letters = [chr(c) for c in (*range(0xC0, 0x250), *range(0x400, 0x482), *b"abcdeXYZ")]
+    runs = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 9))) + rng.choice(["", ".", "'s", "!?"]) for _ in range(30)) for _ in range(300)]
+    some = ["EVİ.", "TÜRKİ, x", "İ!", "ΑΣ.", "", *runs, *("".join(char() for _ in range(rng.randint(1, 14))) for _ in range(20_000))]
     got = token_store._ids_of(pa.array(some), words, 2)
     assert [np.frombuffer(x, "<u2").tolist() for x in got] == [e.ids for e in t.encode_batch(some, add_special_tokens=False)]
 

@@ -18,9 +18,7 @@ from __future__ import annotations
 
 import itertools
 import json
-import re
 import uuid
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,12 +33,12 @@ from .common import partitions, ranges, slices
 
 BLOCK = 512
 CHUNK = 8
-#: Words kept with their ids by each worker, in each of two generations.
-CACHE_WORDS = 600_000
+#: Words kept with their ids by each worker, in each of two generations; words encoded in one call.
+CACHE_WORDS, TOGETHER = 600_000, 2_000
 TOKENS_PER_FILE = 1_000_000
 MARKS = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
 #: Letters that are letters in every version of Unicode and stay letters, one for one, in lower case; so not U+0130.
-LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0400-\u0481]+")
+LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0400-\u0481]+"
 
 
 # ---- the codes ----
@@ -145,57 +143,70 @@ def _filesystem(path: str):
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
-class _Recent(dict):
-    """Values by key, computed when missing; of two generations of CACHE_WORDS keys the older one goes."""
+class Words:
+    """The ids of pieces of text without white space, as bytes of integers; of two generations of CACHE_WORDS pieces the
+    older one goes.
 
-    def __init__(self, compute) -> None:
-        self.compute, self.older = compute, {}
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.older.get(key)
-        if value is None:
-            value = self.compute(key)
-        if len(self) >= CACHE_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
-def _word_ids(tokenizer, kind: str):
-    """A function from a piece of text without white space to its ids, as bytes of integers.
-
-    The tokenizer cuts between a letter and a mark. So LETTERS with ASCII marks behind them are looked up apart,
-    which lets a word's forms share an entry; it lowers letters, and ASCII ones alike at any place. Words with other
-    letters go to the library whole: in lower case some end in a mark that joins the one behind. Lower-case ASCII
-    letters pass its normalizer and its splits unchanged, so they go to its model at once.
+    The tokenizer cuts between a letter and a mark, and lowers letters. So LETTERS with ASCII marks behind them are looked
+    up apart and in lower case, which lets a word's forms share an entry. Each such run of letters is one word for the
+    tokenizer, so new ones are encoded many at a time, with spaces between them. Pieces with other characters go to it
+    one by one as they are: in lower case some letters end in a mark that joins the one behind.
     """
-    tokenize, encode = tokenizer.model.tokenize, tokenizer.encode
-
-    def by_library(piece: str) -> bytes:
-        if piece.isascii() and piece.isalpha() and piece.islower():
-            ids = [t.id for t in tokenize(piece)]
-        else:
-            ids = encode(piece, add_special_tokens=False).ids
-        return array(kind, ids).tobytes()
-
-    pieces, is_letters = _Recent(by_library), LETTERS.fullmatch
-
-    def ids_of(word: str) -> bytes:
-        letters = word.rstrip(MARKS)
-        if not is_letters(letters):
-            return pieces[word]
-        ids = pieces[letters.lower() if letters.isascii() else letters]
-        return ids + pieces[word[len(letters) :]] if len(letters) < len(word) else ids
-
-    return ids_of
-
 
-def _ids_of(texts: pa.Array, words, width: int) -> list[bytes]:
+    def __init__(self, tokenizer, kind: str) -> None:
+        self.encode, self.kind = tokenizer.encode, kind
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _one(self, piece: str) -> bytes:
+        return np.array(self.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _runs(self, pieces: list[str]) -> list[bytes]:
+        """The ids of runs of letters."""
+        found = self.encode(" ".join(pieces), add_special_tokens=False)
+        counts = np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces))
+        if len(counts) != len(pieces) or not counts.all():
+            return list(map(self._one, pieces))
+        raw, size = np.array(found.ids, self.kind).tobytes(), np.dtype(self.kind).itemsize
+        return [raw[a:b] for a, b in itertools.pairwise(np.concatenate([[0], counts.cumsum() * size]).tolist())]
+
+    def _many(self, pieces: list[str], runs: bool) -> list[bytes]:
+        known, older = self.known, self.older
+        if len(known) + len(pieces) > CACHE_WORDS:
+            self.known, self.older = known, older = {}, known
+        new = [p for p in pieces if p not in known]
+        if older:
+            known.update((p, older[p]) for p in new if p in older)
+            new = [p for p in new if p not in known]
+        for at in range(0, len(new), TOGETHER):
+            part = new[at : at + TOGETHER]
+            known.update(zip(part, self._runs(part) if runs else map(self._one, part), strict=True))
+        return list(map(known.__getitem__, pieces))
+
+    def ids_of(self, pieces: pa.Array) -> list[bytes]:
+        letters = pc.utf8_rtrim(pieces, characters=MARKS)
+        plain = pc.match_substring_regex(letters, rf"\A{LETTERS}\z")
+        forms = pc.utf8_lower(letters.filter(plain)).dictionary_encode()
+        runs = self._many(forms.dictionary.to_pylist(), True)
+        out = np.empty(len(pieces), object)
+        out[plain.to_numpy(zero_copy_only=False)] = list(map(runs.__getitem__, forms.indices.to_pylist()))
+        odd = pc.invert(plain)
+        out[odd.to_numpy(zero_copy_only=False)] = self._many(pieces.filter(odd).to_pylist(), False)
+        marked = np.flatnonzero(pc.and_(plain, pc.not_equal(pc.binary_length(pieces), pc.binary_length(letters))))
+        some = pa.array(marked)
+        marks = [word[len(run) :] for word, run in zip(pieces.take(some).to_pylist(), letters.take(some).to_pylist(), strict=True)]
+        each = dict(zip(found := sorted(set(marks)), self._many(found, False), strict=True))
+        own = out.tolist()
+        for i, m in zip(marked.tolist(), marks, strict=True):
+            own[i] += each[m]
+        return own
+
+
+def _ids_of(texts: pa.Array, words: Words, width: int) -> list[bytes]:
     """The ids of each text. Words are told apart in Arrow, so that Python sees each word of the batch once."""
     split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
     flat = split.flatten().dictionary_encode()
-    unique = list(map(words, flat.dictionary.to_pylist()))
+    unique = words.ids_of(flat.dictionary)
     sizes = np.fromiter(map(len, unique), np.int64, len(unique)) // width
     starts = np.cumsum(sizes) - sizes
     index = flat.indices.to_numpy()
@@ -227,7 +238,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, cuts
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
         width = 2 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        words = _word_ids(tokenizer, "H" if width == 2 else "I")
+        words = Words(tokenizer, f"<u{width}")
         end = int(end_id).to_bytes(width, "little")
         edges = np.array(cuts, np.int64)
         for b in slices(batches, 2048):
