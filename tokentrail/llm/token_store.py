@@ -20,6 +20,7 @@ import itertools
 import json
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -202,6 +203,16 @@ class Words:
         return own
 
 
+@lru_cache(maxsize=1)
+def load(tokenizer_path: str, end_id: int) -> tuple[Words, int]:
+    """The words of a tokenizer, which a worker keeps for its next tasks, and the bytes of an id."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    width = 2 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+    return Words(tokenizer, f"<u{width}"), width
+
+
 def _ids_of(texts: pa.Array, words: Words, width: int) -> list[bytes]:
     """The ids of each text. Words are told apart in Arrow, so that Python sees each word of the batch once."""
     split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", " "), " ")
@@ -234,11 +245,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, cuts
     cuts = cuts or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        width = 2 if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        words = Words(tokenizer, f"<u{width}")
+        words, width = load(tokenizer_path, end_id)
         end = int(end_id).to_bytes(width, "little")
         edges = np.array(cuts, np.int64)
         for b in slices(batches, 2048):
