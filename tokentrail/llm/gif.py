@@ -103,36 +103,37 @@ def lzw_decode(stream: bytes, size: int, want: int) -> bytes:
     total, at, got, out = 8 * len(stream), 0, 0, []
     singles = [bytes([i]) for i in range(clear)] + [b"", b""]
     table, prev, since = list(singles), b"", 0  # since: codes read after the last clear code
+    put, add = out.append, table.append
     while got < want:
         # without a clear code among them, the places of the next codes are known: read them at once
         n = int(np.searchsorted(sums[since + 1 :], total - at + sums[since], side="right"))
         if n == 0:
             break
         places = at + sums[since : since + n] - sums[since]
-        codes = ((three[places >> 3] >> (places & 7).astype(np.uint32)) & ((1 << widths[since : since + n]) - 1).astype(np.uint32)).tolist()
-        stop = None
-        for i, c in enumerate(codes):
-            if c < clear or c > clear + 1:
-                if c < len(table):
-                    entry = table[c]
-                elif c == len(table) and prev:
-                    entry = prev + prev[:1]
-                else:
-                    raise ValueError("a code without an entry")
-                if prev and len(table) < MAX_CODES:
-                    table.append(prev + entry[:1])
-                out.append(entry)
-                prev = entry
-                continue
-            stop = i
-            break
+        codes = (three[places >> 3] >> (places & 7).astype(np.uint32)) & ((1 << widths[since : since + n]) - 1).astype(np.uint32)
+        ends = np.flatnonzero((codes >> 1) == clear >> 1)  # the clear code and the end code
+        stop = int(ends[0]) if len(ends) else None
+        known = len(table)
+        for c in codes[:stop].tolist():
+            if c < known:
+                entry = table[c]
+            elif c == known and prev:
+                entry = prev + prev[:1]
+            else:
+                raise ValueError("a code without an entry")
+            if prev and known < MAX_CODES:
+                add(prev + entry[:1])
+                known += 1
+            put(entry)
+            prev = entry
         if stop is None:
             got = sum(map(len, out))
             at += int(sums[since + n] - sums[since])
             since = min(since + n, MAX_CODES - 1)  # from there on all codes have 12 bits
-        elif codes[stop] == clear:
+        elif int(codes[stop]) == clear:
             at += int(sums[since + stop + 1] - sums[since])
             table, prev, since = list(singles), b"", 0
+            add = table.append
         else:
             break
     data = b"".join(out)
