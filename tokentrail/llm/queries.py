@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, gif, jaccard_join, lang_id, line_dedup, mixing, pieces, quality, substring_dedup, token_store
+from . import chat, fingerprints, gif, jaccard_join, lang_id, line_dedup, mixing, pieces, quality, search, spelling, substring_dedup, token_store
 from .common import table, work_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -59,6 +59,20 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_pieces(table(spark, sf_dir, "documents"), PIECES).drop("ids", "n_best_ids")
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.write_formatted(table(spark, sf_dir, "conversations").select(more.columns).union(more)))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -66,7 +80,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_store, op2_quality, op3_fingerprints, op4_jaccard, op5_gif, op6_lines, op7_substrings, op8_language, op9_mix, op10_pieces, pipeline)}
+    return {f.__name__: f for f in (op1_token_store, op2_quality, op3_fingerprints, op4_jaccard, op5_gif, op6_lines, op7_substrings, op8_language, op9_mix, op10_pieces, op11_search, op12_chat, op13_spelling, pipeline)}
 
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -114,5 +128,58 @@ FROM words LEFT JOIN left_ USING (doc_id)
 """
 
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+WITH terms AS (SELECT rid, doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM (SELECT *, row_number() OVER () AS rid FROM documents)),
+held AS (SELECT rid, doc_id, t, count(*) AS tf FROM terms GROUP BY ALL), sizes AS (SELECT rid, count(*) AS n FROM terms GROUP BY rid),
+all_ AS (SELECT count(*) AS N_, sum(n)::BIGINT AS L FROM sizes), df AS (SELECT t, count(*) AS df FROM held GROUP BY t),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+weighed AS (SELECT item_id, t, floor(1000 * ln((2 * N_ + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM asked JOIN df USING (t), all_),
+scored AS (SELECT item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * N_) // L))))::BIGINT AS score FROM weighed JOIN held USING (t) JOIN sizes USING (rid), all_ GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+
+def _op12() -> str:
+    """The formatted length is summed up from roles, escaped texts and marks; attachments are told by their notation."""
+    shown, sums = "text", []
+    for i, (kind, names) in enumerate(chat.KINDS.items()):
+        link = rf"!\[[^\[\]\n]*\]\([^()\x00-\x20]+\.(?i:{names.replace(' ', '|')})\)"
+        shown = f"regexp_replace({shown}, '{link}', chr({0xE001 + i}), 'g')"
+        sums.append(f"(length(shown) - length(replace(shown, chr({0xE001 + i}), '')))")
+    marks = " + ".join(f"{len(kind) + 3} * {s}" for kind, s in zip(chat.KINDS, sums, strict=True))
+    tokens = " + ".join(f"{n} * {s}" for n, s in zip(((chat.SIDE // chat.PATCH) ** 2, chat.AUDIO_RATE, chat.PAGE_TOKENS), sums, strict=True))
+    escaped = r"length(replace(replace({}, '\', '\\'), '<|', '<\|'))"
+    return rf"""
+WITH rows_ AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) x(i)),
+each_ AS (SELECT *, {shown} AS shown FROM rows_)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum({len("<|turn|><|text|><|end|>") + 1} + {escaped.format("role")} + {escaped.format("shown")} + {marks})::BIGINT AS formatted_chars, sum({" + ".join(sums)})::BIGINT AS n_attachments, sum({tokens})::BIGINT AS expanded_tokens
+FROM each_ GROUP BY conv_id
+"""
+
+
+OP13 = rf"""
+WITH RECURSIVE steps AS (SELECT i, i AS c, 0 AS k FROM range(256) x(i) UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM steps WHERE k = 8),
+runs AS (SELECT rid, doc_id, run, count(*) AS n FROM (SELECT rid, doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM (SELECT *, row_number() OVER () AS rid FROM documents)) GROUP BY ALL),
+checked AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, octet_length(encode(key)) + 1), lambda p: ('0x' || hex(encode(key))[2 * p - 1:2 * p])::BIGINT)), lambda c, b: xor(c // 256, crcs[xor(c % 256, b) + 1]))) AS h
+  FROM (SELECT *, coalesce(doc_id::VARCHAR, '') || ':' || run AS key FROM runs WHERE length(run) >= 5), crc_table),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM checked) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words),
+holes AS (SELECT word, n, left(word, (p - 1)::INT) || '*' || substr(word, p + 1) AS hole, left(word, (p - 1)::INT) || substr(word, p + 1) AS less FROM places),
+near AS (SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON w.word = h.less UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON w.word = h.less),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, encode(other))) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+formed AS (SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n FROM words LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS at_ FROM formed UNION ALL SELECT chain.word, form FROM chain JOIN formed ON formed.word = at_ WHERE form IS NOT NULL)
+SELECT f.word, n, n_near, form, form_n, at_ AS root FROM formed f JOIN chain ON chain.word = f.word JOIN (SELECT word AS last_ FROM formed WHERE form IS NULL) ON at_ = last_
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_jaccard": OP4, "op6_lines": OP6, "op7_substrings": OP7}
+    return {"op4_jaccard": OP4, "op6_lines": OP6, "op7_substrings": OP7, "op11_search": OP11, "op12_chat": _op12(), "op13_spelling": OP13}
