@@ -253,11 +253,12 @@ def build_index(docs: DataFrame, path: str | None = None) -> Index:
     wanted = max(size / BLOCK_BYTES, n / BLOCK_DOCS)
     depth = min(DEPTH, int(math.log2(max(1, wanted))))
 
-    def fit(t: pa.Table) -> pa.Table:
-        return pa.table({"tree": pa.array([pickle.dumps(fit_tree(utf8(t.column("text").combine_chunks()), depth))], pa.binary())})
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = [t for b in batches for t in utf8(b.column(0))]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_tree(texts, depth))], pa.binary())], names=["tree"])
 
     sample = docs.filter(F.octet_length("text").between(1, SAMPLE_BYTES)).orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(SAMPLE)
-    fitted = sample.groupBy(F.lit(0)).applyInArrow(fit, "tree binary").first() if depth else None
+    fitted = sample.select("text").coalesce(1).mapInArrow(fit, "tree binary").first() if depth else None
     tree = pickle.loads(fitted.tree) if fitted else fit_tree([], 0)
     sent = spark.sparkContext.broadcast(tree)  # DEPTH and TREE_TERMS bound it
     blocks = np.ceil(np.maximum(tree.bytes_share * size / BLOCK_BYTES, tree.docs_share * n / BLOCK_DOCS)).astype(np.int64)
