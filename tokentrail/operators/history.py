@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
+from ..store import stored
 from .ordering import numbered
 
 
@@ -61,7 +62,7 @@ def tree_bodies(entries: DataFrame) -> DataFrame:
     sort_key = F.concat(F.col("name").cast("binary"), F.when(F.col("mode") == "40000", F.lit("/").cast("binary")).otherwise(F.lit("").cast("binary")))
     one = F.concat(F.col("mode").cast("binary"), F.lit(" ").cast("binary"), F.col("name").cast("binary"), F.lit(b"\0"), F.unhex("object_id"))
     g = entries.groupBy("tree").agg(F.array_sort(F.collect_list(F.struct(sort_key.alias("k"), one.alias("e")))).alias("es"))
-    body = F.aggregate(F.transform("es", lambda x: x["e"]), F.lit(b""), lambda a, e: F.concat(a, e))
+    body = F.unhex(F.array_join(F.transform("es", lambda x: F.hex(x["e"])), ""))  # adding up bytes one by one would be quadratic
     g = g.select("tree", body.alias("body"))
     head = F.concat(F.lit("tree ").cast("binary"), F.octet_length("body").cast("string").cast("binary"), F.lit(b"\0"))
     return g.withColumn("new_tree", F.sha1(F.concat(head, F.col("body"))))
@@ -96,8 +97,50 @@ def rewritten_commits(rows: list[dict]) -> dict[str, str]:
     return fold.new
 
 
-def shards(commits: DataFrame, n: int) -> DataFrame:
-    """(ordinal, shard): shard k has ordinals from floor(k m / n) up to floor((k + 1) m / n) - 1."""
-    m = commits.count()
-    rows = numbered(commits, ["autdate", "cid"], "ordinal")
-    return rows.withColumn("shard", F.floor(((F.col("ordinal") + 1) * n - 1) / F.lit(max(m, 1))).cast("long"))
+def corrected_dates(commits: DataFrame, parents: DataFrame, every: int = 8) -> DataFrame:
+    """(cid, at): the dates of commits (cid, at, in seconds), put off where needed so that each is later than those of all
+    parents (cid, idx, parent). Parents that are not among the commits count for nothing.
+
+    Only dates that are too early move, by one step from parents to children a round. A long row of such commits would take
+    as many rounds, so after every few of them what a commit owes to its first parent, that one's first parent and so on is
+    found by doubling. Rounds end when nothing moves; a circle of parents is an error.
+    """
+    state = stored(commits.select("cid", F.col("at").cast("long").alias("at")), "dates")
+    edges = parents.select("cid", "idx", "parent").join(state.select("cid"), "cid", "left_semi")
+    edges = stored(edges.join(state.select(F.col("cid").alias("parent")), "parent", "left_semi"), "edges")
+    latest, n = state.agg(F.max("at"), F.count(F.lit(1))).first()
+    turn = 0
+    while True:
+        least = edges.join(state.select(F.col("cid").alias("parent"), F.col("at").alias("before")), "parent").groupBy("cid").agg((F.max("before") + 1).alias("least"))
+        moved = F.coalesce(F.col("least") > F.col("at"), F.lit(False))
+        state = stored(state.join(least, "cid", "left").select("cid", F.when(moved, F.col("least")).otherwise(F.col("at")).alias("at"), moved.alias("moved")), "dates")
+        last, some = state.agg(F.max("at"), F.max("moved")).first()
+        if not some:
+            return state.select("cid", "at")
+        if last > latest + n:  # no chain of parents is longer than the number of commits
+            raise ValueError("commits are parents of each other")
+        turn += 1
+        if turn % every == 0:
+            state = _along_first_parents(state.select("cid", "at"), edges)
+
+
+def _along_first_parents(state: DataFrame, edges: DataFrame) -> DataFrame:
+    """The dates that chains of first parents ask for: the highest of each ancestor's date and its distance."""
+    first = edges.groupBy("cid").agg(F.min_by("parent", "idx").alias("to"))
+    path = stored(state.join(first, "cid", "left").select("cid", "to", F.lit(1).cast("long").alias("far"), F.col("at").alias("best")), "paths")
+    while not path.filter("to IS NOT NULL").isEmpty():
+        on = path.select(F.col("cid").alias("to"), F.col("to").alias("to2"), F.col("far").alias("far2"), F.col("best").alias("best2"))
+        path = stored(path.join(on, "to", "left").select("cid", F.col("to2").alias("to"), (F.col("far") + F.coalesce("far2", F.lit(0))).alias("far"), F.greatest("best", F.col("best2") + F.col("far")).alias("best")), "paths")
+    return path.select("cid", F.col("best").alias("at"))
+
+
+def ordinals(commits: DataFrame, parents: DataFrame) -> DataFrame:
+    """(cid, ordinal): parents before children, else by date; commits are (cid, autdate) and dates may be wrong."""
+    at = F.coalesce(F.unix_seconds(F.try_to_timestamp("autdate")), F.lit(0))
+    return numbered(corrected_dates(commits.select("cid", at.alias("at")), parents), ["at", "cid"], "ordinal").select("cid", "ordinal")
+
+
+def shards(commits: DataFrame, parents: DataFrame, n: int) -> DataFrame:
+    """(cid, ordinal, shard): shard k has ordinals from floor(k m / n) up to floor((k + 1) m / n) - 1."""
+    rows = stored(ordinals(commits, parents), "ordinals")
+    return rows.withColumn("shard", F.floor(((F.col("ordinal") + 1) * n - 1) / F.lit(max(rows.count(), 1))).cast("long"))

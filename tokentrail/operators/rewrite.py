@@ -1,7 +1,7 @@
 """Rewriting a history: one token a line in every masked blob, all else as it was.
 
 The rewrite is a chain of tables. Trees that the maps do not know are planned level by level; the blobs they miss are
-tokenized once for each content; trees are put together from the deepest level up; commits are a fold in the order of
+tokenized once for each content; trees are put together by height; commits are a fold in the order of
 parents, one task a repository; refs follow their commits. Maps hold what is known, so a second run does what is new
 only, and object ids name contents, so any order of tasks gives the same result.
 """
@@ -19,6 +19,8 @@ from ..sources.git import GITLINK, TREE
 from ..store import stored
 from . import history, mapping
 
+#: The id of a tree without entries.
+EMPTY_TREE = "4b825dc642cb6eb9a060e54bf8d69288fbee4904"
 UNKNOWN_TAGGER = b"unknown <unknown> 0 +0000"
 
 
@@ -96,27 +98,47 @@ def identity_rows(plan: DataFrame, now: int = 0) -> DataFrame:
 # ---- trees ----
 
 
-def assemble(plan: DataFrame, blob_map: DataFrame, tree_map: DataFrame, now: int = 0) -> DataFrame:
-    """(orig_tree, new_tree, processed_at) of the planned trees, from the deepest level up. Excluded blobs, which have no
-    new id, leave their tree; a tree without entries is the empty tree."""
-    done = tree_map.select(F.col("orig_tree").alias("object_id"), F.col("new_tree").alias("new_id"))
-    deepest = plan.agg(F.max("depth")).first()[0]
+def assemble(plan: DataFrame, blob_map: DataFrame, tree_map: DataFrame, now: int = 0, bodies: bool = False) -> DataFrame:
+    """(orig_tree, new_tree, processed_at) of the planned trees, with their bytes (body) if asked for.
+
+    Trees are made by height: each round, those whose sub-trees all have new ids. So a tree may stand on any number of
+    levels, above and below others. Excluded blobs, which have no new id, leave their tree; a tree without entries is the
+    empty tree. A sub-tree that is neither planned nor known is an error, and nothing is given up in silence."""
+    known = tree_map.select(F.col("orig_tree").alias("object_id"), F.col("new_tree").alias("new_id"))
     new = plan.filter("plan = 'miss'").drop("new_id").join(blob_map.select(F.col("orig_blob").alias("object_id"), "path", F.col("new_blob").alias("new_id")), ["object_id", "path"])
     leaves = plan.filter("plan = 'hit'").unionByName(new).unionByName(plan.filter("plan IN ('unchanged', 'gitlink')").withColumn("new_id", F.col("object_id")))
-    leaves = stored(leaves.select("depth", "tree", "name", "mode", "new_id"), "leaves")
-    built = None
-    for depth in range(-1 if deepest is None else deepest, -1, -1):
-        trees = plan.filter(F.col("depth") == depth).select("tree").distinct()
-        below = plan.filter((F.col("depth") == depth) & (F.col("plan") == "subtree")).drop("new_id").join(done, "object_id").select("tree", "name", "mode", "new_id")
-        own = leaves.filter(F.col("depth") == depth).drop("depth").unionByName(below)
-        made = history.tree_bodies(own.select("tree", "name", "mode", F.col("new_id").alias("object_id"))).select("tree", "new_tree")
-        made = trees.join(made, "tree", "left").withColumn("new_tree", F.coalesce("new_tree", git_id("tree", F.lit(b""))))
-        made = stored(made, "trees")
-        done = done.unionByName(made.select(F.col("tree").alias("object_id"), F.col("new_tree").alias("new_id")))
+    leaves = stored(leaves.select("tree", "name", "mode", "new_id"), "leaves")
+    planned = plan.select("tree").distinct()
+    below = plan.filter("plan = 'subtree'").select("tree", "name", "mode", "object_id")
+    # what is known or empty is there from the beginning; all else must be planned
+    ends = below.join(known, "object_id", "left").withColumn("new_id", F.coalesce("new_id", F.when(F.col("object_id") == EMPTY_TREE, F.col("object_id"))))
+    ends = stored(ends.join(planned.select(F.col("tree").alias("object_id"), F.lit(True).alias("planned")), "object_id", "left"), "below")
+    lost = ends.filter("new_id IS NULL AND planned IS NULL").first()
+    if lost:
+        raise ValueError(f"tree {lost.object_id} in {lost.tree} is not among the entries")
+    ready = ends.filter("new_id IS NOT NULL").select("tree", "name", "mode", "new_id")
+    open_ = ends.filter("new_id IS NULL").select("tree", "name", "mode", "object_id")
+    todo, built, total, count = stored(planned, "todo"), None, planned.count(), 0
+    while count < total:
+        trees = todo.join(open_.select("tree").distinct(), "tree", "left_anti")
+        own = leaves.join(trees, "tree").unionByName(ready.join(trees, "tree"))
+        made = history.tree_bodies(own.select("tree", "name", "mode", F.col("new_id").alias("object_id"))).select("tree", "new_tree", *(["body"] if bodies else []))
+        made = trees.join(made, "tree", "left").withColumn("new_tree", F.coalesce("new_tree", F.lit(EMPTY_TREE)))
+        made = stored(made.withColumn("body", F.coalesce("body", F.lit(b""))) if bodies else made, "trees")
+        found = made.count()
+        if not found:
+            raise ValueError(f"{total - count} trees hold each other")
+        count += found
         built = made if built is None else built.unionByName(made)
+        if count < total:
+            met = stored(open_.join(made.select(F.col("tree").alias("object_id"), F.col("new_tree").alias("new_id")), "object_id", "left"), "met")
+            ready = ready.unionByName(met.filter("new_id IS NOT NULL").drop("object_id"))
+            open_ = met.filter("new_id IS NULL").drop("new_id")
+            todo = stored(todo.join(made.select("tree"), "tree", "left_anti"), "todo")
+    columns = [F.col("tree").alias("orig_tree"), "new_tree", F.lit(now).cast("long").alias("processed_at"), *(["body"] if bodies else [])]
     if built is None:
-        return tree_map.limit(0).select("orig_tree", "new_tree", F.lit(now).cast("long").alias("processed_at"))
-    return built.select(F.col("tree").alias("orig_tree"), "new_tree", F.lit(now).cast("long").alias("processed_at"))
+        built = planned.select("tree", F.lit("").alias("new_tree"), F.lit(b"").alias("body"))
+    return built.select(*columns)
 
 
 # ---- commits and refs ----
@@ -251,9 +273,12 @@ def project_refs(refs: DataFrame, tags: DataFrame, commit_map: DataFrame, now: i
 # ---- whole runs ----
 
 
-def shard_of(commits: DataFrame, k: int, n: int) -> DataFrame:
-    """The commits of one shard of n: ranges of the history's order. Shards' tree runs are merged by their maps."""
-    return history.shards(commits, n).filter(F.col("shard") == k).drop("ordinal", "shard")
+def shard_of(commits: DataFrame, k: int, n: int, parents: DataFrame | None = None) -> DataFrame:
+    """The commits of one shard of n: ranges of the history's order, parents first. Shards' tree runs are merged by their
+    maps. Parents (cid, idx, parent) are taken from the commits' own column if they are not given."""
+    if parents is None:
+        parents = commits.select("cid", F.posexplode("parents").alias("idx", "parent"))
+    return commits.join(history.shards(commits.select("cid", "autdate"), parents, n).filter(F.col("shard") == k).select("cid"), "cid", "left_semi")
 
 
 def rewrite_trees(entries: DataFrame, roots: DataFrame, blobs: DataFrame, tokenize, mask: str, tree_map: DataFrame, blob_map: DataFrame, warm_trees: DataFrame | None = None, warm_blobs: DataFrame | None = None, **options) -> dict[str, DataFrame]:

@@ -6,14 +6,20 @@ from pyspark.sql import functions as F
 
 from ..functions import text as fn
 from ..operators import blame, history, mapping, rewrite
+from ..sources import git
+from ..store import stored
 from .adapter import ctes, load
 from .registry import query
 
-# two levels of trees: 40 roots with files and sub-trees, 15 sub-trees with files; blobs are named after parts
+# 40 roots hold files and 15 sub-trees. The last five of these hold other trees (deep), and those hold some of the first
+# sub-trees again, which so stand on the first and on the third level
 TREES = """root_entries AS (SELECT DISTINCT sha1('root' || l_orderkey % 40) AS tree, 'd' || l_suppkey % 15 AS name, '40000' AS mode, sha1('sub' || l_suppkey % 15) AS object_id FROM lineitem
   UNION SELECT DISTINCT sha1('root' || l_orderkey % 40), 'f' || l_partkey || CASE l_partkey % 3 WHEN 0 THEN '.c' WHEN 1 THEN '.RS' ELSE '.txt' END, CASE l_partkey % 4 WHEN 0 THEN '100755' ELSE '100644' END, sha1('b' || l_partkey) FROM lineitem
   UNION SELECT DISTINCT sha1('root' || l_orderkey % 40), 'module', '160000', sha1('module') FROM lineitem WHERE l_orderkey % 40 < 9),
-sub_entries AS (SELECT DISTINCT sha1('sub' || l_suppkey % 15) AS tree, 'g' || l_partkey || CASE l_partkey % 3 WHEN 0 THEN '.java' WHEN 1 THEN '.cc' ELSE '.md' END AS name, '100644' AS mode, sha1('b' || l_partkey) AS object_id FROM lineitem),
+sub_entries AS (SELECT DISTINCT sha1('sub' || l_suppkey % 15) AS tree, 'g' || l_partkey || CASE l_partkey % 3 WHEN 0 THEN '.java' WHEN 1 THEN '.cc' ELSE '.md' END AS name, '100644' AS mode, sha1('b' || l_partkey) AS object_id FROM lineitem
+  UNION SELECT DISTINCT sha1('sub' || l_suppkey % 15), 'e' || l_linenumber % 3, '40000', sha1('deep' || l_linenumber % 3) FROM lineitem WHERE l_suppkey % 15 > 9
+  UNION SELECT DISTINCT sha1('deep' || l_linenumber % 3), 'h' || l_partkey % 50 || '.c', '100644', sha1('b' || l_partkey % 50) FROM lineitem
+  UNION SELECT DISTINCT sha1('deep' || l_linenumber % 3), 's' || l_linenumber, '40000', sha1('sub' || (2 + l_linenumber)) FROM lineitem),
 entries AS (SELECT * FROM root_entries UNION ALL SELECT * FROM sub_entries)"""
 # trees that are known already, and blobs
 KNOWN = """known_trees AS (SELECT DISTINCT sha1('sub' || l_suppkey % 15) AS orig_tree, sha1('new' || l_suppkey % 15) AS new_tree FROM lineitem WHERE l_suppkey % 15 < 3
@@ -21,16 +27,16 @@ KNOWN = """known_trees AS (SELECT DISTINCT sha1('sub' || l_suppkey % 15) AS orig
 known_blobs AS (SELECT DISTINCT sha1('b' || l_partkey) AS orig_blob, 'f' || l_partkey || '.c' AS path, sha1('t' || l_partkey) AS new_blob FROM lineitem WHERE l_partkey % 12 = 0)"""
 MASK = fn.file_mask()
 _MASKED = "regexp_matches(lower(name), '[.](c|cc|java|rs)$')"
-PLAN = f"""met AS (SELECT DISTINCT object_id AS tree, name || '/' AS prefix FROM root_entries WHERE mode = '40000' AND tree NOT IN (SELECT orig_tree FROM known_trees) AND object_id NOT IN (SELECT orig_tree FROM known_trees)),
-plan AS (SELECT 0 AS depth, tree, name AS path, name, mode, object_id FROM root_entries WHERE tree NOT IN (SELECT orig_tree FROM known_trees)
-  UNION ALL SELECT 1, s.tree, p.prefix || name, name, mode, object_id FROM sub_entries s JOIN (SELECT tree, min(prefix) AS prefix FROM met GROUP BY tree) p USING (tree)),
+PLAN = f"""met AS (SELECT DISTINCT tree, '' AS prefix, 0 AS depth FROM root_entries WHERE tree NOT IN (SELECT orig_tree FROM known_trees)
+  UNION SELECT object_id, prefix || name || '/', depth + 1 FROM met JOIN entries USING (tree) WHERE mode = '40000' AND object_id NOT IN (SELECT orig_tree FROM known_trees)),
+plan AS (SELECT depth, tree, prefix || name AS path, name, mode, object_id FROM (SELECT tree, min(depth) AS depth, arg_min(prefix, (depth, prefix)) AS prefix FROM met GROUP BY tree) JOIN entries USING (tree)),
 told AS (SELECT plan.*, CASE WHEN mode = '40000' THEN 'subtree' WHEN mode = '160000' THEN 'gitlink' WHEN NOT {_MASKED} THEN 'unchanged' WHEN new_blob IS NULL THEN 'miss' ELSE 'hit' END AS plan,
   CASE WHEN mode NOT IN ('40000', '160000') AND {_MASKED} THEN new_blob END AS new_id FROM plan LEFT JOIN known_blobs k ON k.orig_blob = object_id AND k.path = plan.path)"""
 
 
 def _tables(spark, d, *names):
     """Named tables of the SQL above, run by Spark."""
-    lines = load(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    lines = load(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     sql = f"WITH {TREES}, {KNOWN} SELECT * FROM "
     return [spark.sql((sql + n).replace("FROM lineitem", "FROM {lineitem}"), lineitem=lines) for n in names]
 
@@ -42,29 +48,40 @@ def _plan(spark, d):
     return rewrite.plan_trees(entries, roots, MASK, trees, blobs)
 
 
-@query(f"WITH {TREES}, {KNOWN}, {PLAN} SELECT * FROM told")
+@query(f"WITH RECURSIVE {TREES}, {KNOWN}, {PLAN} SELECT * FROM told")
 def tree_plan(spark, d):
     return _plan(spark, d).withColumn("name", F.col("name").cast("string"))
 
 
-@query(f"WITH {TREES}, {KNOWN}, {PLAN} SELECT tree, path, object_id FROM told WHERE mode LIKE '100%' AND {_MASKED}")
+@query(f"""WITH RECURSIVE {TREES}, walked AS (SELECT sha1('root' || r_regionkey) AS root, sha1('root' || r_regionkey) AS tree, '' AS prefix FROM region
+  UNION ALL SELECT root, object_id, prefix || name || '/' FROM walked JOIN entries USING (tree) WHERE mode = '40000')
+SELECT root, prefix || name AS path, object_id FROM walked JOIN entries USING (tree) WHERE mode LIKE '100%' AND {_MASKED}""")
 def tracked_files(spark, d):
-    p = _plan(spark, d)
-    return p.filter(F.col("mode").startswith("100") & F.col("path").rlike(MASK)).select("tree", "path", "object_id")
+    entries = _tables(spark, d, "entries")[0].withColumns({"name": F.col("name").cast("binary"), "repo": F.lit("r")})
+    roots = load(spark, d, "region").select(F.lit("r").alias("repo"), F.sha1(F.concat(F.lit("root"), "r_regionkey").cast("binary")).alias("root"))
+    return git.tracked_files(stored(entries, "entries"), roots, MASK, stored).drop("repo")
 
 
 # a tree's bytes by its entries in git's order; the new ids of planned trees, sub-trees first
 _BYTES = """SELECT tree, sha1(encode('tree ' || (length(h) // 2)::VARCHAR) || '\\x00'::BLOB || unhex(h)) AS new_tree
   FROM (SELECT tree, string_agg(hex(encode(mode || ' ' || name)) || '00' || upper(new_id), '' ORDER BY hex(encode(name || CASE WHEN mode = '40000' THEN '/' ELSE '' END))) AS h FROM {rows} GROUP BY tree)"""
+
+
+def _heights(which: str, done: str) -> str:
+    """The entries with new ids of the planned trees of one height."""
+    return f"(FROM (SELECT tree, name, mode, new_id FROM leaves WHERE new_id IS NOT NULL UNION ALL SELECT told.tree, name, mode, new_tree FROM told JOIN {done} AS d ON d.tree = object_id WHERE plan = 'subtree') WHERE {which})"
+
+
 _NEW = f"""blobs_ AS (SELECT DISTINCT object_id, path, sha1('t' || object_id) AS new_id FROM told WHERE plan = 'miss' AND NOT starts_with(object_id, '0')),
 leaves AS (SELECT depth, tree, name, mode, CASE WHEN plan = 'hit' THEN told.new_id WHEN plan = 'miss' THEN b.new_id ELSE object_id END AS new_id FROM told LEFT JOIN blobs_ b USING (object_id, path) WHERE plan <> 'subtree'),
-sub_new AS ({_BYTES.format(rows="(SELECT * FROM leaves WHERE depth = 1 AND new_id IS NOT NULL)")}),
-done AS (SELECT tree, new_tree FROM sub_new UNION ALL SELECT orig_tree, new_tree FROM known_trees),
-root_rows AS (SELECT tree, name, mode, new_id FROM leaves WHERE depth = 0 AND new_id IS NOT NULL UNION ALL SELECT t.tree, name, mode, new_tree FROM told t JOIN done ON done.tree = object_id WHERE plan = 'subtree'),
-root_new AS ({_BYTES.format(rows="root_rows")})"""
+of_known AS (SELECT orig_tree AS tree, new_tree FROM known_trees),
+new0 AS ({_BYTES.format(rows=_heights("tree NOT IN (SELECT tree FROM told WHERE plan = 'subtree' AND object_id NOT IN (SELECT tree FROM of_known))", "of_known"))}), done0 AS (SELECT * FROM of_known UNION ALL SELECT * FROM new0),
+new1 AS ({_BYTES.format(rows=_heights("tree IN (SELECT sha1('deep' || i) FROM range(3) x(i)) AND tree NOT IN (SELECT tree FROM done0)", "done0"))}), done1 AS (SELECT * FROM done0 UNION ALL SELECT * FROM new1),
+new2 AS ({_BYTES.format(rows=_heights("tree IN (SELECT sha1('sub' || i) FROM range(15) x(i)) AND tree NOT IN (SELECT tree FROM done1)", "done1"))}), done2 AS (SELECT * FROM done1 UNION ALL SELECT * FROM new2),
+new3 AS ({_BYTES.format(rows=_heights("tree NOT IN (SELECT tree FROM done2)", "done2"))})"""
 
 
-@query(f"WITH {TREES}, {KNOWN}, {PLAN}, {_NEW} SELECT tree AS orig_tree, new_tree FROM sub_new UNION ALL SELECT * FROM root_new")
+@query(f"WITH RECURSIVE {TREES}, {KNOWN}, {PLAN}, {_NEW} SELECT tree AS orig_tree, new_tree FROM new0 UNION ALL FROM new1 UNION ALL FROM new2 UNION ALL FROM new3")
 def tree_assembly(spark, d):
     plan = _plan(spark, d)
     # misses whose id begins with 0 were excluded
@@ -72,18 +89,18 @@ def tree_assembly(spark, d):
     return rewrite.assemble(plan, new, _tables(spark, d, "known_trees")[0]).select("orig_tree", "new_tree")
 
 
-@query(f"WITH {TREES}, {KNOWN}, {PLAN} SELECT DISTINCT object_id AS orig_blob, path, object_id AS new_blob FROM told WHERE plan = 'unchanged'")
+@query(f"WITH RECURSIVE {TREES}, {KNOWN}, {PLAN} SELECT DISTINCT object_id AS orig_blob, path, object_id AS new_blob FROM told WHERE plan = 'unchanged'")
 def identity_rows(spark, d):
     return rewrite.identity_rows(_plan(spark, d)).drop("processed_at")
 
 
-@query(f"WITH {TREES}, {KNOWN}, {PLAN} SELECT DISTINCT object_id FROM told WHERE plan = 'unchanged' AND object_id < 'c'")
+@query(f"WITH RECURSIVE {TREES}, {KNOWN}, {PLAN} SELECT DISTINCT object_id FROM told WHERE plan = 'unchanged' AND object_id < 'c'")
 def originals_to_copy(spark, d):
     rows = rewrite.identity_rows(_plan(spark, d))
     return rewrite.originals(rows, rows.filter("orig_blob >= 'c'").select(F.col("orig_blob").alias("object_id")))
 
 
-@query(f"WITH {TREES} SELECT DISTINCT object_id, mode FROM entries WHERE mode LIKE '100%' QUALIFY row_number() OVER (PARTITION BY object_id ORDER BY mode) = 1")
+@query(f"WITH RECURSIVE {TREES} SELECT DISTINCT object_id, mode FROM entries WHERE mode LIKE '100%' QUALIFY row_number() OVER (PARTITION BY object_id ORDER BY mode) = 1")
 def merged_objects(spark, d):
     entries = _tables(spark, d, "entries")[0].filter("mode LIKE '100%'").groupBy("object_id").agg(F.min("mode").alias("mode"))
     return rewrite.merged_objects([entries.filter("object_id < 'a'"), entries.filter("object_id > '5'")])
@@ -155,9 +172,29 @@ def not_done_yet(spark, d):
     return blame.without_done(docs, docs.filter("doc_id % 3 = 1").select(F.col("path").alias("file_path"))).select("path", "size")
 
 
-@query("WITH c AS (SELECT sha1('c' || o_orderkey) AS cid, CAST(o_orderdate AS STRING) AS autdate FROM orders), o AS (SELECT cid, row_number() OVER (ORDER BY autdate, cid) - 1 AS i, count(*) OVER () AS m FROM c) SELECT cid FROM o WHERE ((i + 1) * 5 - 1) // m = 2")
+# parents by number, dates as they are: half of all commits are dated before a parent
+_GRAPH = """edges AS (SELECT 'k' || o_orderkey AS cid, 0 AS idx, 'k' || p AS parent FROM (SELECT o_orderkey, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS p FROM orders) x WHERE p IS NOT NULL
+  UNION ALL SELECT 'k' || o_orderkey, 1, 'k' || p FROM (SELECT o_orderkey, o_orderkey - 1 AS p FROM orders WHERE o_orderstatus = 'P') x),
+dated AS (SELECT 'k' || o_orderkey AS cid, CAST(o_orderdate AS STRING) AS autdate FROM orders)"""
+_ORDINALS = f"""RECURSIVE {_GRAPH}, at_ AS (SELECT cid, epoch(autdate::TIMESTAMP)::BIGINT AS own FROM dated),
+late AS (SELECT cid, own AS put FROM at_ UNION SELECT e.cid, late.put + 1 FROM late JOIN edges e ON e.parent = late.cid JOIN at_ ON at_.cid = e.cid WHERE late.put >= own),
+ordered AS (SELECT cid, row_number() OVER (ORDER BY max(put), cid) - 1 AS i, (SELECT count(*) FROM orders) AS m FROM late GROUP BY cid)"""
+
+
+def _graph(spark, d):
+    sql = f"WITH {_GRAPH} SELECT * FROM ".replace("FROM orders", "FROM {orders}")
+    return [spark.sql(sql + t, orders=load(spark, d, "orders")) for t in ("dated", "edges")]
+
+
+@query(f"WITH {_ORDINALS} SELECT cid, i AS ordinal, ((i + 1) * 7 - 1) // m AS shard FROM ordered")
+def shard_ranges(spark, d):
+    return history.shards(*_graph(spark, d), 7)
+
+
+@query(f"WITH {_ORDINALS} SELECT cid FROM ordered WHERE ((i + 1) * 5 - 1) // m = 2")
 def shard_commits(spark, d):
-    return rewrite.shard_of(load(spark, d, "commits").select("cid", "autdate"), 2, 5).select("cid")
+    commits, parents = _graph(spark, d)
+    return rewrite.shard_of(commits, 2, 5, parents).select("cid")
 
 
 # ---- blame ----

@@ -312,11 +312,6 @@ def projected_refs(spark, d):
     return history.projected_refs(load(spark, d, "refs"), _mapped(spark, d))
 
 
-@query("WITH " + ctes("commits") + ", o AS (SELECT cid, row_number() OVER (ORDER BY autdate, cid) - 1 AS i, (SELECT count(*) FROM commits) AS m FROM commits) SELECT cid, i AS ordinal, ((i + 1) * 7 - 1) // m AS shard FROM o")
-def shard_ranges(spark, d):
-    return history.shards(load(spark, d, "commits").select("cid", "autdate"), 7).select("cid", "ordinal", "shard")
-
-
 # ---- maps ----
 
 
