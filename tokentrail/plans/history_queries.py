@@ -199,16 +199,18 @@ def shard_commits(spark, d):
 
 # ---- blame ----
 
-_MOVED = """line_rows AS (SELECT 'm' || l_orderkey % 30 AS file_path, CAST(row_number() OVER (PARTITION BY l_orderkey % 30 ORDER BY l_orderkey, l_linenumber, l_partkey) AS INT) AS line_no, 'part ' || l_partkey % 211 || ' of supplier ' || l_suppkey % 3 AS text, l_orderkey % 30 < 20 AS parent FROM lineitem WHERE l_orderkey < 3000)"""
+# 30 files of like blocks of unlike length, 20 of them of the parent; brackets and blank lines between, lines that repeat
+_MOVED = """line_rows AS (SELECT 'm' || l_orderkey % 30 AS file_path, CAST(row_number() OVER (PARTITION BY l_orderkey % 30 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS INT) AS line_no,
+  CASE l_linenumber WHEN 3 THEN '  ' || chr(125) WHEN 5 THEN '' ELSE 'part ' || l_linenumber || ' of ' || CAST(floor(l_orderkey / 30) AS BIGINT) % 17 || ' from ' || CAST(floor(l_orderkey / 210) AS BIGINT) % 4 END AS text, l_orderkey % 30 < 20 AS parent FROM lineitem)"""
 
 
-@query(f"""WITH {_MOVED}, s AS (SELECT *, length(regexp_replace(text, '[^a-zA-Z0-9]', '', 'g')) AS n FROM line_rows),
-old AS (SELECT text, file_path AS from_file, min(line_no) AS from_no FROM s WHERE parent GROUP BY ALL), seeds AS (SELECT s.file_path, s.line_no, s.n, from_file, from_no, line_no - from_no AS apart FROM s JOIN old USING (text) WHERE NOT parent),
-runs AS (SELECT *, line_no - row_number() OVER (PARTITION BY file_path, from_file, apart ORDER BY line_no) AS run FROM seeds)
-SELECT file_path, min(line_no) AS first, max(line_no) AS last, from_file, min(from_no) AS from_first FROM runs GROUP BY file_path, from_file, apart, run HAVING sum(n) >= 40""")
+@query(f"""WITH {_MOVED}, s AS (SELECT * REPLACE (trim(text) AS text), length(regexp_replace(text, '[^a-zA-Z0-9]', '', 'g')) AS n FROM line_rows),
+met AS (SELECT a.file_path, a.line_no, a.n, b.file_path AS from_file, b.line_no AS from_no, a.line_no - b.line_no AS apart FROM s a JOIN s b USING (text) WHERE NOT a.parent AND b.parent AND a.file_path <> b.file_path),
+runs AS (SELECT *, line_no - row_number() OVER (PARTITION BY file_path, from_file, apart ORDER BY line_no) AS run FROM met)
+SELECT file_path, min(line_no) FILTER (n > 0) AS first, max(line_no) FILTER (n > 0) AS last, from_file, min(from_no) FILTER (n > 0) AS from_first FROM runs GROUP BY file_path, from_file, apart, run HAVING sum(n) >= 60""")
 def moved_blocks(spark, d):
     sql = f"WITH {_MOVED} SELECT * FROM line_rows".replace("FROM lineitem", "FROM {lineitem}")
-    return blame.moved_blocks(spark.sql(sql, lineitem=load(spark, d, "lineitem")), 40)
+    return blame.moved_blocks(spark.sql(sql, lineitem=load(spark, d, "lineitem")), 60)
 
 
 @query("WITH e AS (SELECT DISTINCT 't' || n_regionkey AS tree, 'n' || n_nationkey AS name, '100644' AS mode, sha1(n_name) AS object_id FROM nation), h AS (SELECT tree, string_agg(hex(encode(mode || ' ' || name)) || '00' || upper(object_id), '' ORDER BY hex(encode(name))) AS h FROM e GROUP BY tree) SELECT tree, sha1(encode('tree ' || (length(h) // 2)::VARCHAR) || '\\x00'::BLOB || unhex(h)) AS new_tree FROM h")
