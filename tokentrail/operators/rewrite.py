@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
+from ..sources import packs
 from ..sources.git import GITLINK, TREE
 from ..store import stored
 from . import history, mapping
@@ -69,8 +70,8 @@ def _no_plan(entries: DataFrame) -> DataFrame:
 # ---- tokenizing ----
 
 
-def resolve_misses(plan: DataFrame, blobs: DataFrame, tokenize: Callable[[DataFrame], DataFrame], denied: DataFrame | None = None, limit: int = mapping.OVERSIZED, failed: DataFrame | None = None, now: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(blob_map rows, exclusions) for the misses of a plan. Each (blob, path) counts once, each content and extension
+def resolve_misses(plan: DataFrame, blobs: DataFrame, tokenize: Callable[[DataFrame], DataFrame], denied: DataFrame | None = None, limit: int = mapping.OVERSIZED, failed: DataFrame | None = None, now: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(blob_map rows, exclusions, new blobs as objects) for the misses of a plan. Each (blob, path) counts once, each content and extension
     is tokenized once. tokenize turns (content_sha, ext, content) into (content_sha, ext, status, tokens); blobs are
     (object_id, size, content). Blobs that are denied, oversized, or failed before are excluded, and so are those whose
     tokenizer now fails; they get no row."""
@@ -86,7 +87,8 @@ def resolve_misses(plan: DataFrame, blobs: DataFrame, tokenize: Callable[[DataFr
     mapped = done.filter(status.isin("ok", "skip")).select("orig_blob", "path", new.alias("new_blob"), F.lit(now).cast("long").alias("processed_at"))
     excluded = rows.filter("exclusion IS NOT NULL").select("orig_blob", "path", "exclusion")
     excluded = excluded.unionByName(done.filter(~status.isin("ok", "skip")).select("orig_blob", "path", status.alias("exclusion")))
-    return mapped, excluded
+    objects = done.filter((status == "ok") & (new != F.col("orig_blob"))).select(new.alias("object_id"), F.lit("blob").alias("kind"), body.alias("content"))
+    return mapped, excluded, objects
 
 
 def identity_rows(plan: DataFrame, now: int = 0) -> DataFrame:
@@ -167,12 +169,12 @@ class Fold:
         self.waiting: dict[str, tuple[int, dict]] = {}
         self.children: dict[str, list[str]] = {}
 
-    def known(self, cid: str, new: str) -> Iterator[tuple[str, str]]:
+    def known(self, cid: str, new: str) -> Iterator[tuple[str, str, bytes]]:
         self.new[cid] = new
         yield from self._settle(cid)
 
-    def add(self, row: dict) -> Iterator[tuple[str, str]]:
-        """(cid, new id) of the commit and of those that waited for it."""
+    def add(self, row: dict) -> Iterator[tuple[str, str, bytes]]:
+        """(cid, new id, bytes) of the commit and of those that waited for it."""
         missing = {p for p in row["parents"] if p not in self.new}
         if missing:
             self.waiting[row["cid"]] = (len(missing), row)
@@ -182,13 +184,13 @@ class Fold:
         yield self._hash(row)
         yield from self._settle(row["cid"])
 
-    def _hash(self, row: dict) -> tuple[str, str]:
+    def _hash(self, row: dict) -> tuple[str, str, bytes]:
         message = with_footer(row["message"], row["cid"])
         body = commit_body(row["tree"], [self.new[p] for p in row["parents"]], row["author"], row["committer"], row.get("encoding"), message)
         self.new[row["cid"]] = history.git_object_id("commit", body)
-        return row["cid"], self.new[row["cid"]]
+        return row["cid"], self.new[row["cid"]], body
 
-    def _settle(self, cid: str) -> Iterator[tuple[str, str]]:
+    def _settle(self, cid: str) -> Iterator[tuple[str, str, bytes]]:
         ready = [cid]
         while ready:
             for child in self.children.pop(ready.pop(), ()):
@@ -207,9 +209,9 @@ class Fold:
             raise ValueError(f"{len(self.waiting)} commits wait for parents, {cid} for {lost or 'a circle'}")
 
 
-def fold_commits(commits: DataFrame, tree_map: DataFrame, commit_map: DataFrame, now: int = 0) -> DataFrame:
+def fold_commits(commits: DataFrame, tree_map: DataFrame, commit_map: DataFrame, now: int = 0, bodies: bool = False) -> DataFrame:
     """(repo, orig_commit, new_commit, processed_at) of the commits that commit_map (repo, orig_commit, new_commit) does
-    not have. Each id hashes its parents', so a repository is one task; it keeps two ids a commit, and the rows of those
+    not have, with their bytes (body) if asked for. Each id hashes its parents', so a repository is one task; it keeps two ids a commit, and the rows of those
     only that come before their parents, which in the order of committer dates are few. The root tree must be mapped."""
     import pyarrow as pa
 
@@ -221,10 +223,12 @@ def fold_commits(commits: DataFrame, tree_map: DataFrame, commit_map: DataFrame,
     rows = fresh.select("repo", "cid", F.lit(None).cast("string").alias("new_id"), F.col("root").alias("tree"), *columns, when.alias("at"))
     old = mapped.select("repo", "cid", "new_id", F.lit(None).cast("string").alias("tree"), F.array().cast("array<string>").alias("parents"), *(F.lit(None).cast("binary").alias(c) for c in columns[1:]), F.lit(-(2**62)).alias("at"))
 
+    types = [pa.string()] * 3 + [pa.binary()] * bodies
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repo, fold = None, Fold()
         for b in batches:
-            out: list[tuple[str, str, str]] = []
+            out: list[tuple] = []
             for r in b.to_pylist():
                 if r["repo"] != repo:
                     fold.close()
@@ -235,20 +239,20 @@ def fold_commits(commits: DataFrame, tree_map: DataFrame, commit_map: DataFrame,
                     raise ValueError(f"the tree of commit {r['cid']} has no new id")
                 else:
                     found = fold.add(r)
-                out += [(repo, *x) for x in found]
+                out += [(repo, *x)[: len(types)] for x in found]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out, strict=True)], names=["repo", "orig_commit", "new_commit"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["repo", "orig_commit", "new_commit", "body"][: len(types)])
         fold.close()
 
     dealt = rows.unionByName(old).repartition("repo").sortWithinPartitions("repo", "at", "cid")
-    return dealt.mapInArrow(run, "repo string, orig_commit string, new_commit string").withColumn("processed_at", F.lit(now).cast("long"))
+    return dealt.mapInArrow(run, "repo string, orig_commit string, new_commit string" + ", body binary" * bodies).withColumn("processed_at", F.lit(now).cast("long"))
 
 
-def project_refs(refs: DataFrame, tags: DataFrame, commit_map: DataFrame, now: int = 0, rounds: int = 16) -> DataFrame:
+def project_refs(refs: DataFrame, tags: DataFrame, commit_map: DataFrame, now: int = 0, rounds: int = 16, bodies: bool = False) -> DataFrame:
     """(repo, ref_name, kind, orig_target, new_target, orig_commit, new_commit, symref, recorded, processed_at): refs of
     mapped commits, directly or through tags. kind: head, lightweight_tag, annotated_tag, or symbolic, which keeps its
     target's name. A tag is written anew for its commit, with a stand-in where it has no tagger. recorded: refs of
-    branches, tags and remotes, which the ref map keeps and a mirror prunes."""
+    branches, tags and remotes, which the ref map keeps and a mirror prunes. With bodies, the bytes of new tags."""
     plain = refs.filter("symref IS NULL AND object_id IS NOT NULL")
     tags = tags.withColumnsRenamed({"target": "to", "target_kind": "to_kind"})
     at = plain.select("repo", "ref_name", F.col("object_id").alias("orig_target"), F.col("object_id").alias("peeled"))
@@ -263,9 +267,9 @@ def project_refs(refs: DataFrame, tags: DataFrame, commit_map: DataFrame, now: i
     body = F.concat(line("object", F.col("new_commit").cast("binary")), F.lit(b"type commit\n"), line("tag", F.col("tag")), line("tagger", F.coalesce("tagger", F.lit(UNKNOWN_TAGGER))), F.lit(b"\n"), F.col("message"))
     annotated = F.col("tag").isNotNull()
     kind = F.when(annotated, "annotated_tag").when(F.col("ref_name").startswith("refs/tags/"), "lightweight_tag").otherwise("head")
-    direct = found.select("repo", "ref_name", kind.alias("kind"), "orig_target", F.when(annotated, git_id("tag", body)).otherwise(F.col("new_commit")).alias("new_target"), F.col("peeled").alias("orig_commit"), "new_commit", F.lit(None).cast("string").alias("symref"))
+    direct = found.select("repo", "ref_name", kind.alias("kind"), "orig_target", F.when(annotated, git_id("tag", body)).otherwise(F.col("new_commit")).alias("new_target"), F.col("peeled").alias("orig_commit"), "new_commit", F.lit(None).cast("string").alias("symref"), *([F.when(annotated, body).alias("body")] if bodies else []))
     none = F.lit(None).cast("string")
-    symbolic = refs.filter("symref IS NOT NULL").select("repo", "ref_name", F.lit("symbolic").alias("kind"), *(none.alias(c) for c in ("orig_target", "new_target", "orig_commit", "new_commit")), "symref")
+    symbolic = refs.filter("symref IS NOT NULL").select("repo", "ref_name", F.lit("symbolic").alias("kind"), *(none.alias(c) for c in ("orig_target", "new_target", "orig_commit", "new_commit")), "symref", *([F.lit(None).cast("binary").alias("body")] if bodies else []))
     recorded = F.col("ref_name").rlike("^refs/(heads|tags|remotes)/") & F.col("symref").isNull()
     return direct.unionByName(symbolic).withColumn("recorded", recorded).withColumn("processed_at", F.lit(now).cast("long"))
 
@@ -282,31 +286,42 @@ def shard_of(commits: DataFrame, k: int, n: int, parents: DataFrame | None = Non
 
 
 def rewrite_trees(entries: DataFrame, roots: DataFrame, blobs: DataFrame, tokenize, mask: str, tree_map: DataFrame, blob_map: DataFrame, warm_trees: DataFrame | None = None, warm_blobs: DataFrame | None = None, **options) -> dict[str, DataFrame]:
-    """New rows of tree_map and blob_map for the trees below roots, exclusions and the plan. Warm maps, of an earlier run,
+    """New rows of tree_map and blob_map for the trees below roots, the new blobs and trees as objects (object_id, kind,
+    content), exclusions and the plan. Warm maps, of an earlier run,
     are asked where the own ones have nothing; nothing is added to them."""
     now = options.pop("now", 0)
     blob_columns, tree_columns = ["orig_blob", "path", "new_blob", "processed_at"], ["orig_tree", "new_tree", "processed_at"]
     known_blobs = blob_map.select(*blob_columns) if warm_blobs is None else mapping.insert_or_ignore(blob_map.select(*blob_columns), warm_blobs.select(*blob_columns), blob_columns[:2])
     known_trees = tree_map.select(*tree_columns) if warm_trees is None else mapping.insert_or_ignore(tree_map.select(*tree_columns), warm_trees.select(*tree_columns), tree_columns[:1])
     plan = plan_trees(entries, roots, mask, known_trees, known_blobs)
-    made, excluded = resolve_misses(plan, blobs, tokenize, now=now, **options)
+    made, excluded, objects = resolve_misses(plan, blobs, tokenize, now=now, **options)
     made, excluded = stored(made, "blobs"), stored(excluded, "excluded")
-    trees = stored(assemble(plan, made, known_trees, now), "trees")
+    trees = assemble(plan, made, known_trees, now, bodies=True)
+    objects = objects.unionByName(trees.select(F.col("new_tree").alias("object_id"), F.lit("tree").alias("kind"), F.col("body").alias("content")))
+    trees = trees.drop("body")
     new_blobs = mapping.insert_or_ignore(made, identity_rows(plan, now), blob_columns[:2])
-    return {"plan": plan, "blob_map": new_blobs.join(blob_map.select(*blob_columns[:2]), blob_columns[:2], "left_anti"), "tree_map": trees, "exclusions": excluded}
+    return {"plan": plan, "blob_map": new_blobs.join(blob_map.select(*blob_columns[:2]), blob_columns[:2], "left_anti"), "tree_map": trees, "exclusions": excluded, "objects": objects}
 
 
 def rewrite(commits: DataFrame, entries: DataFrame, blobs: DataFrame, refs: DataFrame, tags: DataFrame, tokenize, mask: str, maps: dict[str, DataFrame], now: int = 0, **options) -> dict[str, DataFrame]:
-    """All maps after a run over the commits that commit_map does not have, with exclusions and the run's statistics. A
-    run without new commits projects the refs again and adds nothing else."""
+    """All maps after a run over the commits that commit_map does not have, with exclusions, the run's statistics and the
+    objects (object_id, kind, content) that its new ids name: tokenized and copied blobs, trees, commits and tags. A run
+    without new commits projects the refs again and adds nothing else."""
     todo = commits.join(maps["commit_map"].select("repo", F.col("orig_commit").alias("cid")), ["repo", "cid"], "left_anti")
     found = rewrite_trees(entries, todo.select(F.col("tree").alias("root")).distinct(), blobs, tokenize, mask, maps["tree_map"], maps["blob_map"], now=now, **options)
     tree_map = stored(maps["tree_map"].select("orig_tree", "new_tree", "processed_at").unionByName(found["tree_map"]), "tree_map")
-    new = stored(fold_commits(commits, tree_map, maps["commit_map"], now), "commits")
+    folded = stored(fold_commits(commits, tree_map, maps["commit_map"], now, bodies=True), "commits")
+    new = folded.drop("body")
     commit_map = maps["commit_map"].select("repo", "orig_commit", "new_commit", "processed_at").unionByName(new)
-    projected = stored(project_refs(refs, tags, commit_map, now), "refs")
+    tagged = stored(project_refs(refs, tags, commit_map, now, bodies=True), "refs")
+    projected = tagged.drop("body")
     blob_map = maps["blob_map"].select("orig_blob", "path", "new_blob", "processed_at").unionByName(found["blob_map"])
     out = {"blob_map": blob_map, "tree_map": tree_map, "commit_map": commit_map, "ref_map": projected.filter("recorded").drop("symref", "recorded"), "refs": projected}
+    copied = originals(found["blob_map"]).join(blobs.select("object_id", F.lit("blob").alias("kind"), "content"), "object_id")
+    objects = found["objects"].unionByName(copied)
+    for kind, rows, oid in (("commit", folded, "new_commit"), ("tag", tagged.filter("body IS NOT NULL"), "new_target")):
+        objects = objects.unionByName(rows.select(F.col(oid).alias("object_id"), F.lit(kind).alias("kind"), F.col("body").alias("content")))
+    out["objects"] = objects.dropDuplicates(["object_id"])
     return out | {"exclusions": found["exclusions"], "statistics": walk_statistics(found["plan"], found["blob_map"], found["exclusions"], new, maps["commit_map"], projected, blobs)}
 
 
@@ -334,12 +349,20 @@ def _by(key: str, order: str):
     return Window.partitionBy(key).orderBy(order)
 
 
-def originals(blob_map: DataFrame, present: DataFrame) -> DataFrame:
+def originals(blob_map: DataFrame, present: DataFrame | None = None) -> DataFrame:
     """(object_id) of the old blobs that the target must get: those that new trees name and it does not have. A target
     that borrows the source's objects needs none of them."""
-    return blob_map.filter(f"NOT ({mapping.TOKENIZED})").select(F.col("orig_blob").alias("object_id")).distinct().join(present.select("object_id"), "object_id", "left_anti")
+    named = blob_map.filter(f"NOT ({mapping.TOKENIZED})").select(F.col("orig_blob").alias("object_id")).distinct()
+    return named if present is None else named.join(present.select("object_id"), "object_id", "left_anti")
 
 
 def merged_objects(parts: list[DataFrame]) -> DataFrame:
     """The objects of several stores as one: ids name contents, so of equal ids any row stays."""
     return mapping.merged_shards(parts, ["object_id"])
+
+
+def published(out: dict[str, DataFrame], path: str) -> None:
+    """A rewrite's objects and refs as a repository at path: objects first, so every ref that can be seen is whole. A run
+    that died in between is repeated; what is there already is not written again."""
+    packs.write_objects(out["objects"], path)
+    packs.write_refs(out["refs"], path)
