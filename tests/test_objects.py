@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_rewrite import ENV, MASK, empty, git
-from tokentrail.operators import blame, history, lexers, rewrite
+from tokentrail.operators import blame, history, lexers, ownership, rewrite
 from tokentrail.sources import git as source
 from tokentrail.sources import packs
 from tokentrail.store import stored
@@ -239,7 +239,7 @@ def test_a_rewritten_repository_is_whole(spark, repo, tmp_path):
     assert b"missing" not in checked.stdout + checked.stderr
     commits = {r.orig_commit: r.new_commit for r in out["commit_map"].collect()}
     assert set(git(target, "rev-list", "--all").split()) == set(commits.values()) and git(target, "rev-parse", "main") == commits[git(repo, "rev-parse", "main")]
-    assert git(target, "show", "main:loose.c").split("\n") == lexers.token_lines("int loose;\n", "C") and git(target, "cat-file", "-t", "v1") == "tag"
+    assert git(target, "show", "main:loose.c") == "\n".join(lexers.token_lines("int loose;\n", "C")).strip() and git(target, "cat-file", "-t", "v1") == "tag"
     assert git(target, "rev-parse", "main:sub/deep/big.bin") == git(repo, "rev-parse", "main:sub/deep/big.bin")
     # written again in other parts: nothing is added; and the store reads itself
     before = sorted(os.listdir(f"{target}/objects/pack"))
@@ -249,3 +249,92 @@ def test_a_rewritten_repository_is_whole(spark, repo, tmp_path):
     other = str(tmp_path / "other")
     packs.write_objects(out["objects"], other, 1000)
     assert len(os.listdir(f"{other}/objects/pack")) > 4 and listed(other) == listed(target)
+
+
+# ---- blame as tables ----
+
+
+def is_alignment(old, new, places):
+    used = [p for p in places if p >= 0]
+    return used == sorted(set(used)) and all(p < 0 or old[p] == new[i] for i, p in enumerate(places))
+
+
+def test_alignment():
+    rng = random.Random(0)
+    for n in range(200):
+        old = [rng.choice("abcdefgh}"[: rng.randint(2, 9)]) for _ in range(rng.randint(0, 30))]
+        new = [c for c in old if rng.random() < 0.8]
+        for _ in range(rng.randint(0, 4)):
+            new.insert(rng.randint(0, len(new)), rng.choice("abcxyz}"))
+        assert is_alignment(old, new, ownership.aligned_lines(old, new)), n
+        assert ownership.aligned_lines(old, old) == list(range(len(old)))
+    unique = [f"l{i}" for i in range(40)]
+    new = [x for x in unique if rng.random() < 0.7]
+    assert [unique[p] for p in ownership.aligned_lines(unique, new)] == new  # nothing that stays is lost
+    assert ownership.aligned_lines(list("}}}}a}}"), list("x}}}}a}}")) == [-1, 0, 1, 2, 3, 4, 5, 6]
+
+
+@pytest.fixture(scope="module")
+def history_repo(tmp_path_factory):
+    """Branches that change a file in different places, a merge, a rename with changes, a copy of a file, a revert."""
+    path = tmp_path_factory.mktemp("history")
+    git(path, "init", "-q", "-b", "main")
+    lines = [f"line number {i} of the file" for i in range(30)]
+
+    def commit(message, **files):
+        for name, text in files.items():
+            (path / name.replace("_", "/")).parent.mkdir(exist_ok=True)
+            (path / name.replace("_", "/")).write_text("".join(f"{x}\n" for x in text))
+        git(path, "add", "-A")
+        git(path, "commit", "-qm", message)
+
+    commit("one", a=lines, d_b=["other", "file"])
+    git(path, "checkout", "-qb", "side")
+    side = [*lines[:3], "from the side", *lines[4:]]
+    commit("side one", a=side)
+    side = [*side, "end of side"]
+    commit("side two", a=side)
+    git(path, "checkout", "-q", "main")
+    main = [*lines[:20], "from main", "and more", *lines[20:]]
+    commit("main one", a=main)
+    git(path, "merge", "-q", "side", "-m", "merge")
+    commit("other", d_b=["other", "changed", "file"])
+    merged = (path / "a").read_text().split("\n")[:-1]
+    git(path, "mv", "a", "renamed")
+    commit("rename", renamed=[*merged[:10], "at the rename", *merged[11:]])
+    commit("later", renamed=["first of all", *merged[:10], "at the rename", *merged[12:]])
+    git(path, "mv", "d/b", "c")
+    git(path, "commit", "-qm", "exact rename")
+    return str(path)
+
+
+def test_blame_of_merges_and_renames(spark, history_repo):
+    found = stored(packs.objects(spark, f"{history_repo}/.git"))
+    commits = stored(source.commit_objects(found))
+    roots = commits.select("repo", F.col("tree").alias("root")).distinct()
+    below = source.recursive_entries(source.tree_entries(found), roots, stored).filter(F.col("mode").isin(*source.REGULAR))
+    files = stored(commits.select("cid", F.col("tree").alias("root")).join(below, "root").select("cid", "path", F.col("object_id").alias("blob")))
+    parents = commits.select("cid", F.posexplode("parents").alias("idx", "parent"))
+    lines = found.filter("kind = 'blob'").select(F.col("object_id").alias("blob"), F.split(F.regexp_replace(F.col("content").cast("string"), r"\n\z", ""), "\n").alias("lines"))
+    tips = spark.createDataFrame([(git(history_repo, "rev-parse", r),) for r in ("main", "side", "main~3")], "cid string")
+    got = {}
+    for r in ownership.blame_of(tips, files, parents, lines).collect():
+        got.setdefault((r.cid, r.path), {})[r.line_no] = (r.commit_sha, r.old_path or r.path, r.old_line, r.line)
+    want = {}
+    for tip in [r.cid for r in tips.collect()]:
+        for path in git(history_repo, "ls-tree", "-r", "--name-only", tip).split("\n"):
+            out, name = subprocess.run(["git", "-C", history_repo, "blame", "--line-porcelain", tip, "--", path], capture_output=True, check=True).stdout.decode(), ""
+            for x in out.split("\n"):
+                if x[:40].isalnum() and len(x.split()) >= 3 and len(x.split()[0]) == 40:
+                    sha, old, new = x.split()[:3]
+                elif x.startswith("filename "):
+                    name = x[9:]
+                elif x.startswith("\t"):
+                    want.setdefault((tip, path), {})[int(new) - 1] = (sha, name, int(old) - 1, x[1:])
+    assert len(want) >= 5 and got == want
+
+
+def test_pointers_of_any_length(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 50)], "k int, to_k int")
+    assert {(r.k, r.to_k) for r in ownership.followed(links, ["k"]).collect()} == {(i, 100) for i in [*range(100), 200]}
+    assert ownership.followed(links.limit(0), ["k"]).count() == 0

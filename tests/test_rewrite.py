@@ -1,6 +1,7 @@
 """Rewriting, blame, sinks, pages, commands and options, on small repositories and files."""
 
 import os
+import shutil
 import sqlite3
 import stat
 import subprocess
@@ -11,7 +12,6 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from tokentrail import cli
 from tokentrail.functions import text as fn
 from tokentrail.operators import blame, commands, contributors, grammar, identity, lexers, mapping, ordering, render, rewrite, walk
 from tokentrail.sources import git as source
@@ -260,6 +260,26 @@ def test_blame_credits_the_writer(spark, blamed, tmp_path):
     plain = blame.blame_one(path, "new file;.c", ())
     assert plain[0] == "copies" and plain[1].decode().split("\n")[1].startswith(two)
     assert blame.blame_one(path, "new file;.c", limit=0)[0] == "plain"
+
+
+def test_blame_limit_interrupts(blamed, tmp_path, monkeypatch):
+    """A blame that says nothing, and one that says much on the other stream, end by the limit or by themselves."""
+    path, _, two = blamed
+    real = shutil.which("git")
+    script(tmp_path / "git", f"""import os, sys, time
+if any(a.startswith("-C1") for a in sys.argv):
+    sys.stderr.write("x" * 300_000) and sys.stderr.flush()
+    time.sleep(60)
+os.execv({real!r}, sys.argv)""")
+    monkeypatch.setitem(source.ENVIRONMENT, "PATH", f"{tmp_path}:{os.environ['PATH']}")
+    began = time.monotonic()
+    how, records = blame.blame_one(path, "new file;.c", limit=2.0)
+    assert how == "plain" and records.decode().split("\n")[1].startswith(two) and time.monotonic() - began < 30
+
+
+def test_blame_tables(spark, blamed, tmp_path):
+    path, one, two = blamed
+    files = spark.createDataFrame([(path, "old.c", 11, 0), (path, "new file;.c", 700, 1), (path, "none.c", 5, 2)], "repo string, path string, size long, ordinal int")
     table = blame.records_table(blame.blame_files(files)).filter("file_path = 'old.c'").collect()
     assert [(r.line_no, r.line) for r in table] == [(0, f"{one};;\tint first;")]
     out = str(tmp_path / "out")
@@ -359,26 +379,6 @@ def test_watchdog(spark):
         commands.stall_window(600, 100, True)
 
 
-def test_options(tmp_path):
-    command = script(tmp_path / "cmd", "")
-    base = [str(tmp_path), "t", "m", command, "x"]
-    o = cli.parse(["--shard=1/4", "--blob-timeout=5", *base])
-    assert o.shard == (1, 4) and o.stall_timeout == 1800
-    bad = [[], base[:4], ["--pipeline", "--pipeline-trees", *base], ["--shard=4/4", *base], ["--shard=0/2", "--mask-widened", *base], ["--shard=0/2", "--pipeline", *base], ["--retokenize=rs", *base], ["--retokenize=rs", "--tokenizer-identity=c=aaaaaaaa", "--memo-dir=.", *base], ["--memo-dir=.", *base], ["--tokenizer-worker=/none", "--pipeline", *base], [f"--tokenizer-worker={command}", *base], ["--blob-timeout=0", *base], ["--blob-timeout=600", "--stall-timeout=60", *base], ["--unknown", *base], ["--tokenizer-identity=rs=xyz", *base], ["--warm=/none", *base], ["/none", *base[1:]], [*base[:4], ""]]
-    for args in bad:
-        with pytest.raises(cli.UsageError):
-            cli.parse(args)
-        assert cli.main(args, dict) == cli.USAGE
-
-    def refuse(_):
-        raise ValueError("narrowed")
-
-    def nothing(_):
-        raise LookupError("no rows")
-
-    assert [cli.main(base, f) for f in (lambda _: {"commits": 3}, lambda _: {"aborted": True}, refuse, lambda _: {"stalled": True}, nothing)] == [0, 2, 3, 5, 7]
-
-
 # ---- sinks and pages ----
 
 

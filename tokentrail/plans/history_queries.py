@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
-from ..operators import blame, history, mapping, rewrite
+from ..operators import blame, history, mapping, ownership, rewrite
 from ..sources import git
 from ..store import stored
 from .adapter import ctes, load
@@ -213,6 +213,28 @@ def moved_blocks(spark, d):
     return blame.moved_blocks(spark.sql(sql, lineitem=load(spark, d, "lineitem")), 60)
 
 
+# a file a customer, a version an order: the parts of this order and the two before it, a line each
+_HELD = """o AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders),
+parts AS (SELECT DISTINCT o_custkey, k, l_partkey FROM o JOIN lineitem ON l_orderkey = o_orderkey),
+held AS (SELECT DISTINCT a.o_custkey, a.k, p.l_partkey FROM o a JOIN parts p ON p.o_custkey = a.o_custkey AND p.k BETWEEN a.k - 2 AND a.k)"""
+_VERSIONS = f"""{_HELD}, whole AS (SELECT o_custkey, k, string_agg(l_partkey::VARCHAR, ',' ORDER BY l_partkey) AS body FROM held GROUP BY ALL)"""
+
+
+@query(f"""WITH {_VERSIONS}, islands AS (SELECT *, k - row_number() OVER (PARTITION BY o_custkey, l_partkey ORDER BY k) AS island, row_number() OVER (PARTITION BY o_custkey, k ORDER BY l_partkey) - 1 AS line_no FROM held),
+born AS (SELECT *, min(k) OVER (PARTITION BY o_custkey, l_partkey, island) AS first FROM islands)
+SELECT 'c' || a.o_custkey || '-' || a.k AS cid, 'f' || a.o_custkey AS path, a.line_no::INT AS line_no, 'c' || a.o_custkey || '-' || a.first AS commit_sha, 'f' || a.o_custkey AS old_path, b.line_no::INT AS old_line
+FROM born a JOIN born b ON b.o_custkey = a.o_custkey AND b.l_partkey = a.l_partkey AND b.k = a.first
+WHERE NOT EXISTS (SELECT 1 FROM whole x JOIN whole y ON y.o_custkey = x.o_custkey AND y.k = x.k - 1 AND y.body = x.body WHERE x.o_custkey = a.o_custkey AND x.k = a.k)""")
+def line_owners(spark, d):
+    sql = f"WITH {_HELD} SELECT * FROM held".replace("FROM orders", "FROM {orders}").replace("JOIN lineitem ON", "JOIN {lineitem} ON")
+    held = spark.sql(sql, orders=load(spark, d, "orders"), lineitem=load(spark, d, "lineitem"))
+    cid = lambda k: F.concat(F.lit("c"), "o_custkey", F.lit("-"), k)
+    whole = held.groupBy("o_custkey", "k").agg(F.transform(F.array_sort(F.collect_list("l_partkey")), lambda x: x.cast("string")).alias("lines"))
+    whole = stored(whole.select("k", cid(F.col("k")).alias("cid"), F.concat(F.lit("f"), "o_custkey").alias("path"), F.when(F.col("k") > 1, cid(F.col("k") - 1)).alias("parent"), "lines").withColumn("blob", F.sha1(F.array_join("lines", "\n").cast("binary"))), "versions")
+    parents = whole.filter("parent IS NOT NULL").select("cid", F.lit(0).alias("idx"), "parent")
+    return ownership.owners(whole.select("cid", "path", "blob"), parents, whole.select("blob", "lines").dropDuplicates(["blob"]))
+
+
 @query("WITH e AS (SELECT DISTINCT 't' || n_regionkey AS tree, 'n' || n_nationkey AS name, '100644' AS mode, sha1(n_name) AS object_id FROM nation), h AS (SELECT tree, string_agg(hex(encode(mode || ' ' || name)) || '00' || upper(object_id), '' ORDER BY hex(encode(name))) AS h FROM e GROUP BY tree) SELECT tree, sha1(encode('tree ' || (length(h) // 2)::VARCHAR) || '\\x00'::BLOB || unhex(h)) AS new_tree FROM h")
 def tree_ids(spark, d):
     n = load(spark, d, "nation").select(F.concat(F.lit("t"), "n_regionkey").alias("tree"), F.concat(F.lit("n"), "n_nationkey").alias("name"), F.lit("100644").alias("mode"), F.sha1(F.col("n_name").cast("binary")).alias("object_id"))

@@ -115,11 +115,11 @@ def report_with_totals(spark, d):
     return contributors.with_totals(contributors._shares(o, ["file_path"]), ["file_path"])
 
 
-@query("""WITH x AS (SELECT doc_id, text[1:40] AS t, CASE doc_id % 4 WHEN 0 THEN 'p' WHEN 1 THEN 'b' WHEN 2 THEN 'l' END AS repo FROM documents WHERE text IS NOT NULL), e AS (SELECT *, replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS h FROM x)
+@query("""WITH x AS (SELECT doc_id, text AS t, CASE doc_id % 4 WHEN 0 THEN 'p' WHEN 1 THEN 'b' WHEN 2 THEN 'l' END AS repo FROM documents WHERE text IS NOT NULL), e AS (SELECT *, replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS h FROM x)
 SELECT doc_id, '<span class="c' || doc_id % 67 || '" title="' || h || '" onclick="' || CASE repo WHEN 'p' THEN 'windowPre' WHEN 'b' THEN 'windowBit' WHEN 'l' THEN 'windowLin' ELSE 'window' END || '(''' || sha1(t) || ''')">' || h || '</span>' AS span, 'src/' || source_ || '.c in src v1 http://x' AS header
 FROM e JOIN (SELECT doc_id, source AS source_ FROM documents) USING (doc_id)""")
 def html_spans(spark, d):
-    docs = load(spark, d, "documents").filter("text IS NOT NULL").withColumn("t", F.substring("text", 1, 40))
+    docs = load(spark, d, "documents").filter("text IS NOT NULL").withColumnRenamed("text", "t")
     repo = F.when(F.col("doc_id") % 4 == 0, "p").when(F.col("doc_id") % 4 == 1, "b").when(F.col("doc_id") % 4 == 2, "l")
     name = F.concat(F.lit("src/"), "source", F.lit(".c"))
     return docs.select("doc_id", render.token_span(F.col("t"), F.sha1(F.col("t").cast("binary")), repo, (F.col("doc_id") % 67).cast("string"), F.col("t")).alias("span"), render.expanded(F.lit("_FILENAME_ in _DIRNAME_ v_VERSION_ _REPO_URL_"), name, F.lit("src"), F.lit("1"), F.lit("http://x")).alias("header"))

@@ -19,16 +19,20 @@ def git(repo: str, *args: str) -> subprocess.Popen:
 
 
 def records(process: subprocess.Popen, end: bytes) -> Iterator[bytes]:
-    """The output of a process in records, as they come; a failure raises after the last one."""
+    """The output of a process in records, as they come; a failure raises after the last one. What it says of errors is
+    read beside, so that it never waits for a reader."""
+    said: list[bytes] = []
+    listener = threading.Thread(target=lambda: said.append(process.stderr.read()), daemon=True)
+    listener.start()
     rest = b""
     while chunk := process.stdout.read1(1 << 20):
         *found, rest = (rest + chunk).split(end)
         yield from found
     if rest:
         yield rest
-    error = process.stderr.read().decode("utf-8", "replace")
+    listener.join()
     if process.wait():
-        raise OSError(f"git failed with {process.returncode}: {error.strip()}")
+        raise OSError(f"git failed with {process.returncode}: {b''.join(said).decode('utf-8', 'replace').strip()}")
 
 
 class GitObjects(DataSource):
