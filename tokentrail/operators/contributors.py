@@ -8,10 +8,22 @@ from pyspark.sql import functions as F
 COLOURS = 67
 
 
+def by_commit(tokens: DataFrame, keys: tuple[str, ...] = ("file_path",)) -> DataFrame:
+    """Tokens counted by file and commit: (keys, commit_sha, tokens, first_index), of code tokens and declarations. Joined
+    with what is known of commits in place of tokens, a commit that wrote a whole tree is a row a file, not a row a token."""
+    code = F.col("is_structural") == 0
+    return tokens.filter("is_structural = 0 OR token_type = 'DECL'").groupBy(*keys, "commit_sha").agg(F.count_if(code).alias("tokens"), F.min("token_index").alias("first_index"))
+
+
+def _pairs(rows: DataFrame, keys: tuple[str, ...] = ("file_path",)) -> DataFrame:
+    """Rows of tokens, or of by_commit, with persons as (keys, commit_sha, person, tokens, first_index)."""
+    rows = rows.withColumn("person", F.coalesce("personname", "personid", F.lit("Unknown")))
+    return rows.select(*keys, "commit_sha", "person", "tokens", "first_index") if "first_index" in rows.columns else by_commit(rows, (*keys, "person"))
+
+
 def top_contributors(rows: DataFrame) -> DataFrame:
-    """Code tokens of each person in each file, most first."""
-    code = rows.filter("is_structural = 0").withColumn("person", F.coalesce("personname", "personid", F.lit("Unknown")))
-    return code.groupBy("file_path", "person").agg(F.count(F.lit(1)).alias("tokens"))
+    """Code tokens of each person in each file, of tokens or by_commit rows with persons. Rows are in no order."""
+    return _pairs(rows).filter("tokens > 0").groupBy("file_path", "person").agg(F.sum("tokens").alias("tokens"))
 
 
 def _shares(grouped: DataFrame, keys: list[str]) -> DataFrame:
@@ -22,9 +34,7 @@ def _shares(grouped: DataFrame, keys: list[str]) -> DataFrame:
 def file_report(rows: DataFrame) -> DataFrame:
     """Tokens and commits of each person in each file with shares; the commits' total counts persons apart. A person
     of declarations alone is listed with no tokens."""
-    seen = rows.filter("is_structural = 0 OR token_type = 'DECL'").withColumn("person", F.coalesce("personname", "personid", F.lit("Unknown")))
-    code = F.col("is_structural") == 0
-    g = seen.groupBy("file_path", "person").agg(F.count(F.when(code, 1)).alias("tokens"), F.countDistinct(F.when(code, F.col("commit_sha"))).alias("commits"))
+    g = _pairs(rows).groupBy("file_path", "person").agg(F.sum("tokens").alias("tokens"), F.countDistinct(F.when(F.col("tokens") > 0, F.col("commit_sha"))).alias("commits"))
     return _shares(g, ["file_path"])
 
 
@@ -36,10 +46,17 @@ def functions_of(rows: DataFrame) -> DataFrame:
     return rows.withColumn("func_no", F.when(last == "begin_function", begun).cast("long"))
 
 
+def function_tokens(rows: DataFrame) -> DataFrame:
+    """The code tokens inside functions, with func_no."""
+    return functions_of(rows).filter("func_no IS NOT NULL AND is_structural = 0")
+
+
 def function_report(rows: DataFrame) -> DataFrame:
-    inside = functions_of(rows).filter("func_no IS NOT NULL AND is_structural = 0").withColumn("person", F.coalesce("personname", "personid", F.lit("Unknown")))
-    g = inside.groupBy("file_path", "func_no", "person").agg(F.count(F.lit(1)).alias("tokens"), F.countDistinct("commit_sha").alias("commits"))
-    return _shares(g, ["file_path", "func_no"])
+    """Tokens and commits of each person in each function with shares, of tokens with persons, or of by_commit rows of
+    function_tokens."""
+    keys = ("file_path", "func_no")
+    g = _pairs(rows if "first_index" in rows.columns else function_tokens(rows), keys).groupBy(*keys, "person").agg(F.sum("tokens").alias("tokens"), F.countDistinct("commit_sha").alias("commits"))
+    return _shares(g, list(keys))
 
 
 def ranked(report: DataFrame, keys: list[str]) -> DataFrame:
@@ -71,8 +88,7 @@ def author_counts(wide: DataFrame) -> DataFrame:
 
 def colours(rows: DataFrame) -> DataFrame:
     """A colour number for each author of a file, by the order in which they first appear, and a background."""
-    seen = rows.filter("is_structural = 0 OR token_type = 'DECL'").withColumn("person", F.coalesce("personname", "personid", F.lit("Unknown")))
-    first = seen.groupBy("file_path", "person").agg(F.min("token_index").alias("first_index"))
+    first = _pairs(rows).groupBy("file_path", "person").agg(F.min("first_index").alias("first_index"))
     i = F.row_number().over(Window.partitionBy("file_path").orderBy("first_index", "person"))
     out = first.withColumn("colour", (i % COLOURS).cast("int"))
     return out.withColumn("background", F.when(3 * F.col("colour") % 4 == 0, 255).otherwise(3 * F.col("colour") % 64 + 191).cast("int"))

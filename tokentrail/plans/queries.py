@@ -60,6 +60,12 @@ def _attributed(spark, d) -> DataFrame:
     return dataset.attributed(_tokens(spark, d), *(load(spark, d, t) for t in ("commits", "commitmap", "emails", "persons")))
 
 
+def _attributed_pairs(spark, d, of=lambda t: t, keys=("file_path",)) -> DataFrame:
+    """Counts by file and commit, joined with commits."""
+    pairs = contributors.by_commit(of(_tokens(spark, d)), keys)
+    return dataset.attributed(pairs, *(load(spark, d, t) for t in ("commits", "commitmap", "emails", "persons")))
+
+
 def _sources(tokens: DataFrame) -> DataFrame:
     """A source for each file: its code tokens, a line end and two blanks behind every fifth, a blank behind others."""
     piece = F.concat("token_value", F.when(F.col("token_index") % 5 == 0, "\n  ").otherwise(" "))
@@ -118,7 +124,7 @@ def source_walk(spark, d):
 
 @query(f"WITH {ATTRIBUTED} SELECT file_path, coalesce(personname, personid, 'Unknown') AS person, count(*) AS tokens FROM attributed WHERE is_structural = 0 GROUP BY ALL")
 def top_contributors(spark, d):
-    return contributors.top_contributors(_attributed(spark, d))
+    return contributors.top_contributors(_attributed_pairs(spark, d))
 
 
 _REPORT = """SELECT *, round(100 * tokens / sum(tokens) OVER (PARTITION BY {k}), 2) AS token_pct, round(100 * commits / sum(commits) OVER (PARTITION BY {k}), 2) AS commit_pct FROM r"""
@@ -126,7 +132,7 @@ _REPORT = """SELECT *, round(100 * tokens / sum(tokens) OVER (PARTITION BY {k}),
 
 @query(f"WITH {ATTRIBUTED}, r AS (SELECT file_path, coalesce(personname, personid, 'Unknown') AS person, count_if(is_structural = 0)::BIGINT AS tokens, count(DISTINCT commit_sha) FILTER (WHERE is_structural = 0) AS commits FROM attributed WHERE is_structural = 0 OR token_type = 'DECL' GROUP BY ALL) " + _REPORT.format(k="file_path"))
 def file_report(spark, d):
-    return contributors.file_report(_attributed(spark, d))
+    return contributors.file_report(_attributed_pairs(spark, d))
 
 
 FUNCTIONS = f"""{ATTRIBUTED}, fn AS (SELECT *, CASE WHEN last_value(CASE WHEN token_type IN ('begin_function', 'end_function') THEN token_type END IGNORE NULLS) OVER w = 'begin_function'
@@ -135,13 +141,13 @@ FUNCTIONS = f"""{ATTRIBUTED}, fn AS (SELECT *, CASE WHEN last_value(CASE WHEN to
 
 @query(f"WITH {FUNCTIONS}, r AS (SELECT file_path, func_no, coalesce(personname, personid, 'Unknown') AS person, count(*) AS tokens, count(DISTINCT commit_sha) AS commits FROM fn WHERE func_no IS NOT NULL AND is_structural = 0 GROUP BY ALL) " + _REPORT.format(k="file_path, func_no"))
 def function_report(spark, d):
-    return contributors.function_report(_attributed(spark, d))
+    return contributors.function_report(_attributed_pairs(spark, d, contributors.function_tokens, ("file_path", "func_no")))
 
 
 @query(f"""WITH {ATTRIBUTED}, f AS (SELECT file_path, coalesce(personname, personid, 'Unknown') AS person, min(token_index) AS first_index FROM attributed WHERE is_structural = 0 OR token_type = 'DECL' GROUP BY ALL),
 c AS (SELECT *, (row_number() OVER (PARTITION BY file_path ORDER BY first_index, person) % 67)::INT AS colour FROM f) SELECT *, (CASE WHEN 3 * colour % 4 = 0 THEN 255 ELSE 3 * colour % 64 + 191 END)::INT AS background FROM c""")
 def author_colours(spark, d):
-    return contributors.colours(_attributed(spark, d))
+    return contributors.colours(_attributed_pairs(spark, d))
 
 
 @query(f"""WITH {TOKENS}, {PLACES}, x AS (SELECT file_path, token_index, feeds + 1 AS source_line FROM placed WHERE token_type <> 'DECL')
