@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import maplog
 from ..functions import text as fn
 from ..sources import packs
 from ..sources.git import GITLINK, TREE
@@ -322,9 +323,26 @@ def rewrite(commits: DataFrame, entries: DataFrame, blobs: DataFrame, refs: Data
     for kind, rows, oid in (("commit", folded, "new_commit"), ("tag", tagged.filter("body IS NOT NULL"), "new_target")):
         objects = objects.unionByName(rows.select(F.col(oid).alias("object_id"), F.lit(kind).alias("kind"), F.col("body").alias("content")))
     out["objects"] = objects.dropDuplicates(["object_id"])
+    out["new"] = {"blob_map": found["blob_map"], "tree_map": found["tree_map"], "commit_map": new}
     return out | {"exclusions": found["exclusions"], "statistics": walk_statistics(found["plan"], found["blob_map"], found["exclusions"], new, maps["commit_map"], projected, blobs)}
 
 
+def rewrite_into(base: str, target: str, commits: DataFrame, entries: DataFrame, blobs: DataFrame, refs: DataFrame, tags: DataFrame, tokenize, mask: str, now: int = 0, **options) -> dict[str, DataFrame]:
+    """A rewrite whose maps are a log at base and whose objects are a repository at target. Objects come first, then the
+    maps' new rows as one version, then refs: a run that dies at any place is repeated, and no map names what is not there.
+    What is written is in proportion to what is new."""
+    spark = commits.sparkSession
+    schemas = {"blob_map": "orig_blob string, path string, new_blob string, processed_at long", "tree_map": "orig_tree string, new_tree string, processed_at long", "commit_map": "repo string, orig_commit string, new_commit string, processed_at long"}
+    maps = {name: maplog.read(spark, base, name) for name in schemas}
+    maps = {name: spark.createDataFrame([], schemas[name]) if df is None else df for name, df in maps.items()}
+    out = rewrite(commits, entries, blobs, refs, tags, tokenize, mask, maps, now, **options)
+    packs.write_objects(out["objects"], target)
+    if not out["new"]["commit_map"].isEmpty():
+        maplog.append(spark, base, out["new"])
+    packs.write_refs(out["refs"], target)
+    return out
+
+
 def walk_statistics(plan: DataFrame, new_blobs: DataFrame, exclusions: DataFrame, new_commits: DataFrame, old_commits: DataFrame, refs: DataFrame, blobs: DataFrame, aborted: bool = False) -> DataFrame:
     """One row: what a run did. Originals are the blobs that a new tree names by their old id; each counts once as moved
     and, for other paths, as already there."""
