@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from .. import maplog
 from ..functions import text as fn
 from ..operators import blame, history, mapping, ownership, rewrite
-from ..sources import git
-from ..store import stored
+from ..sources import commits, git, packs
+from ..store import shared_folder, stored
 from .adapter import ctes, load
 from .registry import query
 
@@ -239,3 +242,66 @@ def line_owners(spark, d):
 def tree_ids(spark, d):
     n = load(spark, d, "nation").select(F.concat(F.lit("t"), "n_regionkey").alias("tree"), F.concat(F.lit("n"), "n_nationkey").alias("name"), F.lit("100644").alias("mode"), F.sha1(F.col("n_name").cast("binary")).alias("object_id"))
     return history.tree_bodies(n).select("tree", "new_tree")
+
+
+# ---- objects, commits and maps that are written and read again ----
+
+
+def _folder(spark, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(r"SELECT DISTINCT sha1(encode('blob ' || octet_length(encode(text))::VARCHAR) || '\x00'::BLOB || encode(text)) AS object_id, 'blob' AS kind, octet_length(encode(text)) AS size, sha256(text) AS content_sha256 FROM documents WHERE text IS NOT NULL")
+def packed_objects(spark, d):
+    text = F.col("text").cast("binary")
+    docs = load(spark, d, "documents").filter("text IS NOT NULL").select(rewrite.git_id("blob", text).alias("object_id"), F.lit("blob").alias("kind"), text.alias("content"))
+    path = _folder(spark, "packs")
+    packs.write_objects(docs, path)
+    return packs.objects(spark, path).select("object_id", "kind", "size", F.sha2("content", 256).alias("content_sha256"))
+
+
+# a chain of commits a customer; every seventh message ends in a trailer
+_CHAIN = """chain AS (SELECT o_custkey, o_orderkey, 'k' || o_orderkey AS cid, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k, sha1('t' || o_orderkey) AS tree, 'Dev <d@x> ' || o_orderkey || ' +0000' AS who,
+  'Order ' || o_orderkey || chr(10) || chr(10) || CASE o_orderkey % 7 WHEN 0 THEN 'Signed-off-by: Dev <d@x>' ELSE 'text' END AS message FROM orders),
+linked AS (SELECT a.*, b.cid AS parent FROM chain a LEFT JOIN chain b ON b.o_custkey = a.o_custkey AND b.k = a.k - 1)"""
+_COMMIT = """sha1(encode('commit ' || octet_length(encode({body}))::VARCHAR) || '\\x00'::BLOB || encode({body}))"""
+_COMMIT_BODY = """'tree ' || sha1('n' || {t}.tree) || chr(10) || {parent} || 'author ' || {t}.who || chr(10) || 'committer ' || {t}.who || chr(10) || chr(10) || {t}.message || CASE WHEN {t}.o_orderkey % 7 = 0 THEN chr(10) ELSE chr(10) || chr(10) END || 'Former-commit-id: ' || {t}.cid"""
+
+
+@query(f"""WITH RECURSIVE {_CHAIN}, made AS (SELECT o_custkey, k, cid, {_COMMIT.format(body=_COMMIT_BODY.format(t="c", parent="''"))} AS new_commit FROM chain c WHERE k = 1
+  UNION ALL SELECT c.o_custkey, c.k, c.cid, {_COMMIT.format(body=_COMMIT_BODY.format(t="c", parent="'parent ' || made.new_commit || chr(10)"))} FROM made JOIN chain c ON c.o_custkey = made.o_custkey AND c.k = made.k + 1)
+SELECT 'r' || o_custkey % 16 AS repo, cid AS orig_commit, new_commit FROM made""")
+def commit_fold(spark, d):
+    rows = spark.sql(f"WITH {_CHAIN} SELECT * FROM linked".replace("FROM orders", "FROM {orders}"), orders=load(spark, d, "orders"))
+    binary = lambda c: F.col(c).cast("binary")
+    commits = rows.select(F.concat(F.lit("r"), F.col("o_custkey") % 16).alias("repo"), "cid", "tree", F.when(F.col("parent").isNull(), F.array().cast("array<string>")).otherwise(F.array("parent")).alias("parents"), binary("who").alias("author"), binary("who").alias("committer"), F.lit(None).cast("binary").alias("encoding"), binary("message").alias("message"))
+    trees = rows.select(F.col("tree").alias("orig_tree"), F.sha1(F.concat(F.lit("n"), "tree").cast("binary")).alias("new_tree")).distinct()
+    none = spark.createDataFrame([], "repo string, orig_commit string, new_commit string")
+    return rewrite.fold_commits(stored(commits, "commits"), trees, none).drop("processed_at")
+
+
+_OBJECTS = """SELECT sha1('c' || o_orderkey) AS cid, 'Dev ' || o_custkey || ' <d' || o_custkey % 9 || '@x.example> ' || (1000000000 + o_orderkey * 7919) || ' +0130' AS author, 'Com  <c@x> ' || (1000000100 + o_orderkey * 7919) || ' -0800' AS committer,
+  'Order ' || o_orderkey || CASE o_orderkey % 3 WHEN 0 THEN chr(10) || 'goes on' ELSE '' END || CASE o_orderkey % 4 WHEN 0 THEN '' ELSE chr(10) || chr(10) || 'Reviewed-by: R' || o_custkey || ' <r@x>' || chr(10) || 'Cc: two' || chr(10) || '  lines' END AS message, o_custkey FROM orders"""
+
+
+@query(f"""WITH o AS ({_OBJECTS}), n AS (SELECT *, split_part(message, ' ', 2) AS rest, CAST(regexp_extract(author, '> ([0-9]+)', 1) AS BIGINT) AS at_ FROM o)
+SELECT cid, 'Dev ' || o_custkey AS autname, 'd' || o_custkey % 9 || '@x.example' AS autemail, strftime(to_timestamp(at_) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS autdate, 'Com' AS comname, 'c@x' AS comemail, strftime(to_timestamp(at_ + 100) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS comdate,
+  replace(split_part(message, chr(10) || chr(10), 1), chr(10), ' ') AS summary, false AS ismerge, CASE WHEN contains(message, 'Cc') THEN ['Reviewed-by=R' || o_custkey || ' <r@x>', 'Cc=two lines'] ELSE [] END AS trailers FROM n""")
+def history_tables(spark, d):
+    rows = spark.sql(_OBJECTS.replace("FROM orders", "FROM {orders}"), orders=load(spark, d, "orders"))
+    for c in ("author", "committer", "message"):
+        rows = rows.withColumn(c, F.col(c).cast("binary"))
+    t = commits.tables(rows.withColumns({"parents": F.array().cast("array<string>"), "encoding": F.lit(None).cast("binary")}))
+    trailers = t["footers"].groupBy("cid").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", F.concat_ws("=", "key", "value").alias("t")))), lambda x: x["t"]).alias("trailers"))
+    return t["commits"].join(trailers, "cid", "left").withColumn("trailers", F.coalesce("trailers", F.array().cast("array<string>")))
+
+
+@query("WITH m AS (SELECT sha1('t' || o_orderkey % 5000) AS orig_tree, sha1('n' || o_orderkey) AS new_tree, floor(o_orderkey / 5000)::BIGINT AS processed_at FROM orders) SELECT orig_tree, arg_min(new_tree, processed_at) AS new_tree, min(processed_at) AS processed_at FROM m GROUP BY orig_tree")
+def map_log(spark, d):
+    """Three runs append to a log; keys that are known stay as they are."""
+    key = F.col("o_orderkey")
+    rows = load(spark, d, "orders").select(F.sha1(F.concat(F.lit("t"), key % 5000).cast("binary")).alias("orig_tree"), F.sha1(F.concat(F.lit("n"), key).cast("binary")).alias("new_tree"), F.floor(key / 5000).alias("processed_at"))
+    base = _folder(spark, "log")
+    for part in ("processed_at = 0", "processed_at = 1", "processed_at > 1"):
+        maplog.append(spark, base, {"tree_map": rows.filter(part).orderBy("processed_at")})
+    return maplog.read(spark, base, "tree_map")
