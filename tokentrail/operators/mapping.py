@@ -47,19 +47,15 @@ def tokenized_for(blob_map: DataFrame, extensions: list[str]) -> DataFrame:
 
 
 def stride_sample(blob_map: DataFrame, size: int, exclude: list[str] | None = None) -> DataFrame:
-    """size rows spread evenly over the tokenized ones in order of (orig_blob, path).
+    """size rows spread evenly over the tokenized ones in order of (orig_blob, path); numbers come from ranges of the order,
+    as many as the session shuffles by."""
+    from .ordering import numbered
 
-    Row numbers come from ranges of orig_blob: each range is numbered apart and shifted by the rows before it.
-    """
-    rows = blob_map.filter(TOKENIZED)
+    rows = blob_map.filter(TOKENIZED).select("orig_blob", "path", "new_blob")
     if exclude:
         rows = rows.filter(~fn.has_extension(F.col("path"), exclude))
-    rows = rows.withColumn("_p", F.substring("orig_blob", 1, 2))
-    counts = rows.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    before = counts.withColumn("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("_t", F.sum("_c").over(Window.partitionBy(F.lit(0)))).drop("_c")
-    n = F.row_number().over(Window.partitionBy("_p").orderBy("orig_blob", "path"))
-    place = rows.withColumn("_n", n).join(before, "_p").withColumn("rn", F.col("_b") + F.col("_n") - 1)
-    step = F.greatest(F.lit(1), F.floor(F.col("_t") / size)).cast("long")
+    place = numbered(rows, ["orig_blob", "path"], "rn")
+    step = max(1, place.count() // size)
     return place.filter((F.col("rn") % step == 0) & (F.col("rn") < step * size)).select("orig_blob", "path", "new_blob")
 
 
@@ -81,7 +77,7 @@ def screened(blobs: DataFrame, denied: list[str] | DataFrame | None, limit: int,
     """Adds exclusion: denylisted, oversized, why it failed before, or null. denied: ids in any case, a list or a table
     (object_id); None stands for the list that is known."""
     if isinstance(denied, DataFrame):
-        deny = F.broadcast(denied.select(F.lower("object_id").alias("_d")).distinct())
+        deny = denied.select(F.lower("object_id").alias("_d")).distinct()
         out = blobs.join(deny, F.lower("orig_blob") == F.col("_d"), "left").withColumn("exclusion", F.when(F.col("_d").isNotNull(), "denylisted")).drop("_d")
     else:
         ids = [d.lower() for d in (DENIED if denied is None else denied)]
