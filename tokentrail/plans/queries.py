@@ -450,4 +450,4 @@ def content_functions(spark, d):
     return load(spark, d, "documents").select("doc_id", F.sha1(fn.html_escape(t)).alias("escaped"), fn.memo_path(t).alias("memo_path"))
 
 
-from . import history_queries, text_queries  # noqa: E402, F401
+from . import history_queries, sink_queries, text_queries  # noqa: E402, F401
