@@ -4,7 +4,9 @@ import hashlib
 import os
 import random
 import subprocess
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,6 +163,20 @@ def test_brackets_do_not_cut_blocks(spark):
     assert [tuple(r) for r in got.collect()] == [("new.c", 0, 8, "old.c", 1)]
 
 
+def test_windows_of_a_long_file_hold_few_lines():
+    """Windows are the same however lines are dealt to batches, and a long file is not held whole for each."""
+    rng = random.Random(1)
+    n = 20_000
+    columns = [pa.array(["f"] * n), pa.array([True] * n), pa.array([i + i // 900 for i in range(n)], pa.int32()), pa.array([rng.choice(["", "}", "a = 1", "return b"]) for _ in range(n)])]
+    whole = pa.RecordBatch.from_arrays(columns, names=["file_path", "parent", "line_no", "text"])
+    tracemalloc.start()
+    found = [pa.Table.from_batches(blame._windows((whole.slice(i, size) for i in range(0, n, size)), 9)).to_pylist() for size in (n, 1000, 7)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found[0]) > n // 3 and found[0] == found[1] == found[2]
+    assert peak < 200 << 20
+
+
 # ---- packs ----
 
 
