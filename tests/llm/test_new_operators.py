@@ -261,3 +261,13 @@ def test_chains_of_any_length(spark):
     found = spelling.with_roots(spelling.forms(spark.createDataFrame(words, "word string, n long")))
     assert {r.root for r in found.collect()} == {"a" * 17}
     assert {(r.word, r.form) for r in found.collect()} == {("a" * (5 + i), "a" * (6 + i) if i < 12 else None) for i in range(13)}
+
+
+def test_words_are_not_sent_through_the_driver(spark, tmp_path):
+    """A table of words is small in a file and large in memory; the joins of words sort, whatever the threshold is."""
+    spark.createDataFrame([("abcde", 5), ("abcdef", 9), ("abcdx", 3)], "word string, n long").write.parquet(f"{tmp_path}/words")
+    found = spelling.forms(spark.read.parquet(f"{tmp_path}/words"))
+    for table in (found, spelling.with_roots(found)):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {r.word: r.root for r in table.collect()} == {"abcde": "abcde", "abcdef": "abcdef", "abcdx": "abcdx"}

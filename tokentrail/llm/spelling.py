@@ -82,6 +82,12 @@ def _form(word: Column, size: Column, i: Column, mark: str) -> Column:
     return F.when(size <= LONG, form).otherwise(F.md5(form))
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """df for a join by sorting: words in a file are a small part of their size in memory, so that Spark would send tables of
+    many words through the driver."""
+    return df.hint("merge")
+
+
 def _best(n: Column, word: Column) -> Column:
     """The least of these is the most frequent word, the first in code-point order among equals."""
     return F.struct((-n).alias("minus"), word.alias("word"))
@@ -93,7 +99,7 @@ def replacements(words: DataFrame) -> DataFrame:
     holes = words.select("word", "n", F.explode(F.transform(F.sequence(F.lit(1), size), lambda i: _form(F.col("word"), size, i, "*"))).alias("hole"))
     top = F.slice(F.sort_array(F.collect_list(_best(F.col("n"), F.col("word")))), 1, 2)  # of 90 words at most
     groups = holes.groupBy("hole").agg(F.count(F.lit(1)).alias("size"), top.alias("top")).filter("size > 1")
-    met = holes.join(groups, "hole")
+    met = holes.join(_merged(groups), "hole")
     other = F.when(F.col("top")[0]["word"] == F.col("word"), F.col("top")[1]).otherwise(F.col("top")[0])
     return met.groupBy("word").agg(F.sum(F.col("size") - 1).alias("n_near"), F.min(other).alias("best"))
 
@@ -104,7 +110,7 @@ def deletions(words: DataFrame) -> DataFrame:
     shorter = F.array_distinct(F.transform(F.sequence(F.lit(1), size), lambda i: _form(F.col("word"), size, i, "")))
     gone = words.filter(size > LEAST_CHARS).select("word", "n", F.explode(shorter).alias("key"))
     known = words.select(F.when(size < LONG, F.col("word")).otherwise(F.md5("word")).alias("key"), F.col("word").alias("less"), F.col("n").alias("less_n"))
-    met = gone.join(known, "key")
+    met = gone.join(_merged(known), "key")
     up = met.groupBy(F.col("less").alias("word")).agg(F.count(F.lit(1)).alias("n_near"), F.min(_best(F.col("n"), F.col("word"))).alias("best"))
     down = met.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(_best(F.col("less_n"), F.col("less"))).alias("best"))
     return up.union(down)
@@ -115,7 +121,7 @@ def forms(words: DataFrame) -> DataFrame:
     near = replacements(words).union(deletions(words)).groupBy("word").agg(F.sum("n_near").alias("n_near"), F.min("best").alias("best"))
     form_n = -F.col("best.minus")
     taken = form_n >= 2 * F.col("n")
-    out = words.join(near, "word", "left")
+    out = words.join(_merged(near), "word", "left")
     return out.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(taken, F.col("best.word")).alias("form"), F.when(taken, form_n).alias("form_n"))
 
 
@@ -124,11 +130,11 @@ def with_roots(found: DataFrame) -> DataFrame:
     links = found.filter("form IS NOT NULL").select("word", F.col("form").alias("to"))
     while True:
         onward = links.select(F.col("word").alias("to"), F.col("to").alias("next"))
-        links = written(links.join(onward, "to", "left").select("word", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), "forms")
+        links = written(links.join(_merged(onward), "to", "left").select("word", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), "forms")
         if links.filter("moved").isEmpty():
             break
         links = links.drop("moved")
-    return found.join(links.select("word", F.col("to").alias("root")), "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return found.join(_merged(links.select("word", F.col("to").alias("root"))), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def variants(docs: DataFrame) -> DataFrame:
