@@ -293,3 +293,19 @@ def test_parquet_sink(spark, tmp_path):
     wide = QUERIES["dataset67"](spark, SF)
     dataset.write_dataset(wide, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == wide.count()
+
+
+def test_trailers_of_both_kinds_move_together(spark):
+    """Lists and persons of trailers come from one pass, which is what the two give apart, and trailers move twice."""
+    footers = spark.createDataFrame([("c", 0, "Reviewed-by", "A <a@x.com>"), ("c", 1, "reviewed-by", "a@x.com"), ("c", 2, "Acked-by", "nobody"), ("d", 0, "Acked-by", "b@x.com")], "cid string, idx int, key string, value string")
+    emails = spark.createDataFrame([("A", "a@x.com", "p1"), ("B", "a@x.com", "p2"), ("B", "a@x.com", "p2")], "emailname string, emailaddr string, personid string")
+    persons = spark.createDataFrame([("p1", "One"), ("p2", None)], "personid string, personname string")
+    both = dataset.trailers(footers, emails, persons)
+    apart = dataset.trailer_lists(footers, emails).join(dataset.trailer_persons(footers, emails, persons), "cid").select(both.columns)
+    rows = sorted(map(tuple, both.collect()))
+    assert rows == sorted(map(tuple, apart.collect()))
+    got = {r.cid: (r.footer_reviewed_by, r.footer_acked_by, r.footer_personids, r.footer_person_names) for r in both.collect()}
+    assert got == {"c": (["A <a@x.com>"], ["nobody"], ["p1", "p2"], ["One", "p2"]), "d": ([], ["b@x.com"], [], [])}
+    merged = dataset.trailers(footers.hint("merge"), emails, persons)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(cid") == 1

@@ -78,12 +78,16 @@ def reviewers(wide: DataFrame) -> DataFrame:
     return each.groupBy("reviewer").agg(F.count(F.lit(1)).alias("commits"))
 
 
-def author_counts(wide: DataFrame) -> DataFrame:
-    """Tokens by author as written and by unified person."""
-    code = wide.filter("is_structural = 0")
-    raw = code.groupBy(F.col("author_name").alias("name")).agg(F.count(F.lit(1)).alias("tokens")).select(F.lit("raw").alias("kind"), "name", "tokens")
-    one = code.groupBy(F.coalesce("person_name", F.lit("Unknown")).alias("name")).agg(F.count(F.lit(1)).alias("tokens")).select(F.lit("unified").alias("kind"), "name", "tokens")
-    return raw.unionByName(one)
+def author_counts(rows: DataFrame) -> DataFrame:
+    """Tokens by author as written and by unified person, of the dataset, or of by_commit rows with persons (autname,
+    personname, personid). The rows are read once."""
+    if "first_index" in rows.columns:
+        counts = rows.select(F.col("autname").alias("author_name"), F.coalesce("personname", "personid").alias("person_name"), "tokens").filter("tokens > 0")
+    else:
+        counts = rows.filter("is_structural = 0").select("author_name", "person_name", F.lit(1).cast("long").alias("tokens"))
+    counts = counts.groupBy("author_name", "person_name").agg(F.sum("tokens").alias("tokens"))
+    both = F.array(F.struct(F.lit("raw").alias("kind"), F.col("author_name").alias("name")), F.struct(F.lit("unified").alias("kind"), F.coalesce("person_name", F.lit("Unknown")).alias("name")))
+    return counts.select(F.inline(both), "tokens").groupBy("kind", "name").agg(F.sum("tokens").alias("tokens"))
 
 
 def colours(rows: DataFrame) -> DataFrame:
