@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tests.test_rewrite import ENV, MASK, empty, git
 from tokentrail.operators import blame, history, lexers, ownership, rewrite
+from tokentrail.plans import history_queries
 from tokentrail.sources import git as source
 from tokentrail.sources import packs
 from tokentrail.store import stored
@@ -354,3 +355,14 @@ def test_pointers_of_any_length(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 50)], "k int, to_k int")
     assert {(r.k, r.to_k) for r in ownership.followed(links, ["k"]).collect()} == {(i, 100) for i in [*range(100), 200]}
     assert ownership.followed(links.limit(0), ["k"]).count() == 0
+
+
+def test_entries_are_made_once_from_numbers(spark):
+    """Entries are those of the SQL, and no plan that reads them makes them again or moves them."""
+    d = "/root/testdata/sf0.001"
+    names = ("entries", "known_trees", "known_blobs")
+    for name, table in zip(names, history_queries._tables(spark, d, *names), strict=True):
+        sql = f"WITH {history_queries.TREES}, {history_queries.KNOWN} SELECT * FROM {name}".replace("FROM lineitem", "FROM {lineitem}")
+        want = spark.sql(sql, lineitem=spark.read.parquet(f"{d}/lineitem.parquet"))
+        assert sorted(map(tuple, table.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+        assert name != "entries" or "Exchange" not in table._jdf.queryExecution().executedPlan().toString()
