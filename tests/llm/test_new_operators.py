@@ -271,3 +271,12 @@ def test_words_are_not_sent_through_the_driver(spark, tmp_path):
         plan = table._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
     assert {r.word: r.root for r in table.collect()} == {"abcde": "abcde", "abcdef": "abcdef", "abcdx": "abcdx"}
+
+
+def test_a_block_is_read_text_by_text(spark):
+    """A block's texts come one after the other and are not held."""
+    texts = [f"w{i % 7} v{i} common".encode() for i in range(600)]
+    assert search.block_row(iter(range(600)), iter(texts), 600, 1800) == search.block_row(list(range(600)), texts, 600, 1800)
+    index = search.build_index(spark.createDataFrame(list(enumerate(t.decode() for t in texts)), "doc_id long, text string"))
+    assert index.blocks.groupBy("block").count().filter("count > 1").isEmpty()
+    assert index.blocks.agg(F.sum("n_docs")).first()[0] == 600

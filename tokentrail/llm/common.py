@@ -76,15 +76,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def trim() -> None:
+    """Gives unused memory back, as workers wait for other tasks; only glibc has this."""
+    pa.default_memory_pool().release_unused()
+    give = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give:
+        give(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in small batches, so that Python holds few texts at a time; unused memory goes back."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
         pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # workers wait for other tasks; only glibc has this
-    if trim:
-        trim(0)
+    trim()
 
 
 def utf8(column: pa.Array) -> list[bytes]:

@@ -28,9 +28,10 @@ from __future__ import annotations
 import math
 import pickle
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, groupby, tee
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, utf8, work_path, written
+from .common import slices, trim, utf8, work_path, written
 
 CLUSTER, FIRST, TOP = 64, 4, 10
 BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 4096
@@ -198,22 +199,23 @@ def _wide(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
 
 
-def block_row(ids: list[int], texts: list[bytes], n_docs: int, n_terms: int) -> dict | None:
-    """A block's part of the index, without its number."""
+def block_row(ids: Iterable[int], texts: Iterable[bytes], n_docs: int, n_terms: int) -> dict | None:
+    """A block's part of the index, without its number. Of a text that has been read only its counts are held."""
     vocabulary: dict[bytes, int] = {}
     found, sizes, held = [], [], []
-    for i, text in enumerate(texts):
+    for doc, text in zip(ids, texts, strict=True):
         words = terms_of(text)
         if words:
             counts = Counter(words)
-            known = np.fromiter((vocabulary.setdefault(t, len(vocabulary)) for t in counts), np.int64, len(counts))
-            found.append((known, np.fromiter(counts.values(), np.int64, len(counts))))
+            known = np.fromiter((vocabulary.setdefault(t, len(vocabulary)) for t in counts), np.int32, len(counts))
+            found.append((known, np.fromiter(counts.values(), np.int32, len(counts))))
             sizes.append(len(words))
-            held.append(ids[i])
+            held.append(doc)
     if not found:
         return None
     off = np.concatenate([[0], np.cumsum([len(k) for k, _ in found])])
-    terms, tf = np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found])
+    terms, tf = (np.concatenate([x[c] for x in found]).astype(np.int64) for c in (0, 1))
+    found.clear()
     order = bisected(off, terms, len(vocabulary))
     at, place = _gather(off, order)
     terms, tf = terms[at], tf[at]
@@ -274,12 +276,19 @@ def build_index(docs: DataFrame, path: str | None = None) -> Index:
                 turn += 1
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int32()), b.column(0), b.column(1)], names=["block", "doc_id", "text"])
 
-    def indexed(key: tuple, t: pa.Table) -> pa.Table:
-        row = block_row(t.column("doc_id").to_pylist(), [x for c in t.column("text").chunks for x in utf8(c)], n, total)
-        rows = [{"block": key[0].as_py()} | row] if row else []
-        return pa.Table.from_pylist(rows, schema=pa.schema([(c, pa.int32() if c in ("block", "n_docs") else pa.binary()) for c in _INDEX_NAMES]))
+    kinds = pa.schema([(c, pa.int32() if c in ("block", "n_docs") else pa.binary()) for c in _INDEX_NAMES])
 
-    rows = docs.mapInArrow(led, "block int, doc_id long, text string").groupBy("block").applyInArrow(indexed, INDEX)
+    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in slices(batches) for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)), strict=True))
+        for block, group in groupby(rows, itemgetter(0)):
+            ids, texts = tee(group)  # read side by side
+            row = block_row((r[1] for r in ids), (r[2] for r in texts), n, total)
+            yield pa.RecordBatch.from_pylist([{"block": block} | row] if row else [], schema=kinds)
+            del row, ids, texts
+            trim()
+
+    # rows of a block come one after the other, so that no task holds its texts
+    rows = docs.mapInArrow(led, "block int, doc_id long, text string").repartition("block").sortWithinPartitions("block").mapInArrow(indexed, INDEX)
     path = path or work_path(spark, "search")
     rows.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
     return Index(spark.read.schema(INDEX).parquet(path), n, total)
