@@ -715,3 +715,16 @@ def test_pipeline(spark):
     near = corpus_pipeline.stage_near_duplicates(spark, docs, sf)
     plain = classes([(r[0], r[1]) for r in corpus(60)], 5, 80)
     assert sorted(r.doc_id for r in near.select("doc_id").collect()) == sorted(d for d, (_, c) in plain.items() if c == d)
+
+
+def test_the_fit_holds_no_values_of_all_rows():
+    """The driver's memory for the fit of quality is far below that of its sample."""
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    rows = [np.unique(rng.integers(0, 1 << 12, 2000)).astype(np.int32) for _ in range(1000)]
+    tracemalloc.start()
+    quality.fit_features(rows, [i % 2 for i in range(1000)], 1 << 12)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(r.nbytes for r in rows) / 4

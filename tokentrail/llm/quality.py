@@ -121,6 +121,16 @@ def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y:
     return w, bias
 
 
+class _Values:
+    """The values of rows of features, made when they are asked for: all together are twice as large as the rows."""
+
+    def __init__(self, rows: list[np.ndarray], ratio: np.ndarray):
+        self.rows, self.ratio = rows, ratio
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.ratio[self.rows[i]] / np.sqrt(max(1, len(self.rows[i])))
+
+
 def fit(texts: list[bytes], labels: list[int], bits: int = BITS, c: float = 1.0) -> Model:
     return fit_features([features(t, bits) for t in texts], labels, 1 << bits, c)
 
@@ -134,7 +144,7 @@ def fit_features(rows: list[np.ndarray], labels: list[int], size: int, c: float
         own[:] = True
     at = np.flatnonzero(own)
     ratio = log_count_ratios([rows[i] for i in at], y[at], size)
-    values = [ratio[rows[i]] / np.sqrt(max(1, len(rows[i]))) for i in at]
+    values = _Values([rows[i] for i in at], ratio)
     sign = np.where(y[at] == 1, 1.0, -1.0)
     w, bias = dual_coordinate_descent([rows[i] for i in at], values, sign, size, np.full(len(at), c))
     weights = (ratio * w).astype(np.float32)
