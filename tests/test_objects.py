@@ -115,6 +115,24 @@ def test_a_long_row_of_equal_dates(spark):
         history.corrected_dates(spark.createDataFrame([("a", 1), ("b", 2)], "cid string, at long"), circle, every=100)
 
 
+def test_rounds_take_moved_commits_only(spark, monkeypatch):
+    """A few commits that are moved round after round do not have all others written again."""
+    n, rows = 500, []
+    keep = history.stored
+
+    def counted(df, name="table"):
+        out = keep(df, name)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(history, "stored", counted)
+    commits = [(f"c{i}", 5 if i < 20 else 1000 + i) for i in range(n)]
+    edges = [(f"c{i}", 0, f"c{i - 1}") for i in range(1, n)]
+    frames = spark.createDataFrame(commits, "cid string, at long"), spark.createDataFrame(edges, "cid string, idx int, parent string")
+    got = {r.cid: r.at for r in history.corrected_dates(*frames, every=100).collect()}
+    assert got == corrected(commits, edges) and sum(rows) < 4 * n
+
+
 # ---- moved blocks ----
 
 

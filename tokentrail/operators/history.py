@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 from pyspark.sql import DataFrame
@@ -101,36 +102,74 @@ def corrected_dates(commits: DataFrame, parents: DataFrame, every: int = 8) -> D
     """(cid, at): the dates of commits (cid, at, in seconds), put off where needed so that each is later than those of all
     parents (cid, idx, parent). Parents that are not among the commits count for nothing.
 
-    Only dates that are too early move, by one step from parents to children a round. A long row of such commits would take
-    as many rounds, so after every few of them what a commit owes to its first parent, that one's first parent and so on is
-    found by doubling. Rounds end when nothing moves; a circle of parents is an error.
+    A round takes the commits that the last one moved, and no others, one step on to their children. A long row of such
+    commits would take as many rounds, so where after some rounds more than half as many commits move as before, what a
+    commit owes to its first parent, that one's first parent and so on is found by doubling. Rounds end when nothing moves; a
+    circle of parents is an error.
     """
-    state = stored(commits.select("cid", F.col("at").cast("long").alias("at")), "dates")
-    edges = parents.select("cid", "idx", "parent").join(state.select("cid"), "cid", "left_semi")
-    edges = stored(edges.join(state.select(F.col("cid").alias("parent")), "parent", "left_semi"), "edges")
-    latest, n = state.agg(F.max("at"), F.count(F.lit(1))).first()
-    turn = 0
+    dates = stored(commits.select("cid", F.col("at").cast("long").alias("at")), "dates")
+    edges = parents.select("cid", "idx", "parent").join(dates.withColumnRenamed("at", "own"), "cid")
+    edges = stored(edges.join(dates.select(F.col("cid").alias("parent"), F.col("at").alias("before")), "parent"), "edges")
+    latest, n = dates.agg(F.max("at"), F.count(F.lit(1))).first()
+    moved, sizes = [], []  # dates that were put off, the newer ones behind
+    fresh = stored(edges.filter("before >= own").groupBy("cid").agg((F.max("before") + 1).alias("at")), "moved")
+    turn, at_check = 0, None
     while True:
-        least = edges.join(state.select(F.col("cid").alias("parent"), F.col("at").alias("before")), "parent").groupBy("cid").agg((F.max("before") + 1).alias("least"))
-        moved = F.coalesce(F.col("least") > F.col("at"), F.lit(False))
-        state = stored(state.join(least, "cid", "left").select("cid", F.when(moved, F.col("least")).otherwise(F.col("at")).alias("at"), moved.alias("moved")), "dates")
-        last, some = state.agg(F.max("at"), F.max("moved")).first()
+        last, some = fresh.agg(F.max("at"), F.count(F.lit(1))).first()
         if not some:
-            return state.select("cid", "at")
+            return _put_off(dates, moved)
         if last > latest + n:  # no chain of parents is longer than the number of commits
             raise ValueError("commits are parents of each other")
+        moved, sizes = _merged([*moved, fresh], [*sizes, some])
         turn += 1
         if turn % every == 0:
-            state = _along_first_parents(state.select("cid", "at"), edges)
-
-
-def _along_first_parents(state: DataFrame, edges: DataFrame) -> DataFrame:
+            if at_check and 2 * some > at_check:
+                state = stored(_put_off(dates, moved), "dates")
+                path = _along_first_parents(state, edges, n)
+                fresh = stored(path.join(state.withColumnRenamed("at", "was"), "cid").filter("at > was").select("cid", "at"), "moved")
+                at_check = None
+                continue
+            at_check = some
+        to = fresh.select(F.col("cid").alias("parent"), F.col("at").alias("put"))
+        least = stored(edges.drop("before").join(to, "parent").filter("put >= own").groupBy("cid").agg((F.max("put") + 1).alias("at")), "least")
+        known = _union(moved).join(least.select("cid"), "cid").groupBy("cid").agg(F.max("at").alias("was"))
+        fresh = stored(least.join(known, "cid", "left").filter("was IS NULL OR at > was").select("cid", "at"), "moved")
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, tables)
+
+
+def _merged(tables: list[DataFrame], sizes: list[int]) -> tuple[list[DataFrame], list[int]]:
+    """Tables of dates with the last ones put together, where they have grown to the size of what is before them: each date
+    is written a logarithmic number of times."""
+    k = len(sizes) - 1
+    while k > 0 and 2 * sum(sizes[k:]) > sizes[k - 1]:
+        k -= 1
+    if len(sizes) - k < 2:
+        return tables, sizes
+    one = stored(_union(tables[k:]).groupBy("cid").agg(F.max("at").alias("at")), "moved")
+    return [*tables[:k], one], [*sizes[:k], one.count()]
+
+
+def _put_off(dates: DataFrame, moved: list[DataFrame]) -> DataFrame:
+    if not moved:
+        return dates
+    best = _union(moved).groupBy("cid").agg(F.max("at").alias("put"))
+    return dates.join(best, "cid", "left").select("cid", F.coalesce("put", "at").alias("at"))
+
+
+def _along_first_parents(state: DataFrame, edges: DataFrame, n: int) -> DataFrame:
     """The dates that chains of first parents ask for: the highest of each ancestor's date and its distance."""
     first = edges.groupBy("cid").agg(F.min_by("parent", "idx").alias("to"))
     path = stored(state.join(first, "cid", "left").select("cid", "to", F.lit(1).cast("long").alias("far"), F.col("at").alias("best")), "paths")
+    reach = 1
     while not path.filter("to IS NOT NULL").isEmpty():
+        if reach > n:
+            raise ValueError("commits are parents of each other")
         on = path.select(F.col("cid").alias("to"), F.col("to").alias("to2"), F.col("far").alias("far2"), F.col("best").alias("best2"))
         path = stored(path.join(on, "to", "left").select("cid", F.col("to2").alias("to"), (F.col("far") + F.coalesce("far2", F.lit(0))).alias("far"), F.greatest("best", F.col("best2") + F.col("far")).alias("best")), "paths")
+        reach *= 2
     return path.select("cid", F.col("best").alias("at"))
 
 
