@@ -309,3 +309,24 @@ def test_trailers_of_both_kinds_move_together(spark):
     merged = dataset.trailers(footers.hint("merge"), emails, persons)
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(cid") == 1
+
+
+def test_results_of_lexers_stream(spark):
+    """Token lines leave a task in small batches: those of a whole Arrow batch of files would be held together."""
+    text, made = "int a;\n" * 5000, []
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        filter = select
+
+        def mapInArrow(self, run, schema):
+            import pyarrow as pa
+
+            columns = [[str(i) for i in range(40)], ["c"] * 40, [text.encode()] * 38 + [None, b"int z;"], ["C"] * 40]
+            made.extend(run(iter([pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["content_sha", "ext", "content", "language"])])))
+
+    lexers.lexed(Rows())
+    assert [s for b in made for s in b.column(0).to_pylist()] == [str(i) for i in range(40)] and len(made) > 4
+    assert {tuple(x) for b in made for x in b.column(3).to_pylist()[:1]} == {tuple(lexers.token_lines(text, "C"))}
