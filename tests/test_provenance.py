@@ -330,3 +330,18 @@ def test_results_of_lexers_stream(spark):
     lexers.lexed(Rows())
     assert [s for b in made for s in b.column(0).to_pylist()] == [str(i) for i in range(40)] and len(made) > 4
     assert {tuple(x) for b in made for x in b.column(3).to_pylist()[:1]} == {tuple(lexers.token_lines(text, "C"))}
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    """Small files are read many in a task, and found by tasks on any level; hidden ones are left out."""
+    for i in range(600):
+        p = tmp_path / f"d{i % 3}" / ("x" * (i % 2)) / f"f{i}.c.blame"
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text(f"a;;\t{i}\nb;;\tz\n")
+    (tmp_path / "d0/_f.c.blame").write_text("hidden\n")
+    (tmp_path / "d0/f.c").write_text("other\n")
+    rows = readers.blame_files(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert {tuple(r) for r in rows.filter("line_no = 0").collect()} == {("/".join(["d%d" % (i % 3), *(["x"] if i % 2 else []), f"f{i}.c"]), 0, f"a;;\t{i}") for i in range(600)} and rows.count() == 1200
+    (tmp_path / "none").mkdir()
+    assert readers.source_files(spark, str(tmp_path / "none")).isEmpty()

@@ -15,6 +15,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ..functions import text as fn
 from ..operators.walk import decoded
 from ..schema import PROVENANCE
+from ..store import read_files
 from . import git
 
 GIT_LOG = "cid string, autname string, autemail string, autdate string, comname string, comemail string, comdate string, summary string, parents array<string>, log string, footers array<struct<key:string,value:string>>"
@@ -127,24 +128,17 @@ def sqlite_table(spark: SparkSession, path: str, table: str, n: int = 1) -> Data
     return spark.read.format("sqlite_table").option("path", path).option("dbtable", table).option("numPartitions", n).load()
 
 
-
-def _relative(root: str):
-    start = root.rstrip("/").split("://")[-1].removeprefix("file:") + "/"
-    return F.substring_index(F.col("path"), start, -1)
-
-
 def source_files(spark: SparkSession, root: str) -> DataFrame:
     """(file_path, text, had_bom, repairable) of all files under root; repairable: strict UTF-8, no mark, not .rs."""
-    b = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    b = read_files(spark, root)
     bom = F.substring("content", 1, 3) == F.lit(b"\xef\xbb\xbf")
-    return b.select(_relative(root).alias("file_path"), decoded(F.col("content")).alias("text"), bom.alias("had_bom"), (~bom & F.is_valid_utf8(F.col("content").cast("string")) & ~F.lower("path").endswith(".rs")).alias("repairable"))
+    return b.select("file_path", decoded(F.col("content")).alias("text"), bom.alias("had_bom"), (~bom & F.is_valid_utf8(F.col("content").cast("string")) & ~F.lower("file_path").endswith(".rs")).alias("repairable"))
 
 
 def blame_files(spark: SparkSession, root: str) -> DataFrame:
     """(file_path, line_no, line) of the .blame files under root."""
-    b = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.blame").load(root)
     lines = F.split(F.regexp_replace(decoded(F.col("content")), r"\n\z", ""), "\n")
-    return b.select(F.regexp_replace(_relative(root), r"\.blame$", "").alias("file_path"), F.posexplode(lines).alias("line_no", "line"))
+    return read_files(spark, root, ".blame").select("file_path", F.posexplode(lines).alias("line_no", "line"))
 
 
 def provenance(path: str | None, project: str) -> dict[str, str]:
