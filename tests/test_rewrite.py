@@ -419,6 +419,24 @@ def test_site(spark, tmp_path):
     assert [(r.person, r.tokens) for r in totals] == [("Ann", 1), ("Total", 1)]
 
 
+def test_pages_are_made_once(spark, tmp_path):
+    """The status of skipped files does not have all pages made again, and masked files have none made."""
+    made = spark.sparkContext.accumulator(0)
+
+    def look(rows, colours):
+        def run(batches):
+            for b in batches:
+                made.add(b.num_rows)
+                yield b
+
+        return rows.select("file_path", F.lit("own").alias("html")).mapInArrow(run, "file_path string, html string")
+
+    rows = spark.createDataFrame([(f"{i}.{e}", "Ann", "ann") for i in range(10) for e in ("c", "txt")], "file_path string, personname string, personid string")
+    files = rows.select("file_path", F.lit(5).alias("size"))
+    status = render.write_site(rows, rows.select("file_path"), files, MASK, str(tmp_path / "site"), make=look)
+    assert render.site_summary(status) == {"written": 10, "done": 0, "skipped": 10} and made.value == 10
+
+
 # ---- grammar ----
 
 

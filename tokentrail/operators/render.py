@@ -56,15 +56,16 @@ def write_site(rows: DataFrame, colours: DataFrame, files: DataFrame, mask: str,
     """Writes a page for each file and gives (file_path, status) for all of files (file_path, size): no-blame, empty and
     masked ones are skipped, done ones stay unless overwrite is set, others are written. make takes the place of pages,
     for another look."""
+    rows, colours = (x.filter(F.col("file_path").rlike(mask)) for x in (rows, colours))  # masked files have no pages
     made = (make or pages)(rows, colours, **options)
-    report = contributors.file_report(rows)
-    made = made.join(table_html(report, ["file_path"]), "file_path", "left")
-    whole = F.regexp_replace("html", r"(</pre></html>)?\z", "")
-    content = F.concat(whole, F.lit("</pre>"), F.coalesce("table", F.lit("")), F.lit("</html>")) if make is None and "footer" not in options else F.col("html")
+    content = F.col("html")
+    if make is None and "footer" not in options:
+        made = made.join(table_html(contributors.file_report(rows), ["file_path"]), "file_path", "left")
+        content = F.concat(F.regexp_replace("html", r"(</pre></html>)?\z", ""), F.lit("</pre>"), F.coalesce("table", F.lit("")), F.lit("</html>"))
     state = F.when(~F.col("file_path").rlike(mask), "masked").when(F.col("html").isNull(), "no-blame").when(F.col("size") == 0, "empty")
-    each = files.select("file_path", "size").join(made.withColumn("html", content).select("file_path", "html"), "file_path", "left").withColumn("state", state)
-    written = write_files(each.filter("state IS NULL").select("file_path", F.col("html").alias("content")), root, suffix, overwrite)
-    return written.unionByName(each.filter("state IS NOT NULL").select("file_path", F.col("state").alias("status")))
+    each = files.select("file_path", "size").join(made.withColumn("html", content).select("file_path", "html"), "file_path", "left").withColumn("status", state)
+    # pages are made once: skipped files go through the same tasks as the others
+    return write_files(each.select("file_path", F.when(F.col("status").isNull(), F.col("html")).alias("content"), "status"), root, suffix, overwrite)
 
 
 def site_summary(status: DataFrame) -> dict[str, int]:
