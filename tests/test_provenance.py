@@ -345,3 +345,10 @@ def test_many_small_files_are_few_tasks(spark, tmp_path):
     assert {tuple(r) for r in rows.filter("line_no = 0").collect()} == {("/".join(["d%d" % (i % 3), *(["x"] if i % 2 else []), f"f{i}.c"]), 0, f"a;;\t{i}") for i in range(600)} and rows.count() == 1200
     (tmp_path / "none").mkdir()
     assert readers.source_files(spark, str(tmp_path / "none")).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["blame", "footers"])
+def test_numbers_move_before_texts_are_made(spark, name):
+    """Rows are numbered by key: what moves for it are the columns read, not the ids and texts made of them."""
+    plan = load(spark, "/root/testdata/sf0.001", name)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.rindex("sha1(") < plan.index("Exchange")
