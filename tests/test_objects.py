@@ -369,6 +369,66 @@ def test_blame_of_merges_and_renames(spark, history_repo):
     assert len(want) >= 5 and got == want
 
 
+def _history(seed: int):
+    """Commits of three files and of one that is renamed with a change, with merges; lines that repeat and odd ones."""
+    rnd = random.Random(seed)
+    odd = ["", "}", "a\\nb", "a\nb", "\\", "\\0", " tab\t"]
+    texts, files, parents, lines = {}, [], [], {}
+    for c in range(24):
+        of = [] if c == 0 else [c - 1] if c % 5 else [c - 2, c - 1][: 1 + (c > 1)]
+        parents += [(f"c{c}", i, f"c{p}") for i, p in enumerate(of)]
+        for name in ("x", "y", "z"):
+            text = list(rnd.choice([texts[p, name] for p in of])) if of else [f"{name}{i}" for i in range(12)]
+            for _ in range(rnd.randrange(3)):
+                at = rnd.randrange(len(text) + 1)
+                text[at : at + rnd.randrange(2)] = [rnd.choice([*odd, f"new {c}"]) for _ in range(rnd.randrange(3))]
+            texts[c, name] = text
+        path = "moved" if c >= 10 else "z"
+        for name, at in (("x", "x"), ("y", "y"), ("z", path)):
+            body = texts[c, name]
+            blob = "b" + repr(body)
+            files.append((f"c{c}", at, blob))
+            lines[blob] = body
+    return files, parents, list(lines.items())
+
+
+def _owners_in_order(files, parents, lines):
+    """The owners of lines of files that keep their names, commit by commit."""
+    text, blobs, found, version = dict(lines), {(c, p): b for c, p, b in files}, {}, {}
+    for cid, path, blob in files:
+        of = [p for c, _, p in sorted(parents) if c == cid and (p, path) in blobs]
+        same = [p for p in of if blobs[p, path] == blob]
+        version[cid, path] = version[same[0], path] if same else cid
+        if same:
+            continue
+        own = [(cid, path, i) for i in range(len(text[blob]))]
+        for p in reversed(of):
+            for i, j in enumerate(ownership.aligned_lines(text[blobs[p, path]], text[blob])):
+                if j >= 0:
+                    own[i] = found[version[p, path], path][j]
+        found[cid, path] = own
+    return {(c, p, i, *o) for (c, p), own in found.items() for i, o in enumerate(own)}
+
+
+@pytest.mark.parametrize("held", [None, 1, 40])
+def test_owners_however_many_versions_a_task_holds(spark, monkeypatch, held):
+    """Pointers lead to the same ends within a task as from task to task, and lines are rows in the result only."""
+    files, parents, lines = _history(7)
+    if held:
+        monkeypatch.setattr(ownership, "HELD", held)
+        monkeypatch.setattr(ownership, "SMALL", held)
+    tables = spark.createDataFrame(files, "cid string, path string, blob string"), spark.createDataFrame(parents, "cid string, idx int, parent string"), spark.createDataFrame(lines, "blob string, lines array<string>")
+    got = ownership.owners(*tables)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(set(rows))
+    of = lambda x: {r for r in x if r[1] in ("x", "y")}
+    assert of(rows) == of(_owners_in_order(files, parents, lines))
+    moved = [r for r in rows if r[1] == "moved"]
+    assert any(r[4] == "z" and int(r[3][1:]) < 10 for r in moved)
+    assert {r[3:] for r in moved} <= {(r[0], r[1], r[2]) for r in rows}  # ends are lines of versions
+
+
 def test_pointers_of_any_length(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(100)] + [(200, 50)], "k int, to_k int")
     assert {(r.k, r.to_k) for r in ownership.followed(links, ["k"]).collect()} == {(i, 100) for i in [*range(100), 200]}
