@@ -280,3 +280,19 @@ def test_a_block_is_read_text_by_text(spark):
     index = search.build_index(spark.createDataFrame(list(enumerate(t.decode() for t in texts)), "doc_id long, text string"))
     assert index.blocks.groupBy("block").count().filter("count > 1").isEmpty()
     assert index.blocks.agg(F.sum("n_docs")).first()[0] == 600
+
+
+def test_blocks_are_cut_by_what_they_hold(spark, monkeypatch):
+    """The sample has no long document, so it promises one block for them; there are as many as they fill."""
+    monkeypatch.setattr(search, "BLOCK_DOCS", 64)
+    monkeypatch.setattr(search, "SAMPLE_BYTES", 30)
+    rng = random.Random(5)
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{rng.randrange(40)}" for _ in range(5))) for i in range(300)]
+    rows += [(i, " ".join(f"long{rng.randrange(60)}" for _ in range(12))) for i in range(300, 1500)]
+    index = search.build_index(spark.createDataFrame(rows, "doc_id long, text string"))
+    sizes = [r.n_docs for r in index.blocks.select("n_docs").collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 64
+    assert index.blocks.select("block").distinct().count() == len(sizes)
+    items = [(i, rows[i * 37][1]) for i in range(40)]
+    got = search.search(index, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert in_order(got) == in_order(plain_search(rows, items))

@@ -3,8 +3,8 @@
 Index. Documents that hold the same terms should stand together. A node of documents is cut in two halves; documents are
 exchanged between the halves while that makes the logarithms of the gaps in their terms' lists smaller; then each half is
 cut on. The top nodes are fitted on a sample of SAMPLE documents (those with the least hashes, of at most SAMPLE_BYTES
-each), whose terms' weights lead every document down to a block; below, each block of about BLOCK_BYTES or BLOCK_DOCS is
-bisected itself, in one task. A full block of a node that many documents are led to is followed by others. In the new order,
+each), whose terms' weights lead every document down to a place in their order. The documents of a task, in this order, are
+cut into blocks of BLOCK_BYTES or BLOCK_DOCS, however few or many the sample promised; each block is bisected itself. In the new order,
 CLUSTER documents are a cluster. A block's row has its terms by hash, and for each term and cluster the highest impact and
 the list of (place, occurrences).
 
@@ -49,10 +49,12 @@ SAMPLE, SAMPLE_BYTES, DEPTH, TREE_TERMS = 2048, 1 << 16, 6, 16_384
 #: Terms of a batch of items, and rounds of exchange at a node.
 BATCH, ROUNDS = 65_536, 6
 _NULL = -(2**63)
+#: Bits of a block's number for its place in its task, and of a cluster's number.
+_IN_TASK, _CLUSTERS = 20, 12
 #: Letters of A-Z to lower case, other bytes of no term to spaces; bytes from 128 on are parts of letters.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
-INDEX = "block int, n_docs int, ids binary, ms binary, terms binary, entry_ends binary, clusters binary, highest binary, starts binary, places binary, tfs binary"
+INDEX = "block long, n_docs int, ids binary, ms binary, terms binary, entry_ends binary, clusters binary, highest binary, starts binary, places binary, tfs binary"
 _INDEX_NAMES = [c.split()[0] for c in INDEX.split(", ")]
 
 
@@ -276,19 +278,27 @@ def build_index(docs: DataFrame, path: str | None = None) -> Index:
                 turn += 1
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int32()), b.column(0), b.column(1)], names=["block", "doc_id", "text"])
 
-    kinds = pa.schema([(c, pa.int32() if c in ("block", "n_docs") else pa.binary()) for c in _INDEX_NAMES])
+    kinds = pa.schema([(c, {"block": pa.int64(), "n_docs": pa.int32()}.get(c, pa.binary())) for c in _INDEX_NAMES])
+
+    def numbered(rows: Iterator[tuple]) -> Iterator[tuple]:
+        number, docs, size = TaskContext.get().partitionId() << _IN_TASK, 0, 0
+        for doc, text in rows:
+            if docs == BLOCK_DOCS or size >= BLOCK_BYTES:
+                number, docs, size = number + 1, 0, 0
+            docs, size = docs + 1, size + len(text)
+            yield number, doc, text
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (r for b in slices(batches) for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)), strict=True))
-        for block, group in groupby(rows, itemgetter(0)):
+        rows = (r for b in slices(batches) for r in zip(b.column(1).to_pylist(), utf8(b.column(2)), strict=True))
+        for block, group in groupby(numbered(rows), itemgetter(0)):
             ids, texts = tee(group)  # read side by side
             row = block_row((r[1] for r in ids), (r[2] for r in texts), n, total)
             yield pa.RecordBatch.from_pylist([{"block": block} | row] if row else [], schema=kinds)
             del row, ids, texts
             trim()
 
-    # rows of a block come one after the other, so that no task holds its texts
-    rows = docs.mapInArrow(led, "block int, doc_id long, text string").repartition("block").sortWithinPartitions("block").mapInArrow(indexed, INDEX)
+    # rows of a block come one after the other, so that no task holds its texts; Spark splits what is too much for a task
+    rows = docs.mapInArrow(led, "block int, doc_id long, text string").hint("rebalance", "block").sortWithinPartitions("block").mapInArrow(indexed, INDEX)
     path = path or work_path(spark, "search")
     rows.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(path)
     return Index(spark.read.schema(INDEX).parquet(path), n, total)
@@ -432,14 +442,14 @@ def _search_batch(index: Index, texts: list[bytes], k: int) -> DataFrame:
             for i, item in enumerate(sent.value.items):
                 high = block.bounds(block.terms(item))
                 top = np.argsort(-high, kind="stable")[:FIRST]
-                best[i].add((row["block"] << 32) + top, high[top])
+                best[i].add((row["block"] << _CLUSTERS) + top, high[top])
         yield _found(best)
 
     named = "block", "n_docs", "terms", "entry_ends", "clusters", "highest"
     heads = _highest(index.blocks.select(*named).mapInArrow(bounds, _FOUND), FIRST, F.desc("score"), "doc_id").collect()  # FIRST rows an item
     visits: dict[int, list[tuple[int, int]]] = {}
     for r in heads:
-        visits.setdefault(r.doc_id >> 32, []).append((r.item, r.doc_id & 0xFFFFFFFF))
+        visits.setdefault(r.doc_id >> _CLUSTERS, []).append((r.item, r.doc_id & ((1 << _CLUSTERS) - 1)))
 
     def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, Best] = {}
