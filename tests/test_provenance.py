@@ -352,3 +352,42 @@ def test_numbers_move_before_texts_are_made(spark, name):
     """Rows are numbered by key: what moves for it are the columns read, not the ids and texts made of them."""
     plan = load(spark, "/root/testdata/sf0.001", name)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.rindex("sha1(") < plan.index("Exchange")
+
+
+def test_packed_ids(spark):
+    ids = ["ab" * 20, "AB" * 20, "x", "", "q" * 19, "é" * 20, "0" * 20, "ab" * 20 + "\n", None]
+    rows = spark.createDataFrame([(i,) for i in ids], "i string").select("i", fn.packed_id(F.col("i")).alias("p"))
+    got = [(r.i, r.w, r.n) for r in rows.select("i", fn.whole_id(F.col("p")).alias("w"), F.octet_length("p").alias("n")).collect()]
+    assert all(i == w for i, w, _ in got) and got[0][2] == 20 and [n == 20 for *_, n in got].count(True) == 1
+
+
+def test_rows_of_the_dataset_move_once(spark):
+    """Tokens move by commit only, where blame is there by file; trailers do not move by address, nor ids as text."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["dataset67"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line.split("hashpartitioning(", 1)[1].split("#")[0] for line in plan.split("\n") if "Exchange hashpartitioning(" in line]
+    assert not {"file_path", "addr", "cid", "commit_sha"} & set(moved) and moved.count("t_packed") == 1, moved
+
+
+@pytest.mark.parametrize("sent", [0, 1 << 18])
+def test_dataset_of_odd_commits(spark, monkeypatch, sent):
+    """Commits that share an original, have two, have none or an odd id; trailers without value, address or known key."""
+    monkeypatch.setattr(dataset, "SENT", sent)
+    sha = "ab" * 20
+    commits = spark.createDataFrame([(c, "A", "a@x", "d", "B", "b@x", "e", "s") for c in ("k", sha, "two", "own")], "cid string, autname string, autemail string, autdate string, comname string, comemail string, comdate string, summary string")
+    commitmap = spark.createDataFrame([("k", "o", "p"), (sha, "o", None), ("two", "o", "l"), ("two", "own", None)], "cid string, originalcid string, repo string")
+    emails = spark.createDataFrame([("A", "a@x", "p1", "x"), ("A", "a@x.com", "p1", "x"), ("B", "b@x.com", "p2", "x")], "emailname string, emailaddr string, personid string, domain string")
+    persons = spark.createDataFrame([("p1", "One"), ("p2", None)], "personid string, personname string")
+    footers = [("o", 0, "Reviewed-by", "<a@x.com>"), ("o", 1, "reviewed-by", "a@x.com"), ("o", 2, "Acked-by", None), ("o", 3, "Unknown-by", "<b@x.com>"), ("own", 0, "Tested-by", "no one"), ("own", 1, "Tested-by", "no one"), ("own", 2, "Acked-by", "A\n")]
+    footers = spark.createDataFrame(footers, "cid string, idx int, key string, value string")
+    tokens = [(f"f{c}", 0, 1, 1, "x ", "name", "x", 0, c) for c in ("k", sha, "two", "own", "lost")]
+    tokens = spark.createDataFrame(tokens, "file_path string, token_index int, source_line int, source_col int, source_text string, token_type string, token_value string, is_structural int, commit_sha string")
+    out = dataset.dataset(tokens, commits, commitmap, emails, persons, footers, "demo")
+    assert out.columns == DATASET
+    of_o, of_own = (["<a@x.com>"], [None], [], ["p1", "p2"], ["One", "p2"]), ([], ["A\n"], ["no one", "no one"], [], [])
+    got = sorted((r.rewritten_commit_sha, r.original_commit_sha, r.repo_tag, (r.footer_reviewed_by, r.footer_acked_by, r.footer_tested_by, r.footer_personids, r.footer_person_names)) for r in out.collect())
+    assert got == sorted([("k", "o", "p", of_o), (sha, "o", "", of_o), ("two", "o", "l", of_o), ("two", "own", "", of_own), ("own", "own", "", of_own)])
+    assert {(r.author_name, r.personid, r.person_name, r.person_email) for r in out.collect()} == {("A", "p1", "One", "a@x")}
