@@ -15,7 +15,7 @@ from tokentrail.operators import dataset, history, identity, lexers, mapping, re
 from tokentrail.operators.components import connected_components
 from tokentrail.plans.adapter import BASE, load
 from tokentrail.plans.queries import ORACLES, QUERIES
-from tokentrail.schema import DATASET, LOGS
+from tokentrail.schema import DATASET, LOGS, TOKEN_COLUMNS
 from tokentrail.sources import readers
 from tokentrail.streaming.incremental import stream_commit_map
 
@@ -391,3 +391,15 @@ def test_dataset_of_odd_commits(spark, monkeypatch, sent):
     got = sorted((r.rewritten_commit_sha, r.original_commit_sha, r.repo_tag, (r.footer_reviewed_by, r.footer_acked_by, r.footer_tested_by, r.footer_personids, r.footer_person_names)) for r in out.collect())
     assert got == sorted([("k", "o", "p", of_o), (sha, "o", "", of_o), ("two", "o", "l", of_o), ("two", "own", "", of_own), ("own", "own", "", of_own)])
     assert {(r.author_name, r.personid, r.person_name, r.person_email) for r in out.collect()} == {("A", "p1", "One", "a@x")}
+
+
+def test_packed_rows_are_short(spark):
+    """What is sorted for the sink are ids as bytes and two texts of each commit, whatever stands in these."""
+    odd = ["a\0b", "\\", "\\e\\b\\n", "\1", "", None, "é\n"]
+    rows = spark.createDataFrame([(odd, [x for x in odd if x is not None], [])], "v array<string>, a array<string>, b array<string>")
+    rows = rows.select(dataset._joined([F.col("v")[i] for i in range(len(odd))], [F.col("a"), F.col("b")]).alias("t")).select(dataset._parts(F.col("t")).alias("p"))
+    values, lists = dataset._parted(F.col("p"), len(odd), 2)
+    assert rows.select(F.array(*values).alias("v"), *(x.alias(n) for n, x in zip("ab", lists, strict=True))).first() == (odd, [x for x in odd if x is not None], [])
+    from tokentrail.plans.queries import _packed
+
+    assert _packed(spark, SF).columns == [*TOKEN_COLUMNS, "packed", "facts", "packed_original", "repo", "lists"]
