@@ -444,3 +444,19 @@ def test_entries_are_made_once_from_numbers(spark):
         want = spark.sql(sql, lineitem=spark.read.parquet(f"{d}/lineitem.parquet"))
         assert sorted(map(tuple, table.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
         assert name != "entries" or "Exchange" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ids_of_trees_without_their_bodies(spark, monkeypatch):
+    """Entries of a tree go through its task one by one: none are collected, in however many batches they come."""
+    rng = random.Random(5)
+    rows = [(f"t{rng.randrange(9)}", f"{rng.choice('aAé.')}{i}".encode(), rng.choice(["100644", "40000"]), f"{rng.getrandbits(160):040x}") for i in range(400)]
+    rows += [("t0", b"d", "40000", "0" * 40), ("t0", b"d.c", "100644", "1" * 40), ("t0", b"d0", "100644", "2" * 40), ("none", b"x", "100644", None)]
+    entries = spark.createDataFrame(rows, "tree string, name binary, mode string, object_id string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = history.tree_ids(entries)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, history.tree_bodies(entries).select("tree", "new_tree").collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(history, "tree_bodies", None)
+    assert not history_queries.tree_assembly(spark, "/root/testdata/sf0.001").isEmpty()

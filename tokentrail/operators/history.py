@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as fn
@@ -57,12 +58,48 @@ def git_object_id(kind: str, body: bytes) -> str:
     return hashlib.sha1(f"{kind} {len(body)}\0".encode() + body).hexdigest()
 
 
+def _sort_key() -> Column:
+    """Git's order of entries, where a directory's name sorts as if it ended in a slash."""
+    return F.concat(F.col("name").cast("binary"), F.when(F.col("mode") == "40000", F.lit("/").cast("binary")).otherwise(F.lit("").cast("binary")))
+
+
+def _entry() -> Column:
+    return F.concat(F.col("mode").cast("binary"), F.lit(" ").cast("binary"), F.col("name").cast("binary"), F.lit(b"\0"), F.unhex("object_id"))
+
+
+def tree_ids(entries: DataFrame) -> DataFrame:
+    """(tree, new_tree) as tree_bodies gives them, without the bodies: a tree's entries are sorted by Spark and go through its
+    task one by one, so that a tree may have any number of them."""
+    import pyarrow as pa
+
+    sizes = entries.groupBy("tree").agg(F.coalesce(F.sum(F.octet_length(_entry())), F.lit(0)).alias("size")).withColumn("k", F.lit(None).cast("binary"))
+    # the size is hashed before the entries: its row comes before theirs, as a null does
+    rows = sizes.select("tree", "k", "size", F.col("k").alias("e")).unionByName(entries.select("tree", _sort_key().alias("k"), F.lit(None).cast("long").alias("size"), _entry().alias("e")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = made = None
+        of = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], names=["tree", "new_tree"])
+        for b in batches:
+            done = []
+            for name, size, e in zip(*(b.column(c).to_pylist() for c in ("tree", "size", "e")), strict=True):
+                if size is not None:
+                    if made:
+                        done.append((tree, made.hexdigest()))
+                    tree, made = name, hashlib.sha1(f"tree {size}\0".encode())
+                elif e is not None:
+                    made.update(e)
+            if done:
+                yield of(done)
+        if made:
+            yield of([(tree, made.hexdigest())])
+
+    return rows.repartition("tree").sortWithinPartitions("tree", F.col("size").isNull(), "k", "e").select("tree", "size", "e").mapInArrow(run, "tree string, new_tree string")
+
+
 def tree_bodies(entries: DataFrame) -> DataFrame:
-    """(tree, body, new_tree) from (tree, name, mode, object_id): entries in git's order, where a directory's name sorts
-    as if it ended in a slash."""
-    sort_key = F.concat(F.col("name").cast("binary"), F.when(F.col("mode") == "40000", F.lit("/").cast("binary")).otherwise(F.lit("").cast("binary")))
-    one = F.concat(F.col("mode").cast("binary"), F.lit(" ").cast("binary"), F.col("name").cast("binary"), F.lit(b"\0"), F.unhex("object_id"))
-    g = entries.groupBy("tree").agg(F.array_sort(F.collect_list(F.struct(sort_key.alias("k"), one.alias("e")))).alias("es"))
+    """(tree, body, new_tree) from (tree, name, mode, object_id): entries in git's order. A body is held whole; tree_ids does
+    without."""
+    g = entries.groupBy("tree").agg(F.array_sort(F.collect_list(F.struct(_sort_key().alias("k"), _entry().alias("e")))).alias("es"))
     body = F.unhex(F.array_join(F.transform("es", lambda x: F.hex(x["e"])), ""))  # adding up bytes one by one would be quadratic
     g = g.select("tree", body.alias("body"))
     head = F.concat(F.lit("tree ").cast("binary"), F.octet_length("body").cast("string").cast("binary"), F.lit(b"\0"))
