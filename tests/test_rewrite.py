@@ -476,3 +476,20 @@ def test_repair_counters(spark):
     assert tuple(walk.repair_counters(walk.repaired(tokens, sources), sources).first()) == (1, 1, 1)
     paths = spark.createDataFrame([('"a\\303\\266"',), ("b",), (None,)], "p string")
     assert [r.p for r in paths.select(fn.unquoted_path("p").alias("p")).collect()] == ["aö", "b", None]
+
+
+def test_spans_do_not_move(spark):
+    """Tokens of a page move by file, not their spans, and not once more by person; pages of odd ids and unknown colours."""
+    rows = [("a.c", i, "name", f"t{i}", 0, f"t{i}", o, "p", "d", None, "Ann" if i % 2 else None, None, "k") for i, o in enumerate(["ab" * 20, "x", None])]
+    rows = spark.createDataFrame(rows, "file_path string, token_index int, token_type string, token_value string, is_structural int, source_text string, original string, repo string, autdate string, summary string, personname string, personid string, commit_sha string")
+    colours = spark.createDataFrame([("a.c", "Ann", 7), ("b.c", "Unknown", 9)], "file_path string, person string, colour int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        made = render.pages(rows, colours)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line.split("hashpartitioning(", 1)[1].split(", ")[0].split("#")[0] for line in plan.split("\n") if "Exchange hashpartitioning(" in line]
+    assert moved == ["file_path", "file_path"] and "person#" not in "".join(line for line in plan.split("\n") if "Exchange hashpartitioning(" in line)
+    span = lambda c, title, o, t: f'<span class="c{c}" title="{title}" onclick="windowPre(\'{o}\')">{t}</span>'
+    assert made.first().html == "<html><title>a.c</title><pre>" + span(0, "ab" * 20 + ";Unknown;d", "ab" * 20, "t0") + span(7, "x;Ann;d", "x", "t1") + "</pre></html>"

@@ -31,11 +31,18 @@ def pages(rows: DataFrame, colours: DataFrame, header: str = "<html><title>_FILE
     """(file_path, html): spans of all code tokens in order, declarations as anchors. rows has the columns of the
     dataset's source tokens with personname, personid, original and repo."""
     person = F.coalesce("personname", "personid", F.lit("Unknown"))
-    r = rows.withColumn("person", person).join(colours.select("file_path", "person", "colour"), ["file_path", "person"], "left")
-    title = F.concat_ws(";", F.col("original"), "person", "autdate", "summary")
-    piece = F.when(F.col("token_type") == "DECL", F.concat(F.lit('<a name="'), F.element_at(F.split("token_value", r"\|"), -1), F.lit('"></a>'))).when(F.col("is_structural") == 0, token_span(F.col("source_text"), F.col("original"), F.col("repo"), F.coalesce("colour", F.lit(0)).cast("string"), title)).otherwise("")
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("token_index", piece.alias("p")))), lambda x: x["p"]), "")
-    g = r.groupBy("file_path").agg(body.alias("body"))
+    own = colours.filter("person IS NOT NULL").groupBy("file_path").agg(F.map_from_entries(F.collect_list(F.struct("person", "colour"))).alias("colours"))
+    # what moves by file are tokens and what is known of them: spans, which are many times as long, are made behind that
+    parts = F.struct("token_index", "token_type", "token_value", "is_structural", "source_text", "original", "repo", person.alias("person"), "autdate", "summary")
+    g = rows.groupBy("file_path").agg(F.collect_list(parts).alias("tokens")).join(own, "file_path", "left")
+
+    def piece(x: Column) -> Column:
+        title = F.concat_ws(";", x["original"], x["person"], x["autdate"], x["summary"])
+        colour = F.coalesce(F.try_element_at("colours", x["person"]), F.lit(0)).cast("string")
+        span = token_span(x["source_text"], x["original"], x["repo"], colour, title)
+        return F.when(x["token_type"] == "DECL", F.concat(F.lit('<a name="'), F.element_at(F.split(x["token_value"], r"\|"), -1), F.lit('"></a>'))).when(x["is_structural"] == 0, span).otherwise("")
+
+    g = g.select("file_path", F.array_join(F.transform(F.array_sort("tokens"), piece), "").alias("body"))
     path = F.col("file_path")
     ends = [expanded(F.lit(x), fn.basename(path), F.regexp_replace(path, "/?[^/]*$", ""), F.lit(version), F.lit(url)) for x in (header, footer)]
     return g.select("file_path", F.concat(ends[0], "body", ends[1]).alias("html"))
@@ -55,7 +62,7 @@ def table_html(report: DataFrame, keys: list[str]) -> DataFrame:
 def write_site(rows: DataFrame, colours: DataFrame, files: DataFrame, mask: str, root: str, suffix: str = ".html", overwrite: bool = False, make=None, **options) -> DataFrame:
     """Writes a page for each file and gives (file_path, status) for all of files (file_path, size): no-blame, empty and
     masked ones are skipped, done ones stay unless overwrite is set, others are written. make takes the place of pages,
-    for another look."""
+    for another look. Rows that are clustered by file do not move."""
     rows, colours = (x.filter(F.col("file_path").rlike(mask)) for x in (rows, colours))  # masked files have no pages
     made = (make or pages)(rows, colours, **options)
     content = F.col("html")
